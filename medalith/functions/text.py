@@ -85,11 +85,13 @@ def padded_commune_code(c: Column) -> Column:
 
 
 def fold_arrondissement(commune_code: Column, communes: dict[str, str] = values.ARRONDISSEMENT_COMMUNES) -> Column:
-    """Commune that an arrondissement code belongs to; other codes stay as they are."""
-    folded = F.when(F.lit(False), commune_code)
-    for prefix, commune in communes.items():
-        folded = folded.when(commune_code.startswith(prefix), commune)
-    return folded.otherwise(commune_code)
+    """Commune that an arrondissement code belongs to; other codes stay as they are.
+
+    A map lookup mentions the code twice, where a CASE per prefix would repeat it (and whatever it is
+    computed from) in every branch of a pushed-down filter.
+    """
+    pairs = F.create_map(*[F.lit(x) for pair in communes.items() for x in pair])
+    return F.coalesce(F.try_element_at(pairs, F.substring(commune_code, 1, 3)), commune_code)
 
 
 def without_french_part(label: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from medalith.functions.names import col
@@ -31,13 +31,18 @@ def _count(df: DataFrame, name: str) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias(name))
 
 
+def _one_row(*rows: DataFrame) -> DataFrame:
+    """One-row frames with different columns side by side, without a join."""
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), rows)
+    return stacked.agg(*[F.max(c).alias(c) for c in stacked.columns])
+
+
 def check_row_counts(
     old: DataFrame, new: DataFrame, name: str, tolerance: float | None = None, shrink_only: bool = False
 ) -> DataFrame:
     """Row counts are equal, or differ by less than ``tolerance`` of the old count; with
     ``shrink_only`` the new table must be smaller, by less than the tolerance."""
-    # Two one-row frames: this product is one row.
-    counts = _count(old, "old_count").join(_count(new, "new_count"))
+    counts = _one_row(_count(old, "old_count"), _count(new, "new_count"))
     counts = counts.withColumn("diff", F.col("new_count") - F.col("old_count"))
     share = F.when(F.col("old_count") > 0, F.abs("diff") / F.col("old_count")).otherwise(F.lit(0.0))
     if tolerance is None:
@@ -74,12 +79,12 @@ def value_sides(left: DataFrame, left_column: str, right: DataFrame, right_colum
 
 def _with_samples(sides: DataFrame, aggregates: list[Column], samples: dict[str, Column]) -> DataFrame:
     """``aggregates`` over all values, plus for each name the first ten values that fulfil a condition."""
-    result = sides.agg(*aggregates)
+    rows = [sides.agg(*aggregates)]
     for name, condition in samples.items():
-        first = sides.filter(condition).select(F.col("value").cast("string")).orderBy("value").limit(SAMPLE_SIZE)
-        # At most ten values are collected, into the one row that the aggregate already is.
-        result = result.join(first.agg(F.sort_array(F.collect_list("value")).alias(name)))
-    return result
+        first = sides.filter(condition).orderBy("value").limit(SAMPLE_SIZE)
+        # A list of ten values at most.
+        rows.append(first.agg(F.sort_array(F.collect_list(F.col("value").cast("string"))).alias(name)))
+    return _one_row(*rows)
 
 
 def check_values_preserved(
@@ -259,9 +264,3 @@ def check_naming(df: DataFrame, table: str, prefix: bool = True) -> DataFrame:
     if prefix:
         good &= F.col("table_name").rlike("^(dim|fact)_")
     return schema.withColumn("passed", good)
-
-
-def first_rows_per_group(df: DataFrame, group: list[str], order: list[Column], n: int) -> DataFrame:
-    """Up to ``n`` rows per group; the group limit keeps ``n`` per task before the shuffle."""
-    window = Window.partitionBy(*[col(g) for g in group]).orderBy(*order)
-    return df.withColumn("__place", F.row_number().over(window)).filter(F.col("__place") <= n).drop("__place")

@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from medalith.functions.names import col
 from medalith.operators.lookup import missing
@@ -102,30 +101,36 @@ def dependency_closure(edges: DataFrame, roots: DataFrame | None = None, max_dep
     survives the loss of executors.
     """
     spark = edges.sparkSession
-    edges = edges.select("node", "dependency").distinct()
+    edges = edges.select("node", "dependency")
     if roots is None:
-        roots = edges.select("node").union(edges.select("dependency"))
+        roots = edges.select("node").union(edges.select(F.col("dependency").alias("node")))
     folder = work_dir(spark, "closure")
-    edges.write.parquet(f"{folder}/edges")
-    edges = spark.read.parquet(f"{folder}/edges")
-
-    def level(depth: int) -> DataFrame:
-        return spark.read.parquet(f"{folder}/depth={depth}")
-
+    edges.distinct().write.parquet(f"{folder}/edges")
+    edges = spark.read.schema(edges.schema).parquet(f"{folder}/edges")
     first = roots.select(F.col("node").alias("root"), "node").distinct()
     first.write.parquet(f"{folder}/depth=0")
+    pairs = spark.read.schema(T.StructType([*first.schema.fields, T.StructField("depth", T.IntegerType())]))
+
+    def levels(*depths: int) -> DataFrame:
+        return pairs.option("basePath", folder).parquet(*[f"{folder}/depth={d}" for d in depths])
+
     depth = 0
-    while not level(depth).isEmpty():
+    while not levels(depth).isEmpty():
         if depth == max_depth:
             raise ValueError(f"dependencies reach deeper than {max_depth}")
-        reached = (
-            level(depth).join(edges, "node").select("root", F.col("dependency").alias("node")).distinct()
-        )
-        seen = reduce(DataFrame.unionByName, [level(d) for d in range(depth + 1)])
+        reached = levels(depth).join(edges, "node").select("root", F.col("dependency").alias("node"))
+        seen = levels(*range(depth + 1)).select("root", "node")
         depth += 1
-        reached.join(seen, ["root", "node"], "left_anti").write.parquet(f"{folder}/depth={depth}")
-    levels = [level(d).withColumn("depth", F.lit(d)) for d in range(depth)]
-    return reduce(DataFrame.unionByName, levels) if levels else first.withColumn("depth", F.lit(0))
+        # Distinct and "not seen before" in one grouped pass, hence one shuffle of either side.
+        new = (
+            reached.withColumn("seen", F.lit(0))
+            .unionByName(seen.withColumn("seen", F.lit(1)))
+            .groupBy("root", "node")
+            .agg(F.max("seen").alias("seen"))
+            .filter("seen = 0")
+        )
+        new.drop("seen").write.parquet(f"{folder}/depth={depth}")
+    return levels(*range(max(depth, 1)))
 
 
 def cyclic_nodes(edges: DataFrame, closure: DataFrame) -> DataFrame:

@@ -40,8 +40,9 @@ def _plain_code(k: str) -> str:
     return _digits(f"1000 + ({k} * 617) % 94000", 5)
 
 
-def _comma(value: str) -> str:
-    return f"REPLACE(CAST(CAST({value} AS DECIMAL(10,2)) AS STRING), '.', ',')"
+def _rent(shift: int) -> str:
+    """A rent with a decimal comma, from the whole quantity and the line number."""
+    return f"CONCAT(CAST(CAST(l_quantity AS INT) + {shift} AS STRING), ',', {_digits('l_linenumber * 7', 2)})"
 
 
 # Two neighbouring customers share a town name, so names are homonyms of each other in pairs.
@@ -52,7 +53,7 @@ def _town(k: str) -> str:
 _ORDER_ROW = "o_orderkey"
 _LINE_ROW = (
     "CONCAT(CAST(l_orderkey AS STRING), '-', CAST(l_linenumber AS STRING), '-', CAST(l_partkey AS STRING), '-', "
-    "CAST(l_suppkey AS STRING), '-', CAST(CAST(l_extendedprice AS DECIMAL(12,2)) AS STRING))"
+    "CAST(l_suppkey AS STRING), '-', CAST(CAST(ROUND(l_extendedprice * 100) AS BIGINT) AS STRING))"
 )
 
 BRONZE: dict[str, tuple[str, list[tuple[str, str]]]] = {
@@ -85,8 +86,8 @@ BRONZE: dict[str, tuple[str, list[tuple[str, str]]]] = {
                 f"ELSE CONCAT(' Ville ', {_town('o_custkey')}, ' ') END",
             ),
             ("Code_postal", f"' ' || {_commune_code('o_custkey')}"),
-            ("Latitude", "CAST(CAST(31 + o_custkey % 70 AS DECIMAL(8,4)) + CAST(0.0625 AS DECIMAL(8,4)) AS STRING)"),
-            ("Longitude", "CAST(CAST(o_custkey % 15 - 5 AS DECIMAL(8,4)) + CAST(0.0004 AS DECIMAL(8,4)) AS STRING)"),
+            ("Latitude", "CONCAT(CAST(31 + o_custkey % 70 AS STRING), '.0625')"),
+            ("Longitude", "CONCAT(CAST(o_custkey % 15 - 5 AS STRING), '.0004')"),
             ("ingestion_timestamp", "o_orderdate"),
             ("source_row", _ORDER_ROW),
         ],
@@ -107,9 +108,9 @@ BRONZE: dict[str, tuple[str, list[tuple[str, str]]]] = {
             ("DEP", f"SUBSTRING({_plain_code('o_custkey')}, 1, 2)"),
             ("REG", "CAST(o_custkey % 18 AS STRING)"),
             ("TYPPRED", "CASE WHEN l_linenumber % 2 = 0 THEN 'commune' ELSE 'maille' END"),
-            ("loypredm2", f"CASE WHEN l_linenumber = 6 THEN '' ELSE {_comma('l_quantity')} END"),
-            ("lwr.IPm2", _comma("l_quantity - 1")),
-            ("upr.IPm2", f"CASE WHEN l_linenumber = 7 THEN NULL ELSE {_comma('l_quantity + 1')} END"),
+            ("loypredm2", f"CASE WHEN l_linenumber = 6 THEN '' ELSE {_rent(0)} END"),
+            ("lwr.IPm2", _rent(-1)),
+            ("upr.IPm2", f"CASE WHEN l_linenumber = 7 THEN NULL ELSE {_rent(1)} END"),
             ("ingestion_timestamp", "l_shipdate"),
             ("source_row", _LINE_ROW),
         ],

@@ -864,9 +864,9 @@ def source_open_data_resources(t):
         {"name": "parts", "path": f"{folder}/parts"},
         {"name": "gone", "path": f"{folder}/gone"},
     ]
-    summary = ingest.run_summary(ingest.ingest_resources(t.spark, root, resources, multi_line=False))
+    summary = ingest.run_summary(ingest.ingest_resources(t.spark, root, resources, multi_line=False)).first()
     rows = tables.read_table(t.spark, root, "bronze", "open_data_parts", ["p_partkey", "p_name"])
-    return rows.join(summary)
+    return rows.withColumns({k: F.lit(v) for k, v in summary.asDict().items()})
 
 
 @query
