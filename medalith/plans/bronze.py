@@ -6,6 +6,7 @@ the files that the ledger does not know yet.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from urllib.parse import unquote
 
@@ -20,7 +21,7 @@ from medalith.sources import storage
 from medalith.sources.delimited import SOURCE_FILE, read_delimited
 from medalith.sources.files import list_source_files
 from medalith.sources.json_pages import page_records, read_json_pages, read_pages
-from medalith.sources.tables import read_path, read_table, table_exists, table_path, write_table
+from medalith.sources.tables import read_table, table_exists, table_path, write_table
 
 # Code columns that stay text, and preamble lines of the area file.
 STATION_TEXT_COLUMNS = ["code_uic", "code_ligne", "idreseau"]
@@ -96,7 +97,7 @@ API_READERS: dict[str, Callable[..., DataFrame]] = {
 def read_ledger(spark: SparkSession, root: str) -> DataFrame:
     path = f"{root}/{LEDGER_TABLE}"
     if storage.exists(spark, path):
-        return read_path(spark, path)
+        return spark.read.schema(ledgers.LEDGER_SCHEMA).parquet(path)
     return spark.createDataFrame([], ledgers.LEDGER_SCHEMA)
 
 
@@ -126,63 +127,58 @@ def ingest_files(
 
     All good files are written by one job; with ``force`` every file is read again and replaces the
     table. Files that cannot be read are found by halving the batch, entered as failed and tried again
-    on the next run. Returns one status row.
+    on the next run. Only new files are opened, hashed included. Returns one status row.
     """
     read = read or FILE_READERS[pipeline]
     if force:
         clear_ledger(spark, root, pipeline)
-    files = list_source_files(spark, source, with_hash=True)
-    fresh = ledgers.new_files(files, read_ledger(spark, root), pipeline)
-    staged = f"{root}/{LEDGER_TABLE}-new/{pipeline}"
-    fresh.select("file_path", "file_hash").write.mode("overwrite").parquet(staged)
-    fresh = spark.read.parquet(staged)
-    paths = [r.file_path for r in fresh.select("file_path").orderBy("file_path").collect()]
-    paths = [unquote(p) for p in paths]
-
-    def write(batch: list[str]) -> None:
-        mode = "overwrite" if force else "append"
-        write_table(read(spark, batch), root, layer, pipeline, mode, on_conflict="replace")
-
-    good, bad = paths, []
+    fresh = ledgers.new_files(list_source_files(spark, source), read_ledger(spark, root), pipeline)
+    paths = [unquote(r.file_path) for r in fresh.select("file_path").orderBy("file_path").collect()]
+    if not paths:
+        return _status(spark.createDataFrame([], "status string, rows_processed long"), pipeline)
+    mode = "overwrite" if force else "append"
+
+    def write(batch: list[str]) -> DataFrame:
+        rows = read(spark, batch, keep_source=True)
+        write_table(rows.drop(SOURCE_FILE), root, layer, pipeline, mode, on_conflict="replace")
+        return rows.groupBy(F.col(SOURCE_FILE).alias("file_path")).agg(F.count(F.lit(1)).alias("rows_processed"))
+
+    bad: list[str] = []
     try:
-        if paths:
-            write(paths)
+        counts = write(paths)
     except Exception:
         good, bad = _readable(spark, read, paths)
-        if good:
-            write(good)
-    counts = _rows_per_file(spark, read, good)
-    outcome = fresh.join(counts, "file_path", "left").withColumns(
-        {
-            "status": F.when(F.url_decode("file_path").isin(bad), "failed").otherwise("success"),
-            "rows_processed": F.coalesce("rows_processed", F.lit(0)),
-        }
+        counts = write(good) if good else spark.createDataFrame([], "file_path string, rows_processed long")
+    outcome = (
+        list_source_files(spark, paths, with_hash=True)
+        .join(counts, "file_path", "left")
+        .withColumns(
+            {
+                "status": F.when(F.url_decode("file_path").isin(bad), "failed").otherwise("success"),
+                "rows_processed": F.coalesce("rows_processed", F.lit(0)),
+            }
+        )
     )
-    if paths:
-        append_ledger(ledgers.ledger_entries(outcome, pipeline), root)
-    return outcome.agg(
+    run = f"{root}/{LEDGER_TABLE}-runs/{pipeline}-{uuid.uuid4().hex[:12]}"
+    ledgers.ledger_entries(outcome, pipeline).write.parquet(run)
+    entries = spark.read.schema(ledgers.LEDGER_SCHEMA).parquet(run)
+    append_ledger(entries, root)
+    return _status(entries, pipeline)
+
+
+def _status(entries: DataFrame, pipeline: str) -> DataFrame:
+    failed = F.count_if(F.col("status") == "failed")
+    return entries.agg(
         F.lit(pipeline).alias("pipeline_name"),
         F.count_if(F.col("status") == "success").alias("files_processed"),
-        F.count_if(F.col("status") == "failed").alias("files_failed"),
+        failed.alias("files_failed"),
         F.coalesce(F.sum("rows_processed"), F.lit(0)).cast("long").alias("rows_processed"),
-        F.when(F.count_if(F.col("status") == "failed") > 0, "partial").otherwise("success").alias("status"),
-    )
-
-
-def _rows_per_file(spark: SparkSession, read: Callable[..., DataFrame], paths: list[str]) -> DataFrame:
-    if not paths:
-        return spark.createDataFrame([], "file_path string, rows_processed long")
-    return (
-        read(spark, paths, keep_source=True)
-        .groupBy(F.col(SOURCE_FILE).alias("file_path"))
-        .agg(F.count(F.lit(1)).alias("rows_processed"))
+        F.when(failed > 0, "partial").otherwise("success").alias("status"),
     )
 
 
 def _readable(spark: SparkSession, read: Callable[..., DataFrame], paths: list[str]) -> tuple[list[str], list[str]]:
     """Split files into readable and unreadable ones by halving the batch until each part is pure."""
-    if not paths:
-        return [], []
     try:
         read(spark, paths).write.format("noop").mode("overwrite").save()
         return paths, []

@@ -25,19 +25,23 @@ def local_session(cpus: int = 8, name: str = "medalith") -> SparkSession:
     return spark
 
 
+_local_roots: dict[str, str] = {}
+
+
 def shared_root(spark: SparkSession) -> str:
     """Folder that every executor sees: the one the cluster names in ``spark.checkpoint.dir``.
 
-    Only a local session may fall back to a temporary folder of the machine.
+    Only a local session without that setting falls back to a temporary folder of the machine.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
-    root = tempfile.mkdtemp(prefix="medalith-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    if context.applicationId not in _local_roots:
+        _local_roots[context.applicationId] = tempfile.mkdtemp(prefix="medalith-")
+    return _local_roots[context.applicationId]
 
 
 def work_dir(spark: SparkSession, label: str) -> str:

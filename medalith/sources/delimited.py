@@ -11,7 +11,7 @@ import io
 from functools import reduce
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -48,7 +48,8 @@ def _column_names(header: str, sep: str) -> list[str]:
 def _lines(spark: SparkSession, paths: list[str]) -> DataFrame:
     """Text lines with their file, the start of their split, and an id that grows along each file."""
     return (
-        spark.read.text(paths)
+        spark.read.option("recursiveFileLookup", True)
+        .text(paths)
         .select(
             "value",
             F.col("_metadata.file_path").alias("file_path"),
@@ -103,16 +104,11 @@ def read_delimited(
     paths = [paths] if isinstance(paths, str) else list(paths)
     if skip_rows:
         return _read_after_preamble(spark, paths, sep, skip_rows, keep_source)
-    layouts = file_layouts(spark, paths, check_encoding=encoding == "auto")
-    kinds = layouts.select("header", "is_utf8").distinct().collect()
-    if not kinds:
+    groups = _files_by_layout(file_layouts(spark, paths, check_encoding=encoding == "auto"), paths)
+    if not groups:
         raise ValueError(f"no header line in {paths}")
     frames = []
-    for kind in kinds:
-        files = paths
-        if len(kinds) > 1:
-            same = (F.col("header") == kind.header) & (F.col("is_utf8") == kind.is_utf8)
-            files = [unquote(r.file_path) for r in layouts.filter(same).select("file_path").collect()]
+    for kind, files in groups:
         separator = sniff_separator(kind.header) if sep == "auto" else sep
         charset = ("UTF-8" if kind.is_utf8 else "ISO-8859-1") if encoding == "auto" else encoding
         frames.append(_read_layout(spark, files, kind.header, separator, charset, all_string, multi_line))
@@ -120,12 +116,33 @@ def read_delimited(
     return df if keep_source else df.drop(SOURCE_FILE)
 
 
+def _files_by_layout(layouts: DataFrame, paths: list[str]) -> list[tuple[Row, list[str]]]:
+    """Distinct layouts with the files that have them; a single layout keeps the paths as given.
+
+    One row per file is kept between the two steps, so that the files are looked into once.
+    """
+    layouts = layouts.persist()
+    try:
+        kinds = layouts.select("header", "is_utf8").distinct().collect()
+        if len(kinds) == 1:
+            return [(kinds[0], paths)]
+        groups = []
+        for kind in kinds:
+            same = (F.col("header") == kind.header) & (F.col("is_utf8") == kind.is_utf8)
+            rows = layouts.filter(same).select("file_path").collect()
+            groups.append((kind, [unquote(r.file_path) for r in rows]))
+        return groups
+    finally:
+        layouts.unpersist()
+
+
 def _read_layout(
     spark: SparkSession, files: list[str], header: str, sep: str, charset: str, all_string: bool, multi_line: bool
 ) -> DataFrame:
     names = _column_names(header, sep)
     options = {
         "header": True, "sep": sep, "encoding": charset, "quote": '"', "escape": '"', "multiLine": multi_line,
+        "recursiveFileLookup": True,
     }
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
     if not all_string:

@@ -31,9 +31,9 @@ def _streamed_md5(paths: Iterator[pd.Series]) -> Iterator[pd.Series]:
 
 
 def list_source_files(
-    spark: SparkSession, path: str, with_hash: bool = False, hash_in_memory: int = IN_MEMORY_HASH_BYTES
+    spark: SparkSession, path: str | list[str], with_hash: bool = False, hash_in_memory: int = IN_MEMORY_HASH_BYTES
 ) -> DataFrame:
-    """Files below ``path`` with length and modification time, and the MD5 of their bytes on request.
+    """Files below the path or paths with length and modification time, and the MD5 of their bytes on request.
 
     Without the hash no file is opened. Hidden files and folder markers are left out by Spark.
     """

@@ -44,3 +44,21 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     fs, p = _open(spark, path)
     if fs.exists(p):
         fs.delete(p, True)
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    fs, p = _open(spark, path)
+    stream = fs.create(p, True)
+    try:
+        stream.write(bytearray(text, "utf-8"))
+    finally:
+        stream.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, p = _open(spark, path)
+    stream = fs.open(p)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()

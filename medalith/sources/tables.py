@@ -1,6 +1,6 @@
 """Layered Parquet tables at ``<root>/<layer>/<table>`` and their catalog.
 
-The declared schema of a table lies beside its data in ``_schema``. Reading with it needs no footer
+The declared schema of a table lies beside its data in ``_schema.json``. Reading with it needs no footer
 scan, and files written before a column existed return null for it.
 """
 
@@ -29,17 +29,18 @@ def table_exists(spark: SparkSession, root: str, layer: str, table: str) -> bool
     return storage.exists(spark, table_path(root, layer, table))
 
 
+def _schema_file(path: str) -> str:
+    return f"{path}/_schema.json"
+
+
 def stored_schema(spark: SparkSession, path: str) -> T.StructType | None:
-    if not storage.exists(spark, f"{path}/_schema"):
+    if not storage.exists(spark, _schema_file(path)):
         return None
-    text = spark.read.option("wholetext", True).text(f"{path}/_schema").first()[0]
-    return T.StructType.fromJson(json.loads(text))
+    return T.StructType.fromJson(json.loads(storage.read_text(spark, _schema_file(path))))
 
 
 def _store_schema(spark: SparkSession, path: str, schema: T.StructType) -> None:
-    spark.createDataFrame([(schema.json(),)], "value string").coalesce(1).write.mode("overwrite").text(
-        f"{path}/_schema"
-    )
+    storage.write_text(spark, _schema_file(path), schema.json())
 
 
 def read_path(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
