@@ -29,6 +29,9 @@ ARRONDISSEMENT_COMMUNES = {"132": "13055", "693": "69123", "751": "75056"}
 # The older rent table partitions the Lyon arrondissements under another code.
 LEGACY_ARRONDISSEMENT_PARTITIONS = {"132": "13055", "693": "69300", "751": "75056"}
 
+# Arrondissement codes of the three cities as (first, last, commune).
+ARRONDISSEMENT_RANGES = ((13201, 13216, "13055"), (69381, 69389, "69123"), (75101, 75120, "75056"))
+
 # Pole names that are shortened to their first word.
 POLE_NAME_PREFIXES = ("Hesdin", "Cugand")
 

@@ -7,9 +7,12 @@ otherwise sort-merges, splitting hot keys of the larger side with the adaptive s
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from medalith.functions import values
 from medalith.functions.names import col
 
 
@@ -28,6 +31,25 @@ def look_up(
     return df.join(side, on == F.col("__dim_key"), how).drop("__dim_key")
 
 
+def arrondissements(spark: SparkSession) -> DataFrame:
+    """Mapping table (arrondissement_code, commune_code) of the 45 city arrondissements."""
+    frames = [
+        spark.range(first, last + 1).select(
+            F.col("id").cast("string").alias("arrondissement_code"), F.lit(commune).alias("commune_code")
+        )
+        for first, last, commune in values.ARRONDISSEMENT_RANGES
+    ]
+    return reduce(DataFrame.unionByName, frames)
+
+
+def map_arrondissements(df: DataFrame, code: str, name: str) -> DataFrame:
+    """``name``: the commune of an arrondissement code by the mapping table, other codes unchanged."""
+    # 45 rows, whatever the data.
+    mapping = F.broadcast(arrondissements(df.sparkSession))
+    found = look_up(df, mapping, col(code), "arrondissement_code", {"commune_code": "__commune"})
+    return found.withColumn(name, F.coalesce("__commune", col(code))).drop("__commune")
+
+
 def matching(df: DataFrame, other: DataFrame, keys: dict[str, str]) -> DataFrame:
     """Rows of ``df`` whose keys (column -> column of ``other``) occur in ``other``."""
     return _membership(df, other, keys, "left_semi")

@@ -19,6 +19,11 @@ def seconds_between(start: Column, end: Column) -> Column:
     return F.timestamp_diff("MICROSECOND", start, end) / F.lit(1_000_000)
 
 
+def iso_time(stamp: Column) -> Column:
+    """ISO text of a stamp, with microseconds only when there are any."""
+    return F.replace(F.date_format(stamp, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit(".000000"), F.lit(""))
+
+
 def job_rollup(tasks: DataFrame) -> DataFrame:
     """Per job: task counts, progress percent, start, end and final status.
 

@@ -28,11 +28,23 @@ def _side(df: DataFrame, keys: list[str], name: str) -> DataFrame:
     )
 
 
-def _paired(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
-    """Full outer join on all keys: columns ``t`` and ``s`` hold the rows, null where there is none."""
-    condition = [F.col(f"__t_{i}") == F.col(f"__s_{i}") for i in range(len(keys))]
-    condition.append(F.col("__t_spread") == F.col("__s_spread"))
-    return _side(target, keys, "t").join(_side(source, keys, "s"), condition, "full_outer")
+def _same_key(keys: list[str]) -> list[Column]:
+    equal = [F.col(f"__t_{i}") == F.col(f"__s_{i}") for i in range(len(keys))]
+    return [*equal, F.col("__t_spread") == F.col("__s_spread")]
+
+
+def _keys_of(df: DataFrame, keys: list[str], name: str) -> DataFrame:
+    return _side(df, keys, name).drop(name)
+
+
+def unmatched(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
+    """Source rows whose keys the target lacks.
+
+    The target's keys are first narrowed to those the source has: when the source is small enough to
+    be broadcast, the target is scanned for its key columns and never shuffled.
+    """
+    matched = _keys_of(target, keys, "t").join(_keys_of(source, keys, "s"), _same_key(keys), "left_semi")
+    return _side(source, keys, "s").join(matched, _same_key(keys), "left_anti").select("s.*")
 
 
 def upsert(
@@ -51,34 +63,39 @@ def upsert(
     source_names = set(source.columns)
     updates = set(source.columns if update_cols is None else update_cols) & source_names
     inserts = set(source.columns if insert_cols is None else insert_cols) & source_names | set(keys)
-    matched = F.col("t").isNotNull() & F.col("s").isNotNull()
-    new = F.col("t").isNull()
+    columns = target.columns + [c for c in source.columns if c not in target.columns and c in updates | inserts]
+    types = {f.name: f.dataType for f in [*source.schema.fields, *target.schema.fields]}
 
-    def value(name: str) -> Column:
+    def updated(name: str) -> Column:
         kept = F.col("t").getField(name) if name in target.columns else F.lit(None)
-        incoming = F.col("s").getField(name) if name in source_names else F.lit(None)
-        result = F.when(new, incoming if name in inserts else F.lit(None))
         if name in updates and name not in keys:
-            result = result.when(matched, incoming)
-        return result.otherwise(kept).alias(name)
+            kept = F.when(F.col("s").isNotNull(), F.col("s").getField(name)).otherwise(kept)
+        return kept.cast(types[name]).alias(name)
 
-    added = [c for c in source.columns if c not in target.columns and c in updates | inserts]
-    return _paired(target, source, keys).select(*[value(c) for c in target.columns + added])
+    def inserted(name: str) -> Column:
+        return (col(name) if name in inserts else F.lit(None)).cast(types[name]).alias(name)
+
+    old = _side(target, keys, "t").join(_side(source, keys, "s"), _same_key(keys), "left")
+    new = unmatched(target, source, keys)
+    return old.select(*[updated(c) for c in columns]).unionByName(new.select(*[inserted(c) for c in columns]))
 
 
 def replace_matching(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
-    """Target rows without a source row of the same keys, then the whole source."""
+    """Target rows without a source row of the same keys, then the whole source. A null key equals a
+    null key here."""
     side = source.select(*[col(k).alias(f"__key_{i}") for i, k in enumerate(keys)])
-    condition = [col(k) == F.col(f"__key_{i}") for i, k in enumerate(keys)]
+    condition = [col(k).eqNullSafe(F.col(f"__key_{i}")) for i, k in enumerate(keys)]
     kept = target.join(side, condition, "left_anti")
     return kept.unionByName(source, allowMissingColumns=True)
 
 
 def upsert_stats(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
-    """One row: how many source rows update, how many are inserted, and 0 deleted."""
-    narrow = _paired(target.select(*[col(k) for k in keys]), source.select(*[col(k) for k in keys]), keys)
-    return narrow.agg(
-        F.count_if(F.col("t").isNotNull() & F.col("s").isNotNull()).alias("updated"),
-        F.count_if(F.col("t").isNull()).alias("inserted"),
-        F.lit(0).cast("long").alias("deleted"),
+    """One row: how many pairs update, how many source rows are inserted, and 0 deleted."""
+    source = source.select(*[col(k) for k in keys])
+    pairs = _keys_of(target, keys, "t").join(_keys_of(source, keys, "s"), _same_key(keys))
+    counts = pairs.agg(F.count(F.lit(1)).alias("updated"), F.lit(0).cast("long").alias("inserted")).unionByName(
+        unmatched(target, source, keys).agg(F.lit(0).cast("long").alias("updated"), F.count(F.lit(1)).alias("inserted"))
+    )
+    return counts.agg(
+        F.sum("updated").alias("updated"), F.sum("inserted").alias("inserted"), F.lit(0).cast("long").alias("deleted")
     )

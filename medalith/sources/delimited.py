@@ -1,25 +1,30 @@
 """Delimited text with unknown separator, encoding and layout.
 
-Only one line per distinct file layout reaches the driver. The files themselves are read by Spark's
-CSV source, splittable and with the columns it needs.
+The header line of each file is read on its own, as Spark reads a footer. The files themselves are
+read by Spark's CSV source, in splits.
 """
 
 from __future__ import annotations
 
 import csv
 import io
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, Row, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from medalith.functions.names import col
+from medalith.sources import storage
+from medalith.sources.files import list_source_files
 
 SOURCE_FILE = "__source_file"
 _CORRUPT = "__corrupt"
 _OVERFLOW = "__overflow"
+# Header lines that are read at the same time.
+HEADER_READERS = 32
 # Separators that are looked for, and the one assumed when none occurs.
 SEPARATORS = (",", ";", "\t")
 FALLBACK_SEPARATOR = ";"
@@ -59,31 +64,42 @@ def _lines(spark: SparkSession, paths: list[str]) -> DataFrame:
     )
 
 
-def file_layouts(spark: SparkSession, paths: list[str], check_encoding: bool) -> DataFrame:
-    """Per file: its first line that is not blank, and whether every line is valid UTF-8.
-
-    The encoding check is a map-side aggregate over the raw lines; a file is never held as a whole.
-    """
-    in_head = (F.col("block_start") == 0) & (F.length(F.trim("value")) > 0)
-    is_utf8 = F.bool_and(F.is_valid_utf8("value")) if check_encoding else F.lit(True)
-    raw = F.min_by(F.when(in_head, F.col("value").cast("binary")), F.when(in_head, F.col("line_id")))
-    lines = _lines(spark, paths)
-    if not check_encoding:
-        lines = lines.filter(F.col("block_start") == 0)
+def files_not_utf8(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Files with a line that is not valid UTF-8: a hash aggregate over the raw lines, per task first."""
     return (
-        lines.groupBy("file_path")
-        .agg(raw.alias("raw"), is_utf8.alias("is_utf8"))
-        .filter(F.col("raw").isNotNull())
-        .select(
-            "file_path",
-            "is_utf8",
-            F.when(F.is_valid_utf8(F.col("raw").cast("string")), F.decode("raw", "UTF-8"))
-            .otherwise(F.decode("raw", "ISO-8859-1"))
-            .alias("header"),
-        )
+        _lines(spark, paths)
+        .groupBy("file_path")
+        .agg(F.bool_and(F.is_valid_utf8("value")).alias("is_utf8"))
+        .filter(~F.col("is_utf8"))
+        .select("file_path")
     )
 
 
+def files_by_layout(
+    spark: SparkSession, paths: list[str], encoding: str, one_layout: bool, skip_rows: int = 0
+) -> dict[tuple[str, str], list[str]]:
+    """Files by (header line, encoding). With ``one_layout`` one file speaks for all.
+
+    A single layout keeps the paths as they were given, so that Spark lists the folders itself.
+    """
+    listed = list_source_files(spark, paths).select("file_path")
+    listed = listed.orderBy("file_path").limit(1) if one_layout else listed
+    files = [unquote(r.file_path) for r in listed.collect()]
+    latin = set()
+    if encoding == "auto":
+        latin = {unquote(r.file_path) for r in files_not_utf8(spark, paths).collect()}
+        if one_layout and latin:
+            latin = set(files)
+    with ThreadPoolExecutor(HEADER_READERS) as pool:
+        headers = list(pool.map(lambda f: storage.head_line(spark, f, skip_rows, skip_rows == 0), files))
+    groups: dict[tuple[str, str], list[str]] = {}
+    for file, header in zip(files, headers):
+        if header is not None:
+            charset = ("ISO-8859-1" if file in latin else "UTF-8") if encoding == "auto" else encoding
+            groups.setdefault((header, charset), []).append(file)
+    return {kind: paths for kind in groups} if len(groups) == 1 else groups
+
+
 def read_delimited(
     spark: SparkSession,
     paths: str | list[str],
@@ -93,49 +109,33 @@ def read_delimited(
     all_string: bool = True,
     multi_line: bool = False,
     keep_source: bool = False,
+    one_layout: bool = False,
 ) -> DataFrame:
     """Header CSV files as one frame.
 
     Files may differ in separator, encoding (UTF-8, else Latin-1) and columns; a column that a file
     lacks is null. Rows with more fields than the header are dropped, shorter rows are padded with
     nulls. ``skip_rows`` lines before the header are ignored. With ``all_string=False`` the types are
-    inferred by one more pass. ``keep_source`` adds the file path as ``__source_file``.
+    inferred by one more pass. ``keep_source`` adds the file path as ``__source_file``. ``one_layout``
+    promises that all files look alike, which saves looking into each of them; a given ``encoding``
+    saves the pass that checks it.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     if skip_rows:
         return _read_after_preamble(spark, paths, sep, skip_rows, keep_source)
-    groups = _files_by_layout(file_layouts(spark, paths, check_encoding=encoding == "auto"), paths)
+    groups = files_by_layout(spark, paths, encoding, one_layout)
     if not groups:
         raise ValueError(f"no header line in {paths}")
-    frames = []
-    for kind, files in groups:
-        separator = sniff_separator(kind.header) if sep == "auto" else sep
-        charset = ("UTF-8" if kind.is_utf8 else "ISO-8859-1") if encoding == "auto" else encoding
-        frames.append(_read_layout(spark, files, kind.header, separator, charset, all_string, multi_line))
+    frames = [
+        _read_layout(
+            spark, files, header, sniff_separator(header) if sep == "auto" else sep, charset, all_string, multi_line
+        )
+        for (header, charset), files in groups.items()
+    ]
     df = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
     return df if keep_source else df.drop(SOURCE_FILE)
 
 
-def _files_by_layout(layouts: DataFrame, paths: list[str]) -> list[tuple[Row, list[str]]]:
-    """Distinct layouts with the files that have them; a single layout keeps the paths as given.
-
-    One row per file is kept between the two steps, so that the files are looked into once.
-    """
-    layouts = layouts.persist()
-    try:
-        kinds = layouts.select("header", "is_utf8").distinct().collect()
-        if len(kinds) == 1:
-            return [(kinds[0], paths)]
-        groups = []
-        for kind in kinds:
-            same = (F.col("header") == kind.header) & (F.col("is_utf8") == kind.is_utf8)
-            rows = layouts.filter(same).select("file_path").collect()
-            groups.append((kind, [unquote(r.file_path) for r in rows]))
-        return groups
-    finally:
-        layouts.unpersist()
-
-
 def _read_layout(
     spark: SparkSession, files: list[str], header: str, sep: str, charset: str, all_string: bool, multi_line: bool
 ) -> DataFrame:
@@ -172,29 +172,25 @@ def _read_after_preamble(
 ) -> DataFrame:
     """Rows below a header that stands on line ``skip_rows + 1`` of each file.
 
-    The first lines of every file are found by a group limit, and the rows are compared with the id of
-    their file's header line: the ids agree because both sides scan the same splits.
+    Line ids are consecutive within a split, so the header's id is the first id of its file plus
+    ``skip_rows``. The ids of both scans agree because they read the same splits.
     """
-    lines = _lines(spark, paths)
-    place = F.row_number().over(Window.partitionBy("file_path").orderBy("line_id"))
-    headers = (
-        lines.filter(F.col("block_start") == 0)
-        .withColumn("place", place)
-        .filter(F.col("place") == skip_rows + 1)
-        .select("file_path", F.col("value").alias("header"), F.col("line_id").alias("header_id"))
-    )
-    body = lines.join(headers, "file_path").filter(
-        ((F.col("block_start") > 0) | (F.col("line_id") > F.col("header_id"))) & (F.length(F.trim("value")) > 0)
-    )
     frames = []
-    for (header,) in headers.select("header").distinct().collect():
+    for (header, _), files in files_by_layout(spark, paths, "UTF-8", False, skip_rows).items():
+        lines = _lines(spark, files)
+        headers = (
+            lines.filter(F.col("block_start") == 0)
+            .groupBy("file_path")
+            .agg((F.min("line_id") + skip_rows).alias("header_id"))
+        )
+        body = lines.join(headers, "file_path").filter(
+            ((F.col("block_start") > 0) | (F.col("line_id") > F.col("header_id"))) & (F.length(F.trim("value")) > 0)
+        )
         separator = sniff_separator(header) if sep == "auto" else sep
-        names = _column_names(header, separator)
-        schema = ", ".join(f"`{n}` string" for n in [*names, _OVERFLOW])
+        schema = ", ".join(f"`{n}` string" for n in [*_column_names(header, separator), _OVERFLOW])
         parsed = F.from_csv("value", schema, {"sep": separator, "quote": '"', "escape": '"'})
         frames.append(
-            body.filter(F.col("header") == header)
-            .select(F.col("file_path").alias(SOURCE_FILE), parsed.alias("row"))
+            body.select(F.col("file_path").alias(SOURCE_FILE), parsed.alias("row"))
             .filter(F.col("row").getField(_OVERFLOW).isNull())
             .select("row.*", SOURCE_FILE)
             .drop(_OVERFLOW)

@@ -19,7 +19,7 @@ def _streamed_md5(paths: Iterator[pd.Series]) -> Iterator[pd.Series]:
     from pyarrow import fs
 
     def digest(path: str) -> str:
-        system, inner = fs.FileSystem.from_uri(path)
+        system, inner = fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
         md5 = hashlib.md5()
         with system.open_input_stream(inner) as stream:
             while block := stream.read(8 << 20):

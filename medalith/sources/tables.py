@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from medalith.functions.names import col
 from medalith.operators.evolve import combined_schema, type_conflicts
+from medalith.operators.preview import preview, table_schema
 from medalith.operators.upsert import upsert, upsert_stats
 from medalith.sources import storage
 
@@ -130,6 +131,21 @@ def catalog(spark: SparkSession, root: str) -> DataFrame:
     return spark.createDataFrame(rows, "layer string, name string, path string")
 
 
+def table_info(spark: SparkSession, root: str, layer: str, table: str) -> dict:
+    """Path of a table, whether it exists, and the number of its data files."""
+    path = table_path(root, layer, table)
+    found = storage.exists(spark, path)
+    return {"path": path, "exists": found, "num_files": len(read_path(spark, path).inputFiles()) if found else 0}
+
+
+def table_detail(
+    spark: SparkSession, root: str, layer: str, table: str, preview_rows: int = 10
+) -> tuple[DataFrame, DataFrame]:
+    """Schema rows of a table, and its first rows."""
+    df = read_table(spark, root, layer, table)
+    return table_schema(df), preview(df, preview_rows)
+
+
 def row_counts(spark: SparkSession, root: str, layer: str, tables: list[str]) -> DataFrame:
     """Row count per table in one job; a table that does not exist gets a null count."""
     counts = None

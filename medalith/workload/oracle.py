@@ -421,6 +421,31 @@ FROM bronze_siae_postes""",
 SELECT source_row, label, {_pole("label")} AS pole, {_letters("replace(label, 'œ', 'oe')")} AS pole_key,
   upper(trim(replace(replace(label, '-', ' '), '  ', ' '))) AS city
 FROM (SELECT *, {_no_part("LIBAAV2020")} AS label FROM bronze_zones_attraction) z""",
+    "lookup_arrondissements": f"""
+SELECT commune, count(*) AS n_rows, count(*) FILTER (commune <> {_folded("code")}) AS differing
+FROM (SELECT code, CASE WHEN code BETWEEN '13201' AND '13216' THEN '13055' WHEN code BETWEEN '69381' AND '69389' THEN '69123'
+  WHEN code BETWEEN '75101' AND '75120' THEN '75056' ELSE code END AS commune
+  FROM (SELECT {_RENT_CODE} AS code FROM bronze_logement) r) m GROUP BY commune""",
+    "predicates": """
+SELECT count(*) FILTER (code_uic IS NULL) AS is_null,
+  count(*) FILTER (c_geo IS NOT NULL AND c_geo <> '' AND c_geo <> 'nan') AS filled,
+  count(*) FILTER (y_wgs84 BETWEEN 10 AND 20) AS "between", count(*) FILTER (voyageurs IN ('O', 'true')) AS in_list,
+  count(*) FILTER (c_geo LIKE '97%') AS like_prefix, count(*) FILTER (libelle LIKE '%9%') AS like_infix,
+  count(*) FILTER (libelle ILIKE 'gare 1%') AS ilike_prefix,
+  count(*) FILTER (libelle NOT LIKE concat('%', code_ligne, '%')) AS not_like_column,
+  count(*) FILTER (fret = 'O' OR voyageurs = 'O' AND x_wgs84 > 0.05) AS mixed_and_or,
+  count(*) FILTER (x_wgs84 < y_wgs84) AS column_below_column
+FROM bronze_gares""",
+    "set_differences": """
+SELECT code, 'left' AS only_in FROM (SELECT c_geo AS code FROM bronze_gares WHERE c_geo IS NOT NULL EXCEPT SELECT commune_code FROM dim_commune) l
+UNION ALL SELECT code, 'right' FROM (SELECT commune_code AS code FROM dim_commune EXCEPT SELECT c_geo FROM bronze_gares) r""",
+    "set_distinct_values": "SELECT DISTINCT code_insee FROM bronze_geo WHERE code_insee IS NOT NULL",
+    "catalog_table_detail": """
+SELECT name, type, (SELECT count(*) FROM nation JOIN region ON n_regionkey = r_regionkey) AS row_count,
+  least((SELECT count(*) FROM nation JOIN region ON n_regionkey = r_regionkey), 10) AS preview_rows,
+  TRUE AS stored, FALSE AS other_stored
+FROM (VALUES ('n_nationkey', 'int'), ('n_name', 'string'), ('n_regionkey', 'int'), ('r_regionkey', 'int'),
+  ('r_name', 'string')) v(name, type)""",
     "preview_eq": """
 SELECT * FROM customer WHERE c_mktsegment = 'BUILDING'
 ORDER BY c_acctbal DESC NULLS LAST, c_custkey DESC LIMIT 50""",
@@ -730,6 +755,18 @@ FROM customer GROUP BY c_nationkey""",
     "source_open_data_resources": """
 SELECT p_partkey, p_name, CAST(2 AS BIGINT) AS resources_processed, CAST(1 AS BIGINT) AS resources_success,
   CAST(1 AS BIGINT) AS resources_failed, 'partial' AS status FROM part""",
+    "bronze_geo_file": """
+SELECT nullif(code_insee, '') AS code_insee, nom_standard, code_postal, CAST(source_row AS VARCHAR) AS source_row FROM bronze_geo""",
+    "bronze_accueillants_file": """
+SELECT statut, "Code_postal", "Latitude", CAST(source_row AS VARCHAR) AS source_row FROM bronze_accueillants""",
+    "bronze_gares_pages": """
+SELECT CAST(p_partkey AS VARCHAR) AS code_uic, CAST(p_size AS VARCHAR) AS code_ligne, p_name AS libell__gare FROM part""",
+    "bronze_structures_pages": """
+SELECT source_row AS key, id, ville AS addresse_ville, code_postal AS addresse_code_postal, type AS postes FROM bronze_siae_structures""",
+    "ingest_forced": "SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name FROM customer",
+    "runs_iso_times": """
+SELECT task_id, replace(strftime(started_at, '%Y-%m-%dT%H:%M:%S.%f'), '.000000', '') AS started,
+  strftime(completed_at, '%Y-%m-%dT%H:%M:%S') AS completed FROM tasks""",
     "ingest_incremental": """
 SELECT REG AS "REG", count(*) AS n_rows, count(DISTINCT source_row) AS distinct_rows,
   (SELECT count(*) FROM bronze_logement WHERE CAST(REG AS INTEGER) < 9) AS first_run_rows,

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from medalith.functions import names, text, values
 from medalith.functions.keys import with_surrogate_key
-from medalith.operators import dedupe, evolve, ledger, lookup, nested, preview, quality, runs, upsert
+from medalith.operators import dedupe, evolve, ledger, lookup, nested, preview, quality, runs, sets, upsert
 from medalith.plans import bronze as ingest
 from medalith.plans import gold, legacy, pipeline, silver
 from medalith.session import work_dir
@@ -390,6 +390,46 @@ def text_area_names(t):
     )
 
 
+@query
+def lookup_arrondissements(t):
+    """Arrondissements folded by the mapping table, and the codes that folding by prefix treats otherwise."""
+    codes = t.bronze_logement.withColumn("code", text.padded_commune_code(F.col("INSEE_C")))
+    mapped = lookup.map_arrondissements(codes, "code", "commune")
+    return mapped.groupBy("commune").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_if(F.col("commune") != text.fold_arrondissement(F.col("code"))).alias("differing"),
+    )
+
+
+@query
+def predicates(t):
+    """Each kind of filter the pipelines use, as a count over the stations."""
+    c, d = F.col, t.bronze_gares
+    return d.agg(
+        F.count_if(c("code_uic").isNull()).alias("is_null"),
+        F.count_if(text.is_filled(c("c_geo"))).alias("filled"),
+        F.count_if(c("y_wgs84").between(10, 20)).alias("between"),
+        F.count_if(c("voyageurs").isin("O", "true")).alias("in_list"),
+        F.count_if(c("c_geo").startswith("97")).alias("like_prefix"),
+        F.count_if(c("libelle").like("%9%")).alias("like_infix"),
+        F.count_if(c("libelle").ilike("gare 1%")).alias("ilike_prefix"),
+        F.count_if(~F.contains("libelle", "code_ligne")).alias("not_like_column"),
+        F.count_if((c("fret") == "O") | (c("voyageurs") == "O") & (c("x_wgs84") > 0.05)).alias("mixed_and_or"),
+        F.count_if(c("x_wgs84") < c("y_wgs84")).alias("column_below_column"),
+    )
+
+
+@query
+def set_differences(t):
+    result = sets.differences(t.bronze_gares, "c_geo", t.dim_commune, "commune_code")
+    return result.withColumnRenamed("value", "code")
+
+
+@query
+def set_distinct_values(t):
+    return sets.distinct_values(t.bronze_geo, "code_insee")
+
+
 # --- preview, schema, ad-hoc SQL -------------------------------------------------------------------
 
 
@@ -437,6 +477,23 @@ def catalog_schema(t):
     return rows.select("position", "name", "type", "row_count", "num_fields")
 
 
+@query
+def catalog_table_detail(t):
+    """Schema and first rows of a stored table, and what is known about its files."""
+    root = work_dir(t.spark, "lake")
+    tables.write_table(t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey")), root, "gold", "places")
+    schema, head = tables.table_detail(t.spark, root, "gold", "places")
+    info = tables.table_info(t.spark, root, "gold", "places")
+    return schema.select(
+        "name",
+        "type",
+        "row_count",
+        F.lit(head.count()).cast("long").alias("preview_rows"),
+        F.lit(info["exists"] and info["num_files"] > 0).alias("stored"),
+        F.lit(tables.table_info(t.spark, root, "gold", "nothing")["exists"]).alias("other_stored"),
+    )
+
+
 @query
 def adhoc_sql_limit(t):
     t.orders.createOrReplaceTempView("silver_orders_adhoc")
@@ -693,7 +750,8 @@ def ledger_status(t):
 
 
 def _write_csv(df: DataFrame, path: str, **options) -> str:
-    df.write.options(header=True, **options).csv(path)
+    options = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, **options}
+    df.write.options(**options).csv(path)
     return path
 
 
@@ -869,6 +927,58 @@ def source_open_data_resources(t):
     return rows.withColumns({k: F.lit(v) for k, v in summary.asDict().items()})
 
 
+@query
+def bronze_geo_file(t):
+    """Commune file with a byte-order mark in front of its header, everything read as text."""
+    folder = work_dir(t.spark, "csv")
+    geo = t.bronze_geo.select(
+        F.col("code_insee").alias("\ufeffcode_insee"), "nom_standard", "code_postal", F.col("source_row")
+    )
+    _write_csv(geo, folder)
+    return ingest.geo(t.spark, [folder]).drop("ingestion_timestamp")
+
+
+@query
+def bronze_accueillants_file(t):
+    folder = work_dir(t.spark, "csv")
+    hosts = t.bronze_accueillants.select("statut", F.col("Code_postal").alias("Code postal"), "Latitude", "source_row")
+    _write_csv(hosts, folder, sep=";")
+    return ingest.accueillants(t.spark, [folder]).drop("ingestion_timestamp")
+
+
+@query
+def bronze_gares_pages(t):
+    """Station pages: names normalized, the listed codes as text."""
+    folder = work_dir(t.spark, "pages")
+    stations = t.part.select(
+        F.col("p_partkey").alias("Code UIC"), F.col("p_size").alias("Code-Ligne"), F.col("p_name").alias("Libellé gare")
+    )
+    _pages(stations, "Code UIC", "data").drop("page").write.json(folder)
+    return ingest.gares(t.spark, folder, multi_line=False).drop("ingestion_timestamp")
+
+
+@query
+def bronze_structures_pages(t):
+    """Structure pages: nested objects flattened, postings left as a list."""
+    folder = work_dir(t.spark, "pages")
+    rows = t.bronze_siae_structures.select(
+        F.col("source_row").alias("key"), "id", F.struct("ville", "code_postal").alias("addresse"), F.array("type").alias("postes")
+    )
+    _pages(rows, "key", "results").write.json(folder)
+    flat = ingest.siae_structures(t.spark, folder, multi_line=False).drop("ingestion_timestamp")
+    return flat.withColumn("postes", F.concat_ws(",", "postes"))
+
+
+@query
+def ingest_forced(t):
+    """A forced run reads every file again and replaces the table: no row is doubled."""
+    source, root = work_dir(t.spark, "raw"), work_dir(t.spark, "lake")
+    _write_csv(t.customer.select("c_custkey", "c_name"), source)
+    for force in (False, False, True):
+        ingest.ingest_files(t.spark, root, "parties", source, ingest.geo, force=force)
+    return tables.read_table(t.spark, root, "bronze", "parties", ["c_custkey", "c_name"])
+
+
 @query
 def ingest_incremental(t):
     """Two deliveries of rent files: the second run reads only what the ledger does not know."""
@@ -936,6 +1046,14 @@ def runs_ordered_tasks(t):
     return rows.select("job_id", "task_id", "started_at", seconds.alias("duration_seconds"))
 
 
+@query
+def runs_iso_times(t):
+    return t.tasks.select(
+        "task_id", runs.iso_time(F.col("started_at")).alias("started"),
+        runs.iso_time(F.date_trunc("SECOND", "completed_at").cast("timestamp_ntz")).alias("completed"),
+    )
+
+
 @query
 def runs_history_topn(t):
     jobs = runs.job_rollup(t.tasks).select("job_id", "started_at", "total_tasks", "status")

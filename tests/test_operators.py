@@ -58,16 +58,22 @@ def test_upsert_matches_on_all_keys(spark):
     partial = upsert.upsert(target, source, ["a", "b"], update_cols=["n"], insert_cols=["v"])
     assert (1, "x", 10, "t", 5) in rows(partial) and (2, "x", 12, None, None) in rows(partial)
     replaced = upsert.replace_matching(target, source, ["a", "b"])
-    assert (1, "x", 11, None, 5) in rows(replaced) and replaced.count() == 5
+    assert (1, "x", 11, None, 5) in rows(replaced) and replaced.count() == 4
 
 
 def test_null_keys_are_spread_in_an_upsert(spark):
     target = spark.range(4000).select(F.lit(None).cast("int").alias("k"), F.col("id").alias("v"))
-    pairs = upsert._paired(target, target.limit(0), ["k"])
-    assert pairs.select("__t_spread").distinct().count() > 1000
+    assert upsert._side(target, ["k"], "t").select("__t_spread").distinct().count() > 1000
     assert upsert.upsert(target, target, ["k"]).count() == 8000
 
 
+def test_small_upserts_leave_the_target_in_place(spark):
+    target = spark.range(100000).select("id", (F.col("id") * 2).alias("v"))
+    merged = upsert.upsert(target, spark.range(5).select("id", F.lit(0).cast("long").alias("v")), ["id"])
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan and merged.count() == 100000
+
+
 def test_schema_evolution(spark):
     left, right = spark.createDataFrame([(1, "a")], "k int, v string"), spark.createDataFrame([(2, 3)], "k int, w int")
     assert rows(evolve.schema_union(left, right)) == [(1, "a", None), (2, None, 3)]
