@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from medalith.functions import values
 
@@ -64,6 +65,20 @@ def plain_double_text(c: Column) -> Column:
     )
 
 
+def utc_timestamp(c: Column, data_type: T.DataType) -> Column:
+    """Zone-less UTC timestamp of a stamp or of ISO text; text with an offset is moved to UTC."""
+
+    def moved(stamp: Column) -> Column:
+        return F.convert_timezone(F.current_timezone(), F.lit("UTC"), stamp.cast("timestamp_ntz"))
+
+    if isinstance(data_type, T.TimestampType):
+        return moved(c)
+    if not isinstance(data_type, T.StringType):
+        return c.cast("timestamp_ntz")
+    has_offset = c.rlike(r"[T ][0-9:.]+ ?(Z|[+-][0-9]{2}(:?[0-9]{2})?)$")
+    return F.when(has_offset, moved(c.try_cast("timestamp"))).otherwise(c.try_cast("timestamp_ntz"))
+
+
 def department_code(commune_code: Column) -> Column:
     overseas = reduce(lambda a, b: a | b, [commune_code.startswith(p) for p in values.OVERSEAS_PREFIXES])
     return F.when(overseas, F.substring(commune_code, 1, 3)).otherwise(F.substring(commune_code, 1, 2))

@@ -44,9 +44,7 @@ def arrondissements(spark: SparkSession) -> DataFrame:
 
 def map_arrondissements(df: DataFrame, code: str, name: str) -> DataFrame:
     """``name``: the commune of an arrondissement code by the mapping table, other codes unchanged."""
-    # 45 rows, whatever the data.
-    mapping = F.broadcast(arrondissements(df.sparkSession))
-    found = look_up(df, mapping, col(code), "arrondissement_code", {"commune_code": "__commune"})
+    found = look_up(df, arrondissements(df.sparkSession), col(code), "arrondissement_code", {"commune_code": "__commune"})
     return found.withColumn(name, F.coalesce("__commune", col(code))).drop("__commune")
 
 

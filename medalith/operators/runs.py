@@ -82,8 +82,7 @@ def latest_log_lines(
 ) -> DataFrame:
     """The last ``limit`` log rows of the newest jobs, oldest first."""
     chosen = recent(jobs, "started_at", newest_jobs, ["job_id"]).select("job_id")
-    # ``newest_jobs`` rows at most, whatever the size of the job table.
-    rows = logs.join(F.broadcast(chosen), "job_id", "left_semi")
+    rows = logs.join(chosen, "job_id", "left_semi")
     return recent(rows, "timestamp", limit, ties).orderBy(F.col("timestamp").asc_nulls_first(), *[col(t) for t in ties])
 
 

@@ -110,7 +110,7 @@ def dim_gare(gares: DataFrame, communes: DataFrame) -> DataFrame:
         "geo_point": words("geo_point"),
         "geo_shape_coordinates": words("geo_shape_coordinates"),
         "geo_shape_type": words("geo_shape_type"),
-        LATEST: F.col(LATEST).cast("timestamp_ntz"),
+        LATEST: text.utc_timestamp(F.col(LATEST), gares.schema[LATEST].dataType),
     }
     return with_audit(found.select(*[c.alias(n) for n, c in columns.items()]), "dim_gare")
 
@@ -240,6 +240,9 @@ def fact_siae_poste(postes: DataFrame, structures: DataFrame) -> DataFrame:
     def words(name: str) -> Column:
         return text.text_or_empty(_optional(postes, name))
 
+    def stamp(name: str) -> Column:
+        return text.utc_timestamp(F.col(name), postes.schema[name].dataType)
+
     columns = {
         "siae_poste_sk": surrogate_key(F.col("id"), F.col("structure_id")),
         "siae_structure_sk": F.coalesce("found_sk", F.lit("")),
@@ -252,8 +255,8 @@ def fact_siae_poste(postes: DataFrame, structures: DataFrame) -> DataFrame:
         "contrat_type": words("type_contrat"),
         "poste_disponible": text.is_true_text(F.col("recrutement_ouvert"), values.POSTING_TRUE_TEXTS),
         "postes_nombre": F.coalesce(text.rounded_int(F.col("nombre_postes_ouverts")), F.lit(0)),
-        "creation_date_utc": F.col("cree_le").cast("timestamp_ntz"),
-        "modification_date_utc": F.col("mis_a_jour_le").cast("timestamp_ntz"),
+        "creation_date_utc": stamp("cree_le"),
+        "modification_date_utc": stamp("mis_a_jour_le"),
     }
     return with_audit(found.select(*[c.alias(n) for n, c in columns.items()]), "fact_siae_poste")
 

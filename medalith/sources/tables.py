@@ -85,7 +85,8 @@ def write_table(
             return path
         if on_conflict != "replace":
             raise TypeError(f"{layer}.{table}: other types for {conflicts}")
-    staged = f"{path}-staged-{uuid.uuid4().hex[:12]}"
+    # The leading underscore keeps an unfinished folder out of the catalog.
+    staged = f"{root.rstrip('/')}/{layer}/_staged-{table}-{uuid.uuid4().hex[:12]}"
     _parquet(df, partition_by).parquet(staged)
     _store_schema(spark, staged, combined_schema(T.StructType(), df.schema))
     storage.replace_folder(spark, staged, path)

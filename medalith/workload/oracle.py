@@ -441,11 +441,9 @@ SELECT code, 'left' AS only_in FROM (SELECT c_geo AS code FROM bronze_gares WHER
 UNION ALL SELECT code, 'right' FROM (SELECT commune_code AS code FROM dim_commune EXCEPT SELECT c_geo FROM bronze_gares) r""",
     "set_distinct_values": "SELECT DISTINCT code_insee FROM bronze_geo WHERE code_insee IS NOT NULL",
     "catalog_table_detail": """
-SELECT name, type, (SELECT count(*) FROM nation JOIN region ON n_regionkey = r_regionkey) AS row_count,
-  least((SELECT count(*) FROM nation JOIN region ON n_regionkey = r_regionkey), 10) AS preview_rows,
-  TRUE AS stored, FALSE AS other_stored
-FROM (VALUES ('n_nationkey', 'int'), ('n_name', 'string'), ('n_regionkey', 'int'), ('r_regionkey', 'int'),
-  ('r_name', 'string')) v(name, type)""",
+SELECT name, type, (SELECT count(*) FROM customer JOIN nation ON c_nationkey = n_nationkey) AS row_count,
+  CAST(10 AS BIGINT) AS preview_rows, TRUE AS stored, FALSE AS other_stored
+FROM (VALUES ('c_custkey', 'bigint'), ('c_name', 'string'), ('n_name', 'string')) v(name, type)""",
     "preview_eq": """
 SELECT * FROM customer WHERE c_mktsegment = 'BUILDING'
 ORDER BY c_acctbal DESC NULLS LAST, c_custkey DESC LIMIT 50""",
@@ -751,7 +749,8 @@ LEFT JOIN bronze_siae_structures s ON s.departement = k.departement GROUP BY k.d
 SELECT c_nationkey, CAST(1 AS BIGINT) AS files, CAST(1 AS BIGINT) AS hashes,
   CAST(sum(length(CAST(c_custkey AS VARCHAR)) + 1) AS BIGINT) AS bytes
 FROM customer GROUP BY c_nationkey""",
-    "source_file_hash": "SELECT n_nationkey, md5(n_name || chr(10)) AS file_hash FROM nation",
+    "source_file_hash": """
+SELECT c_nationkey, md5(string_agg(c_name || chr(10), '' ORDER BY c_custkey)) AS file_hash FROM customer GROUP BY c_nationkey""",
     "source_open_data_resources": """
 SELECT p_partkey, p_name, CAST(2 AS BIGINT) AS resources_processed, CAST(1 AS BIGINT) AS resources_success,
   CAST(1 AS BIGINT) AS resources_failed, 'partial' AS status FROM part""",

@@ -481,7 +481,8 @@ def catalog_schema(t):
 def catalog_table_detail(t):
     """Schema and first rows of a stored table, and what is known about its files."""
     root = work_dir(t.spark, "lake")
-    tables.write_table(t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey")), root, "gold", "places")
+    places = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", "c_name", "n_name")
+    tables.write_table(places, root, "gold", "places")
     schema, head = tables.table_detail(t.spark, root, "gold", "places")
     info = tables.table_info(t.spark, root, "gold", "places")
     return schema.select(
@@ -904,12 +905,14 @@ def source_file_listing(t):
 
 @query
 def source_file_hash(t):
-    """MD5 of one file per row of text equals the MD5 of that text."""
+    """The MD5 of a file is the MD5 of its lines; one file per nation, small ones and larger ones."""
     folder = work_dir(t.spark, "files")
-    t.nation.select("n_nationkey", "n_name").repartition("n_nationkey").write.partitionBy("n_nationkey").text(folder)
-    listed = files.list_source_files(t.spark, folder, with_hash=True, hash_in_memory=9)
-    nation = F.regexp_extract("file_path", "n_nationkey=([0-9]+)", 1).cast("int")
-    return listed.select(nation.alias("n_nationkey"), "file_hash")
+    lines = t.customer.select("c_nationkey", "c_custkey", "c_name").repartition("c_nationkey")
+    lines = lines.sortWithinPartitions("c_nationkey", "c_custkey").drop("c_custkey")
+    lines.write.partitionBy("c_nationkey").text(folder)
+    listed = files.list_source_files(t.spark, folder, with_hash=True, hash_in_memory=1200)
+    nation = F.regexp_extract("file_path", "c_nationkey=([0-9]+)", 1).cast("int")
+    return listed.select(nation.alias("c_nationkey"), "file_hash")
 
 
 @query

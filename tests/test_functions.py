@@ -3,6 +3,7 @@ from decimal import Decimal
 
 import duckdb
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from medalith.functions import names, text, values
 from medalith.functions.keys import surrogate_key, with_audit, with_ingestion_ts
@@ -72,9 +73,21 @@ def test_double_text_is_the_one_of_the_other_engine(spark):
     assert column(spark, numbers, text.plain_double_text, "double") == expected
 
 
+def test_stamps_with_an_offset_are_moved_to_utc(spark):
+    rows = ["2024-05-20T15:12:31.5Z", "2024-05-20T15:12:31+02:00", "2024-05-20T15:12:31", "2024-05-20", "x", None]
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        found = column(spark, rows, lambda c: text.utc_timestamp(c, T.StringType()).cast("string"))
+        assert found == ["2024-05-20 15:12:31.5", "2024-05-20 13:12:31", "2024-05-20 15:12:31", "2024-05-20 00:00:00", None, None]
+        zoned = column(spark, rows[:2], lambda c: text.utc_timestamp(c.cast("timestamp"), T.TimestampType()).cast("string"))
+        assert zoned == found[:2]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_keys_skip_nulls(spark):
     df = spark.createDataFrame([("a", None, "b"), (None, None, "ab")], "x string, y string, z string")
-    keys = [r.k for r in df.select(surrogate_key("x" and F.col("x"), F.col("y"), F.col("z")).alias("k")).collect()]
+    keys = [r.k for r in df.select(surrogate_key(F.col("x"), F.col("y"), F.col("z")).alias("k")).collect()]
     assert keys[0] == keys[1]
     assert df.select(surrogate_key(F.col("y")).alias("k")).first().k is None
 
