@@ -58,10 +58,12 @@ def plain_double_text(c: Column) -> Column:
         mantissa, F.when(exponent < 0, "e-").otherwise("e+"), F.lpad(F.abs(exponent).cast("string"), 2, "0")
     )
     magnitude = F.abs(c)
+    # The usual sizes are told apart by number and formatted once.
     return (
-        F.when(~F.contains(text, F.lit("E")), text)
+        F.when((magnitude >= 1e-3) & (magnitude < 1e7) | (c == 0), text)
         .when((magnitude >= 1e-4) & (magnitude < 1e16), written_out)
-        .otherwise(scientific)
+        .when(F.contains(text, F.lit("E")), scientific)
+        .otherwise(text)
     )
 
 

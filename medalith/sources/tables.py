@@ -17,6 +17,7 @@ from medalith.functions.names import col
 from medalith.operators.evolve import combined_schema, type_conflicts
 from medalith.operators.preview import preview, table_schema
 from medalith.operators.upsert import upsert, upsert_stats
+from medalith.session import work_dir
 from medalith.sources import storage
 
 LAYERS = ("bronze", "silver", "gold")
@@ -100,8 +101,14 @@ def _parquet(df: DataFrame, partition_by: list[str] | None):
 def merge_table(
     source: DataFrame, root: str, layer: str, table: str, keys: list[str], **columns
 ) -> dict[str, int]:
-    """Upsert ``source`` into a table and return the counts of updated and inserted rows."""
-    spark = source.sparkSession
+    """Upsert ``source`` into a table and return the counts of updated and inserted rows.
+
+    The source is stored first: the counts and the new table use it several times over.
+    """
+    spark, schema = source.sparkSession, source.schema
+    staged = work_dir(spark, f"merge-{table}")
+    source.write.parquet(staged)
+    source = spark.read.schema(schema).parquet(staged)
     if not table_exists(spark, root, layer, table):
         write_table(source, root, layer, table, "overwrite")
         return {"updated": 0, "inserted": read_table(spark, root, layer, table).count(), "deleted": 0}

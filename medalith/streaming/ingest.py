@@ -103,15 +103,17 @@ def upsert_stream(
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        rows = prepare(batch) if prepare else batch
+        rows = latest_per_key(prepare(batch) if prepare else batch, keys, newest)
         earlier = [n for n in _finished(session, target) if n < batch_id]
+        snapshot, staged = f"{target}/snapshot={batch_id}", f"{target}/_batch={batch_id}"
         if earlier:
+            # The batch is stored before it is compared and merged, so its files are read once.
             stored = session.read.parquet(f"{target}/snapshot={earlier[-1]}")
-            rows = _not_older(latest_per_key(rows, keys, newest), stored, keys, newest)
-            result = upsert(stored, rows, keys)
-        else:
-            result = latest_per_key(rows, keys, newest)
-        result.write.mode("overwrite").parquet(f"{target}/snapshot={batch_id}")
+            rows.write.mode("overwrite").parquet(staged)
+            rows = _not_older(session.read.schema(rows.schema).parquet(staged), stored, keys, newest)
+            rows = upsert(stored, rows, keys)
+        rows.write.mode("overwrite").parquet(snapshot)
+        storage.remove_folder(session, staged)
         for old in earlier[:-1]:
             storage.remove_folder(session, f"{target}/snapshot={old}")
 
