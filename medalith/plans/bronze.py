@@ -21,7 +21,7 @@ from medalith.sources import storage
 from medalith.sources.delimited import SOURCE_FILE, read_delimited
 from medalith.sources.files import list_source_files
 from medalith.sources.json_pages import page_records, read_json_pages, read_pages
-from medalith.sources.tables import read_table, table_exists, table_path, write_table
+from medalith.sources.tables import read_table, table_exists, write_table
 
 # Code columns that stay text, and preamble lines of the area file.
 STATION_TEXT_COLUMNS = ["code_uic", "code_ligne", "idreseau"]
@@ -246,7 +246,3 @@ def run_summary(results: DataFrame) -> DataFrame:
         failed.alias("resources_failed"),
         F.when(failed > 0, "partial").otherwise("success").alias("status"),
     )
-
-
-def bronze_path(root: str, table: str) -> str:
-    return table_path(root, "bronze", table)

@@ -8,6 +8,7 @@ number of rows, keys and names grows with the given tables; homonyms and duplica
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels"
@@ -51,7 +52,7 @@ def _town(k: str) -> str:
 
 
 _ORDER_ROW = "o_orderkey"
-_LINE_ROW = (
+LINE_ROW = (
     "CONCAT(CAST(l_orderkey AS STRING), '-', CAST(l_linenumber AS STRING), '-', CAST(l_partkey AS STRING), '-', "
     "CAST(l_suppkey AS STRING), '-', CAST(CAST(ROUND(l_extendedprice * 100) AS BIGINT) AS STRING))"
 )
@@ -112,7 +113,7 @@ BRONZE: dict[str, tuple[str, list[tuple[str, str]]]] = {
             ("lwr.IPm2", _rent(-1)),
             ("upr.IPm2", f"CASE WHEN l_linenumber = 7 THEN NULL ELSE {_rent(1)} END"),
             ("ingestion_timestamp", "l_shipdate"),
-            ("source_row", _LINE_ROW),
+            ("source_row", LINE_ROW),
         ],
     ),
     "bronze_gares": (
@@ -128,7 +129,7 @@ BRONZE: dict[str, tuple[str, list[tuple[str, str]]]] = {
             ("x_wgs84", "CASE WHEN l_partkey % 5 = 0 THEN NULL ELSE l_discount END"),
             ("y_wgs84", "l_quantity"),
             ("ingestion_timestamp", "l_shipdate"),
-            ("source_row", _LINE_ROW),
+            ("source_row", LINE_ROW),
         ],
     ),
     "bronze_lignes": (
@@ -140,7 +141,7 @@ BRONZE: dict[str, tuple[str, list[tuple[str, str]]]] = {
             ("rg_troncon", "CAST(l_linenumber AS STRING)"),
             ("x_d_l93", "l_quantity"),
             ("ingestion_timestamp", "l_shipdate"),
-            ("source_row", _LINE_ROW),
+            ("source_row", LINE_ROW),
         ],
     ),
     "bronze_siae_structures": (
@@ -199,7 +200,7 @@ BRONZE: dict[str, tuple[str, list[tuple[str, str]]]] = {
             ),
             ("cree_le", "o_orderdate"),
             ("mis_a_jour_le", "l_shipdate"),
-            ("source_row", _LINE_ROW),
+            ("source_row", LINE_ROW),
         ],
     ),
     "bronze_zones_attraction": (
@@ -232,20 +233,13 @@ def bronze(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A derived table as a Spark frame."""
     base, columns = BRONZE[name]
     if base == "lineitem_orders":
-        df = read(spark, sf_dir, "lineitem").join(
-            read(spark, sf_dir, "orders"), on=_equal("l_orderkey", "o_orderkey")
-        )
+        lines, orders = read(spark, sf_dir, "lineitem"), read(spark, sf_dir, "orders")
+        df = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     else:
         df = read(spark, sf_dir, base)
     return df.selectExpr(*[f"{expression} AS `{column}`" for column, expression in columns])
 
 
-def _equal(left: str, right: str):
-    from pyspark.sql import functions as F
-
-    return F.col(left) == F.col(right)
-
-
 def bronze_sql(name: str) -> str:
     """The same table as ANSI SQL over the given tables."""
     base, columns = BRONZE[name]

@@ -277,7 +277,7 @@ SELECT event_type AS pipeline_name, concat('raw/', CAST(user_id AS VARCHAR), '/'
   md5(props) AS file_hash, ts AS processed_at, CASE WHEN value > 100 THEN 'failed' ELSE 'success' END AS status,
   CAST(round(value) AS BIGINT) AS rows_processed
 FROM events"""
-RELATIONS["line_rows"] = f"SELECT *, {derived._LINE_ROW} AS source_row FROM lineitem"
+RELATIONS["line_rows"] = f"SELECT *, {derived.LINE_ROW} AS source_row FROM lineitem"
 RELATIONS["tree_edges"] = "SELECT c_custkey AS node, c_custkey // 2 AS dependency FROM customer WHERE c_custkey > 0"
 RELATIONS["tree_closure"] = """
 WITH RECURSIVE reach(root, node, depth) AS (

@@ -68,7 +68,7 @@ DERIVED: dict[str, Callable[[Inputs], DataFrame]] = {
     "old_rents": lambda t: legacy.logement(t.bronze_logement),
     "tasks": lambda t: _tasks(t.events),
     "ledger_rows": lambda t: _ledger_rows(t.events),
-    "line_rows": lambda t: t.lineitem.withColumn("source_row", F.expr(derived._LINE_ROW)),
+    "line_rows": lambda t: t.lineitem.withColumn("source_row", F.expr(derived.LINE_ROW)),
     "priced_orders": lambda t: t.orders.withColumn("o_totalprice", F.col("o_totalprice").cast("decimal(12,2)")),
 }
 
