@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medalith.llm import line_dedup, ngram_join
+from medalith.llm import byte_bpe, decontamination, language_id, line_dedup, ngram_join
 from medalith.llm.frames import stored, table
 
+BYTE_BPE = "byte_bpe_50k.json"
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
@@ -19,6 +21,13 @@ def without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
     return docs.join(ids, docs["doc_id"] == ids["rejected_id"], "left_anti")
 
 
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rejects documents without letters, in no known language, or with no language likely enough."""
+    found = language_id.identify(spark, language_id.document_rows(docs), language_id.fit(docs))
+    rejected = found.where(~F.col("kept")).select("row_key").distinct()
+    return docs.join(rejected, language_id.document_row_key(docs) == rejected["row_key"], "left_anti")
+
+
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps every document; its text loses the lines that an earlier document has."""
     kept = line_dedup.dedup(docs).drop("n_lines", "n_dropped")
@@ -31,9 +40,29 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     return without(docs, groups.where("component_id < doc_id"))
 
 
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rejects documents into which a benchmark item leaks."""
+    found = decontamination.leaks_column(spark, F.col("text"), table(spark, sf_dir, "benchmark"))
+    return docs.where(F.size(found) == 0)
+
+
+def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of each document (four bytes each) and whether decoding them gives the text back."""
+    path = public_tokenizers.path(BYTE_BPE)
+    encoded = docs.select("doc_id", "lang", "source", F.coalesce("text", F.lit("")).alias("text")).withColumn("ids", byte_bpe.encode(F.col("text"), path))
+    decoded = encoded.withColumn("decoded", byte_bpe.decode(F.col("ids"), path))
+    return decoded.select(
+        "doc_id", "lang", "source", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids",
+        (F.col("decoded") == F.col("text")).alias("round_trip"),
+    )
+
+
 STAGES: list[tuple[str, Stage]] = [
+    ("language_id", identify_language),
     ("line_dedup", dedup_lines),
     ("ngram_jaccard_join", keep_one_of_each_group),
+    ("decontamination", decontaminate),
+    ("byte_bpe", tokenize),
 ]
 
 #: Language scores, near copies and merges have no form in SQL; tests compare the stages with plain versions.

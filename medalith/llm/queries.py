@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medalith.llm import line_dedup, ngram_join
+from medalith.llm import byte_bpe, decontamination, language_id, line_dedup, ngram_join
 from medalith.llm.frames import table
 
+#: The vocabulary files; another folder is a parameter of the operators, never copied here.
+BYTE_BPE = "byte_bpe_50k.json"
+WORD_BPE = "word_bpe_49k.json"
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
@@ -18,6 +22,34 @@ def query(function: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
     return function
 
 
+@query
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every page, by a text model fitted on the labelled documents."""
+    model = language_id.fit(table(spark, sf_dir, "documents"))
+    found = language_id.identify(spark, language_id.page_rows(table(spark, sf_dir, "pages")), model)
+    return found.select(F.col("id").alias("page_id"), "language", F.round("posterior", 6).alias("posterior"), "text_language", "n_trigrams", "kept")
+
+
+@query
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row for each document and each benchmark item that leaks into it."""
+    docs = decontamination.with_leaks(spark, table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    return docs.select("doc_id", F.explode("leaks").alias("leak")).select("doc_id", "leak.*")
+
+
+@query
+def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path(BYTE_BPE)
+    docs = table(spark, sf_dir, "documents").select("doc_id", byte_bpe.encode(F.col("text"), path).alias("ids"))
+    both = docs.withColumn("decoded", byte_bpe.decode(F.col("ids"), path))
+    return both.select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"),
+    )
+
+
 @query
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = line_dedup.dedup(table(spark, sf_dir, "documents"))
