@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medalith.llm import byte_bpe, decontamination, language_id, line_dedup, ngram_join
+from medalith.llm import byte_bpe, decontamination, language_id, line_dedup, ngram_join, token_store
 from medalith.llm.frames import table
+from medalith.session import work_dir
 
 #: The vocabulary files; another folder is a parameter of the operators, never copied here.
 BYTE_BPE = "byte_bpe_50k.json"
@@ -22,6 +23,13 @@ def query(function: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
     return function
 
 
+@query
+def op1_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = work_dir(spark, "token-store")
+    token_store.write_store(table(spark, sf_dir, "documents"), path, public_tokenizers.path(WORD_BPE))
+    return token_store.document_digests(spark, path)
+
+
 @query
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every page, by a text model fitted on the labelled documents."""
