@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medalith.llm import byte_bpe, decontamination, language_id, line_dedup, ngram_join, token_store
+from medalith.llm import byte_bpe, decontamination, language_id, line_dedup, ngram_join, secrets, token_store
 from medalith.llm.frames import table
 from medalith.session import work_dir
 
@@ -45,6 +45,14 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", F.explode("leaks").alias("leak")).select("doc_id", "leak.*")
 
 
+@query
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.find_secrets(spark, table(spark, sf_dir, "documents"))
+    counts = [secrets.kind_count("base", kind).alias(f"n_{kind}") for kind in secrets.KINDS[:3]]
+    base = F.sha2(F.encode(secrets.spans_text("base"), "UTF-8"), 256).alias("base_sha256")
+    return found.select("doc_id", *counts, base, secrets.spans_text("spans").alias("spans"))
+
+
 @query
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(BYTE_BPE)
