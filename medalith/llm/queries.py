@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medalith.llm import byte_bpe, decontamination, language_id, line_dedup, ngram_join, secrets, token_store
+from medalith.llm import byte_bpe, decontamination, language_id, line_dedup, ngram_join, secrets, token_store, url_filter
 from medalith.llm.frames import table
 from medalith.session import work_dir
 
@@ -66,6 +66,12 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = url_filter.judge(spark, table(spark, sf_dir, "pages"))
+    return judged.withColumn("bad_share", F.round("bad_share", 6))
+
+
 @query
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = line_dedup.dedup(table(spark, sf_dir, "documents"))
