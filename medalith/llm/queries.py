@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medalith.llm import byte_bpe, decontamination, language_id, line_dedup, ngram_join, secrets, token_store, url_filter
+from medalith.llm import byte_bpe, decontamination, language_id, line_dedup, main_text, ngram_join, secrets, token_store, url_filter
 from medalith.llm.frames import table
 from medalith.session import work_dir
 
@@ -66,6 +66,12 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op6_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = main_text.with_main_text(spark, table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return pages.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 @query
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = url_filter.judge(spark, table(spark, sf_dir, "pages"))
