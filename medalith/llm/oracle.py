@@ -21,4 +21,27 @@ WITH lines AS (
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE dropped) AS n_dropped,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT dropped), '')) AS kept_sha256
 FROM judged GROUP BY doc_id""",
+    "op10_ngram_jaccard_join": r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS shingle
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM words WHERE len(w) > 0)
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
+  FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id
+), links AS (
+  SELECT shared.a, shared.b FROM shared JOIN sizes x ON x.doc_id = shared.a JOIN sizes y ON y.doc_id = shared.b
+  WHERE 100 * shared.n >= 75 * (x.n + y.n - shared.n)
+), reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents
+  UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b
+)
+SELECT documents.doc_id, coalesce(sizes.n, 0) AS n_shingles, min(reach.b) AS component_id
+FROM documents JOIN reach ON reach.a = documents.doc_id LEFT JOIN sizes ON sizes.doc_id = documents.doc_id
+GROUP BY documents.doc_id, sizes.n""",
 }

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medalith.llm import byte_bpe, decontamination, language_id, line_dedup, main_text, ngram_join, secrets, token_store, url_filter
+from medalith.llm import byte_bpe, decontamination, hamming_index, language_id, line_dedup, main_text, ngram_join, secrets, token_store, url_filter
 from medalith.llm.frames import table
 from medalith.session import work_dir
 
@@ -78,6 +78,16 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.withColumn("bad_share", F.round("bad_share", 6))
 
 
+@query
+def op8_hamming_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = hamming_index.valid_vectors(table(spark, sf_dir, "embeddings"))
+    codes = hamming_index.fit(rows)
+    if codes is None:
+        return rows.select(F.col("vec_id").alias("query_id"), F.lit(1).alias("rank"), "vec_id", F.lit(0.0).alias("score"))
+    index = hamming_index.build_index(spark, rows, codes)
+    return hamming_index.search(spark, index, index.where("vec_id % 100 = 0").select("vec_id", "vector"), codes)
+
+
 @query
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = line_dedup.dedup(table(spark, sf_dir, "documents"))
