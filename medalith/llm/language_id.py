@@ -38,6 +38,7 @@ WEIGHT = 60.0
 MIN_POSTERIOR = 0.5
 VOTE_TRIGRAMS = 30
 PRIOR_ROWS = 10.0
+UNIFORM_SHARE = 0.3
 UNKNOWN = "und"
 UNKNOWN_PRIOR = 1e-4
 BUCKETS = 1 << 16
@@ -112,7 +113,8 @@ def fit(
     counts = np.zeros((len(languages), BUCKETS))
     for row in counted.groupBy("language", "bucket").agg(F.sum("n").alias("n")).toLocalIterator():
         counts[row.language, row.bucket] = row.n
-    logs = np.log((counts + 0.05) / (counts.sum(axis=1, keepdims=True) + 0.05 * BUCKETS))
+    shares = counts / np.maximum(1, counts.sum(axis=1, keepdims=True))
+    logs = np.log((1 - UNIFORM_SHARE) * shares + UNIFORM_SHARE / BUCKETS)
     return TextModel(languages, np.vstack([logs, np.full(BUCKETS, -math.log(BUCKETS))]).astype(np.float32))
 
 

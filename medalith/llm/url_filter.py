@@ -4,9 +4,10 @@ A rule ``host/path`` fits the urls of its host and all subdomains whose path sta
 fitting rule decides. All other urls are judged by the template of their path.
 
 Templates grow level by level, for all hosts at once. Digits become ``{n}`` and long hexadecimal names ``{id}``. At a
-node of the tree a segment becomes the wildcard ``*`` when the node has many children of which it is a rare one, or
-when the share of bad labels below it does not differ from that of its siblings (two-proportion test). Branches thus
-stay apart only where they are frequent and differ. A template is rejected when its bad share, smoothed towards its
+node of the tree a segment becomes the wildcard ``*`` when the node has many children of which it is a rare one.
+Sibling branches are compared by their share of bad labels (two-proportion tests): those like their siblings merge
+into ``*``, and those above or below them that are like each other into ``*+`` or ``*-``. Branches thus stay apart
+only where they are frequent and differ. A template is rejected when its bad share, smoothed towards its
 host's and that towards the whole table's, reaches ``REJECT``.
 
 Labels are 1 (bad), 0 (good) or null. Without a label column, ``weak_labels`` marks urls whose host has a name part
@@ -82,13 +83,18 @@ def _segments() -> Column:
     return F.when(F.size(general) <= MAX_DEPTH, general).otherwise(F.concat(F.slice(general, 1, MAX_DEPTH), F.array(F.lit(REST))))
 
 
-def _different() -> Column:
-    """Whether a child's bad share differs from that of all its siblings together."""
-    own, rest = F.nullif(F.col("labelled"), F.lit(0)), F.nullif(F.col("labelled_all") - F.col("labelled"), F.lit(0))
-    pooled = F.col("bad_all") / (own + rest)
+def _side(total: str) -> Column:
+    """-1 or 1 when a child's bad share is below or above that of all its siblings in the totals, 0 when it is alike."""
+    own, rest = F.nullif(F.col("labelled"), F.lit(0)), F.nullif(F.col(f"labelled_{total}") - F.col("labelled"), F.lit(0))
+    pooled = F.col(f"bad_{total}") / (own + rest)
     spread = F.sqrt(pooled * (1 - pooled) * (1 / own + 1 / rest))
-    apart = F.abs(F.col("bad") / own - (F.col("bad_all") - F.col("bad")) / rest)
-    return F.coalesce((spread > 0) & (apart > DIFFERENT_Z * spread), F.lit(False))
+    apart = F.col("bad") / own - (F.col(f"bad_{total}") - F.col("bad")) / rest
+    return F.when((spread > 0) & (F.abs(apart) > DIFFERENT_Z * spread), F.signum(apart).cast("int")).otherwise(0)
+
+
+def _totals(children: DataFrame, keys: list[str], total: str) -> DataFrame:
+    sums = [F.sum(c).alias(f"{c}_{total}") for c in ("n", "labelled", "bad")]
+    return children.groupBy(*keys).agg(F.count("*").alias(f"children_{total}"), *sums)
 
 
 def path_templates(spark: SparkSession, urls: DataFrame) -> DataFrame:
@@ -100,13 +106,14 @@ def path_templates(spark: SparkSession, urls: DataFrame) -> DataFrame:
     for depth in range(MAX_DEPTH + 1):
         here = tree.where(F.size("names") > depth).withColumn("child", F.get("names", F.lit(depth)))
         children = here.groupBy("host", "template", "child").agg(*[F.sum(c).alias(c) for c in ("n", "labelled", "bad")])
-        nodes = children.groupBy("host", "template").agg(
-            F.count("*").alias("children"), F.sum("n").alias("n_all"), F.sum("labelled").alias("labelled_all"), F.sum("bad").alias("bad_all")
-        )
-        rare = (F.col("children") > MANY_CHILDREN) & (F.col("n") < RARE_SHARE * F.col("n_all"))
-        alike = (F.col("children") > 1) & ~_different()
-        name = F.when(rare | alike | (F.col("child") == REST), "*").otherwise(F.col("child"))
-        named = children.join(nodes, ["host", "template"]).select("host", "template", "child", F.concat("template", F.lit("/"), name).alias("grown"))
+        sided = children.join(_totals(children, ["host", "template"], "node"), ["host", "template"]).withColumn("side", _side("node"))
+        rare = (F.col("children_node") > MANY_CHILDREN) & (F.col("n") < RARE_SHARE * F.col("n_node"))
+        # branches on the same side of their siblings may still be alike among themselves
+        grouped = sided.join(_totals(sided, ["host", "template", "side"], "side"), ["host", "template", "side"])
+        alike = (F.col("children_side") > 1) & (_side("side") == 0)
+        merged = F.when(F.col("side") > 0, "*+").when(F.col("side") < 0, "*-").otherwise("*")
+        name = F.when(alike, merged).when(rare | (F.col("child") == REST), "*").otherwise(F.col("child"))
+        named = grouped.select("host", "template", "child", F.concat("template", F.lit("/"), name).alias("grown"))
         joined = tree.withColumn("child", F.get("names", F.lit(depth))).join(named, ["host", "template", "child"], "left")
         grown = joined.select("host", "path", "n", "labelled", "bad", "names", F.coalesce("grown", "template").alias("template"))
         tree = stored(spark, grown, f"url-tree-{depth + 1}")
