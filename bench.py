@@ -16,7 +16,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from medalith.session import local_session  # noqa: E402
 from medalith.workload.queries import QUERIES  # noqa: E402
 
-# Queries that start streams, store a whole lake or loop are left to the correctness run.
+# The plans over derived tables, the checks, and those of the storing and streaming queries that read whole tables.
 HEADLINE = [
     *[q for q in QUERIES if q.startswith(("silver_", "gold_", "old_", "notebook_", "lookup_", "latest_", "dq_"))],
     "surrogate_keys", "upsert_composite", "upsert_stats", "preview_sort_nulls_last", "runs_rollup", "runs_last_n",

@@ -91,7 +91,7 @@ def region_code(commune_code: Column) -> Column:
     two, three = F.substring(commune_code, 1, 2), F.substring(commune_code, 1, 3)
     region = F.when(F.lit(False), F.lit(None).cast("string"))
     for code, departments in values.DEPARTMENTS_BY_REGION.items():
-        region = region.when(two.isin(*departments.split()), code)
+        region = region.when(two.isin(*departments), code)
     for code, department in values.OVERSEAS_DEPARTMENT_BY_REGION.items():
         region = region.when(three == department, code)
     return region

@@ -17,9 +17,12 @@ Filter = tuple[str, str, object]  # column, operator, value
 _RANGES = {">": Column.__gt__, "<": Column.__lt__, ">=": Column.__ge__, "<=": Column.__le__}
 
 
+_TIMES = (T.DateType, T.TimestampType, T.TimestampNTZType)
+
+
 def _same_kind(data_type: T.DataType, value: object) -> bool:
     if isinstance(value, str):
-        return isinstance(data_type, (T.StringType, T.VarcharType, T.CharType))
+        return isinstance(data_type, (T.StringType, T.VarcharType, T.CharType, *_TIMES))
     if isinstance(value, bool):
         return isinstance(data_type, (T.BooleanType, T.NumericType))
     if isinstance(value, (int, float)):
@@ -34,7 +37,7 @@ def _as_text(c: Column, data_type: T.DataType) -> Column:
 def filter_condition(df: DataFrame, column: str, operator: str, value: object) -> Column | None:
     """Condition of one preview filter, or None when the filter has to be ignored.
 
-    A text never equals a number, ``!=`` keeps nulls, ``contains`` is a case-insensitive regular
+    A text never equals a number, but is read as a date or time where the column is one; ``!=`` keeps nulls, ``contains`` is a case-insensitive regular
     expression on the text of the value, and the range operators read their value as a number and
     apply to numeric columns only; NaN is in no range.
     """
@@ -44,7 +47,10 @@ def filter_condition(df: DataFrame, column: str, operator: str, value: object) -
     if operator in ("=", "!="):
         if not _same_kind(data_type, value):
             return F.lit(operator == "!=")
-        equal = c.eqNullSafe(F.lit(value)) & c.isNotNull()
+        wanted = F.lit(value)
+        if isinstance(value, str) and isinstance(data_type, _TIMES):
+            wanted = wanted.try_cast(data_type)
+        equal = c.eqNullSafe(wanted) & c.isNotNull()
         return equal if operator == "=" else ~equal
     if operator == "contains":
         return F.coalesce(_as_text(c, data_type).rlike(f"(?i){value}"), F.lit(False))

@@ -96,7 +96,7 @@ def missing_dependencies(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     return missing(edges, nodes, {"dependency": "node"})
 
 
-def dependency_closure(edges: DataFrame, roots: DataFrame | None = None, max_depth: int = 1000) -> DataFrame:
+def dependency_closure(edges: DataFrame, roots: DataFrame | None = None) -> DataFrame:
     """Everything each root depends on, as (root, node, depth) with the root itself at depth 0.
 
     ``edges`` has (node, dependency); without ``roots`` (column ``node``) every node is a root.
@@ -120,8 +120,6 @@ def dependency_closure(edges: DataFrame, roots: DataFrame | None = None, max_dep
 
     depth = 0
     while not levels(depth).isEmpty():
-        if depth == max_depth:
-            raise ValueError(f"dependencies reach deeper than {max_depth}")
         reached = levels(depth).join(edges, "node").select("root", F.col("dependency").alias("node"))
         seen = levels(*range(depth + 1)).select("root", "node")
         depth += 1

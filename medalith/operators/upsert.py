@@ -1,23 +1,40 @@
-"""Upserts as joins. Both sides hold at most one row per key (null keys aside, which never match)."""
+"""Upserts as joins. The source holds at most one row per key; a second one makes the merge fail.
+
+Null keys match nothing, unless ``null_keys_match`` is set: then a null key equals a null key.
+"""
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from medalith.functions.names import col
 
-# Null keys match nothing, but they would all land in one shuffle partition. They are spread over
-# this many join keys instead; rows with a complete key all share the value 0.
-NULL_KEY_SPREAD = 4096
+
+def _incomplete(keys: list[str]) -> Column:
+    return reduce(lambda a, b: a | b, [col(k).isNull() for k in keys])
 
 
 def _null_spread(df: DataFrame, keys: list[str]) -> Column:
-    incomplete = reduce(lambda a, b: a | b, [col(k).isNull() for k in keys])
+    """Null keys would all land in one shuffle partition; they are spread over a few join keys per
+    partition instead. Rows with a complete key all share the value 0."""
+    spread = 16 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     row_hash = F.xxhash64(*[col(c) for c in df.columns])
-    return F.when(incomplete, F.pmod(row_hash, F.lit(NULL_KEY_SPREAD)).cast("int")).otherwise(F.lit(0))
+    return F.when(_incomplete(keys), F.pmod(row_hash, F.lit(spread)).cast("int")).otherwise(F.lit(0))
+
+
+def single_rows(source: DataFrame, keys: list[str], null_keys_match: bool = False) -> DataFrame:
+    """The source as it is; the job fails when two of its rows share a key that can match."""
+    spread = F.lit(0) if null_keys_match else _null_spread(source, keys)
+    counted = source.withColumn("__spread", spread)
+    same_key = Window.partitionBy(*[col(k) for k in keys], "__spread")
+    counted = counted.withColumn("__rows", F.count(F.lit(1)).over(same_key))
+    matching = F.lit(True) if null_keys_match else ~_incomplete(keys)
+    failure = F.raise_error(F.lit("two source rows for one key"))
+    checked = F.when(matching & (F.col("__rows") > 1), failure.cast("boolean")).otherwise(F.lit(True))
+    return counted.filter(checked).drop("__rows", "__spread")
 
 
 def _side(df: DataFrame, keys: list[str], name: str) -> DataFrame:
@@ -28,7 +45,9 @@ def _side(df: DataFrame, keys: list[str], name: str) -> DataFrame:
     )
 
 
-def _same_key(keys: list[str]) -> list[Column]:
+def _same_key(keys: list[str], null_keys_match: bool = False) -> list[Column]:
+    if null_keys_match:
+        return [F.col(f"__t_{i}").eqNullSafe(F.col(f"__s_{i}")) for i in range(len(keys))]
     equal = [F.col(f"__t_{i}") == F.col(f"__s_{i}") for i in range(len(keys))]
     return [*equal, F.col("__t_spread") == F.col("__s_spread")]
 
@@ -37,14 +56,15 @@ def _keys_of(df: DataFrame, keys: list[str], name: str) -> DataFrame:
     return _side(df, keys, name).drop(name)
 
 
-def unmatched(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
+def unmatched(target: DataFrame, source: DataFrame, keys: list[str], null_keys_match: bool = False) -> DataFrame:
     """Source rows whose keys the target lacks.
 
     The target's keys are first narrowed to those the source has: when the source is small enough to
     be broadcast, the target is scanned for its key columns and never shuffled.
     """
-    matched = _keys_of(target, keys, "t").join(_keys_of(source, keys, "s"), _same_key(keys), "left_semi")
-    return _side(source, keys, "s").join(matched, _same_key(keys), "left_anti").select("s.*")
+    same = _same_key(keys, null_keys_match)
+    matched = _keys_of(target, keys, "t").join(_keys_of(source, keys, "s"), same, "left_semi")
+    return _side(source, keys, "s").join(matched, same, "left_anti").select("s.*")
 
 
 def upsert(
@@ -53,6 +73,7 @@ def upsert(
     keys: list[str],
     update_cols: list[str] | None = None,
     insert_cols: list[str] | None = None,
+    null_keys_match: bool = False,
 ) -> DataFrame:
     """Target rows updated from the source row with the same keys, plus the unmatched source rows.
 
@@ -60,6 +81,7 @@ def upsert(
     (default: every source column). Target columns outside the lists keep their value on a match and
     are null in a new row; source columns the target lacks are added to it.
     """
+    source = single_rows(source, keys, null_keys_match)
     source_names = set(source.columns)
     updates = set(source.columns if update_cols is None else update_cols) & source_names
     inserts = set(source.columns if insert_cols is None else insert_cols) & source_names | set(keys)
@@ -75,8 +97,8 @@ def upsert(
     def inserted(name: str) -> Column:
         return (col(name) if name in inserts else F.lit(None)).cast(types[name]).alias(name)
 
-    old = _side(target, keys, "t").join(_side(source, keys, "s"), _same_key(keys), "left")
-    new = unmatched(target, source, keys)
+    old = _side(target, keys, "t").join(_side(source, keys, "s"), _same_key(keys, null_keys_match), "left")
+    new = unmatched(target, source, keys, null_keys_match)
     return old.select(*[updated(c) for c in columns]).unionByName(new.select(*[inserted(c) for c in columns]))
 
 

@@ -16,12 +16,13 @@ from pyspark.sql import functions as F
 from medalith.functions import names
 from medalith.functions.keys import with_ingestion_ts
 from medalith.operators import ledger as ledgers
+from medalith.operators.evolve import type_conflicts
 from medalith.operators.nested import arrays_to_json, explode_children, flatten_structs
 from medalith.sources import storage
 from medalith.sources.delimited import SOURCE_FILE, read_delimited
-from medalith.sources.files import list_source_files
+from medalith.sources.files import list_source_files, literal_path, text_fingerprints
 from medalith.sources.json_pages import page_records, read_json_pages, read_pages
-from medalith.sources.tables import read_table, table_exists, write_table
+from medalith.sources.tables import read_table, table_exists, table_path, write_table
 
 # Code columns that stay text, and preamble lines of the area file.
 STATION_TEXT_COLUMNS = ["code_uic", "code_ligne", "idreseau"]
@@ -30,6 +31,8 @@ AREA_PREAMBLE_ROWS = 5
 FLATTEN_LEVELS = 2
 
 LEDGER_TABLE = "checkpoints"
+# Partition of a bronze table that holds the rows of one source file.
+SOURCE_KEY = "__source_key"
 
 
 def accueillants(spark: SparkSession, paths: list[str], **options) -> DataFrame:
@@ -97,20 +100,23 @@ API_READERS: dict[str, Callable[..., DataFrame]] = {
 def read_ledger(spark: SparkSession, root: str) -> DataFrame:
     path = f"{root}/{LEDGER_TABLE}"
     if storage.exists(spark, path):
-        return spark.read.schema(ledgers.LEDGER_SCHEMA).parquet(path)
+        return spark.read.schema(ledgers.LEDGER_SCHEMA).parquet(path).drop("run")
     return spark.createDataFrame([], ledgers.LEDGER_SCHEMA)
 
 
-def append_ledger(entries: DataFrame, root: str) -> None:
-    entries.write.mode("append").parquet(f"{root}/{LEDGER_TABLE}")
+def append_ledger(entries: DataFrame, root: str) -> DataFrame:
+    """Add the entries of one run, in a folder of their own; returns them as they are stored."""
+    path = f"{root}/{LEDGER_TABLE}/run={uuid.uuid4().hex[:12]}"
+    entries.write.parquet(path)
+    return entries.sparkSession.read.schema(ledgers.LEDGER_SCHEMA).parquet(path)
 
 
 def clear_ledger(spark: SparkSession, root: str, pipeline: str) -> None:
     """Forget one pipeline: the remaining rows are written aside and swapped in."""
     live = f"{root}/{LEDGER_TABLE}"
     if storage.exists(spark, live):
-        staged = f"{live}-staged"
-        ledgers.cleared(read_ledger(spark, root), pipeline).write.mode("overwrite").parquet(staged)
+        staged = f"{live}-staged-{uuid.uuid4().hex[:12]}"
+        ledgers.cleared(read_ledger(spark, root), pipeline).write.parquet(f"{staged}/run=kept")
         storage.replace_folder(spark, staged, live)
 
 
@@ -123,47 +129,76 @@ def ingest_files(
     force: bool = False,
     layer: str = "bronze",
 ) -> DataFrame:
-    """Append the new files below ``source`` to the table ``pipeline`` and enter them in the ledger.
+    """Add the new files below ``source`` to the table ``pipeline`` and enter them in the ledger.
 
-    All good files are written by one job; with ``force`` every file is read again and replaces the
-    table. Files that cannot be read are found by halving the batch, entered as failed and tried again
-    on the next run. Only new files are opened, hashed included. Returns one status row.
+    All good files are written by one job. Each file fills a partition of its own, and writing a file
+    again takes that partition's place: a run that dies before its ledger entries, the last thing
+    written, can be repeated without doubling a row. With ``force`` every file is read again and the
+    table is replaced; the ledger is cleared once the new table stands.
+
+    Files that cannot be read, or whose columns have other types than the table's, are found by
+    halving the batch, entered as failed and tried again on the next run; they never touch the table.
+    Returns one status row.
     """
     read = read or FILE_READERS[pipeline]
-    if force:
-        clear_ledger(spark, root, pipeline)
-    fresh = ledgers.new_files(list_source_files(spark, source), read_ledger(spark, root), pipeline)
-    paths = [unquote(r.file_path) for r in fresh.select("file_path").orderBy("file_path").collect()]
+    listed = list_source_files(spark, source)
+    fresh = listed if force else ledgers.new_files(listed, read_ledger(spark, root), pipeline)
+    paths = [literal_path(unquote(r.file_path)) for r in fresh.select("file_path").orderBy("file_path").collect()]
     if not paths:
         return _status(spark.createDataFrame([], "status string, rows_processed long"), pipeline)
-    mode = "overwrite" if force else "append"
 
-    def write(batch: list[str]) -> DataFrame:
+    def rows_of(batch: list[str]) -> DataFrame:
         rows = read(spark, batch, keep_source=True)
-        write_table(rows.drop(SOURCE_FILE), root, layer, pipeline, mode, on_conflict="replace")
-        return rows.groupBy(F.col(SOURCE_FILE).alias("file_path")).agg(F.count(F.lit(1)).alias("rows_processed"))
+        if not force and table_exists(spark, root, layer, pipeline):
+            conflicts = type_conflicts(read_table(spark, root, layer, pipeline).schema, rows.drop(SOURCE_FILE).schema)
+            if conflicts:
+                raise TypeError(f"{layer}.{pipeline}: other types for {conflicts}")
+        return rows
+
+    def write(batch: list[str]) -> None:
+        rows = rows_of(batch).withColumn(SOURCE_KEY, F.md5(SOURCE_FILE)).drop(SOURCE_FILE)
+        write_table(rows, root, layer, pipeline, "overwrite" if force else "append", [SOURCE_KEY], replace_partitions=True)
 
     bad: list[str] = []
     try:
-        counts = write(paths)
+        write(paths)
     except Exception:
-        good, bad = _readable(spark, read, paths)
-        counts = write(good) if good else spark.createDataFrame([], "file_path string, rows_processed long")
-    outcome = (
-        list_source_files(spark, paths, with_hash=True)
-        .join(counts, "file_path", "left")
+        good, bad = _readable(rows_of, paths)
+        if good:
+            write(good)
+    if force and len(bad) < len(paths):
+        clear_ledger(spark, root, pipeline)
+    entries = _entries(spark, paths, bad, _rows_by_file(spark, root, layer, pipeline))
+    return _status(append_ledger(ledgers.ledger_entries(entries, pipeline), root), pipeline)
+
+
+def _rows_by_file(spark: SparkSession, root: str, layer: str, table: str) -> DataFrame:
+    """Rows of each file's partition: counted in the footers, no column is read."""
+    path = table_path(root, layer, table)
+    if not storage.exists(spark, path):
+        return spark.createDataFrame([], f"{SOURCE_KEY} string, rows_processed long")
+    stored = spark.read.schema(f"{SOURCE_KEY} string").parquet(path)
+    return stored.groupBy(SOURCE_KEY).agg(F.count(F.lit(1)).alias("rows_processed"))
+
+
+def _entries(spark: SparkSession, paths: list[str], bad: list[str], counts: DataFrame) -> DataFrame:
+    listed = list_source_files(spark, paths).withColumn(SOURCE_KEY, F.md5("file_path"))
+    good = [p for p in paths if p not in set(bad)]
+    hashed = text_fingerprints(spark, good) if good else spark.createDataFrame([], "file_path string, file_hash string")
+    failed = spark.createDataFrame([(p,) for p in bad], "path string")
+    failed = failed.select(F.regexp_replace("path", r"\\(.)", "$1").alias("path"), F.lit(True).alias("is_bad"))
+    # a file without rows has neither a partition nor lines to hash
+    return (
+        listed.join(counts, SOURCE_KEY, "left")
+        .join(hashed, "file_path", "left")
+        .join(failed, F.url_decode(F.replace("file_path", F.lit("+"), F.lit("%2B"))) == F.col("path"), "left")
         .withColumns(
             {
-                "status": F.when(F.url_decode("file_path").isin(bad), "failed").otherwise("success"),
-                "rows_processed": F.coalesce("rows_processed", F.lit(0)),
+                "status": F.when(F.col("is_bad"), "failed").otherwise("success"),
+                "rows_processed": F.when(F.col("is_bad"), 0).otherwise(F.coalesce("rows_processed", F.lit(0))),
             }
         )
     )
-    run = f"{root}/{LEDGER_TABLE}-runs/{pipeline}-{uuid.uuid4().hex[:12]}"
-    ledgers.ledger_entries(outcome, pipeline).write.parquet(run)
-    entries = spark.read.schema(ledgers.LEDGER_SCHEMA).parquet(run)
-    append_ledger(entries, root)
-    return _status(entries, pipeline)
 
 
 def _status(entries: DataFrame, pipeline: str) -> DataFrame:
@@ -177,16 +212,16 @@ def _status(entries: DataFrame, pipeline: str) -> DataFrame:
     )
 
 
-def _readable(spark: SparkSession, read: Callable[..., DataFrame], paths: list[str]) -> tuple[list[str], list[str]]:
-    """Split files into readable and unreadable ones by halving the batch until each part is pure."""
+def _readable(rows_of: Callable[[list[str]], DataFrame], paths: list[str]) -> tuple[list[str], list[str]]:
+    """Split files into usable and unusable ones by halving the batch until each part is pure."""
     try:
-        read(spark, paths).write.format("noop").mode("overwrite").save()
+        rows_of(paths).write.format("noop").mode("overwrite").save()
         return paths, []
     except Exception:
         if len(paths) == 1:
             return [], paths
     half = len(paths) // 2
-    left, right = _readable(spark, read, paths[:half]), _readable(spark, read, paths[half:])
+    left, right = _readable(rows_of, paths[:half]), _readable(rows_of, paths[half:])
     return left[0] + right[0], left[1] + right[1]
 
 

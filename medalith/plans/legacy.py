@@ -159,7 +159,8 @@ def zones_attraction(zones: DataFrame, communes: DataFrame, separator: str = " -
     )
     named = parts.withColumn("LIBAAV2020", text.pole_label(F.trim("part")))
     poles = communes.select(F.col("CODGEO").alias("CODGEOAAV"), text.name_key(F.col("LIBGEO")).alias("__pole"))
-    matched = named.join(poles, text.plain_name_key(F.col("LIBAAV2020")) == F.col("__pole"))
+    name = text.plain_name_key(F.col("LIBAAV2020"))
+    matched = named.filter(name != "").join(poles, name == F.col("__pole"))
     return matched.filter(~F.contains("CODGEO", "CODGEOAAV")).select(
         "CODGEO",
         *[c for c in ("LIBGEO",) if c in zones.columns],

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medalith.plans import gold, silver
+from medalith.plans import bronze, gold, legacy, silver
 from medalith.sources.tables import read_table, row_counts, write_table
 
 
@@ -63,6 +63,30 @@ GOLD = {
 }
 
 
+# The older silver tables that three gold queries still read, stored with the other silver tables.
+LEGACY = {
+    "old_geo": Table(legacy.geo, ("bronze.geo",)),
+    "old_siae_structures": Table(legacy.siae_structures, ("bronze.siae_structures", "bronze.geo_snapshot")),
+    "old_logement": Table(legacy.logement, ("bronze.logement",)),
+}
+LEGACY_GOLD = {
+    "positions_by_department": Table(
+        gold.positions_by_department, ("bronze.siae_postes", "silver.old_siae_structures")
+    ),
+    "structures_and_rents": Table(
+        gold.structures_and_rents, ("silver.old_siae_structures", "silver.old_geo", "silver.old_logement")
+    ),
+    "accepting_structures": Table(gold.accepting_structures, ("silver.old_siae_structures",)),
+}
+# Stage -> layer its tables are stored in, and the tables.
+STAGES = {
+    "silver": ("silver", SILVER),
+    "gold": ("gold", GOLD),
+    "legacy": ("silver", LEGACY),
+    "legacy_gold": ("gold", LEGACY_GOLD),
+}
+
+
 def dependency_edges(spark: SparkSession) -> DataFrame:
     """Edges (node, dependency) between ``layer.table`` names."""
     rows = [
@@ -74,14 +98,39 @@ def dependency_edges(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "node string, dependency string")
 
 
-def build_layer(spark: SparkSession, root: str, layer: str) -> list[tuple[str, str, str]]:
-    """Write every table of a layer from the stored tables it reads; stop at the first failure.
+def ingest_layer(
+    spark: SparkSession, root: str, files: dict[str, str], pages: dict[str, str] | None = None, force: bool = False, **options
+) -> list[tuple[str, str, str]]:
+    """The bronze stage: new files of each file pipeline, landed pages of each API table.
+
+    ``files`` and ``pages`` map a pipeline to its folder. One pipeline's failure does not stop the
+    others. Returns (table, status, message) per pipeline, as ``build_layer`` does.
+    """
+    outcome = []
+    for name, folder in files.items():
+        try:
+            done = bronze.ingest_files(spark, root, name, folder, force=force).first()
+            outcome.append((name, done.status, f"{done.rows_processed} rows"))
+        except Exception as error:
+            outcome.append((name, "failed", str(error).splitlines()[0]))
+    for name, folder in (pages or {}).items():
+        try:
+            status = bronze.refresh_api_table(spark, root, name, folder, bronze.API_READERS[name], force, **options)
+            outcome.append((name, status, ""))
+        except Exception as error:
+            outcome.append((name, "failed", str(error).splitlines()[0]))
+    return outcome
+
+
+def build_layer(spark: SparkSession, root: str, stage: str) -> list[tuple[str, str, str]]:
+    """Write every table of a stage from the stored tables it reads; stop at the first failure.
 
     Returns (table, status, message) per table tried. Each table is one Spark job over stored inputs,
     so nothing upstream is computed twice and a rerun starts from finished tables.
     """
     outcome = []
-    for name, table in {"silver": SILVER, "gold": GOLD}[layer].items():
+    layer, tables = STAGES[stage]
+    for name, table in tables.items():
         try:
             inputs = [read_table(spark, root, *i.split(".")) for i in table.inputs]
             write_table(table.build(*inputs), root, layer, name, "overwrite")

@@ -276,7 +276,9 @@ def fact_zone_attraction(zones: DataFrame, communes: DataFrame) -> DataFrame:
         F.col("commune_code").alias("pole_code"),
         F.col("commune_sk").alias("commune_pole_sk"),
     )
-    matched = named.join(poles, text.plain_name_key(F.col("area_label")) == F.col("pole_name")).filter(
+    # a name without letters and digits has an empty key, which is no name to match by
+    pole_name = text.plain_name_key(F.col("area_label"))
+    matched = named.filter(pole_name != "").join(poles, pole_name == F.col("pole_name")).filter(
         ~F.contains("CODGEO", "pole_code")
     )
     found = look_up(

@@ -1,6 +1,6 @@
 """Delimited text with unknown separator, encoding and layout.
 
-The header line of each file is read on its own, as Spark reads a footer. The files themselves are
+Header lines and encodings come from one aggregate over the lines of all files. The files themselves are
 read by Spark's CSV source, in splits.
 """
 
@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import csv
 import io
-from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from urllib.parse import unquote
 
@@ -17,14 +16,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from medalith.functions.names import col
-from medalith.sources import storage
-from medalith.sources.files import list_source_files
+from medalith.sources.files import literal_path, text_lines
 
 SOURCE_FILE = "__source_file"
 _CORRUPT = "__corrupt"
 _OVERFLOW = "__overflow"
-# Header lines that are read at the same time.
-HEADER_READERS = 32
 # Separators that are looked for, and the one assumed when none occurs.
 SEPARATORS = (",", ";", "\t")
 FALLBACK_SEPARATOR = ";"
@@ -50,53 +46,41 @@ def _column_names(header: str, sep: str) -> list[str]:
     return names
 
 
-def _lines(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Text lines with their file, the start of their split, and an id that grows along each file."""
-    return (
-        spark.read.option("recursiveFileLookup", True)
-        .text(paths)
-        .select(
-            "value",
-            F.col("_metadata.file_path").alias("file_path"),
-            F.col("_metadata.file_block_start").alias("block_start"),
-        )
-        .withColumn("line_id", F.monotonically_increasing_id())
-    )
+def _decoded(raw: bytes, charset: str) -> str:
+    return bytes(raw).decode(charset, errors="replace")
 
 
-def files_not_utf8(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Files with a line that is not valid UTF-8: a hash aggregate over the raw lines, per task first."""
-    return (
-        _lines(spark, paths)
-        .groupBy("file_path")
-        .agg(F.bool_and(F.is_valid_utf8("value")).alias("is_utf8"))
-        .filter(~F.col("is_utf8"))
-        .select("file_path")
-    )
+def _first_ids(lines: DataFrame) -> dict[str, int]:
+    """Id of the first line of each file."""
+    heads = lines.filter(F.col("block_start") == 0).groupBy("file_path").agg(F.min("line_id").alias("first"))
+    return {r.file_path: r["first"] for r in heads.collect()}
 
 
 def files_by_layout(
-    spark: SparkSession, paths: list[str], encoding: str, one_layout: bool, skip_rows: int = 0
+    spark: SparkSession, paths: list[str], encoding: str, skip_rows: int = 0
 ) -> dict[tuple[str, str], list[str]]:
-    """Files by (header line, encoding). With ``one_layout`` one file speaks for all.
+    """Files by (header line, encoding), from one aggregate over the lines that is combined per task.
 
-    A single layout keeps the paths as they were given, so that Spark lists the folders itself.
+    The header is the first line that is not blank, or the one after ``skip_rows`` lines. With ``encoding='auto'`` a
+    file is UTF-8 if all its lines are, else Latin-1. A single layout keeps the paths as they were given, so that Spark
+    lists the folders itself.
     """
-    listed = list_source_files(spark, paths).select("file_path")
-    listed = listed.orderBy("file_path").limit(1) if one_layout else listed
-    files = [unquote(r.file_path) for r in listed.collect()]
-    latin = set()
-    if encoding == "auto":
-        latin = {unquote(r.file_path) for r in files_not_utf8(spark, paths).collect()}
-        if one_layout and latin:
-            latin = set(files)
-    with ThreadPoolExecutor(HEADER_READERS) as pool:
-        headers = list(pool.map(lambda f: storage.head_line(spark, f, skip_rows, skip_rows == 0), files))
+    lines = text_lines(spark, paths)
+    raw = F.col("value").cast("binary")
+    valid = F.bool_and(F.is_valid_utf8("value")) if encoding == "auto" else F.lit(True)
+    if skip_rows:
+        # line ids are consecutive within a split, so the header's id is known from the file's first one
+        wanted = [first + skip_rows for first in _first_ids(lines).values()]
+        is_header = F.col("line_id").isin(wanted) & (F.col("block_start") == 0)
+    else:
+        is_header = (F.col("block_start") == 0) & (F.length(F.trim("value")) > 0)
+    header = F.min_by(F.when(is_header, raw), F.when(is_header, F.col("line_id")))
+    found = lines.groupBy("file_path").agg(header.alias("header"), valid.alias("is_utf8"))
     groups: dict[tuple[str, str], list[str]] = {}
-    for file, header in zip(files, headers):
-        if header is not None:
-            charset = ("ISO-8859-1" if file in latin else "UTF-8") if encoding == "auto" else encoding
-            groups.setdefault((header, charset), []).append(file)
+    for row in found.filter("header is not null").orderBy("file_path").collect():
+        charset = encoding if encoding != "auto" else "UTF-8" if row.is_utf8 else "ISO-8859-1"
+        kind = (_decoded(row.header, charset), charset)
+        groups.setdefault(kind, []).append(literal_path(unquote(row.file_path)))
     return {kind: paths for kind in groups} if len(groups) == 1 else groups
 
 
@@ -109,21 +93,18 @@ def read_delimited(
     all_string: bool = True,
     multi_line: bool = False,
     keep_source: bool = False,
-    one_layout: bool = False,
 ) -> DataFrame:
     """Header CSV files as one frame.
 
     Files may differ in separator, encoding (UTF-8, else Latin-1) and columns; a column that a file
     lacks is null. Rows with more fields than the header are dropped, shorter rows are padded with
     nulls. ``skip_rows`` lines before the header are ignored. With ``all_string=False`` the types are
-    inferred by one more pass. ``keep_source`` adds the file path as ``__source_file``. ``one_layout``
-    promises that all files look alike, which saves looking into each of them; a given ``encoding``
-    saves the pass that checks it.
+    inferred by one more pass. ``keep_source`` adds the file path as ``__source_file``.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     if skip_rows:
-        return _read_after_preamble(spark, paths, sep, skip_rows, keep_source)
-    groups = files_by_layout(spark, paths, encoding, one_layout)
+        return _read_after_preamble(spark, paths, sep, encoding, skip_rows, keep_source)
+    groups = files_by_layout(spark, paths, encoding)
     if not groups:
         raise ValueError(f"no header line in {paths}")
     frames = [
@@ -168,29 +149,25 @@ def _read_layout(
 
 
 def _read_after_preamble(
-    spark: SparkSession, paths: list[str], sep: str, skip_rows: int, keep_source: bool
+    spark: SparkSession, paths: list[str], sep: str, encoding: str, skip_rows: int, keep_source: bool
 ) -> DataFrame:
     """Rows below a header that stands on line ``skip_rows + 1`` of each file.
 
-    Line ids are consecutive within a split, so the header's id is the first id of its file plus
-    ``skip_rows``. The ids of both scans agree because they read the same splits.
+    The lines up to the header are dropped by their ids, so lines are neither shuffled nor joined. The ids of both
+    scans agree because they read the same splits.
     """
     frames = []
-    for (header, _), files in files_by_layout(spark, paths, "UTF-8", False, skip_rows).items():
-        lines = _lines(spark, files)
-        headers = (
-            lines.filter(F.col("block_start") == 0)
-            .groupBy("file_path")
-            .agg((F.min("line_id") + skip_rows).alias("header_id"))
-        )
-        body = lines.join(headers, "file_path").filter(
-            ((F.col("block_start") > 0) | (F.col("line_id") > F.col("header_id"))) & (F.length(F.trim("value")) > 0)
-        )
+    for (header, charset), files in files_by_layout(spark, paths, encoding, skip_rows).items():
+        lines = text_lines(spark, files)
+        preamble = [first + k for first in _first_ids(lines).values() for k in range(skip_rows + 1)]
+        text = F.col("value") if charset.upper() == "UTF-8" else F.decode(F.col("value").cast("binary"), charset)
+        body = lines.filter(~(F.col("line_id").isin(preamble) & (F.col("block_start") == 0))).withColumn("value", text)
         separator = sniff_separator(header) if sep == "auto" else sep
         schema = ", ".join(f"`{n}` string" for n in [*_column_names(header, separator), _OVERFLOW])
         parsed = F.from_csv("value", schema, {"sep": separator, "quote": '"', "escape": '"'})
         frames.append(
-            body.select(F.col("file_path").alias(SOURCE_FILE), parsed.alias("row"))
+            body.filter(F.length(F.trim("value")) > 0)
+            .select(F.col("file_path").alias(SOURCE_FILE), parsed.alias("row"))
             .filter(F.col("row").getField(_OVERFLOW).isNull())
             .select("row.*", SOURCE_FILE)
             .drop(_OVERFLOW)

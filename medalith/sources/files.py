@@ -1,41 +1,23 @@
-"""Source file listings."""
+"""Source file listings and fingerprints."""
 
 from __future__ import annotations
 
-import hashlib
-from collections.abc import Iterator
+import re
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-# The binary source holds a whole file in memory, so larger files are hashed from a stream.
-IN_MEMORY_HASH_BYTES = 64 << 20
 
+def literal_path(path: str) -> str:
+    """A path as readers take it, with the characters escaped that would make it a pattern."""
+    return re.sub(r"([\\\[\]{}*?])", r"\\\1", path)
 
-@F.pandas_udf(T.StringType())
-def _streamed_md5(paths: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    from pyarrow import fs
 
-    def digest(path: str) -> str:
-        system, inner = fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
-        md5 = hashlib.md5()
-        with system.open_input_stream(inner) as stream:
-            while block := stream.read(8 << 20):
-                md5.update(block)
-        return md5.hexdigest()
-
-    for batch in paths:
-        yield batch.map(digest)
-
-
-def list_source_files(
-    spark: SparkSession, path: str | list[str], with_hash: bool = False, hash_in_memory: int = IN_MEMORY_HASH_BYTES
-) -> DataFrame:
+def list_source_files(spark: SparkSession, path: str | list[str], with_hash: bool = False) -> DataFrame:
     """Files below the path or paths with length and modification time, and the MD5 of their bytes on request.
 
-    Without the hash no file is opened. Hidden files and folder markers are left out by Spark.
+    Without the hash no file is opened. With it each file is one value, of 2 GB at most; ``text_fingerprints`` has no
+    such bound. Hidden files and folder markers are left out by Spark.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
     plain = [
@@ -43,11 +25,32 @@ def list_source_files(
         "length",
         F.col("modificationTime").cast("timestamp_ntz").alias("modified_at"),
     ]
-    if not with_hash:
-        return files.select(*plain)
-    small = files.filter(F.col("length") <= hash_in_memory).select(*plain, F.md5("content").alias("file_hash"))
-    large = files.filter(F.col("length") > hash_in_memory).select(*plain)
-    return small.unionByName(large.withColumn("file_hash", _streamed_md5("file_path")))
+    return files.select(*plain, F.md5("content").alias("file_hash")) if with_hash else files.select(*plain)
+
+
+def text_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """Text lines with their file, the start of their split, and an id that grows along each file."""
+    return (
+        spark.read.option("recursiveFileLookup", True)
+        .text(paths)
+        .select(
+            "value",
+            F.col("_metadata.file_path").alias("file_path"),
+            F.col("_metadata.file_block_start").alias("block_start"),
+        )
+        .withColumn("line_id", F.monotonically_increasing_id())
+    )
+
+
+def text_fingerprints(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """``file_path, file_hash``: 32 hexadecimal digits over the lines of each text file.
+
+    Files are read in splits and combined per task, so a file of any size takes the same path. The order of lines does
+    not count.
+    """
+    lines = text_lines(spark, paths)
+    parts = [F.count("*"), F.bit_xor(F.xxhash64("value")), F.sum(F.hash("value").cast("long"))]
+    return lines.groupBy("file_path").agg(F.md5(F.concat_ws(":", *parts)).alias("file_hash"))
 
 
 def latest_file(files: DataFrame) -> DataFrame:

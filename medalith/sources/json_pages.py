@@ -58,12 +58,15 @@ def check_total(pages: DataFrame, records_at: str = "data") -> DataFrame:
     )
 
 
+# The two Corsican and five overseas departments.
+OTHER_DEPARTMENTS = ("2A", "2B", "971", "972", "973", "974", "976")
+
+
 def department_keys(spark: SparkSession) -> DataFrame:
     """The 101 department codes that the structure feed is fetched by."""
     number = F.col("id")
     metropolitan = spark.range(1, 96).filter(number != 20).select(F.lpad(number.cast("string"), 2, "0"))
-    # The two Corsican and five overseas departments.
-    others = spark.range(1).select(F.explode(F.split(F.lit("2A 2B 971 972 973 974 976"), " ")))
+    others = spark.range(1).select(F.explode(F.array(*[F.lit(d) for d in OTHER_DEPARTMENTS])))
     return metropolitan.union(others).toDF("departement")
 
 

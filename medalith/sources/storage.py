@@ -46,33 +46,6 @@ def remove_folder(spark: SparkSession, path: str) -> None:
         fs.delete(p, True)
 
 
-def head_line(spark: SparkSession, path: str, skip_rows: int = 0, skip_blank: bool = True) -> str | None:
-    """The first line of a text file after ``skip_rows`` lines, read without the rest of the file.
-
-    Decoded as UTF-8, or as Latin-1 when it is not valid UTF-8.
-    """
-    fs, p = _open(spark, path)
-    java, codecs = spark._jvm.java.io, spark._jvm.org.apache.hadoop.io.compress
-    stream = fs.open(p)
-    try:
-        codec = codecs.CompressionCodecFactory(spark._jsc.hadoopConfiguration()).getCodec(p)
-        content = codec.createInputStream(stream) if codec else stream
-        reader = java.BufferedReader(java.InputStreamReader(content, "ISO-8859-1"))
-        line = reader.readLine()
-        while line is not None and (skip_rows > 0 or (skip_blank and not line.strip())):
-            skip_rows -= 1
-            line = reader.readLine()
-    finally:
-        stream.close()
-    if line is None:
-        return None
-    raw = line.encode("latin-1")
-    try:
-        return raw.decode("utf-8")
-    except UnicodeDecodeError:
-        return line
-
-
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     fs, p = _open(spark, path)
     stream = fs.create(p, True)

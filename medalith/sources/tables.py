@@ -21,6 +21,8 @@ from medalith.session import work_dir
 from medalith.sources import storage
 
 LAYERS = ("bronze", "silver", "gold")
+# Partition columns with this prefix say where rows came from; they are no part of the table.
+HIDDEN = "__"
 
 
 def table_path(root: str, layer: str, table: str) -> str:
@@ -49,7 +51,8 @@ def read_path(spark: SparkSession, path: str, columns: list[str] | None = None)
     schema = stored_schema(spark, path)
     reader = spark.read.schema(schema) if schema else spark.read.option("mergeSchema", True)
     df = reader.parquet(path)
-    return df.select(*[col(c) for c in columns]) if columns else df
+    shown = columns or [c for c in df.columns if not c.startswith(HIDDEN)]
+    return df.select(*[col(c) for c in shown])
 
 
 def read_table(
@@ -66,30 +69,37 @@ def write_table(
     mode: str = "append",
     partition_by: list[str] | None = None,
     on_conflict: str = "merge",
+    replace_partitions: bool = False,
 ) -> str:
     """Append to a table or replace it; returns its path.
 
     ``append`` adds new columns to the table (null in older rows). When a column arrives with another
-    type, ``on_conflict='merge'`` raises and ``'replace'`` replaces the table, losing its rows.
+    type, ``on_conflict='merge'`` raises and ``'replace'`` replaces the table, losing its rows. With
+    ``replace_partitions`` the append takes the place of the partitions it brings, so it can be repeated.
     ``overwrite`` writes the complete new folder first and swaps it in, so a plan may read the table
     that it replaces and a failed job leaves the old rows in place.
     """
     spark, path = df.sparkSession, table_path(root, layer, table)
+    shown = T.StructType([f for f in df.schema.fields if not f.name.startswith(HIDDEN)])
     if mode == "append" and storage.exists(spark, path):
         current = stored_schema(spark, path) or read_path(spark, path).schema
-        conflicts = type_conflicts(current, df.schema)
+        conflicts = type_conflicts(current, shown)
         if not conflicts:
-            merged = combined_schema(current, df.schema)
+            merged = combined_schema(current, shown)
             if merged != current:
                 _store_schema(spark, path, merged)
-            _parquet(df, partition_by).mode("append").parquet(path)
+            if replace_partitions:
+                writer = _parquet(df, partition_by).option("partitionOverwriteMode", "dynamic")
+                writer.mode("overwrite").parquet(path)
+            else:
+                _parquet(df, partition_by).mode("append").parquet(path)
             return path
         if on_conflict != "replace":
             raise TypeError(f"{layer}.{table}: other types for {conflicts}")
     # The leading underscore keeps an unfinished folder out of the catalog.
     staged = f"{root.rstrip('/')}/{layer}/_staged-{table}-{uuid.uuid4().hex[:12]}"
     _parquet(df, partition_by).parquet(staged)
-    _store_schema(spark, staged, combined_schema(T.StructType(), df.schema))
+    _store_schema(spark, staged, combined_schema(T.StructType(), shown))
     storage.replace_folder(spark, staged, path)
     return path
 
@@ -143,7 +153,8 @@ def table_info(spark: SparkSession, root: str, layer: str, table: str) -> dict:
     """Path of a table, whether it exists, and the number of its data files."""
     path = table_path(root, layer, table)
     found = storage.exists(spark, path)
-    return {"path": path, "exists": found, "num_files": len(read_path(spark, path).inputFiles()) if found else 0}
+    files = read_path(spark, path).select("_metadata.file_path").distinct().count() if found else 0
+    return {"path": path, "exists": found, "num_files": files}
 
 
 def table_detail(

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,21 +19,27 @@ from medalith.functions.names import col, normalize_names
 from medalith.operators.dedupe import latest_per_key
 from medalith.operators.upsert import upsert
 from medalith.sources import storage
+from medalith.sources.delimited import SOURCE_FILE, read_delimited
+from medalith.sources.files import literal_path
+from medalith.sources.tables import write_table
 
 RESCUED = "_rescued_data"
+# Partition of a streamed table that holds the rows of one batch.
+BATCH = "__batch"
+_FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 
 
 def read_csv_stream(
     spark: SparkSession, path: str, schema: T.StructType | str, sep: str = ";", rescued: bool = False
 ) -> DataFrame:
-    """Stream of the CSV files that appear in ``path``.
+    """Stream of the CSV files that appear in ``path``, with the columns of ``schema`` in this order.
 
-    ``schema`` is declared: give the superset of the columns that files may have. With ``rescued`` rows
-    that do not fit it keep their text in ``_rescued_data``.
+    A file whose header differs fails the stream; ``ingest_stream_by_header`` takes such files. With
+    ``rescued`` rows that do not fit the types keep their text in ``_rescued_data``.
     """
     if isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
-    reader = spark.readStream.option("header", True).option("sep", sep)
+    reader = spark.readStream.option("header", True).option("sep", sep).option("enforceSchema", False)
     if rescued:
         schema = T.StructType(schema.fields + [T.StructField(RESCUED, T.StringType())])
         reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", RESCUED)
@@ -75,6 +82,47 @@ def ingest_stream(
     append_stream(stamped(stream, from_filename, normalize), target, checkpoint)
 
 
+def ingest_stream_by_header(
+    spark: SparkSession,
+    path: str,
+    root: str,
+    layer: str,
+    table: str,
+    checkpoint: str,
+    normalize: bool = False,
+    from_filename: bool = True,
+    **options,
+) -> None:
+    """Append the CSV files that arrived in ``path`` to a table, by the header of each file.
+
+    Columns may come in any order, be missing or be new; new ones are added to the table. The stream
+    itself carries only file names; a batch reads its files with ``read_delimited`` and fills a
+    partition of its own, so a batch that runs again after a failure takes its own place.
+    """
+    names = spark.readStream.format("binaryFile").schema(_FILE_SCHEMA).option("recursiveFileLookup", True).load(path)
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        files = [literal_path(unquote(r.file_path)) for r in batch.select("file_path").distinct().collect()]
+        if not files:
+            return
+        rows = read_delimited(batch.sparkSession, files, keep_source=True, **options)
+        name = F.regexp_extract(F.col(SOURCE_FILE), "[^/]*$", 0)
+        rows = with_ingestion_ts(rows, name if from_filename else None).drop(SOURCE_FILE)
+        rows = normalize_names(rows) if normalize else rows
+        rows = rows.withColumn(BATCH, F.lit(f"b{batch_id}"))
+        write_table(rows, root, layer, table, partition_by=[BATCH], replace_partitions=True)
+
+    query = (
+        names.select(F.col("_metadata.file_path").alias("file_path"))
+        .writeStream.foreachBatch(write_batch)
+        .queryName(f"files_{uuid.uuid4().hex[:8]}")
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+
+
 def current_snapshot(spark: SparkSession, target: str) -> DataFrame | None:
     """The table an upsert stream maintains, as of its last finished batch."""
     done = _finished(spark, target)
@@ -98,7 +146,8 @@ def upsert_stream(
 
     Each batch writes the next snapshot from the one before it, so a batch that is run again after a
     failure overwrites its own snapshot and nothing else. ``newest`` is compared with the stored row
-    too: a late file does not undo a newer one. Two snapshots are kept.
+    too: a late file does not undo a newer one. A null key is one key, within a batch and in the
+    snapshot. Two snapshots are kept.
     """
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
@@ -111,7 +160,7 @@ def upsert_stream(
             stored = session.read.parquet(f"{target}/snapshot={earlier[-1]}")
             rows.write.mode("overwrite").parquet(staged)
             rows = _not_older(session.read.schema(rows.schema).parquet(staged), stored, keys, newest)
-            rows = upsert(stored, rows, keys)
+            rows = upsert(stored, rows, keys, null_keys_match=True)
         rows.write.mode("overwrite").parquet(snapshot)
         storage.remove_folder(session, staged)
         for old in earlier[:-1]:
@@ -133,6 +182,6 @@ def _not_older(rows: DataFrame, stored: DataFrame, keys: list[str], newest: list
         *[col(k).alias(f"__key_{i}") for i, k in enumerate(keys)],
         F.struct(*[col(n) for n in newest]).alias("__stored"),
     )
-    same = [col(k) == F.col(f"__key_{i}") for i, k in enumerate(keys)]
+    same = [col(k).eqNullSafe(F.col(f"__key_{i}")) for i, k in enumerate(keys)]
     newer = F.col("__stored") > F.struct(*[col(n) for n in newest])
     return rows.join(side, same + [newer], "left_anti")

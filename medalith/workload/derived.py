@@ -11,9 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 TABLES = (
-    "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels"
-    " conversations"
-).split()
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings",
+    "pages", "benchmark", "labels", "conversations",
+)
 
 _BASES = {
     "orders": "orders",
@@ -211,7 +211,8 @@ BRONZE: dict[str, tuple[str, list[tuple[str, str]]]] = {
             ("AAV2020", _digits("o_custkey % 50", 3)),
             (
                 "LIBAAV2020",
-                f"CONCAT(CASE WHEN o_custkey % 9 = 0 THEN CONCAT('Ville ', {_town('o_custkey + 2')}, ' - ') ELSE '' END, "
+                f"CONCAT(CASE WHEN o_custkey % 9 = 0 THEN CONCAT('Ville ', {_town('o_custkey + 2')}, "
+                f"CASE WHEN o_custkey % 18 = 0 THEN CHR(9) ELSE '' END, ' - ') ELSE '' END, "
                 f"'VILLE-', {_town('o_custkey + 5')}, "
                 f"CASE WHEN o_custkey % 10 = 0 THEN ' (Partie Française)' ELSE '' END)",
             ),

@@ -8,41 +8,29 @@ from __future__ import annotations
 
 import re
 
+from medalith.functions import values
 from medalith.workload import derived
 
 # --- shared relations: name -> SQL, which may use other relations and the given tables --------------
 
 RELATIONS: dict[str, str] = {name: derived.bronze_sql(name) for name in derived.BRONZE}
 
-_REGION_CASE = """CASE
-  WHEN SUBSTRING(code, 1, 2) IN ('75','77','78','91','92','93','94','95') THEN '11'
-  WHEN SUBSTRING(code, 1, 2) IN ('18','28','36','37','41','45') THEN '24'
-  WHEN SUBSTRING(code, 1, 2) IN ('21','25','39','58','70','71','89','90') THEN '27'
-  WHEN SUBSTRING(code, 1, 2) IN ('14','27','50','61','76') THEN '28'
-  WHEN SUBSTRING(code, 1, 2) IN ('02','59','60','62','80') THEN '32'
-  WHEN SUBSTRING(code, 1, 2) IN ('08','10','51','52','54','55','57','67','68','88') THEN '44'
-  WHEN SUBSTRING(code, 1, 2) IN ('44','49','53','72','85') THEN '52'
-  WHEN SUBSTRING(code, 1, 2) IN ('22','29','35','56') THEN '53'
-  WHEN SUBSTRING(code, 1, 2) IN ('16','17','19','23','24','33','40','47','64','79','86','87') THEN '75'
-  WHEN SUBSTRING(code, 1, 2) IN ('09','11','12','30','31','32','34','46','48','65','66','81','82') THEN '76'
-  WHEN SUBSTRING(code, 1, 2) IN ('01','03','07','15','26','38','42','43','63','69','73','74') THEN '84'
-  WHEN SUBSTRING(code, 1, 2) IN ('04','05','06','13','83','84') THEN '93'
-  WHEN SUBSTRING(code, 1, 2) IN ('2A','2B','20') THEN '94'
-  WHEN SUBSTRING(code, 1, 3) = '971' THEN '01' WHEN SUBSTRING(code, 1, 3) = '972' THEN '02'
-  WHEN SUBSTRING(code, 1, 3) = '973' THEN '03' WHEN SUBSTRING(code, 1, 3) = '974' THEN '04'
-  WHEN SUBSTRING(code, 1, 3) = '976' THEN '06' END"""
-
-_DEPARTMENT_CASE = (
-    "CASE WHEN code LIKE '97%' OR code LIKE '98%' THEN SUBSTRING(code, 1, 3) ELSE SUBSTRING(code, 1, 2) END"
-)
-
-
 def _region(column: str) -> str:
-    return re.sub(r"\bcode\b", column, _REGION_CASE)
+    """Region of a commune code, over the same fixed codes as the library."""
+    listed = [
+        f"WHEN substring({column}, 1, 2) IN ({', '.join(repr(d) for d in departments)}) THEN '{region}'"
+        for region, departments in values.DEPARTMENTS_BY_REGION.items()
+    ]
+    listed += [
+        f"WHEN substring({column}, 1, 3) = '{department}' THEN '{region}'"
+        for region, department in values.OVERSEAS_DEPARTMENT_BY_REGION.items()
+    ]
+    return f"CASE {' '.join(listed)} END"
 
 
 def _department(column: str) -> str:
-    return re.sub(r"\bcode\b", column, _DEPARTMENT_CASE)
+    overseas = " OR ".join(f"{column} LIKE '{prefix}%'" for prefix in values.OVERSEAS_PREFIXES)
+    return f"CASE WHEN {overseas} THEN substring({column}, 1, 3) ELSE substring({column}, 1, 2) END"
 
 
 def _folded(code: str, lyon: str = "69123") -> str:
@@ -278,7 +266,7 @@ SELECT event_type AS pipeline_name, concat('raw/', CAST(user_id AS VARCHAR), '/'
   CAST(round(value) AS BIGINT) AS rows_processed
 FROM events"""
 RELATIONS["line_rows"] = f"SELECT *, {derived.LINE_ROW} AS source_row FROM lineitem"
-RELATIONS["tree_edges"] = "SELECT c_custkey AS node, c_custkey // 2 AS dependency FROM customer WHERE c_custkey > 0"
+RELATIONS["tree_edges"] = "SELECT c_custkey + 1 AS node, (c_custkey + 1) // 2 AS dependency FROM customer"
 RELATIONS["tree_closure"] = """
 WITH RECURSIVE reach(root, node, depth) AS (
   SELECT node, node, 0 FROM (SELECT node FROM tree_edges UNION SELECT dependency FROM tree_edges) n
@@ -364,6 +352,10 @@ LEFT JOIN dim_gare a ON a.commune_sk = g.commune_sk WHERE a.voyageurs""",
     "gold_positions_by_department": """
 SELECT department, structure_type, count(*) AS active_positions,
   CAST(sum(positions_available) AS BIGINT) AS total_openings
+FROM old_postes WHERE is_recruiting IN ('true', 'True', '1', 't') GROUP BY department, structure_type""",
+    "gold_positions_boolean_flag": """
+SELECT department, structure_type, count(*) AS active_positions,
+  CAST(sum(positions_available) AS BIGINT) AS total_openings
 FROM old_postes WHERE is_recruiting = 'True' GROUP BY department, structure_type""",
     "gold_siae_housing": f"""
 SELECT s.city, s.insee_code, count(DISTINCT s.id) AS siae_count,
@@ -400,8 +392,10 @@ FROM bronze_siae_structures s LEFT JOIN (
   QUALIFY row_number() OVER (PARTITION BY city_name ORDER BY CASE WHEN known THEN 0 ELSE 1 END,
     code_insee NULLS LAST, nom_standard NULLS LAST) = 1) g
 ON upper(trim(replace(s.ville, '-', ' '))) = g.city_name""",
-    "lookup_anti": "SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)",
-    "lookup_semi": "SELECT c_custkey, c_name FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders)",
+    "lookup_anti": "SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN "
+    "(SELECT o_custkey FROM orders WHERE o_orderkey % 7 = 0)",
+    "lookup_semi": "SELECT c_custkey, c_name FROM customer WHERE c_custkey IN "
+    "(SELECT o_custkey FROM orders WHERE o_orderkey % 7 = 0)",
     "join_on_cast_keys": """
 SELECT source_row, s_name FROM bronze_lignes JOIN supplier ON CAST(code_ligne AS BIGINT) = s_suppkey""",
     "surrogate_keys": """
@@ -450,6 +444,14 @@ ORDER BY c_acctbal DESC NULLS LAST, c_custkey DESC LIMIT 50""",
     "preview_eq_number_as_text": """
 SELECT count(*) AS total_rows, CAST(0 AS BIGINT) AS filtered_rows, CAST(0 AS BIGINT) AS preview_rows FROM customer
 UNION ALL SELECT count(*), count(*), least(count(*), 100) FROM customer""",
+    "preview_eq_timestamp": """
+SELECT count(*) AS total_rows, count(*) FILTER (o_orderdate = TIMESTAMP '1996-09-17') AS filtered_rows,
+  least(count(*) FILTER (o_orderdate = TIMESTAMP '1996-09-17'), 100) AS preview_rows, '1996-09-17 00:00:00' AS stamp FROM orders
+UNION ALL SELECT count(*), count(*) FILTER (o_orderdate = TIMESTAMP '2000-02-03'),
+  least(count(*) FILTER (o_orderdate = TIMESTAMP '2000-02-03'), 100), '2000-02-03' FROM orders
+UNION ALL SELECT count(*), 0, 0, 'no date' FROM orders
+UNION ALL SELECT count(*), count(*) FILTER (o_orderdate IS DISTINCT FROM TIMESTAMP '1996-09-17'),
+  least(count(*) FILTER (o_orderdate IS DISTINCT FROM TIMESTAMP '1996-09-17'), 100), 'other' FROM orders""",
     "preview_ne_keeps_null": """
 SELECT count(*) AS total_rows, count(*) FILTER (code_uic IS DISTINCT FROM '87000001') AS filtered_rows,
   least(count(*) FILTER (code_uic IS DISTINCT FROM '87000001'), 1000) AS preview_rows FROM bronze_gares""",
@@ -613,6 +615,24 @@ _RATIO = (
     + " FROM dim_commune"
 )
 _AUDIT = ["job_insert_id", "job_insert_date_utc", "job_modify_id", "job_modify_date_utc"]
+_SILVER_KEYS = {
+    "dim_commune": ["commune_sk", "commune_code"], "dim_accueillant": ["accueillant_sk"], "dim_gare": ["gare_sk"],
+    "dim_ligne": ["ligne_sk"], "dim_siae_structure": ["siae_structure_sk"], "fact_logement": ["logement_sk"],
+    "fact_zone_attraction": ["zone_attraction_sk"], "fact_siae_poste": ["siae_poste_sk"],
+}
+_SILVER_FOREIGN_KEYS = (
+    ("dim_accueillant", "commune_sk", "dim_commune", "commune_sk"),
+    ("dim_gare", "commune_sk", "dim_commune", "commune_sk"),
+    ("dim_siae_structure", "commune_sk", "dim_commune", "commune_sk"),
+    ("fact_logement", "commune_sk", "dim_commune", "commune_sk"),
+    ("fact_zone_attraction", "commune_sk", "dim_commune", "commune_sk"),
+    ("fact_zone_attraction", "commune_pole_sk", "dim_commune", "commune_sk"),
+    ("fact_siae_poste", "siae_structure_sk", "dim_siae_structure", "siae_structure_sk"),
+)
+for _table in _SILVER_KEYS:
+    RELATIONS[f"dated_{_table}"] = (
+        f"SELECT *, TIMESTAMP '2024-01-01' AS job_insert_date_utc, TIMESTAMP '2024-01-01' AS job_modify_date_utc FROM {_table}"
+    )
 RELATIONS["dated_ligne"] = (
     "SELECT *, TIMESTAMP '2024-01-01' AS job_insert_date_utc, TIMESTAMP '2024-01-01' AS job_modify_date_utc FROM dim_ligne"
 )
@@ -683,6 +703,14 @@ _DQ = {
         _rule("fact_siae_poste", "rome_format", "regexp_matches(rome_code, '^[A-Z][0-9]{4}$')"),
         _rule("fact_siae_poste", "positions_positive", "postes_nombre > 0"),
     ),
+    "dq_silver_layer": _union(
+        *[_unique(table, key) for table, keys in _SILVER_KEYS.items() for key in keys],
+        *[
+            _nulls(f"Metadata columns: {table}", f"dated_{table}", _AUDIT, [], "All 4 metadata columns present and populated")
+            for table in _SILVER_KEYS
+        ],
+        *[_foreign_key(f"{t}.{c}", t, c, d, k) for t, c, d, k in _SILVER_FOREIGN_KEYS],
+    ),
     "dq_audit_columns": _union(
         _nulls("Metadata columns: dim_ligne", "dated_ligne", _AUDIT, [], "All 4 metadata columns present and populated"),
         _nulls("Metadata columns: orders", "orders", _AUDIT, _AUDIT, "All 4 metadata columns present and populated"),
@@ -726,6 +754,11 @@ FROM orders WHERE o_custkey % 7 <> 0""",
     "source_preamble_rows": """
 SELECT nullif("CODGEO", '') AS "CODGEO", "AAV2020", "LIBAAV2020", CAST(source_row AS VARCHAR) AS source_row
 FROM bronze_zones_attraction""",
+    "source_odd_file_names": "SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name FROM customer",
+    "source_preamble_latin1": """
+SELECT nullif(coalesce(code_ligne, ''), '') AS code_ligne, lib_ligne, catlig FROM bronze_lignes""",
+    "bronze_zones_file": """
+SELECT "AAV2020", "CATEAAV2020", CAST(source_row AS VARCHAR) AS source_row FROM bronze_zones_attraction""",
     "source_json_results": """
 SELECT c_custkey, c_name AS a_c_name, c_nationkey AS a_b_c_nationkey, c_mktsegment AS a_b_c FROM customer""",
     "source_json_data": """
@@ -771,6 +804,13 @@ SELECT REG AS "REG", count(*) AS n_rows, count(DISTINCT source_row) AS distinct_
   (SELECT count(*) FROM bronze_logement WHERE CAST(REG AS INTEGER) < 9) AS first_run_rows,
   CAST(0 AS BIGINT) AS third_run_files
 FROM bronze_logement GROUP BY REG""",
+    "ingest_after_failure": """
+SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, (SELECT count(*) FROM customer) AS entered FROM customer""",
+    "ingest_type_drift": """
+SELECT p_partkey, CAST(p_size AS BIGINT) AS p_size, CAST(1 AS BIGINT) AS failed, 'partial' AS status FROM part""",
+    "ingest_bad_file": """
+SELECT CAST(s_suppkey AS VARCHAR) AS s_suppkey, s_name, CAST(1 AS BIGINT) AS failed,
+  (SELECT count(*) FROM supplier) AS rows_processed, 'partial' AS status FROM supplier""",
     "json_flatten": """
 SELECT event_id, user_id AS event_user_id, CAST(json_extract(props, '$.k') AS INTEGER) AS event_props_k FROM events""",
     "array_explode_parent": """
@@ -798,13 +838,35 @@ SELECT job_id, task_id, "timestamp" FROM tasks WHERE "timestamp" >= TIMESTAMP '2
 SELECT o_orderkey AS node, o_custkey * 3 AS dependency FROM orders
 WHERE o_custkey * 3 NOT IN (SELECT c_custkey FROM customer)""",
     "full_run_catalog": _union(*[
-        f"SELECT '{n}' AS name, count(*) AS row_count, CAST(22 AS BIGINT) AS n_views FROM {n}"
+        f"SELECT '{n}' AS name, count(*) AS row_count, CAST(29 AS BIGINT) AS n_views FROM {n}"
         for n in ("dim_commune", "dim_accueillant", "dim_gare", "dim_ligne", "dim_siae_structure", "fact_logement",
                   "fact_zone_attraction", "fact_siae_poste")
     ]),
     "stream_new_files": "SELECT event_id, ts, user_id, event_type, value FROM events",
     "stream_upsert_latest": "SELECT event_id, ts, user_id, event_type, value FROM events "
     + _rank("user_id", "ts DESC, event_id DESC"),
+    "stream_upsert_null_keys": "SELECT event_id, ts, user_id, event_type, value FROM "
+    "(SELECT * REPLACE (CASE WHEN user_id % 4 <> 0 THEN user_id END AS user_id) FROM events) e "
+    + _rank("user_id", "ts DESC, event_id DESC"),
+    "stream_schema_evolution": """
+SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN CAST(o_custkey AS VARCHAR) END AS o_custkey,
+  o_orderstatus, CASE WHEN o_orderkey % 2 = 1 THEN o_orderpriority END AS o_orderpriority FROM orders""",
+    "stream_filename_stamp": """
+SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CASE WHEN c_custkey % 2 = 0 THEN TIMESTAMP '2024-01-03 04:05:06'
+  ELSE TIMESTAMP '2024-02-03 04:05:06' END AS ingestion_timestamp FROM customer""",
+    "upsert_null_keys": """
+WITH versions AS (SELECT CASE WHEN c_custkey % 5 <> 0 THEN c_mktsegment END AS segment, c_nationkey, c_custkey, c_name,
+    c_custkey % 3 = 0 AS early FROM customer),
+  newest AS (SELECT * FROM versions QUALIFY row_number() OVER (PARTITION BY segment, c_nationkey, early ORDER BY c_custkey DESC) = 1)
+SELECT segment, c_nationkey, c_custkey, c_name FROM newest
+QUALIFY row_number() OVER (PARTITION BY segment, c_nationkey ORDER BY early) = 1""",
+    "full_run_from_files": """
+WITH per_label AS (SELECT commune_label, count(gare_sk) AS nb_gares
+  FROM dim_commune c LEFT JOIN dim_gare g ON c.commune_sk = g.commune_sk GROUP BY commune_label HAVING count(gare_sk) > 0)
+SELECT nb_gares, count(*) AS n_communes, (SELECT count(*) FROM bronze_logement) AS rent_rows,
+  (SELECT count(*) FROM dim_commune) AS geo_rows, (SELECT count(*) FROM dim_ligne) AS n_lines,
+  (SELECT count(*) FROM dim_gare) AS n_stations, (SELECT count(*) FROM bronze_accueillants) AS n_hosts,
+  (SELECT count(DISTINCT nb_gares) FROM per_label) AS total FROM per_label GROUP BY nb_gares""",
     "stream_rescued_rows": """
 SELECT o_orderkey AS order_key, CASE WHEN o_custkey % 10 <> 0 THEN o_custkey END AS cust_key, o_orderstatus,
   CASE WHEN o_custkey % 10 = 0 THEN concat(CAST(o_orderkey AS VARCHAR), ';n/a;', o_orderstatus) END AS _rescued_data

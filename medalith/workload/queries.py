@@ -6,6 +6,7 @@ A query that has to write (files, tables, streams) works in a new folder below t
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +17,7 @@ from medalith.operators import dedupe, evolve, ledger, lookup, nested, preview,
 from medalith.plans import bronze as ingest
 from medalith.plans import gold, legacy, pipeline, silver
 from medalith.session import work_dir
-from medalith.sources import delimited, files, json_pages, tables
+from medalith.sources import delimited, files, json_pages, storage, tables
 from medalith.streaming import ingest as streams
 from medalith.workload import derived
 
@@ -192,12 +193,12 @@ def notebook_merge_logement(t):
 
 @query
 def gold_rent_by_commune(t):
-    return gold.rent_by_commune(t.dim_commune, t.fact_logement)
+    return gold.shown("rent_by_commune", gold.rent_by_commune(t.dim_commune, t.fact_logement))
 
 
 @query
 def gold_rent_in_department(t):
-    return gold.rent_by_commune(t.dim_commune, t.fact_logement, "75")
+    return gold.shown("rent_by_commune", gold.rent_by_commune(t.dim_commune, t.fact_logement, "75"))
 
 
 @query
@@ -207,17 +208,17 @@ def gold_jobs_with_structure(t):
 
 @query
 def gold_stations_by_commune(t):
-    return gold.stations_by_commune(t.dim_commune, t.dim_gare)
+    return gold.shown("stations_by_commune", gold.stations_by_commune(t.dim_commune, t.dim_gare))
 
 
 @query
 def gold_siae_by_zone(t):
-    return gold.structures_by_area(t.fact_zone_attraction, t.dim_siae_structure, t.fact_siae_poste)
+    return gold.shown("structures_by_area", gold.structures_by_area(t.fact_zone_attraction, t.dim_siae_structure, t.fact_siae_poste))
 
 
 @query
 def gold_low_rent_siae(t):
-    return gold.low_rent_with_structures(t.dim_commune, t.fact_logement, t.dim_siae_structure)
+    return gold.shown("low_rent_with_structures", gold.low_rent_with_structures(t.dim_commune, t.fact_logement, t.dim_siae_structure))
 
 
 @query
@@ -227,7 +228,14 @@ def gold_transport_access(t):
 
 @query
 def gold_positions_by_department(t):
-    return gold.positions_by_department(t.bronze_siae_postes, t.old_structures)
+    return gold.shown("positions_by_department", gold.positions_by_department(t.bronze_siae_postes, t.old_structures))
+
+
+@query
+def gold_positions_boolean_flag(t):
+    """The same over a feed whose flag is a boolean."""
+    postings = t.bronze_siae_postes.withColumn("recrutement_ouvert", F.col("recrutement_ouvert") == "True")
+    return gold.shown("positions_by_department", gold.positions_by_department(postings, t.old_structures))
 
 
 @query
@@ -320,12 +328,12 @@ def lookup_normalized_name(t):
 
 @query
 def lookup_anti(t):
-    return lookup.missing(t.customer, t.orders, {"c_custkey": "o_custkey"}).select("c_custkey", "c_name")
+    return lookup.missing(t.customer, t.orders.filter("o_orderkey % 7 = 0"), {"c_custkey": "o_custkey"}).select("c_custkey", "c_name")
 
 
 @query
 def lookup_semi(t):
-    return lookup.matching(t.customer, t.orders, {"c_custkey": "o_custkey"}).select("c_custkey", "c_name")
+    return lookup.matching(t.customer, t.orders.filter("o_orderkey % 7 = 0"), {"c_custkey": "o_custkey"}).select("c_custkey", "c_name")
 
 
 @query
@@ -445,6 +453,15 @@ def preview_eq_number_as_text(t):
     return rows.unionByName(preview.preview_counts(t.customer, [("c_nationkey", "!=", "5")]))
 
 
+@query
+def preview_eq_timestamp(t):
+    """A text filter on a time column is read as a time; a text that is none matches nothing."""
+    stamps = ["1996-09-17 00:00:00", "2000-02-03", "no date"]
+    counts = [preview.preview_counts(t.orders, [("o_orderdate", "=", s)]).withColumn("stamp", F.lit(s)) for s in stamps]
+    counts.append(preview.preview_counts(t.orders, [("o_orderdate", "!=", stamps[0])]).withColumn("stamp", F.lit("other")))
+    return reduce(DataFrame.unionByName, counts)
+
+
 @query
 def preview_ne_keeps_null(t):
     return preview.preview_counts(t.bronze_gares, [("code_uic", "!=", "87000001")], 1000)
@@ -550,6 +567,20 @@ def upsert_partial_columns(t):
     return upsert.upsert(target, source, _ORDER_KEYS, ["o_totalprice"], ["o_custkey", "o_orderpriority", "o_totalprice"])
 
 
+@query
+def upsert_null_keys(t):
+    """Customers by segment text, some of it null: the null key is one key when it may match."""
+    segment = F.when(F.col("c_custkey") % 5 != 0, F.col("c_mktsegment"))
+
+    def newest(df: DataFrame) -> DataFrame:
+        rows = df.select(segment.alias("segment"), "c_nationkey", "c_custkey", "c_name")
+        return dedupe.latest_per_key(rows, ["segment", "c_nationkey"], ["c_custkey"])
+
+    early = F.col("c_custkey") % 3 == 0
+    target, source = newest(t.customer.filter(early)), newest(t.customer.filter(~early))
+    return upsert.upsert(target, source, ["segment", "c_nationkey"], null_keys_match=True)
+
+
 @query
 def upsert_stored_table(t):
     """A stored table merged in place; the counts are those the merge returns."""
@@ -706,6 +737,32 @@ def dq_audit_columns(t):
     )
 
 
+@query
+def dq_silver_layer(t):
+    """All eight silver tables: keys and audit columns in one pass per table, then every foreign key."""
+    keys = {
+        "dim_commune": ["commune_sk", "commune_code"], "dim_accueillant": ["accueillant_sk"], "dim_gare": ["gare_sk"],
+        "dim_ligne": ["ligne_sk"], "dim_siae_structure": ["siae_structure_sk"], "fact_logement": ["logement_sk"],
+        "fact_zone_attraction": ["zone_attraction_sk"], "fact_siae_poste": ["siae_poste_sk"],
+    }
+    checks = [quality.check_table(getattr(t, name), name, unique=unique, audit=True) for name, unique in keys.items()]
+    for table, column, dimension, key in SILVER_FOREIGN_KEYS:
+        name = f"{table}.{column}"
+        checks.append(quality.check_foreign_key(getattr(t, table), column, getattr(t, dimension), key, name))
+    return quality.union_checks(*checks)
+
+
+SILVER_FOREIGN_KEYS = (
+    ("dim_accueillant", "commune_sk", "dim_commune", "commune_sk"),
+    ("dim_gare", "commune_sk", "dim_commune", "commune_sk"),
+    ("dim_siae_structure", "commune_sk", "dim_commune", "commune_sk"),
+    ("fact_logement", "commune_sk", "dim_commune", "commune_sk"),
+    ("fact_zone_attraction", "commune_sk", "dim_commune", "commune_sk"),
+    ("fact_zone_attraction", "commune_pole_sk", "dim_commune", "commune_sk"),
+    ("fact_siae_poste", "siae_structure_sk", "dim_siae_structure", "siae_structure_sk"),
+)
+
+
 @query
 def dq_report(t):
     return quality.quality_report(
@@ -814,6 +871,44 @@ def source_preamble_rows(t):
     return delimited.read_delimited(t.spark, folder, skip_rows=5)
 
 
+@query
+def source_odd_file_names(t):
+    """Folders and files whose names hold the characters of path patterns."""
+    folder = f"{work_dir(t.spark, 'csv')}/year=[2024]"
+    for part, name in enumerate(("{a}", "b[1]", "c*d?")):
+        rows = t.customer.filter(F.col("c_custkey") % 3 == part).select("c_custkey", "c_name")
+        _write_csv(rows if part else rows.select("c_name", "c_custkey"), f"{folder}/{name}", sep=";")
+    return delimited.read_delimited(t.spark, files.literal_path(folder))
+
+
+@query
+def source_preamble_latin1(t):
+    """Latin-1 files with title lines before the header, beside UTF-8 ones."""
+    folder = work_dir(t.spark, "preamble")
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    head = F.array(*[F.lit(x) for x in ("Référentiel", "Année;2024", "code_ligne;lib_ligne;catlig")])
+    line = F.concat_ws(";", F.coalesce("code_ligne", F.lit("")), "lib_ligne", "catlig")
+    lines = t.bronze_lignes.select("rg_troncon", line.alias("line"))
+    for encoding, rest in (("ISO-8859-1", 0), ("UTF-8", 1)):
+        part = lines.filter(F.col("rg_troncon").cast("int") % 2 == rest)
+        headed = part.select(F.explode(F.when(place == 0, F.concat(head, F.array("line"))).otherwise(F.array("line"))))
+        options = {"sep": "\x01", "quote": "\x02", "encoding": encoding, "header": False}
+        headed.write.options(**options).csv(f"{folder}/{encoding}")
+    return delimited.read_delimited(t.spark, folder, skip_rows=2)
+
+
+@query
+def bronze_zones_file(t):
+    """The area file with its five title lines, through its own reader."""
+    folder = work_dir(t.spark, "zones")
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    line = F.concat_ws(",", "AAV2020", "CATEAAV2020", "source_row")
+    head = "Titre\n\nNiveau\nMillesime\n----\nAAV2020,CATEAAV2020,source_row\n"
+    rows = t.bronze_zones_attraction.select(F.when(place == 0, F.concat(F.lit(head), line)).otherwise(line))
+    rows.write.text(folder)
+    return ingest.zones_attraction(t.spark, [folder]).drop("ingestion_timestamp")
+
+
 def _pages(df: DataFrame, key: str, array: str) -> DataFrame:
     """Envelope pages of at most a hundred records with consecutive keys."""
     record = F.struct(*[names.col(c) for c in df.columns])
@@ -894,7 +989,7 @@ def source_file_listing(t):
     """Listing with content hashes: per folder the files, and the hashes that are well formed."""
     folder = work_dir(t.spark, "files")
     t.customer.select("c_custkey", "c_nationkey").repartition("c_nationkey").write.partitionBy("c_nationkey").csv(folder)
-    listed = files.list_source_files(t.spark, folder, with_hash=True, hash_in_memory=2000)
+    listed = files.list_source_files(t.spark, folder, with_hash=True)
     nation = F.regexp_extract("file_path", "c_nationkey=([0-9]+)", 1).cast("int")
     return listed.groupBy(nation.alias("c_nationkey")).agg(
         F.count(F.lit(1)).alias("files"),
@@ -910,7 +1005,7 @@ def source_file_hash(t):
     lines = t.customer.select("c_nationkey", "c_custkey", "c_name").repartition("c_nationkey")
     lines = lines.sortWithinPartitions("c_nationkey", "c_custkey").drop("c_custkey")
     lines.write.partitionBy("c_nationkey").text(folder)
-    listed = files.list_source_files(t.spark, folder, with_hash=True, hash_in_memory=1200)
+    listed = files.list_source_files(t.spark, folder, with_hash=True)
     nation = F.regexp_extract("file_path", "c_nationkey=([0-9]+)", 1).cast("int")
     return listed.select(nation.alias("c_nationkey"), "file_hash")
 
@@ -1003,6 +1098,54 @@ def ingest_incremental(t):
     )
 
 
+@query
+def ingest_after_failure(t):
+    """A run that dies before its ledger entries is repeated: no row is doubled, none is lost."""
+    source, root = work_dir(t.spark, "raw"), work_dir(t.spark, "lake")
+    rows = t.customer.select("c_custkey", "c_name")
+    _write_csv(rows.filter("c_custkey % 2 = 0"), f"{source}/first")
+    ingest.ingest_files(t.spark, root, "parties", source, ingest.geo)
+    storage.remove_folder(t.spark, f"{root}/{ingest.LEDGER_TABLE}")
+    _write_csv(rows.filter("c_custkey % 2 = 1"), f"{source}/second")
+    ingest.ingest_files(t.spark, root, "parties", source, ingest.geo)
+    entered = ingest.read_ledger(t.spark, root).agg(F.sum("rows_processed")).first()[0]
+    table = tables.read_table(t.spark, root, "bronze", "parties", ["c_custkey", "c_name"])
+    return table.withColumn("entered", F.lit(entered).cast("long"))
+
+
+@query
+def ingest_type_drift(t):
+    """Files whose column comes with another type are put aside as failed; the table keeps its rows."""
+    source, root = work_dir(t.spark, "raw"), work_dir(t.spark, "lake")
+
+    def typed(spark: SparkSession, paths: list[str], **options) -> DataFrame:
+        return delimited.read_delimited(spark, paths, all_string=False, **options)
+
+    small = t.part.select("p_partkey", "p_size").coalesce(1)
+    _write_csv(small, f"{source}/first")
+    ingest.ingest_files(t.spark, root, "parts", source, typed)
+    _write_csv(t.part.select("p_partkey", F.col("p_brand").alias("p_size")).coalesce(1), f"{source}/second")
+    status = ingest.ingest_files(t.spark, root, "parts", source, typed).first()
+    table = tables.read_table(t.spark, root, "bronze", "parts")
+    return table.select(
+        F.col("p_partkey").cast("long").alias("p_partkey"), F.col("p_size").cast("long").alias("p_size"),
+        F.lit(status.files_failed).alias("failed"), F.lit(status.status).alias("status"),
+    )
+
+
+@query
+def ingest_bad_file(t):
+    """A file that cannot be read at all is entered as failed, the others of its batch are taken."""
+    source, root = work_dir(t.spark, "raw"), work_dir(t.spark, "lake")
+    _write_csv(t.supplier.select("s_suppkey", "s_name"), source)
+    storage.write_text(t.spark, f"{source}/broken.csv.gz", "s_suppkey,s_name\nno archive at all\n")
+    status = ingest.ingest_files(t.spark, root, "suppliers", source, ingest.geo).first()
+    table = tables.read_table(t.spark, root, "bronze", "suppliers", ["s_suppkey", "s_name"])
+    return table.withColumns(
+        {"failed": F.lit(status.files_failed), "rows_processed": F.lit(status.rows_processed), "status": F.lit(status.status)}
+    )
+
+
 @query
 def json_flatten(t):
     """The JSON text of an event as nested records, flattened into columns."""
@@ -1082,11 +1225,9 @@ def runs_retention(t):
 
 
 def _customer_edges(t: Inputs) -> DataFrame:
-    """A dependency tree over the customers: number n depends on n / 2."""
-    key = F.col("c_custkey")
-    return t.customer.filter(key > 0).select(
-        key.alias("node"), F.floor(key / 2).alias("dependency")
-    )
+    """A dependency tree over the customers, numbered from one: n depends on n / 2."""
+    key = F.col("c_custkey") + 1
+    return t.customer.select(key.alias("node"), F.floor(key / 2).alias("dependency"))
 
 
 @query
@@ -1108,17 +1249,53 @@ def runs_missing_dependencies(t):
 # --- stored layers and streams ---------------------------------------------------------------------
 
 
+def _build(t: Inputs, root: str, stages: tuple[str, ...] = ("silver", "gold", "legacy", "legacy_gold")) -> None:
+    for stage in stages:
+        for table, status, message in pipeline.build_layer(t.spark, root, stage):
+            if status != "success":
+                raise RuntimeError(f"{stage}.{table}: {message}")
+
+
+@query
+def full_run_from_files(t):
+    """Delivered files and pages, bronze, silver, gold, then SQL over the registered tables."""
+    raw, root = work_dir(t.spark, "raw"), work_dir(t.spark, "lake")
+    # files carry no time of their own here, so the newest row of a commune is picked before delivery
+    newest = dedupe.latest_per_key(t.bronze_geo.filter(text.is_filled(F.col("code_insee"))), ["code_insee"], ["ingestion_timestamp"])
+    _write_csv(newest.drop("ingestion_timestamp"), f"{raw}/geo")
+    _write_csv(t.bronze_accueillants.drop("ingestion_timestamp"), f"{raw}/accueillants", sep=";")
+    rents = t.bronze_logement.drop("ingestion_timestamp")
+    for rest, encoding in ((0, "UTF-8"), (1, "ISO-8859-1")):
+        _write_csv(rents.filter(F.col("REG").cast("int") % 2 == rest), f"{raw}/logement/{rest}", sep=";", encoding=encoding)
+    for name in ("gares", "lignes"):
+        getattr(t, f"bronze_{name}").drop("ingestion_timestamp").write.json(f"{raw}/{name}")
+    sources = {n: f"{raw}/{n}" for n in ("geo", "accueillants", "logement")}
+    landed = {n: f"{raw}/{n}" for n in ("gares", "lignes")}
+    outcome = pipeline.ingest_layer(t.spark, root, sources, landed, multi_line=False)
+    bad = [o for o in outcome if o[1] != "success"]
+    if bad:
+        raise RuntimeError(str(bad))
+    for stage, name in (("silver", "dim_commune"), ("silver", "dim_gare"), ("silver", "dim_ligne"), ("gold", "stations_by_commune")):
+        layer, known = pipeline.STAGES[stage]
+        inputs = [tables.read_table(t.spark, root, *i.split(".")) for i in known[name].inputs]
+        tables.write_table(known[name].build(*inputs), root, layer, name, "overwrite")
+    tables.register_layers(t.spark, root)
+    sql = """
+SELECT g.nb_gares, count(*) AS n_communes, (SELECT count(*) FROM bronze_logement) AS rent_rows,
+  (SELECT count(*) FROM bronze_geo) AS geo_rows, (SELECT count(*) FROM silver_dim_ligne) AS n_lines,
+  (SELECT count(*) FROM silver_dim_gare) AS n_stations, (SELECT count(*) FROM bronze_accueillants) AS n_hosts
+FROM gold_stations_by_commune g GROUP BY g.nb_gares"""
+    rows, total = preview.run_sql(t.spark, sql, limit=100_000)
+    return rows.withColumn("total", F.lit(total).cast("long"))
+
+
 @query
 def full_run_catalog(t):
     """Bronze tables stored, silver and gold built from them, then the catalog of the silver layer."""
     root = work_dir(t.spark, "lake")
     for name in derived.BRONZE:
-        if name != "bronze_geo_snapshot":
-            tables.write_table(getattr(t, name), root, "bronze", name.removeprefix("bronze_"), "overwrite")
-    for layer in ("silver", "gold"):
-        for table, status, message in pipeline.build_layer(t.spark, root, layer):
-            if status != "success":
-                raise RuntimeError(f"{layer}.{table}: {message}")
+        tables.write_table(getattr(t, name), root, "bronze", name.removeprefix("bronze_"), "overwrite")
+    _build(t, root)
     views = tables.register_layers(t.spark, root)
     described = pipeline.silver_catalog(t.spark, root)
     listed = tables.catalog(t.spark, root).filter("layer = 'silver'").select("name")
@@ -1158,6 +1335,57 @@ def stream_upsert_latest(t):
     return rows.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
 
+@query
+def stream_upsert_null_keys(t):
+    """Latest event per user over three runs, where many events have no user: they are one key."""
+    folder = work_dir(t.spark, "stream")
+    user = F.when(F.col("user_id") % 4 != 0, F.col("user_id"))
+    for part in range(3):
+        rows = t.events.filter(F.col("event_id") % 3 == part)
+        rows = rows.select("event_id", F.col("ts").cast("string"), user.alias("user_id"), "event_type", "value")
+        rows.write.mode("append").options(header=True, sep=";").csv(f"{folder}/in")
+        stream = streams.read_csv_stream(t.spark, f"{folder}/in", _EVENT_COLUMNS)
+        streams.upsert_stream(stream, f"{folder}/out", f"{folder}/check", ["user_id"], ["ts", "event_id"])
+    found = streams.current_snapshot(t.spark, f"{folder}/out")
+    return found.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
+@query
+def stream_schema_evolution(t):
+    """Files with columns in another order, a missing and a new one, over two runs of one stream."""
+    folder = work_dir(t.spark, "stream")
+    orders = t.orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
+    first, second = orders.filter("o_orderkey % 2 = 0"), orders.filter("o_orderkey % 2 = 1")
+    deliveries = (first.drop("o_orderpriority"), second.select("o_orderpriority", "o_orderstatus", "o_orderkey"))
+    for rows in deliveries:
+        rows.write.mode("append").options(header=True, sep=";").csv(f"{folder}/in")
+        streams.ingest_stream_by_header(t.spark, f"{folder}/in", folder, "bronze", "orders", f"{folder}/check")
+    return tables.read_table(t.spark, folder, "bronze", "orders").drop("ingestion_timestamp")
+
+
+@query
+def stream_filename_stamp(t):
+    """Files that carry a stamp in their name: each row gets the stamp of its file."""
+    folder = work_dir(t.spark, "stream")
+    for month in (1, 2):
+        rows = t.customer.filter(F.col("c_custkey") % 2 == month - 1).select("c_custkey", "c_name")
+        staged = _write_csv(rows, f"{folder}/staged-{month}", sep=";")
+        stamp = f"20240{month}03_040506"
+        _take_as(t.spark, staged, f"{folder}/in", stamp)
+        streams.ingest_stream_by_header(t.spark, f"{folder}/in", folder, "bronze", "parties", f"{folder}/check")
+    return tables.read_table(t.spark, folder, "bronze", "parties")
+
+
+def _take_as(spark: SparkSession, staged: str, folder: str, stamp: str) -> None:
+    """Move written files into a watched folder under names that end in a stamp."""
+    paths = spark._jvm.org.apache.hadoop.fs.Path
+    fs = paths(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(paths(folder))
+    listed = files.list_source_files(spark, staged).select("file_path").collect()
+    for number, row in enumerate(sorted(r.file_path for r in listed)):
+        fs.rename(paths(row), paths(f"{folder}/parties{number}_{stamp}.csv"))
+
+
 @query
 def stream_rescued_rows(t):
     """Rows that do not fit the declared types keep their text, names are normalized in the stream."""

@@ -41,7 +41,7 @@ def test_commune_codes(spark):
 
 
 def test_regions_cover_each_department_once():
-    listed = " ".join(values.DEPARTMENTS_BY_REGION.values()).split()
+    listed = [d for departments in values.DEPARTMENTS_BY_REGION.values() for d in departments]
     assert len(listed) == len(set(listed)) == 97
 
 

@@ -63,10 +63,24 @@ def test_upsert_matches_on_all_keys(spark):
 
 def test_null_keys_are_spread_in_an_upsert(spark):
     target = spark.range(4000).select(F.lit(None).cast("int").alias("k"), F.col("id").alias("v"))
-    assert upsert._side(target, ["k"], "t").select("__t_spread").distinct().count() > 1000
+    assert upsert._side(target, ["k"], "t").select("__t_spread").distinct().count() == 16 * 8  # 16 per shuffle partition
     assert upsert.upsert(target, target, ["k"]).count() == 8000
 
 
+def test_two_source_rows_for_a_key_fail(spark):
+    target = spark.createDataFrame([("a", 1)], "k string, v int")
+    twice = spark.createDataFrame([("a", 2), ("a", 3)], "k string, v int")
+    with pytest.raises(Exception, match="two source rows for one key"):
+        upsert.upsert(target, twice, ["k"]).collect()
+    nulls = spark.createDataFrame([(None, 2), (None, 3)], "k string, v int")
+    assert upsert.upsert(target, nulls, ["k"]).count() == 3
+    with pytest.raises(Exception, match="two source rows for one key"):
+        upsert.upsert(target, nulls, ["k"], null_keys_match=True).collect()
+    one = spark.createDataFrame([(None, 2)], "k string, v int")
+    again = upsert.upsert(upsert.upsert(target, one, ["k"], null_keys_match=True), one, ["k"], null_keys_match=True)
+    assert again.count() == 2
+
+
 def test_small_upserts_leave_the_target_in_place(spark):
     target = spark.range(100000).select("id", (F.col("id") * 2).alias("v"))
     merged = upsert.upsert(target, spark.range(5).select("id", F.lit(0).cast("long").alias("v")), ["id"])

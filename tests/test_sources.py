@@ -83,7 +83,7 @@ def test_api_columns(spark, tmp_path):
 def test_file_listing_and_hash(spark, tmp_path):
     put(tmp_path / "a.txt", "abc")
     put(tmp_path / "deep" / "b c.txt", b"x" * 5000)
-    listed = files.list_source_files(spark, str(tmp_path), with_hash=True, hash_in_memory=100)
+    listed = files.list_source_files(spark, str(tmp_path), with_hash=True)
     found = {r.length: r.file_hash for r in listed.collect()}
     assert found == {3: hashlib.md5(b"abc").hexdigest(), 5000: hashlib.md5(b"x" * 5000).hexdigest()}
     assert files.latest_file(listed).first().file_path.endswith("b%20c.txt")
@@ -115,6 +115,94 @@ def test_incremental_ingest_isolates_bad_files(spark, tmp_path):
     assert len(hashes) == 3 and all(len(h) == 32 for h in hashes)
 
 
+def test_failed_runs_can_be_repeated(spark, tmp_path, monkeypatch):
+    """A run that dies between writing and its ledger entries leaves nothing doubled, forced or not."""
+    raw, root = tmp_path / "raw", work_dir(spark, "lake")
+    put(raw / "a.csv", "k;v\n1;x\n2;y\n")
+    put(raw / "b[1].csv", "v;k\nz;3\n")
+
+    def run(force=False):
+        return tuple(bronze.ingest_files(spark, root, "accueillants", str(raw), force=force).first())
+
+    def stored():
+        return sorted((r.k, r.v) for r in tables.read_table(spark, root, "bronze", "accueillants").collect())
+
+    def dies(*_):
+        raise OSError("lost the driver")
+
+    everything = [("1", "x"), ("2", "y"), ("3", "z")]
+    for force in (False, True):
+        with monkeypatch.context() as patch:
+            patch.setattr(bronze, "append_ledger", dies)
+            with pytest.raises(OSError):
+                run(force)
+        assert stored() == everything
+        assert run() == ("accueillants", 2, 0, 3, "success")
+        assert stored() == everything
+        assert run() == ("accueillants", 0, 0, 0, "success")
+    put(raw / "c.csv", "k;v;w\n4;u;new\n")
+    assert run() == ("accueillants", 1, 0, 1, "success")
+    assert stored() == [*everything, ("4", "u")]
+
+
+def test_type_drift_never_touches_the_table(spark, tmp_path):
+    raw, root = tmp_path / "raw", work_dir(spark, "lake")
+
+    def read(session, paths, keep_source=False):
+        return delimited.read_delimited(session, paths, all_string=False, keep_source=keep_source)
+
+    def run():
+        return tuple(bronze.ingest_files(spark, root, "parts", str(raw), read).first())
+
+    put(raw / "1.csv", "k,size\n1,10\n")
+    assert run() == ("parts", 1, 0, 1, "success")
+    put(raw / "2.csv", "k,size\n2,large\n")
+    put(raw / "3.csv", "k,size\n3,30\n")
+    assert run() == ("parts", 1, 1, 1, "partial")
+    assert sorted((r.k, r["size"]) for r in tables.read_table(spark, root, "bronze", "parts").collect()) == [(1, 10), (3, 30)]
+    failed = bronze.read_ledger(spark, root).filter("status = 'failed'").collect()
+    assert [r.file_path.rsplit("/", 1)[1] for r in failed] == ["2.csv"]
+
+
+def test_layouts_and_encodings_of_odd_files(spark, tmp_path):
+    put(tmp_path / "x[1].csv", "a;b\n1;é\n")
+    put(tmp_path / "{y}.csv", "b;a\nü;2\n".encode("latin-1"))
+    put(tmp_path / "z*.csv", "\n\na;b\n3;o\n")
+    found = delimited.read_delimited(spark, str(tmp_path))
+    assert sorted((r.a, r.b) for r in found.collect()) == [("1", "é"), ("2", "ü"), ("3", "o")]
+    put(tmp_path / "p" / "1.csv", "Titre é\n\na;b\n1;é\n".encode("latin-1"))
+    put(tmp_path / "p" / "2.csv", "Titre é\n\na;b\n2;é\n\n3;x\n")
+    found = delimited.read_delimited(spark, str(tmp_path / "p"), skip_rows=2)
+    assert sorted((r.a, r.b) for r in found.collect()) == [("1", "é"), ("2", "é"), ("3", "x")]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "Exchange" not in plan
+
+
+def test_fingerprints_take_files_of_any_size(spark, tmp_path):
+    put(tmp_path / "a.txt", "x\ny\n")
+    put(tmp_path / "b.txt", "y\nx\n")
+    put(tmp_path / "c.txt", "x\ny\ny\n" * 100_000)
+    hashes = {r.file_path[-5:]: r.file_hash for r in files.text_fingerprints(spark, str(tmp_path)).collect()}
+    assert hashes["a.txt"] == hashes["b.txt"] != hashes["c.txt"] and len(hashes["c.txt"]) == 32
+
+
+def test_csv_stream_refuses_a_foreign_header(spark, tmp_path):
+    put(tmp_path / "in" / "1.csv", "c;a\n30;10\n")
+    with pytest.raises(Exception, match="CSV header|STREAM_FAILED"):
+        ingest.ingest_stream(spark, str(tmp_path / "in"), "a string, b string, c string", str(tmp_path / "out"), str(tmp_path / "check"))
+    root = work_dir(spark, "lake")
+    ingest.ingest_stream_by_header(spark, str(tmp_path / "in"), root, "bronze", "t", str(tmp_path / "check2"))
+    put(tmp_path / "in" / "2.csv", "a;b\n11;21\n")
+    for _ in range(2):
+        ingest.ingest_stream_by_header(spark, str(tmp_path / "in"), root, "bronze", "t", str(tmp_path / "check2"))
+    found = tables.read_table(spark, root, "bronze", "t")
+    assert sorted((r.a, r.b, r.c) for r in found.collect()) == [("10", None, "30"), ("11", "21", None)]
+
+
 def test_stored_tables(spark):
     root = work_dir(spark, "lake")
     df = spark.createDataFrame([(1, "a")], "k int, v string")
