@@ -53,3 +53,18 @@ STRUCTURE_TYPES = ("ETTI", "ACI", "EI", "AI")
 
 # Names of the four audit columns.
 AUDIT_COLUMNS = ("job_insert_id", "job_insert_date_utc", "job_modify_id", "job_modify_date_utc")
+
+# Messages of the data-quality checks.
+CHECK_MESSAGES = {
+    "counts": "Old: %d rows, New: %d rows",
+    "preserved": "All %d unique values preserved",
+    "missing": "Missing %d values in new table",
+    "fk_valid": "All %d FK values valid",
+    "fk_orphaned": "Found %d orphaned FK values",
+    "nulls": "NULLs or missing: ",
+    "no_nulls": "No NULLs found in %d required columns",
+    "no_column": "Column %s not found",
+    "unique": "All %d values are unique and non-NULL",
+    "duplicates": "Found %d duplicates and %d NULLs",
+    "audited": "All 4 metadata columns present and populated",
+}

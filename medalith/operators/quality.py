@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from medalith.functions.names import col
 from medalith.functions.values import AUDIT_COLUMNS
+from medalith.functions.values import CHECK_MESSAGES as MESSAGES
 
 SAMPLE_SIZE = 10
 
@@ -53,7 +54,7 @@ def check_row_counts(
         counts,
         name=F.lit(f"Row count: {name}"),
         passed=passed,
-        message=F.format_string("Old: %d rows, New: %d rows", "old_count", "new_count"),
+        message=F.format_string(MESSAGES["counts"], "old_count", "new_count"),
         details=["old_count", "new_count", "diff"],
     )
 
@@ -110,8 +111,8 @@ def check_values_preserved(
         name=F.lit(f"Unique values: {name}"),
         passed=passed,
         message=F.when(
-            passed, F.format_string("All %d unique values preserved", "old_unique_count")
-        ).otherwise(F.format_string("Missing %d values in new table", "missing_count")),
+            passed, F.format_string(MESSAGES["preserved"], "old_unique_count")
+        ).otherwise(F.format_string(MESSAGES["missing"], "missing_count")),
         details=[
             "old_unique_count", "new_unique_count", "missing_count", "added_count",
             "missing_samples", "added_samples",
@@ -144,8 +145,8 @@ def check_foreign_key(
         totals,
         name=F.lit(f"FK: {name}"),
         passed=passed,
-        message=F.when(F.col("orphaned_count") == 0, F.format_string("All %d FK values valid", "fk_count"))
-        .otherwise(F.format_string("Found %d orphaned FK values", "orphaned_count")),
+        message=F.when(F.col("orphaned_count") == 0, F.format_string(MESSAGES["fk_valid"], "fk_count"))
+        .otherwise(F.format_string(MESSAGES["fk_orphaned"], "orphaned_count")),
         details=["fk_count", "pk_count", "orphaned_count", "orphaned_rows", "orphaned_samples"],
     )
 
@@ -196,23 +197,23 @@ def check_table(
             lambda c: c.isNotNull(),
         )
         passed = F.size(bad) == 0
-        text = F.concat(F.lit("NULLs or missing: "), F.concat_ws(", ", bad))
+        text = F.concat(F.lit(MESSAGES["nulls"]), F.concat_ws(", ", bad))
         add(check, passed, F.when(passed, F.lit(good)).otherwise(text), gaps)
 
     if not_null:
-        null_check(f"No NULLs: {name}", list(not_null), f"No NULLs found in {len(not_null)} required columns")
+        null_check(f"No NULLs: {name}", list(not_null), MESSAGES["no_nulls"] % len(not_null))
     for c in unique:
         check = f"Unique key: {name}.{c}"
         if c not in df.columns:
-            add(check, F.lit(False), F.lit(f"Column {c} not found"), [F.lit(c).alias("missing")])
+            add(check, F.lit(False), F.lit(MESSAGES["no_column"] % c), [F.lit(c).alias("missing")])
             continue
         total, distinct, nulls = F.col("total"), F.col(f"`distinct:{c}`"), F.col(f"`nulls:{c}`")
         passed = (total == distinct) & (nulls == 0)
         add(
             check,
             passed,
-            F.when(passed, F.format_string("All %d values are unique and non-NULL", total)).otherwise(
-                F.format_string("Found %d duplicates and %d NULLs", total - distinct, nulls)
+            F.when(passed, F.format_string(MESSAGES["unique"], total)).otherwise(
+                F.format_string(MESSAGES["duplicates"], total - distinct, nulls)
             ),
             [
                 total.alias("total_count"),
@@ -222,7 +223,7 @@ def check_table(
             ],
         )
     if audit_columns:
-        null_check(f"Metadata columns: {name}", audit_columns, "All 4 metadata columns present and populated")
+        null_check(f"Metadata columns: {name}", audit_columns, MESSAGES["audited"])
     for c in forbidden:
         gone = c not in df.columns
         add(f"Forbidden column: {name}.{c}", F.lit(gone), F.lit("absent" if gone else "present"), [F.lit(c).alias("column")])

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -31,7 +33,8 @@ _local_roots: dict[str, str] = {}
 def shared_root(spark: SparkSession) -> str:
     """Folder that every executor sees: the one the cluster names in ``spark.checkpoint.dir``.
 
-    Only a local session without that setting falls back to a temporary folder of the machine.
+    Only a local session without that setting falls back to a temporary folder of the machine, which goes
+    when the session's process ends.
     """
     context = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
@@ -40,7 +43,9 @@ def shared_root(spark: SparkSession) -> str:
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
     if context.applicationId not in _local_roots:
-        _local_roots[context.applicationId] = tempfile.mkdtemp(prefix="medalith-")
+        folder = tempfile.mkdtemp(prefix="medalith-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        _local_roots[context.applicationId] = folder
     return _local_roots[context.applicationId]
 
 
