@@ -28,5 +28,5 @@ def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 def stored(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
     """Write a frame to the shared work folder and read it back: short lineage that survives lost executors."""
     path = work_dir(spark, label)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -26,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from medalith.llm.components import connected_components
@@ -36,10 +36,12 @@ from medalith.llm.words import SHINGLE_WORDS, mix, shingle_sets
 PERCENT = 75
 SKETCH = 1 << 20
 CHUNK = 1 << 12
-SPLIT_ROWS = 4096
+SPLIT_ROWS = 2048
 STAR_ROUNDS = 2
 SMALL_LIST = 16
-BLOCK_DOCUMENTS = 256
+BLOCK_DOCUMENTS = 16
+ENTRY_BUCKETS = 1024
+PACKED_ENTRIES = 1 << 18
 
 
 def least_overlap(a: int, b: int, percent: int = PERCENT) -> int:
@@ -59,16 +61,31 @@ def _signature(values: np.ndarray) -> tuple[int, int]:
     return int(values.sum(dtype=np.uint64).view(np.int64)), int(second.sum(dtype=np.uint64).view(np.int64))
 
 
+def _buckets(values: np.ndarray) -> np.ndarray:
+    return (values & np.uint64(SKETCH - 1)).astype(np.int64)
+
+
+def _bucket_counts(sets: list[np.ndarray]) -> np.ndarray:
+    return np.bincount(_buckets(np.concatenate(sets)), minlength=SKETCH).astype(np.uint32)
+
+
 def _sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts = np.zeros(SKETCH, dtype=np.uint32)
     for batch in batches:
         n, one, two = [], [], []
+        waiting, size = [], 0
         for values in shingle_sets(batch.column("text")):
             n.append(len(values))
             a, b = _signature(values)
             one.append(a)
             two.append(b)
-            np.add.at(counts, (values & np.uint64(SKETCH - 1)).astype(np.int64), 1)
+            waiting.append(values)
+            size += len(values)
+            if size >= SKETCH:
+                counts += _bucket_counts(waiting)
+                waiting, size = [], 0
+        if waiting:
+            counts += _bucket_counts(waiting)
         rows = batch.num_rows
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()),
@@ -108,42 +125,69 @@ def _list_lengths(sizes: DataFrame) -> np.ndarray:
 # --- entries of the inverted lists --------------------------------------------------------------------
 
 
-def _entries(lengths, percent: int):
-    """Rows ``h, part, parts, doc_id, n, place``: the short lists in which a document has to stand."""
+_PACKED = "bucket int, hs array<long>, splits array<long>, doc_ids array<long>, sizes array<long>"
+
+
+def _packed_entries(lengths, percent: int):
+    """The short lists in which a document has to stand, many entries per row.
+
+    An entry is a shingle hash, a split, the document, and a size. ``split`` holds the number of splits of the list and
+    this document's one (``parts << 32 | part``), ``size`` the size of the set and the shingle's place in the order of
+    lists (``n << 32 | place``). Entries of one bucket lie together in columns, which halves what is shuffled.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        length = lengths.value
+        length, rank = lengths.value
+        usual = 4 * int(length.mean())  # a counter has the entries of many lists; a hot one stands out
         for batch in batches:
-            columns: list[list[np.ndarray]] = [[], [], [], [], [], []]
+            columns: list[list[np.ndarray]] = [[], [], [], []]
             size = 0
             ids = batch.column("doc_id").to_pylist()
             for doc, values in zip(ids, shingle_sets(batch.column("text")), strict=True):
                 n = len(values)
                 if doc is None or not n:
                     continue
-                count = length[(values & np.uint64(SKETCH - 1)).astype(np.int64)]
                 keep = n - -(-percent * n // 100) + 1
-                order = np.lexsort((values, count))[:keep]
-                parts = 1 + (count[order] // SPLIT_ROWS).astype(np.int64)
+                at = _buckets(values)
+                # the values are sorted, so a stable sort by rank and leading bits is a sort by rank and value
+                key = (rank[at].astype(np.uint64) << np.uint64(48)) | (values >> np.uint64(16))
+                order = np.argsort(key, kind="stable")[:keep]
+                parts = 1 + np.maximum(0, length[at[order]].astype(np.int64) - usual) // SPLIT_ROWS
                 spread = int(mix(np.array([doc], dtype=np.int64).view(np.uint64))[0] >> np.uint64(1))
                 for into, made in zip(columns, (
-                    values[order].view(np.int64), (spread % parts).astype(np.int32), parts.astype(np.int32),
-                    np.full(keep, doc), np.full(keep, n, dtype=np.int32), np.arange(keep, dtype=np.int32),
+                    values[order].view(np.int64), (parts << 32) | (spread % parts),
+                    np.full(keep, doc), (n << 32) | np.arange(keep, dtype=np.int64),
                 ), strict=True):
                     into.append(made)
                 size += keep
-                if size >= 1 << 16:
-                    yield _batch(columns)
-                    columns, size = [[], [], [], [], [], []], 0
+                if size >= PACKED_ENTRIES:
+                    yield _packed(columns)
+                    columns, size = [[], [], [], []], 0
             if size:
-                yield _batch(columns)
+                yield _packed(columns)
 
     return run
 
 
-def _batch(columns: list[list[np.ndarray]]) -> pa.RecordBatch:
-    names = ["h", "part", "parts", "doc_id", "n", "place"]
-    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in columns], names=names)
+def _packed(columns: list[list[np.ndarray]]) -> pa.RecordBatch:
+    flat = [np.concatenate(c) for c in columns]
+    bucket = (mix(flat[0].view(np.uint64) + flat[1].view(np.uint64)) % np.uint64(ENTRY_BUCKETS)).astype(np.int32)
+    order = np.argsort(bucket, kind="stable")
+    names, first = np.unique(bucket[order], return_index=True)
+    offsets = pa.array(np.append(first, len(bucket)), pa.int32())
+    lists = [pa.ListArray.from_arrays(offsets, pa.array(c[order], pa.int64())) for c in flat]
+    return pa.RecordBatch.from_arrays([pa.array(names, pa.int32()), *lists], names=["bucket", "hs", "splits", "doc_ids", "sizes"])
+
+
+def _entries(packed: DataFrame) -> DataFrame:
+    """One row per entry, partitioned by the bucket that holds whole splits of lists."""
+    at = packed.repartition("bucket").select("bucket", "splits", "doc_ids", "sizes", F.posexplode("hs").alias("pos", "h"))
+    of = {c: F.get(f"{c}s", F.col("pos")) for c in ("split", "doc_id", "size")}
+    named = at.select("bucket", "h", *[v.alias(k) for k, v in of.items()])
+    return named.select(
+        "bucket", "h", "split", "doc_id",
+        F.expr("cast(shiftright(size, 32) as int)").alias("n"), F.expr("cast(size & 4294967295 as int)").alias("place"),
+    )
 
 
 def _may_link(a: str, b: str, percent: int) -> str:
@@ -153,36 +197,51 @@ def _may_link(a: str, b: str, percent: int) -> str:
     return f"{100 + percent} * {left} >= {percent} * ({n.format(a)} + {n.format(b)})"
 
 
-def _list_members(entries: DataFrame) -> DataFrame:
-    """Entries of the lists that hold more than one document, each with the first and the previous one of its split."""
-    split = Window.partitionBy("h", "part").orderBy("n", "doc_id")
+def _list_members(entries: DataFrame, percent: int) -> DataFrame:
+    """``h, doc_id, n, place, partner, head``: the entries that can have a partner in their list.
+
+    In order of size the neighbours are the best partners: when the previous one is too small and the next one too
+    large for the places, so are all others. In a list of two the one pair decides. ``partner`` is the document a
+    member is compared with first: the first of its split, or the one before it where the sizes differ too much.
+    ``head`` marks the first member of each split of a hot list.
+    """
+    split = Window.partitionBy("bucket", "h", "split").orderBy("n", "doc_id")
     me = F.struct("doc_id", "n", "place")
     placed = entries.select(
         "*",
         F.first(me).over(split.rowsBetween(Window.unboundedPreceding, 0)).alias("first"),
         F.lag(me).over(split).alias("before"),
-        F.lead("doc_id").over(split).alias("after"),
+        F.lead(me).over(split).alias("after"),
+        (F.row_number().over(split) == 2).alias("second"),
+        F.lead("n", 2).over(split).isNull().alias("near_end"),
+        F.expr("shiftright(split, 32) > 1").alias("hot"),
+    )
+    smaller = F.expr(f"before.n * 100 >= {percent} * n")
+    larger = F.expr(f"100 * n >= {percent} * after.n and {100 + percent} * (n - place) >= {percent} * (n + after.n)")
+    two = F.expr("(before is null and near_end) or (second and after is null)")
+    of_two = F.expr(
+        f"(before is null and near_end and {_may_link('', 'after.', percent)}) or (second and after is null and {_may_link('', 'before.', percent)})"
     )
-    return placed.where("before is not null or after is not null or parts > 1").drop("after")
+    useful = F.when(F.col("hot"), True).when(two, of_two).otherwise(F.coalesce(smaller, F.lit(False)) | F.coalesce(larger, F.lit(False)))
+    kept = placed.where(F.coalesce(useful, F.lit(False)))
+    return kept.select("h", "doc_id", "n", "place", _partner(percent).alias("partner"), F.expr("hot and before is null").alias("head"))
 
 
-def _first_pairs(members: DataFrame, percent: int) -> DataFrame:
-    """One partner for each member: the first of its split, or the one before it where the sizes differ too much.
+def _partner(percent: int) -> Column:
+    first = F.when(F.expr(_may_link("", "first.", percent)), F.col("first.doc_id"))
+    before = F.when(F.expr(_may_link("", "before.", percent)), F.col("before.doc_id"))
+    return F.when(F.col("before").isNotNull(), F.coalesce(first, before))
 
-    The firsts of the splits of one list are compared among themselves in the same way.
-    """
-    firsts = members.where("parts > 1 and before is null").select("h", "doc_id", "n", "place")
+
+def _first_pairs(members: DataFrame, percent: int) -> DataFrame:
+    """Each member with its partner; the heads of the splits of one list are paired among themselves in the same way."""
     across = Window.partitionBy("h").orderBy("n", "doc_id")
     me = F.struct("doc_id", "n", "place")
-    firsts = firsts.select("*", F.first(me).over(across.rowsBetween(Window.unboundedPreceding, 0)).alias("first"), F.lag(me).over(across).alias("before"))
-    both = members.select("doc_id", "n", "place", "first", "before").unionByName(
-        firsts.select("doc_id", "n", "place", "first", "before")
-    )
-    partner = F.when(F.expr(_may_link("", "first.", percent)), F.col("first.doc_id")).when(
-        F.expr(_may_link("", "before.", percent)), F.col("before.doc_id")
+    heads = members.where("head").select(
+        "doc_id", "n", "place", F.first(me).over(across.rowsBetween(Window.unboundedPreceding, 0)).alias("first"), F.lag(me).over(across).alias("before")
     )
-    found = both.where("before is not null").select(partner.alias("a"), F.col("doc_id").alias("b"))
-    return found.where("a is not null")
+    both = members.select("partner", "doc_id").unionByName(heads.select(_partner(percent).alias("partner"), "doc_id"))
+    return both.where("partner is not null").select(F.col("partner").alias("a"), F.col("doc_id").alias("b"))
 
 
 # --- DivideSkip search in blocks of documents ---------------------------------------------------------
@@ -240,18 +299,37 @@ class BlockIndex:
         return result
 
 
+class _Forest:
+    """Which documents of a block are connected already; only links that connect more are passed on."""
+
+    def __init__(self):
+        self.above: dict[int, int] = {}
+
+    def root(self, node: int) -> int:
+        above = self.above
+        while (up := above.get(node, node)) != node:
+            above[node] = above.get(up, up)
+            node = up
+        return node
+
+    def join(self, a: int, b: int) -> bool:
+        a, b = self.root(a), self.root(b)
+        self.above[max(a, b)] = min(a, b)
+        return a != b
+
+
 def _search(percent: int):
     """Streams blocks: first the indexed documents of a block, then the documents that search it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, sets, index = None, [], None
+        block, sets, index, forest = None, [], None, _Forest()
         for batch in batches:
             a, b = [], []
             rows = zip(batch.column("block").to_pylist(), batch.column("part").to_pylist(), batch.column("role").to_pylist(),
                        batch.column("doc_id").to_pylist(), shingle_sets(batch.column("text")), strict=True)
             for of, part, role, doc, values in rows:
                 if (of, part) != block:
-                    block, sets, index = (of, part), [], None
+                    block, sets, index, forest = (of, part), [], None, _Forest()
                 if role == 0:
                     sets.append((doc, values))
                     continue
@@ -259,7 +337,7 @@ def _search(percent: int):
                     index = BlockIndex(sets, percent) if sets else None
                     sets = []
                 for other in index.search(values) if index else ():
-                    if other != doc:
+                    if forest.join(other, doc):
                         a.append(other)
                         b.append(doc)
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
@@ -306,21 +384,25 @@ def _node_pairs(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return named.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
-def _open_pairs(lists: DataFrame, components: DataFrame, turn: int, last: bool, percent: int) -> DataFrame:
-    """Pairs across components within a list: all of a short list, and of a long one its main component's pick with
-    every member outside that component, or in the last turn every pair that holds such a member."""
+def _open_lists(lists: DataFrame, components: DataFrame) -> DataFrame:
+    """Members of the lists that hold several components: ``h, node, n, place, component, k, main``; ``main`` is the
+    component with the most members of the list, ``k`` their number in all."""
     labelled = lists.join(components, "node", "left").withColumn("component", F.coalesce("component", "node"))
     shares = labelled.groupBy("h", "component").agg(F.count("*").alias("k"))
     main = shares.groupBy("h").agg(F.sum("k").alias("k"), F.count("*").alias("components"), F.max_by("component", F.struct("k", "component")).alias("main"))
-    here = labelled.join(main.where("components > 1").drop("components"), "h")
+    return labelled.join(main.where("components > 1").drop("components"), "h")
+
+
+def _open_pairs(here: DataFrame, turn: int, last: bool, percent: int) -> DataFrame:
+    """Pairs across components within the open lists: all of a short list, and of a long one its main component's pick
+    with every member outside that component, or in the last turn every pair that holds such a member."""
     if turn:
         here = here.where(F.col("k") > SMALL_LIST)
     outside = here.where("component <> main").select("h", F.struct("node", "n", "place", "component").alias("x"))
     whole = here if last else here.where(F.col("k") <= SMALL_LIST)
     inside = whole.select("h", "main", F.struct("node", "n", "place", "component").alias("y"))
     once = F.expr("x.component <> y.component and (y.component = main or x.node < y.node) and " + _may_link("x.", "y.", percent))
-    every = outside.join(inside, "h").where(once)
-    pairs = every.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+    pairs = outside.join(inside, "h").where(once).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
     if not last:
         picks = here.where((F.col("k") > SMALL_LIST) & (F.col("component") == F.col("main"))).groupBy("h").agg(
             F.min_by(F.struct("node", "n", "place"), F.xxhash64("node", F.lit(turn))).alias("y")
@@ -330,36 +412,47 @@ def _open_pairs(lists: DataFrame, components: DataFrame, turn: int, last: bool,
     return pairs.distinct()
 
 
+def _with_texts(spark: SparkSession, plain: DataFrame, texts: DataFrame | None, pairs: DataFrame, label: str) -> DataFrame:
+    """``texts`` and the texts of those documents of the pairs that it lacks."""
+    needed = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
+    if texts is not None:
+        needed = stored(spark, needed.join(texts.select("doc_id"), "doc_id", "left_anti"), f"{label}-missing")
+        if needed.isEmpty():
+            return texts
+    more = stored(spark, plain.join(needed, "doc_id", "left_semi"), label)
+    return more if texts is None else texts.unionByName(more)
+
+
 def similar_components(
     spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT
 ) -> DataFrame:
     """``doc_id, n_shingles, component_id`` for every row; the component is the smallest id reachable by links."""
     plain = id_and_text(docs, id_col, text_col)
     passed = stored(spark, plain.mapInArrow(_sizes, _SIZES), "join-sizes")
-    lengths = spark.sparkContext.broadcast(_list_lengths(passed))
+    counts = _list_lengths(passed)
+    ranks = np.round(np.log2(counts + np.uint64(1)) * 1024).astype(np.uint16)
+    lengths = spark.sparkContext.broadcast((counts, ranks))  # SKETCH numbers each
     sizes = passed.where("chunk is null").select("doc_id", "n", "sig1", "sig2")
     nodes, links = _nodes(spark, sizes)
 
-    entries = plain.mapInArrow(_entries(lengths, percent), "h long, part int, parts int, doc_id long, n int, place int")
-    members = stored(spark, _list_members(entries), "join-members")
+    entries = _entries(plain.mapInArrow(_packed_entries(lengths, percent), _PACKED))
+    members = stored(spark, _list_members(entries, percent), "join-members")
     pairs = stored(spark, _node_pairs(_first_pairs(members, percent), nodes), "join-pairs-0")
     lists = members.select("h", "doc_id", "n", "place").join(nodes, "doc_id").groupBy("h", "node").agg(F.min("n").alias("n"), F.min("place").alias("place"))
-    lists = stored(spark, lists, "join-lists")
-    needed = lists.select(F.col("node").alias("doc_id")).distinct()
-    texts = stored(spark, plain.join(needed, "doc_id", "left_semi"), "join-texts")
 
-    turn = 0
+    texts, turn = None, 0
     while True:
-        if not pairs.limit(1).count():
-            components = connected_components(spark, links, f"join-components-{turn}")
-            if turn == 0 or turn > STAR_ROUNDS:
-                break
-        else:
+        found = not pairs.isEmpty()
+        if found:
+            texts = _with_texts(spark, plain, texts, pairs, f"join-texts-{turn}")
             links = links.unionByName(_links(spark, texts, pairs, percent, f"join-links-{turn}"))
+        if found or turn == 0:
             components = connected_components(spark, links, f"join-components-{turn}")
         if turn > STAR_ROUNDS:
             break
-        pairs = stored(spark, _open_pairs(lists, components, turn, turn == STAR_ROUNDS, percent), f"join-pairs-{turn + 1}")
+        lists = stored(spark, _open_lists(lists, components), f"join-lists-{turn}")
+        pairs = stored(spark, _open_pairs(lists, turn, turn == STAR_ROUNDS, percent), f"join-pairs-{turn + 1}")
+        lists = lists.select("h", "node", "n", "place")
         turn += 1
     named = nodes.join(components, "node", "left").select("doc_id", F.coalesce("component", "node").alias("component_id"))
     return sizes.join(named, "doc_id", "left").select(
