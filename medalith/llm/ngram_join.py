@@ -11,6 +11,9 @@ the links found so far already connect is never compared, and lists that still h
 in further rounds, the last of which takes all pairs across components. So no link between different components is
 lost, while a group of n near copies costs about n comparisons per list instead of n².
 
+Before any text is moved, pairs are checked by signatures: how many shingles of a set fall into each of ``SIGNATURE``
+classes bounds what two sets share from above, so a pair that cannot reach T goes without a comparison.
+
 Hot lists are split by a hash of the document, with one more list for the firsts of the splits. The list lengths come
 from a table of ``SKETCH`` counters, whose size does not depend on the data; it only sets the order.
 
@@ -34,12 +37,15 @@ from medalith.llm.frames import id_and_text, stored
 from medalith.llm.words import SHINGLE_WORDS, mix, shingle_sets
 
 PERCENT = 75
-SKETCH = 1 << 20
+SKETCH = 1 << 22
 CHUNK = 1 << 12
+RANK_STEPS = 1024
 SPLIT_ROWS = 2048
 STAR_ROUNDS = 2
 SMALL_LIST = 16
 BLOCK_DOCUMENTS = 16
+SIGNATURE = 256
+SIGNATURE_SIZES = 60_000
 ENTRY_BUCKETS = 1024
 PACKED_ENTRIES = 1 << 18
 
@@ -51,7 +57,8 @@ def least_overlap(a: int, b: int, percent: int = PERCENT) -> int:
 
 # --- sizes, set signatures and list lengths: one pass over the texts ---------------------------------
 
-_SIZES = "doc_id long, n long, sig1 long, sig2 long, chunk int, counts binary"
+_SIZES = "doc_id long, n long, sig1 long, sig2 long, parts binary, chunk int, counts binary"
+_SIZE_NAMES = ["doc_id", "n", "sig1", "sig2", "parts", "chunk", "counts"]
 
 
 def _signature(values: np.ndarray) -> tuple[int, int]:
@@ -69,19 +76,30 @@ def _bucket_counts(sets: list[np.ndarray]) -> np.ndarray:
     return np.bincount(_buckets(np.concatenate(sets)), minlength=SKETCH).astype(np.uint32)
 
 
+def _parts(values: np.ndarray) -> bytes | None:
+    """How many shingles of a set fall into each of ``SIGNATURE`` classes; none for enormous sets.
+
+    Two sets share at most the sum of the smaller counts, so pairs that cannot reach T are told without their texts.
+    """
+    if len(values) > SIGNATURE_SIZES:
+        return None
+    return np.bincount((values >> np.uint64(40)).astype(np.int64) % SIGNATURE, minlength=SIGNATURE).astype("<u2").tobytes()
+
+
 def _sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts = np.zeros(SKETCH, dtype=np.uint32)
     for batch in batches:
-        n, one, two = [], [], []
+        n, one, two, parts = [], [], [], []
         waiting, size = [], 0
         for values in shingle_sets(batch.column("text")):
             n.append(len(values))
             a, b = _signature(values)
             one.append(a)
             two.append(b)
+            parts.append(_parts(values))
             waiting.append(values)
             size += len(values)
-            if size >= SKETCH:
+            if size >= 1 << 20:
                 counts += _bucket_counts(waiting)
                 waiting, size = [], 0
         if waiting:
@@ -89,16 +107,18 @@ def _sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = batch.num_rows
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()),
-             pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.binary())],
-            names=["doc_id", "n", "sig1", "sig2", "chunk", "counts"],
+             pa.array(parts, pa.binary()), pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.binary())],
+            names=_SIZE_NAMES,
         )
-    if counts.any():
-        packed = [zlib.compress(counts[i : i + CHUNK].tobytes(), 1) for i in range(0, SKETCH, CHUNK)]
+    filled = [i for i in range(0, SKETCH, CHUNK) if counts[i : i + CHUNK].any()]
+    if filled:
+        packed = [zlib.compress(counts[i : i + CHUNK].tobytes(), 1) for i in filled]
         empty = pa.nulls(len(packed), pa.int64())
         yield pa.RecordBatch.from_arrays(
-            [empty, empty, empty, empty, pa.array(range(len(packed)), pa.int32()), pa.array(packed, pa.binary())],
-            names=["doc_id", "n", "sig1", "sig2", "chunk", "counts"],
-        )
+            [empty, empty, empty, empty, pa.nulls(len(packed), pa.binary()), pa.array([i // CHUNK for i in filled], pa.int32()),
+             pa.array(packed, pa.binary())],
+            names=_SIZE_NAMES,
+        )
 
 
 def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -113,13 +133,14 @@ def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     )
 
 
-def _list_lengths(sizes: DataFrame) -> np.ndarray:
-    """The counters, added up on the executors: always ``SKETCH`` numbers, whatever the number of documents."""
+def _list_ranks(sizes: DataFrame) -> np.ndarray:
+    """The counters, added up on the executors, as ``RANK_STEPS`` steps per doubling: always ``SKETCH`` small numbers."""
     chunks = sizes.where("chunk is not null").select("chunk", "counts").repartition("chunk")
-    lengths = np.zeros(SKETCH, dtype=np.uint64)
+    ranks = np.zeros(SKETCH, dtype=np.uint16)
     for row in chunks.mapInArrow(_added, "chunk int, counts binary").toLocalIterator():
-        lengths[row.chunk * CHUNK : (row.chunk + 1) * CHUNK] = np.frombuffer(row.counts, dtype=np.uint64)
-    return lengths
+        counts = np.frombuffer(row.counts, dtype=np.uint64)
+        ranks[row.chunk * CHUNK : (row.chunk + 1) * CHUNK] = np.round(np.log2(counts + np.uint64(1)) * RANK_STEPS)
+    return ranks
 
 
 # --- entries of the inverted lists --------------------------------------------------------------------
@@ -128,7 +149,7 @@ def _list_lengths(sizes: DataFrame) -> np.ndarray:
 _PACKED = "bucket int, hs array<long>, splits array<long>, doc_ids array<long>, sizes array<long>"
 
 
-def _packed_entries(lengths, percent: int):
+def _packed_entries(ranks, percent: int):
     """The short lists in which a document has to stand, many entries per row.
 
     An entry is a shingle hash, a split, the document, and a size. ``split`` holds the number of splits of the list and
@@ -137,8 +158,9 @@ def _packed_entries(lengths, percent: int):
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        length, rank = lengths.value
-        usual = 4 * int(length.mean())  # a counter has the entries of many lists; a hot one stands out
+        rank = ranks.value
+        # a counter has the entries of many lists; those of a hot one stand out
+        usual = 4 * 2 ** (float(rank.mean()) / RANK_STEPS)
         for batch in batches:
             columns: list[list[np.ndarray]] = [[], [], [], []]
             size = 0
@@ -152,7 +174,8 @@ def _packed_entries(lengths, percent: int):
                 # the values are sorted, so a stable sort by rank and leading bits is a sort by rank and value
                 key = (rank[at].astype(np.uint64) << np.uint64(48)) | (values >> np.uint64(16))
                 order = np.argsort(key, kind="stable")[:keep]
-                parts = 1 + np.maximum(0, length[at[order]].astype(np.int64) - usual) // SPLIT_ROWS
+                length = np.exp2(rank[at[order]] / RANK_STEPS)
+                parts = 1 + (np.maximum(0, length - usual) // SPLIT_ROWS).astype(np.int64)
                 spread = int(mix(np.array([doc], dtype=np.int64).view(np.uint64))[0] >> np.uint64(1))
                 for into, made in zip(columns, (
                     values[order].view(np.int64), (parts << 32) | (spread % parts),
@@ -384,13 +407,37 @@ def _node_pairs(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return named.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
-def _open_lists(lists: DataFrame, components: DataFrame) -> DataFrame:
-    """Members of the lists that hold several components: ``h, node, n, place, component, k, main``; ``main`` is the
-    component with the most members of the list, ``k`` their number in all."""
-    labelled = lists.join(components, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    shares = labelled.groupBy("h", "component").agg(F.count("*").alias("k"))
-    main = shares.groupBy("h").agg(F.sum("k").alias("k"), F.count("*").alias("components"), F.max_by("component", F.struct("k", "component")).alias("main"))
-    return labelled.join(main.where("components > 1").drop("components"), "h")
+def _open_lists(labelled: DataFrame) -> DataFrame:
+    """Members ``h, node, n, place, component`` of the lists that hold several components."""
+    several = labelled.groupBy("h").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
+    here = labelled.join(several.select("h"), "h", "left_semi")
+    return here.groupBy("h", "node", "component").agg(F.min("n").alias("n"), F.min("place").alias("place"))
+
+
+def _main_components(here: DataFrame) -> DataFrame:
+    """Adds ``main``, the component with the most members of the list, and ``k``, the number of all its members."""
+    shares = here.groupBy("h", "component").agg(F.count("*").alias("k"))
+    main = shares.groupBy("h").agg(F.sum("k").alias("k"), F.max_by("component", F.struct("k", "component")).alias("main"))
+    return here.join(main, "h")
+
+
+def _comparable(pairs: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
+    """The pairs that can reach T by the counts of their signatures."""
+    known = sizes.where("n > 0").select("doc_id", "n", "parts")
+    one = known.select(F.col("doc_id").alias("a"), F.col("n").alias("n_a"), F.col("parts").alias("parts_a"))
+    two = known.select(F.col("doc_id").alias("b"), F.col("n").alias("n_b"), F.col("parts").alias("parts_b"))
+    fit = F.expr(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            need = [least_overlap(x, y, percent) for x, y in zip(batch.column("n_a").to_pylist(), batch.column("n_b").to_pylist(), strict=True)]
+            keep = []
+            for least, x, y in zip(need, batch.column("parts_a").to_pylist(), batch.column("parts_b").to_pylist(), strict=True):
+                shared = None if x is None or y is None else np.minimum(np.frombuffer(x, "<u2"), np.frombuffer(y, "<u2")).sum(dtype=np.int64)
+                keep.append(shared is None or int(shared) >= least)
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return pairs.join(one, "a").join(two, "b").where(fit).mapInArrow(run, "a long, b long").distinct()
 
 
 def _open_pairs(here: DataFrame, turn: int, last: bool, percent: int) -> DataFrame:
@@ -429,19 +476,17 @@ def similar_components(
     """``doc_id, n_shingles, component_id`` for every row; the component is the smallest id reachable by links."""
     plain = id_and_text(docs, id_col, text_col)
     passed = stored(spark, plain.mapInArrow(_sizes, _SIZES), "join-sizes")
-    counts = _list_lengths(passed)
-    ranks = np.round(np.log2(counts + np.uint64(1)) * 1024).astype(np.uint16)
-    lengths = spark.sparkContext.broadcast((counts, ranks))  # SKETCH numbers each
-    sizes = passed.where("chunk is null").select("doc_id", "n", "sig1", "sig2")
+    ranks = spark.sparkContext.broadcast(_list_ranks(passed))  # SKETCH numbers of two bytes
+    sizes = passed.where("chunk is null").select("doc_id", "n", "sig1", "sig2", "parts")
     nodes, links = _nodes(spark, sizes)
 
-    entries = _entries(plain.mapInArrow(_packed_entries(lengths, percent), _PACKED))
+    entries = _entries(plain.mapInArrow(_packed_entries(ranks, percent), _PACKED))
     members = stored(spark, _list_members(entries, percent), "join-members")
-    pairs = stored(spark, _node_pairs(_first_pairs(members, percent), nodes), "join-pairs-0")
-    lists = members.select("h", "doc_id", "n", "place").join(nodes, "doc_id").groupBy("h", "node").agg(F.min("n").alias("n"), F.min("place").alias("place"))
+    pairs = _node_pairs(_first_pairs(members, percent), nodes)
 
     texts, turn = None, 0
     while True:
+        pairs = stored(spark, _comparable(pairs, sizes, percent), f"join-pairs-{turn}")
         found = not pairs.isEmpty()
         if found:
             texts = _with_texts(spark, plain, texts, pairs, f"join-texts-{turn}")
@@ -450,9 +495,13 @@ def similar_components(
             components = connected_components(spark, links, f"join-components-{turn}")
         if turn > STAR_ROUNDS:
             break
-        lists = stored(spark, _open_lists(lists, components), f"join-lists-{turn}")
-        pairs = stored(spark, _open_pairs(lists, turn, turn == STAR_ROUNDS, percent), f"join-pairs-{turn + 1}")
-        lists = lists.select("h", "node", "n", "place")
+        if turn == 0:
+            of_doc = nodes.join(components, "node", "left").select("doc_id", "node", F.coalesce("component", "node").alias("component"))
+            labelled = members.select("h", "doc_id", "n", "place").join(of_doc, "doc_id").drop("doc_id")
+        else:
+            labelled = lists.drop("component").join(components, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        lists = stored(spark, _open_lists(labelled), f"join-lists-{turn}")
+        pairs = _open_pairs(_main_components(lists), turn, turn == STAR_ROUNDS, percent)
         turn += 1
     named = nodes.join(components, "node", "left").select("doc_id", F.coalesce("component", "node").alias("component_id"))
     return sizes.join(named, "doc_id", "left").select(
