@@ -34,6 +34,7 @@ from medalith.llm.words import pieces, text_bytes
 
 SAMPLE_PER_LANGUAGE = 2000
 MIN_LABELLED = 5
+MAX_LANGUAGES = 200
 WEIGHT = 60.0
 MIN_POSTERIOR = 0.5
 VOTE_TRIGRAMS = 30
@@ -104,11 +105,18 @@ def fit(
         column(labelled, text_col).cast("string").alias("text"), F.lower(F.trim(column(labelled, label_col).cast("string"))).alias("label")
     ).where("length(text) > 0 and length(label) > 0")
     sizes = rows.groupBy("label").count().where(F.col("count") >= min_labelled)
-    languages = sorted(r.label for r in sizes.orderBy(F.desc("count"), "label").limit(200).collect())
+    found = sizes.orderBy(F.desc("count"), "label").limit(MAX_LANGUAGES).collect()
+    languages = sorted(r.label for r in found)
     if not languages:
         return None
-    order = Window.partitionBy("label").orderBy(F.xxhash64("text"), "text")
-    sample = rows.where(F.col("label").isin(languages)).withColumn("place", F.row_number().over(order)).where(F.col("place") <= per_language)
+    # a share of the hash range that holds somewhat more than enough texts; copies of a text are one before the shuffle
+    share = F.lit(0.0)
+    for r in found:
+        share = F.when(F.col("label") == r.label, min(1.0, 1.3 * per_language / r["count"])).otherwise(share)
+    hashed = rows.withColumn("hash", F.xxhash64("text")).where(F.pmod("hash", F.lit(1 << 24)) < share * (1 << 24))
+    distinct = hashed.groupBy("label", "hash").agg(F.min("text").alias("text"))
+    order = Window.partitionBy("label").orderBy("hash")
+    sample = distinct.withColumn("place", F.row_number().over(order)).where(F.col("place") <= per_language)
     counted = sample.select("label", "text").mapInArrow(_counted(languages), "language int, bucket int, n long")
     counts = np.zeros((len(languages), BUCKETS))
     for row in counted.groupBy("language", "bucket").agg(F.sum("n").alias("n")).toLocalIterator():
