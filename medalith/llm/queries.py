@@ -32,10 +32,19 @@ def op1_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Language of every page, by a text model fitted on the labelled documents."""
-    model = language_id.fit(table(spark, sf_dir, "documents"))
-    found = language_id.identify(spark, language_id.page_rows(table(spark, sf_dir, "pages")), model)
-    return found.select(F.col("id").alias("page_id"), "language", F.round("posterior", 6).alias("posterior"), "text_language", "n_trigrams", "kept")
+    """Language of every document and every page, by a text model fitted on labelled documents.
+
+    Pages bring markup, addresses and hosts; a document's language column is the declared one, its source the host.
+    """
+    documents = table(spark, sf_dir, "documents")
+    model = language_id.fit(documents)
+    found = {
+        "doc_id": language_id.identify(spark, language_id.document_rows(documents), model, "language-documents"),
+        "page_id": language_id.identify(spark, language_id.page_rows(table(spark, sf_dir, "pages")), model, "language-pages"),
+    }
+    results = ["language", F.round("posterior", 6).alias("posterior"), "text_language", "n_trigrams", "kept"]
+    ids = {c: [F.col("id").alias(k) if k == c else F.lit(None).cast("long").alias(k) for k in found] for c in found}
+    return found["doc_id"].select(*ids["doc_id"], *results).unionByName(found["page_id"].select(*ids["page_id"], *results))
 
 
 @query
