@@ -30,6 +30,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -39,6 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from medalith.llm.byte_bpe import byte_letters, packed
 from medalith.llm.frames import column, id_and_text
 from medalith.llm.words import mix
 
@@ -47,19 +49,46 @@ SHARD_DOCUMENTS = 1 << 16
 HEADER = 512
 MAGIC = "token-shard-1"
 KEYS_PER_BUCKET = 4
-KNOWN_PIECES = 400_000
+KNOWN_PIECES = 300_000
 KNOWN_CHARS = 200
-ENCODE_CHARS = 1 << 21
 NO_KEY = -(2**63)
+CLAUSE_ENDS = ".,;:!?"
+LATIN_END = "\u0250"
+_COMPOSING = re.compile("[\u02b0-\u036f\u1ab0-\u1aff\u1dc0-\u1dff\u20d0-\u20ff\ufe20-\ufe2f]")
 
 
 # --- encoding with the tokenizers library ---------------------------------------------------------------
 
 
+class _Known(dict):
+    """Ids of the short pieces met last; this dictionary is the young one of two generations."""
+
+    def __init__(self, encode):
+        super().__init__()
+        self.encode = encode
+        self.old: dict[str, bytes] = {}
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.old.get(piece)
+        if ids is None:
+            ids = self.encode(piece)
+            if len(piece) > KNOWN_CHARS:
+                return ids
+        if len(self) >= KNOWN_PIECES:
+            self.old = dict(self)
+            self.clear()
+        self[piece] = ids
+        return ids
+
+
 class PieceEncoder:
     """Encodes texts piece by piece, with the ids of pieces met before kept per worker.
 
-    Only for vocabularies that drop white space and lower-case: nothing then reaches over a blank or a newline.
+    Only for vocabularies that drop white space and lower-case: nothing then reaches over a blank or a newline, and
+    ASCII letters may be lowered before the library sees them (not beside combining marks, with which lowered letters
+    would compose otherwise, nor beside what may be a special token). A run of Latin letters is one word of the
+    vocabulary's pattern and stays as it is when normalized, so it goes straight to the library's BPE model; all other
+    pieces take the library's whole way. Pieces are kept in two generations of at most ``KNOWN_PIECES``.
     """
 
     def __init__(self, path: str):
@@ -69,35 +98,38 @@ class PieceEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.known: dict[str, bytes] = {"": b""}
+        self.model = self.tokenizer.model
+        self.letters = dict(enumerate(byte_letters()))
+        self.known = _Known(self._piece)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        result: list[bytes] = []
-        start, size = 0, 0
-        for k, text in enumerate(texts):
-            size += len(text)
-            if size >= ENCODE_CHARS or k == len(texts) - 1:
-                result += self._encode(texts[start : k + 1])
-                start, size = k + 1, 0
-        return result
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        cut = [t.replace("\n", " ").split(" ") for t in texts]
-        if len(self.known) > KNOWN_PIECES:
-            self.known = {"": b""}
-        known = self.known
-        new = list({p for pieces in cut for p in pieces if p not in known})
-        here = dict(zip(new, map(self._ids, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)), strict=True))
-        long = {p: here.pop(p) for p in new if len(p) > KNOWN_CHARS}
-        known.update(here)
-        if not long:
-            return [b"".join(map(known.__getitem__, pieces)) for pieces in cut]
-        return [b"".join(known[p] if p in known else long[p] for p in pieces) for pieces in cut]
-
-    @staticmethod
-    def _ids(encoding) -> bytes:
-        return np.array(encoding.ids, dtype="<u4").tobytes()
+        ids = self.known.__getitem__
+        return [b"".join(map(ids, _lowered(t).replace("\n", " ").split(" "))) for t in texts]
+
+    def _piece(self, piece: str) -> bytes:
+        if not piece:
+            return b""
+        word = piece.rstrip(CLAUSE_ENDS)
+        if word and len(word) < len(piece) and _is_word(word):
+            return self.known[word] + self.known[piece[len(word) :]]
+        if not _is_word(piece):
+            return packed(self.tokenizer.encode(piece, add_special_tokens=False).ids)
+        lowered = piece.lower()
+        if not lowered.isascii():
+            lowered = lowered.encode().decode("latin-1").translate(self.letters)
+        return packed([token.id for token in self.model.tokenize(lowered)])
+
+
+def _is_word(piece: str) -> bool:
+    """Latin letters only, also when lowered."""
+    return piece.isalpha() and (piece.isascii() or (max(piece) < LATIN_END and piece.lower().isalpha()))
+
+
+def _lowered(text: str) -> str:
+    if "<|" in text or not (text.isascii() or not _COMPOSING.search(text)):
+        return text
+    return text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")
 
 
 @lru_cache(maxsize=2)
