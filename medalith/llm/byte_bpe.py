@@ -4,8 +4,9 @@ A text is cut into words by the vocabulary's pattern. Within a word the symbols
 the possible merges by rank and place. An entry whose symbols have changed since it was pushed is skipped when it
 comes up. A word of n bytes costs O(n log n), also when a text is one single word.
 
-Words repeat, so each Python worker keeps the ids of up to ``KNOWN_WORDS`` pieces between batches; a full table is
-emptied. Texts are neither shuffled nor cut.
+Words repeat, so each Python worker keeps the ids of pieces between batches, in two generations of at most
+``KNOWN_WORDS`` pieces: what is met again moves to the young one, and a full young one replaces the old one. Texts are
+neither shuffled nor cut.
 
 Defined results: null or empty text gives no ids and decodes to an empty text. Special tokens in a text become their
 ids, as the vocabulary file says. Ids outside of the vocabulary decode to nothing; bytes that are not UTF-8 decode to
@@ -17,6 +18,7 @@ from __future__ import annotations
 import heapq
 import json
 import re
+import sys
 from array import array
 from functools import lru_cache
 
@@ -44,57 +46,69 @@ def byte_letters() -> list[str]:
     return letters
 
 
-def merge_symbols(symbols: list[int], merges: dict[tuple[int, int], tuple[int, int]]) -> list[int]:
-    """Apply the merges to a word, lowest rank first, leftmost first among equal ranks."""
+class Merges:
+    """The merges by rank, and the rank of each pair of symbols."""
+
+    def __init__(self, ranked: list[tuple[int, int, int]]):
+        self.left, self.right, self.made = ([m[k] for m in ranked] for k in range(3))
+        self.rank = {left << 32 | right: rank for rank, (left, right, _) in enumerate(ranked)}
+
+
+def merge_symbols(symbols: list[int], merges: Merges) -> list[int]:
+    """Apply the merges to a word, lowest rank first, leftmost first among equal ranks.
+
+    A queue entry is one integer, ``rank << 32 | place``.
+    """
     size = len(symbols)
     if size < 2:
         return symbols
-    symbols = list(symbols)
-    after, before = list(range(1, size + 1)), list(range(-1, size - 1))
-    after[-1] = -1
-    queue = []
-    for place in range(size - 1):
-        found = merges.get((symbols[place], symbols[place + 1]))
-        if found:
-            queue.append((found[0], place, found[1]))
+    rank_of, lefts, rights, made = merges.rank.get, merges.left, merges.right, merges.made
+    symbols = [*symbols, -1]  # the last symbol has an end behind it that no merge knows
+    after, before = list(range(1, size + 2)), list(range(-1, size))
+    pairs = zip(symbols, symbols[1:size], strict=False)
+    queue = [rank << 32 | place for place, (a, b) in enumerate(pairs) if (rank := rank_of(a << 32 | b)) is not None]
     heapq.heapify(queue)
+    pop, push = heapq.heappop, heapq.heappush
     while queue:
-        _, place, made = heapq.heappop(queue)
+        entry = pop(queue)
+        rank, place = entry >> 32, entry & 0xFFFFFFFF
         right = after[place]
-        if symbols[place] < 0 or right < 0:
-            continue
-        found = merges.get((symbols[place], symbols[right]))
-        if not found or found[1] != made:
-            continue  # stale: a neighbour was merged after this entry was pushed
-        symbols[place], symbols[right] = made, -1
+        if symbols[place] != lefts[rank] or symbols[right] != rights[rank]:
+            continue  # stale: one of the two was merged after this entry was pushed
+        new = made[rank]
+        symbols[place], symbols[right] = new, -1
         further = after[right]
-        after[place] = further
-        if further >= 0:
-            before[further] = place
-            found = merges.get((made, symbols[further]))
-            if found:
-                heapq.heappush(queue, (found[0], place, found[1]))
+        after[place], before[further] = further, place
+        if symbols[further] >= 0:
+            rank = rank_of(new << 32 | symbols[further])
+            if rank is not None:
+                push(queue, rank << 32 | place)
         left = before[place]
         if left >= 0:
-            found = merges.get((symbols[left], made))
-            if found:
-                heapq.heappush(queue, (found[0], left, found[1]))
+            rank = rank_of(symbols[left] << 32 | new)
+            if rank is not None:
+                push(queue, rank << 32 | left)
     return [s for s in symbols if s >= 0]
 
 
 class _Known(dict):
-    """Ids of pieces met before; at most ``KNOWN_WORDS`` short ones."""
+    """Ids of the short pieces met last; this dictionary is the young generation."""
 
     def __init__(self, encode):
         super().__init__()
         self.encode = encode
+        self.old: dict[str, bytes] = {}
 
     def __missing__(self, piece: str) -> bytes:
-        ids = self.encode(piece)
-        if len(piece) <= KNOWN_CHARS:
-            if len(self) >= KNOWN_WORDS:
-                self.clear()
-            self[piece] = ids
+        ids = self.old.get(piece)
+        if ids is None:
+            ids = self.encode(piece)
+            if len(piece) > KNOWN_CHARS:
+                return ids
+        if len(self) >= KNOWN_WORDS:
+            self.old = dict(self)
+            self.clear()
+        self[piece] = ids
         return ids
 
 
@@ -107,10 +121,8 @@ class ByteBpe:
         vocabulary = content["model"]["vocab"]
         byte_of = {letter: byte for byte, letter in enumerate(byte_letters())}
         self.byte_ids = [vocabulary[letter] for letter in byte_letters()]
-        self.merges = {}
-        for rank, pair in enumerate(content["model"]["merges"]):
-            left, right = pair.split(" ") if isinstance(pair, str) else pair
-            self.merges[vocabulary[left], vocabulary[right]] = (rank, vocabulary[left + right])
+        pairs = [m.split(" ") if isinstance(m, str) else m for m in content["model"]["merges"]]
+        self.merges = Merges([(vocabulary[a], vocabulary[b], vocabulary[a + b]) for a, b in pairs])
         special = {t["content"]: t["id"] for t in content.get("added_tokens", [])}
         size = max([*vocabulary.values(), *special.values()]) + 1
         self.pieces = [b""] * size
@@ -123,14 +135,18 @@ class ByteBpe:
         self.special_pattern = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")") if special else None
         self.words = _Known(self._word)
         self.plain = _Known(self._pieces)
-        self.spaced = _Known(lambda piece: self._pieces(" " + piece))
+        self.spaced = _Known(self._after_blank)
 
     def _word(self, word: str) -> bytes:
-        ids = self.byte_ids
-        return np.array(merge_symbols([ids[b] for b in word.encode()], self.merges), dtype="<u4").tobytes()
+        return packed(merge_symbols(list(map(self.byte_ids.__getitem__, word.encode())), self.merges))
+
+    def _after_blank(self, piece: str) -> bytes:
+        """Ids of a piece with a blank before it; one of letters only is one word."""
+        return self._word(" " + piece) if piece.isalpha() else self._pieces(" " + piece)
 
     def _pieces(self, text: str) -> bytes:
-        return b"".join(map(self.words.__getitem__, WORDS.findall(text)))
+        words, spaced = self.words, self.spaced
+        return b"".join([spaced[w[1:]] if w[0] == " " and w[1:].isalpha() else words[w] for w in WORDS.findall(text)])
 
     def _ordinary(self, text: str) -> bytes:
         if _INNER_BLANK.search(text):
@@ -180,6 +196,13 @@ def decode(ids: Column, path: str) -> Column:
     return decoded(ids)
 
 
+def packed(ids: list[int]) -> bytes:
+    numbers = array("I", ids)
+    if sys.byteorder == "big":
+        numbers.byteswap()
+    return numbers.tobytes()
+
+
 def id_list(ids: bytes) -> list[int]:
     """Ids of a binary row, for use outside of Spark."""
-    return array("I", ids).tolist()
+    return np.frombuffer(ids, dtype="<u4").tolist()

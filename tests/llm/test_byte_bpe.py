@@ -64,7 +64,7 @@ def test_broken_ids_decode_leniently(bpe, library):
 
 
 def test_merges_take_the_lowest_rank_then_the_leftmost():
-    merges = {(0, 0): (1, 1), (1, 0): (0, 2), (1, 1): (2, 3)}
+    merges = byte_bpe.Merges([(1, 0, 2), (0, 0, 1), (1, 1, 3)])
     assert byte_bpe.merge_symbols([0] * 5, merges) == [2, 1]
     assert byte_bpe.merge_symbols([0, 0, 0, 0], merges) == [2, 0]
     assert byte_bpe.merge_symbols([], merges) == []
@@ -73,9 +73,9 @@ def test_merges_take_the_lowest_rank_then_the_leftmost():
 def test_known_pieces_are_bounded(bpe, monkeypatch):
     monkeypatch.setattr(byte_bpe, "KNOWN_WORDS", 3)
     known = byte_bpe._Known(str.encode)
-    for word in ("a", "b", "c", "d", "x" * 1000):
+    for word in ("a", "b", "c", "d", "x" * 1000, "a"):
         assert known[word] == word.encode()
-    assert set(known) == {"d"}
+    assert set(known) == {"d", "a"} and set(known.old) == {"a", "b", "c"}
 
 
 def test_columns(spark):
