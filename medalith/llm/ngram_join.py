@@ -127,19 +127,16 @@ def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk, packed in zip(batch.column("chunk").to_pylist(), batch.column("counts"), strict=True):
             counts = np.frombuffer(zlib.decompress(packed.as_py()), dtype=np.uint32)
             total[chunk] = total[chunk] + counts if chunk in total else counts.astype(np.uint64)
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(list(total), pa.int32()), pa.array([v.tobytes() for v in total.values()], pa.binary())],
-        names=["chunk", "counts"],
-    )
+    ranks = [np.round(np.log2(v + np.uint64(1)) * RANK_STEPS).astype("<u2").tobytes() for v in total.values()]
+    yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array(ranks, pa.binary())], names=["chunk", "ranks"])
 
 
 def _list_ranks(sizes: DataFrame) -> np.ndarray:
     """The counters, added up on the executors, as ``RANK_STEPS`` steps per doubling: always ``SKETCH`` small numbers."""
     chunks = sizes.where("chunk is not null").select("chunk", "counts").repartition("chunk")
     ranks = np.zeros(SKETCH, dtype=np.uint16)
-    for row in chunks.mapInArrow(_added, "chunk int, counts binary").toLocalIterator():
-        counts = np.frombuffer(row.counts, dtype=np.uint64)
-        ranks[row.chunk * CHUNK : (row.chunk + 1) * CHUNK] = np.round(np.log2(counts + np.uint64(1)) * RANK_STEPS)
+    for row in chunks.mapInArrow(_added, "chunk int, ranks binary").toLocalIterator():
+        ranks[row.chunk * CHUNK : (row.chunk + 1) * CHUNK] = np.frombuffer(row.ranks, dtype="<u2")
     return ranks
 
 
@@ -482,16 +479,18 @@ def similar_components(
 
     entries = _entries(plain.mapInArrow(_packed_entries(ranks, percent), _PACKED))
     members = stored(spark, _list_members(entries, percent), "join-members")
+    ranks.destroy()
     pairs = _node_pairs(_first_pairs(members, percent), nodes)
 
     texts, turn = None, 0
     while True:
         pairs = stored(spark, _comparable(pairs, sizes, percent), f"join-pairs-{turn}")
-        found = not pairs.isEmpty()
-        if found:
+        more = not pairs.isEmpty()
+        if more:
             texts = _with_texts(spark, plain, texts, pairs, f"join-texts-{turn}")
-            links = links.unionByName(_links(spark, texts, pairs, percent, f"join-links-{turn}"))
-        if found or turn == 0:
+            found = _links(spark, texts, pairs, percent, f"join-links-{turn}")
+            links, more = links.unionByName(found), not found.isEmpty()
+        if more or turn == 0:
             components = connected_components(spark, links, f"join-components-{turn}")
         if turn > STAR_ROUNDS:
             break
@@ -501,6 +500,8 @@ def similar_components(
         else:
             labelled = lists.drop("component").join(components, "node", "left").withColumn("component", F.coalesce("component", "node"))
         lists = stored(spark, _open_lists(labelled), f"join-lists-{turn}")
+        if lists.isEmpty():
+            break
         pairs = _open_pairs(_main_components(lists), turn, turn == STAR_ROUNDS, percent)
         turn += 1
     named = nodes.join(components, "node", "left").select("doc_id", F.coalesce("component", "node").alias("component_id"))
