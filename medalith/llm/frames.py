@@ -25,6 +25,15 @@ def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     )
 
 
+def hash_share(hash_value: Column, rows: int, wanted: int) -> Column:
+    """Whether a hash lies in a share of its range that holds somewhat more than ``wanted`` of ``rows`` rows.
+
+    Taken before an ordered limit, it keeps that limit from gathering ``wanted`` rows of every task in one.
+    """
+    share = min(1.0, (1.3 * wanted + 50) / max(1, rows))
+    return F.pmod(hash_value, F.lit(1 << 24)) < int(share * (1 << 24)) + 1
+
+
 def stored(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
     """Write a frame to the shared work folder and read it back: short lineage that survives lost executors."""
     path = work_dir(spark, label)

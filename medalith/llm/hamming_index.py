@@ -1,6 +1,6 @@
 """Approximate nearest neighbours by multi-index hashing of learned binary codes.
 
-Fitting, on at most ``SAMPLE`` vectors (those with the smallest id hash): principal axes, then a rotation that brings
+Fitting, on at most ``SAMPLE`` vectors (chosen by the hash of their ids): principal axes, then a rotation that brings
 the projections close to the corners of a cube (iterative quantization); the signs are a code of at most 64 bits. The
 search radius is the one within which the share ``TARGET`` of the sample's true neighbours lies; with more vectors
 neighbours only get nearer.
@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from medalith.llm.frames import column, stored
+from medalith.llm.frames import column, hash_share, stored
 
 SAMPLE = 4096
 SAMPLE_QUERIES = 512
@@ -68,7 +68,8 @@ def valid_vectors(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "em
 
 def fit(rows: DataFrame, sample: int = SAMPLE, k: int = 10) -> Codes | None:
     """Rotation and radius from a bounded sample of ``valid_vectors``; None for an empty table."""
-    taken = [r.vector for r in rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).collect()]
+    some = rows.where(hash_share(F.xxhash64("vec_id"), rows.count(), sample))
+    taken = [r.vector for r in some.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).collect()]
     if not taken:
         return None
     lengths = sorted({len(v) for v in taken}, key=lambda n: (-sum(len(v) == n for v in taken), n))

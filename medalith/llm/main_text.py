@@ -6,7 +6,7 @@ flow network. Blocks next to each other and blocks under the same element are jo
 their distance in the element tree, so a doubtful block follows its surroundings. The minimum cut separates main text
 from the rest.
 
-The classifier is fitted on at most ``SAMPLE_PAGES`` pages (those with the smallest hash), whose blocks are labelled
+The classifier is fitted on at most ``SAMPLE_PAGES`` different pages (chosen by their hash), whose blocks are labelled
 where the markup is explicit; each such block is used a second time without its path features, so that the text
 features also carry pages without telling markup. Pages never leave their partition.
 
@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medalith.llm.frames import column
+from medalith.llm.frames import column, hash_share
 
 SAMPLE_PAGES = 2000
 SMOOTHNESS = 0.7
@@ -199,7 +199,9 @@ def _training_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 def fit(pages: DataFrame, html_col: str = "html", sample: int = SAMPLE_PAGES) -> np.ndarray:
     """Weights of the block classifier, from the explicitly marked blocks of at most ``sample`` pages."""
     chosen = pages.select(column(pages, html_col).cast("string").alias("html")).where("html is not null")
-    chosen = chosen.orderBy(F.xxhash64("html"), "html").limit(sample)
+    some = chosen.withColumn("hash", F.xxhash64("html")).where(hash_share(F.col("hash"), chosen.count(), sample))
+    # copies of a page are one before they are gathered
+    chosen = some.groupBy("hash").agg(F.min("html").alias("html")).orderBy("hash").limit(sample).select("html")
     packed = chosen.mapInArrow(_training_rows, "rows binary, labels binary").collect()  # of ``sample`` pages at most
     x = np.frombuffer(b"".join(r.rows for r in packed), dtype="<f8").reshape(-1, FEATURES)
     y = np.frombuffer(b"".join(r.labels for r in packed), dtype="<f8")
