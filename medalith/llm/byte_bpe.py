@@ -28,8 +28,9 @@ import regex
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-KNOWN_WORDS = 400_000
+KNOWN_WORDS = 600_000
 KNOWN_CHARS = 200
+CLAUSE_ENDS = ".,;:!?"
 #: Fixed value: the word pattern of this family of vocabularies.
 WORDS = regex.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""")
 #: A blank between two white-space characters (or at the end after one) belongs to a longer run.
@@ -75,28 +76,23 @@ def merge_symbols(symbols: list[int], merges: Merges) -> list[int]:
         right = after[place]
         if symbols[place] != lefts[rank] or symbols[right] != rights[rank]:
             continue  # stale: one of the two was merged after this entry was pushed
-        new = made[rank]
-        symbols[place], symbols[right] = new, -1
-        further = after[right]
-        after[place], before[further] = further, place
-        if symbols[further] >= 0:
-            rank = rank_of(new << 32 | symbols[further])
-            if rank is not None:
-                push(queue, rank << 32 | place)
-        left = before[place]
-        if left >= 0:
-            rank = rank_of(symbols[left] << 32 | new)
-            if rank is not None:
-                push(queue, rank << 32 | left)
+        symbols[place] = new = made[rank]
+        symbols[right] = -1
+        after[place] = further = after[right]
+        before[further] = place
+        if (follower := symbols[further]) >= 0 and (rank := rank_of(new << 32 | follower)) is not None:
+            push(queue, rank << 32 | place)
+        if (left := before[place]) >= 0 and (rank := rank_of(symbols[left] << 32 | new)) is not None:
+            push(queue, rank << 32 | left)
     return [s for s in symbols if s >= 0]
 
 
 class _Known(dict):
     """Ids of the short pieces met last; this dictionary is the young generation."""
 
-    def __init__(self, encode):
+    def __init__(self, encode, most: int):
         super().__init__()
-        self.encode = encode
+        self.encode, self.most = encode, most
         self.old: dict[str, bytes] = {}
 
     def __missing__(self, piece: str) -> bytes:
@@ -105,7 +101,7 @@ class _Known(dict):
             ids = self.encode(piece)
             if len(piece) > KNOWN_CHARS:
                 return ids
-        if len(self) >= KNOWN_WORDS:
+        if len(self) >= self.most:
             self.old = dict(self)
             self.clear()
         self[piece] = ids
@@ -115,7 +111,7 @@ class _Known(dict):
 class ByteBpe:
     """A byte-level BPE vocabulary file; ids go in and out as little-endian unsigned 32-bit integers."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, known_words: int = KNOWN_WORDS):
         with open(path, encoding="utf-8") as file:
             content = json.load(file)
         vocabulary = content["model"]["vocab"]
@@ -133,16 +129,21 @@ class ByteBpe:
         self.special = {token: np.uint32(number).tobytes() for token, number in special.items()}
         longest_first = sorted(special, key=len, reverse=True)
         self.special_pattern = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")") if special else None
-        self.words = _Known(self._word)
-        self.plain = _Known(self._pieces)
-        self.spaced = _Known(self._after_blank)
+        self.words = _Known(self._word, known_words)
+        self.plain = _Known(self._pieces, known_words)
+        self.spaced = _Known(self._after_blank, known_words)
 
     def _word(self, word: str) -> bytes:
         return packed(merge_symbols(list(map(self.byte_ids.__getitem__, word.encode())), self.merges))
 
     def _after_blank(self, piece: str) -> bytes:
-        """Ids of a piece with a blank before it; one of letters only is one word."""
-        return self._word(" " + piece) if piece.isalpha() else self._pieces(" " + piece)
+        """Ids of a piece with a blank before it; letters are one word, and so are the marks that end a clause."""
+        if piece.isalpha():
+            return self._word(" " + piece)
+        word = piece.rstrip(CLAUSE_ENDS)
+        if len(word) < len(piece) and word.isalpha():
+            return self.spaced[word] + self.words[piece[len(word) :]]
+        return self._pieces(" " + piece)
 
     def _pieces(self, text: str) -> bytes:
         words, spaced = self.words, self.spaced
@@ -169,28 +170,28 @@ class ByteBpe:
 
 
 @lru_cache(maxsize=4)
-def vocabulary(path: str) -> ByteBpe:
-    """One instance per worker and file."""
-    return ByteBpe(path)
+def vocabulary(path: str, known_words: int = KNOWN_WORDS) -> ByteBpe:
+    """One instance per worker, file and size of the table of known pieces (about 200 bytes a piece)."""
+    return ByteBpe(path, known_words)
 
 
-def encode(text: Column, path: str) -> Column:
+def encode(text: Column, path: str, known_words: int = KNOWN_WORDS) -> Column:
     """Ids of each text as binary, four bytes each; null counts as empty."""
 
     @F.arrow_udf("binary")
     def encoded(texts: pa.Array) -> pa.Array:
-        bpe = vocabulary(path)
+        bpe = vocabulary(path, known_words)
         return pa.array([bpe.encode(t) if t else b"" for t in texts.to_pylist()], pa.binary())
 
     return encoded(text)
 
 
-def decode(ids: Column, path: str) -> Column:
+def decode(ids: Column, path: str, known_words: int = KNOWN_WORDS) -> Column:
     """The text of each binary row of ids; null counts as no ids."""
 
     @F.arrow_udf("string")
     def decoded(rows: pa.Array) -> pa.Array:
-        bpe = vocabulary(path)
+        bpe = vocabulary(path, known_words)
         return pa.array([bpe.decode(r) if r else "" for r in rows.to_pylist()], pa.string())
 
     return decoded(ids)

@@ -70,9 +70,8 @@ def test_merges_take_the_lowest_rank_then_the_leftmost():
     assert byte_bpe.merge_symbols([], merges) == []
 
 
-def test_known_pieces_are_bounded(bpe, monkeypatch):
-    monkeypatch.setattr(byte_bpe, "KNOWN_WORDS", 3)
-    known = byte_bpe._Known(str.encode)
+def test_known_pieces_are_bounded():
+    known = byte_bpe._Known(str.encode, 3)
     for word in ("a", "b", "c", "d", "x" * 1000, "a"):
         assert known[word] == word.encode()
     assert set(known) == {"d", "a"} and set(known.old) == {"a", "b", "c"}
