@@ -26,7 +26,7 @@ def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 def hash_share(hash_value: Column, rows: int, wanted: int) -> Column:
-    """Whether a hash lies in a share of its range that holds somewhat more than ``wanted`` of ``rows`` rows.
+    """Whether a hash lies in a share of its range that holds somewhat more than ``wanted`` of ``rows`` different values.
 
     Taken before an ordered limit, it keeps that limit from gathering ``wanted`` rows of every task in one.
     """

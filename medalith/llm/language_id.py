@@ -2,8 +2,8 @@
 
 For each language l the evidence adds up as logarithms:
 
-* the text: hashed byte trigrams under a naive Bayes model that is fitted on at most ``SAMPLE_PER_LANGUAGE`` labelled
-  rows of each language (those with the smallest text hash); trigrams overlap, so a text weighs at most ``WEIGHT``
+* the text: hashed byte trigrams under a naive Bayes model that is fitted on at most ``SAMPLE_PER_LANGUAGE`` different
+  labelled texts of each language (chosen by their hash); trigrams overlap, so a text weighs at most ``WEIGHT``
   independent ones;
 * the declared markup language and the address suffix: P(value | l) from counts over all rows, by the language that
   the text alone points to;
@@ -80,6 +80,7 @@ def trigrams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
 def _counted(languages: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((len(languages), BUCKETS), dtype=np.int64)
+        texts = np.zeros(len(languages), dtype=np.int64)
         at = {language: k for k, language in enumerate(languages)}
         for batch in batches:
             labels = batch.column("label").to_pylist()
@@ -87,16 +88,41 @@ def _counted(languages: list[str]):
             for first, last in pieces(offsets):
                 buckets, begin = trigrams(data, offsets[first : last + 1])
                 for row in range(last - first):
+                    texts[at[labels[first + row]]] += 1
                     total[at[labels[first + row]]] += np.bincount(buckets[begin[row] : begin[row + 1]], minlength=BUCKETS)
         language, bucket = np.nonzero(total)
         yield pa.RecordBatch.from_arrays(
             [pa.array(language, pa.int32()), pa.array(bucket, pa.int32()), pa.array(total[language, bucket], pa.int64())],
             names=["language", "bucket", "n"],
         )
+        taken = np.flatnonzero(texts)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(taken, pa.int32()), pa.array(np.full(len(taken), -1), pa.int32()), pa.array(texts[taken], pa.int64())],
+            names=["language", "bucket", "n"],
+        )
 
     return run
 
 
+def _sample_counts(rows: DataFrame, languages: list[str], shares: dict[str, float], per_language: int) -> tuple[np.ndarray, np.ndarray]:
+    """Trigrams per language and bucket in at most ``per_language`` texts of the given shares, and the number of these texts."""
+    share = F.lit(0.0)
+    for label, of in shares.items():
+        share = F.when(F.col("label") == label, of).otherwise(share)
+    hashed = rows.where(F.pmod("hash", F.lit(1 << 24)) < share * (1 << 24))
+    distinct = hashed.groupBy("label", "hash").agg(F.min("text").alias("text"))  # copies of a text are one before the shuffle
+    order = Window.partitionBy("label").orderBy("hash")
+    sample = distinct.withColumn("place", F.row_number().over(order)).where(F.col("place") <= per_language)
+    counted = sample.select("label", "text").mapInArrow(_counted(languages), "language int, bucket int, n long")
+    counts, taken = np.zeros((len(languages), BUCKETS)), np.zeros(len(languages))
+    for row in counted.groupBy("language", "bucket").agg(F.sum("n").alias("n")).toLocalIterator():
+        if row.bucket < 0:
+            taken[row.language] = row.n
+        else:
+            counts[row.language, row.bucket] = row.n
+    return counts, taken
+
+
 def fit(
     labelled: DataFrame, text_col: str = "text", label_col: str = "lang", per_language: int = SAMPLE_PER_LANGUAGE, min_labelled: int = MIN_LABELLED
 ) -> TextModel | None:
@@ -104,23 +130,20 @@ def fit(
     rows = labelled.select(
         column(labelled, text_col).cast("string").alias("text"), F.lower(F.trim(column(labelled, label_col).cast("string"))).alias("label")
     ).where("length(text) > 0 and length(label) > 0")
-    sizes = rows.groupBy("label").count().where(F.col("count") >= min_labelled)
+    rows = rows.withColumn("hash", F.xxhash64("text"))
+    sizes = rows.groupBy("label").agg(F.count("*").alias("count"), F.approx_count_distinct("hash").alias("texts")).where(F.col("count") >= min_labelled)
     found = sizes.orderBy(F.desc("count"), "label").limit(MAX_LANGUAGES).collect()
     languages = sorted(r.label for r in found)
     if not languages:
         return None
-    # a share of the hash range that holds somewhat more than enough texts; copies of a text are one before the shuffle
-    share = F.lit(0.0)
-    for r in found:
-        share = F.when(F.col("label") == r.label, min(1.0, 1.3 * per_language / r["count"])).otherwise(share)
-    hashed = rows.withColumn("hash", F.xxhash64("text")).where(F.pmod("hash", F.lit(1 << 24)) < share * (1 << 24))
-    distinct = hashed.groupBy("label", "hash").agg(F.min("text").alias("text"))
-    order = Window.partitionBy("label").orderBy("hash")
-    sample = distinct.withColumn("place", F.row_number().over(order)).where(F.col("place") <= per_language)
-    counted = sample.select("label", "text").mapInArrow(_counted(languages), "language int, bucket int, n long")
-    counts = np.zeros((len(languages), BUCKETS))
-    for row in counted.groupBy("language", "bucket").agg(F.sum("n").alias("n")).toLocalIterator():
-        counts[row.language, row.bucket] = row.n
+    # a share of the hash range that holds somewhat more than enough different texts, as all copies of a text lie in it or none
+    shares = {r.label: min(1.0, (1.3 * per_language + 50) / max(1, r.texts)) for r in found}
+    counts, taken = _sample_counts(rows, languages, shares, per_language)
+    short = {k: 1.0 for k in languages if shares[k] < 1 and taken[languages.index(k)] < per_language}
+    if short:  # the estimate of their texts was far too high
+        more, _ = _sample_counts(rows, languages, short, per_language)
+        again = [languages.index(k) for k in short]
+        counts[again] = more[again]
     shares = counts / np.maximum(1, counts.sum(axis=1, keepdims=True))
     logs = np.log((1 - UNIFORM_SHARE) * shares + UNIFORM_SHARE / BUCKETS)
     return TextModel(languages, np.vstack([logs, np.full(BUCKETS, -math.log(BUCKETS))]).astype(np.float32))

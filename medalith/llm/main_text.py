@@ -24,7 +24,7 @@ from html.parser import HTMLParser
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from medalith.llm.frames import column, hash_share
@@ -191,18 +191,26 @@ def _training_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
                     rows += [own, [*own[:-2], 0.0, 0.0]]
                     labels += [block.side > 0] * 2
         yield pa.RecordBatch.from_arrays(
-            [pa.array([np.array(rows, dtype="<f8").tobytes()], pa.binary()), pa.array([np.array(labels, dtype="<f8").tobytes()], pa.binary())],
-            names=["rows", "labels"],
+            [pa.array([np.array(rows, dtype="<f8").tobytes()], pa.binary()), pa.array([np.array(labels, dtype="<f8").tobytes()], pa.binary()),
+             pa.array([batch.num_rows], pa.int32())],
+            names=["rows", "labels", "pages"],
         )
 
 
+def _sampled(hashed: DataFrame, sample: int) -> list[Row]:
+    # copies of a page are one before they are gathered
+    chosen = hashed.groupBy("hash").agg(F.min("html").alias("html")).orderBy("hash").limit(sample).select("html")
+    return chosen.mapInArrow(_training_rows, "rows binary, labels binary, pages int").collect()  # of ``sample`` pages at most
+
+
 def fit(pages: DataFrame, html_col: str = "html", sample: int = SAMPLE_PAGES) -> np.ndarray:
     """Weights of the block classifier, from the explicitly marked blocks of at most ``sample`` pages."""
     chosen = pages.select(column(pages, html_col).cast("string").alias("html")).where("html is not null")
-    some = chosen.withColumn("hash", F.xxhash64("html")).where(hash_share(F.col("hash"), chosen.count(), sample))
-    # copies of a page are one before they are gathered
-    chosen = some.groupBy("hash").agg(F.min("html").alias("html")).orderBy("hash").limit(sample).select("html")
-    packed = chosen.mapInArrow(_training_rows, "rows binary, labels binary").collect()  # of ``sample`` pages at most
+    hashed = chosen.withColumn("hash", F.xxhash64("html"))
+    different = hashed.agg(F.approx_count_distinct("hash").alias("n")).first().n
+    packed = _sampled(hashed.where(hash_share(F.col("hash"), different, sample)), sample)
+    if sum(r.pages for r in packed) < sample < different:  # the estimate was far too high
+        packed = _sampled(hashed, sample)
     x = np.frombuffer(b"".join(r.rows for r in packed), dtype="<f8").reshape(-1, FEATURES)
     y = np.frombuffer(b"".join(r.labels for r in packed), dtype="<f8")
     # a mild prior holds the weights where the sample has no or one-sided evidence

@@ -85,3 +85,12 @@ def test_page_evidence(spark):
     assert found[1] == ("fr", "fr", "example.de", "www.a.example.de", "Bon jour")
     assert found[2] == (None, "es", "b.es", "b.es", "hola")
     assert found[3] == (None, None, None, None, "")
+
+
+def test_a_language_of_copies_keeps_its_texts(spark):
+    words = {"la": "lorem ipsum dolor sit amet consectetur", "qu": "runa simi kawsay wasi allpa mayu"}
+    made = [(f"{words['la']} {'abcdefgh'[k]}{'xyz'[k % 3]}", "la") for k in range(8)] * 30 + [(f"{words['qu']} {k}", "qu") for k in range(9)]
+    model = language_id.fit(spark.createDataFrame(made, "text string, lang string"), per_language=1)
+    data = [(1, "lorem ipsum dolor sit amet", "la", None, None, "h"), (2, "runa simi kawsay wasi", "qu", None, None, "h")]
+    found = language_id.identify(spark, rows(spark, data), model).collect()
+    assert {r.id: (r.text_language or r.language, r.kept) for r in found} == {1: ("la", True), 2: ("qu", True)}

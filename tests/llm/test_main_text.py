@@ -67,3 +67,10 @@ def test_empty_table_and_other_columns(spark):
     assert m.with_main_text(spark, spark.createDataFrame([], "page_id long, html string")).count() == 0
     pages = spark.createDataFrame([(1, ARTICLE, "r", "l")], "page_id long, html string, rows string, labels string")
     assert [tuple(r) for r in m.with_main_text(spark, pages).select("text", "rows", "labels").collect()] == [(TEXT, "r", "l")]
+
+
+def test_copies_of_a_page_do_not_empty_the_sample(spark):
+    made = [(k, f"<article><p>Text {k % 4} goes on here.</p></article><div class=ad>Buy {k % 4}</div>") for k in range(4000)]
+    pages = spark.createDataFrame(made, "page_id long, html string")
+    one = m.fit(pages.dropDuplicates(["html"]), sample=4)
+    assert m.fit(pages, sample=4).tolist() == pytest.approx(one.tolist())
