@@ -10,8 +10,10 @@ For each language l the evidence adds up as logarithms:
 * the host: a prior P(l | host), smoothed towards its domain, which is smoothed towards all rows.
 
 All counts are grouped aggregations over the whole table, and a row's own vote is taken out of them. The class ``und``
-stands for no known language (uniform trigrams). A row is rejected when it has no letters, when ``und`` wins, or when
-the best language stays below ``MIN_POSTERIOR``.
+stands for no known language (uniform trigrams). Every label is a class; one with few texts has a model of few trigrams,
+smoothed like the others. A row is rejected when it has no letters, when ``und`` wins, or when the best language stays
+below ``MIN_POSTERIOR`` together with those that differ from it in the region only (``en-us``, ``en-gb``). A row with
+letters whose declared language has no class is never rejected; nothing is known about that language.
 
 Defined results: null or empty text has no trigrams and is rejected; null evidence is left out; a host is one key of
 a join whose other side has one row per host, so a hot host can be split. Without any labelled row nothing is
@@ -20,7 +22,9 @@ rejected and the language is null. Repeated rows get equal results.
 
 from __future__ import annotations
 
+import json
 import math
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -33,8 +37,6 @@ from medalith.llm.frames import column, stored
 from medalith.llm.words import pieces, text_bytes
 
 SAMPLE_PER_LANGUAGE = 2000
-MIN_LABELLED = 5
-MAX_LANGUAGES = 200
 WEIGHT = 60.0
 MIN_POSTERIOR = 0.5
 VOTE_TRIGRAMS = 30
@@ -43,9 +45,12 @@ UNIFORM_SHARE = 0.3
 UNKNOWN = "und"
 UNKNOWN_PRIOR = 1e-4
 BUCKETS = 1 << 16
+#: Scores that a worker holds at a time.
+SCORES = 1 << 20
 KEYS = ("row_key", "id", "declared", "suffix", "domain", "host")
 _SCORED = "row_key long, id long, declared string, suffix string, domain string, host string, n long, scores array<double>, vote int"
 
+_UNSEEN = math.log(UNIFORM_SHARE / BUCKETS)
 #: Byte table: ASCII letters lowered, non-ASCII bytes kept, all else a blank.
 _LETTER = np.full(256, 32, dtype=np.uint32)
 _LETTER[65:91] = np.arange(97, 123)
@@ -55,11 +60,19 @@ _LETTER[128:] = np.arange(128, 256)
 
 @dataclass(frozen=True)
 class TextModel:
-    """Log-probability of each trigram bucket per language, the last row for ``und``."""
+    """Log-probabilities of the trigram buckets that a language has, those of language k from ``begin[k]`` on."""
 
     languages: list[str]
+    begin: np.ndarray
+    buckets: np.ndarray
     logs: np.ndarray
 
+    def row(self, k: int) -> np.ndarray:
+        """Log-probability of every bucket in a language."""
+        logs = np.full(BUCKETS, _UNSEEN, dtype=np.float32)
+        logs[self.buckets[self.begin[k] : self.begin[k + 1]]] = self.logs[self.begin[k] : self.begin[k + 1]]
+        return logs
+
 
 def trigrams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of the trigrams around each letter, and where each row's trigrams begin (one more entry)."""
@@ -77,111 +90,115 @@ def trigrams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     return ((code * np.uint32(2654435761)) >> np.uint32(16)).astype(np.int64), np.searchsorted(places, cuts)
 
 
-def _counted(languages: list[str]):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((len(languages), BUCKETS), dtype=np.int64)
-        texts = np.zeros(len(languages), dtype=np.int64)
-        at = {language: k for k, language in enumerate(languages)}
-        for batch in batches:
-            labels = batch.column("label").to_pylist()
-            data, offsets = text_bytes(batch.column("text"))
-            for first, last in pieces(offsets):
-                buckets, begin = trigrams(data, offsets[first : last + 1])
-                for row in range(last - first):
-                    texts[at[labels[first + row]]] += 1
-                    total[at[labels[first + row]]] += np.bincount(buckets[begin[row] : begin[row + 1]], minlength=BUCKETS)
-        language, bucket = np.nonzero(total)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(language, pa.int32()), pa.array(bucket, pa.int32()), pa.array(total[language, bucket], pa.int64())],
-            names=["language", "bucket", "n"],
-        )
-        taken = np.flatnonzero(texts)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(taken, pa.int32()), pa.array(np.full(len(taken), -1), pa.int32()), pa.array(texts[taken], pa.int64())],
-            names=["language", "bucket", "n"],
-        )
-
-    return run
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Trigrams by label and bucket, texts under the bucket -1; the rows come in runs of one label."""
+    current, total, texts = None, np.zeros(BUCKETS, dtype=np.int64), 0
 
+    def counts() -> pa.RecordBatch:
+        bucket = np.flatnonzero(total)
+        return pa.RecordBatch.from_arrays(
+            [pa.array([current] * (len(bucket) + 1), pa.string()), pa.array(np.append(bucket, -1), pa.int32()), pa.array(np.append(total[bucket], texts), pa.int64())],
+            names=["label", "bucket", "n"],
+        )
 
-def _sample_counts(rows: DataFrame, languages: list[str], shares: dict[str, float], per_language: int) -> tuple[np.ndarray, np.ndarray]:
-    """Trigrams per language and bucket in at most ``per_language`` texts of the given shares, and the number of these texts."""
-    share = F.lit(0.0)
-    for label, of in shares.items():
-        share = F.when(F.col("label") == label, of).otherwise(share)
-    hashed = rows.where(F.pmod("hash", F.lit(1 << 24)) < share * (1 << 24))
-    distinct = hashed.groupBy("label", "hash").agg(F.min("text").alias("text"))  # copies of a text are one before the shuffle
+    for batch in batches:
+        labels = batch.column("label").to_pylist()
+        data, offsets = text_bytes(batch.column("text"))
+        for first, last in pieces(offsets):
+            buckets, begin = trigrams(data, offsets[first : last + 1])
+            for row in range(last - first):
+                if labels[first + row] != current:
+                    if texts:
+                        yield counts()
+                    current, texts = labels[first + row], 0
+                    total[:] = 0
+                texts += 1
+                total += np.bincount(buckets[begin[row] : begin[row + 1]], minlength=BUCKETS)
+    if texts:
+        yield counts()
+
+
+def _sample_counts(rows: DataFrame, shares: dict[str, float], per_language: int) -> dict[str, tuple[np.ndarray, np.ndarray, int]]:
+    """By label: buckets, trigrams in each, and texts, in at most ``per_language`` texts of the given shares (1 for other labels)."""
+    if shares:
+        table = F.explode(F.from_json(F.lit(json.dumps(shares)), "map<string,double>")).alias("label", "share")
+        rows = rows.join(rows.sparkSession.range(1).select(table), "label", "left")
+        rows = rows.where(F.col("share").isNull() | (F.pmod("hash", F.lit(1 << 24)) < F.col("share") * (1 << 24)))
+    distinct = rows.groupBy("label", "hash").agg(F.min("text").alias("text"))  # copies of a text are one before the shuffle
     order = Window.partitionBy("label").orderBy("hash")
     sample = distinct.withColumn("place", F.row_number().over(order)).where(F.col("place") <= per_language)
-    counted = sample.select("label", "text").mapInArrow(_counted(languages), "language int, bucket int, n long")
-    counts, taken = np.zeros((len(languages), BUCKETS)), np.zeros(len(languages))
-    for row in counted.groupBy("language", "bucket").agg(F.sum("n").alias("n")).toLocalIterator():
-        if row.bucket < 0:
-            taken[row.language] = row.n
-        else:
-            counts[row.language, row.bucket] = row.n
-    return counts, taken
-
-
-def fit(
-    labelled: DataFrame, text_col: str = "text", label_col: str = "lang", per_language: int = SAMPLE_PER_LANGUAGE, min_labelled: int = MIN_LABELLED
-) -> TextModel | None:
-    """A model from a bounded sample of labelled rows; None when no language has ``min_labelled`` of them."""
+    counted = sample.select("label", "text").mapInArrow(_counted, "label string, bucket int, n long")
+    summed = counted.groupBy("label", "bucket").agg(F.sum("n").alias("n"))
+    gathered = summed.groupBy("label").agg(F.array_sort(F.collect_list(F.struct("bucket", "n"))).alias("all"))  # BUCKETS + 1 at most
+    found = {}
+    for row in gathered.select("label", F.col("all.bucket").alias("buckets"), F.col("all.n").alias("n")).toLocalIterator():
+        found[row.label] = (np.array(row.buckets[1:], dtype=np.uint16), np.array(row.n[1:], dtype=np.int64), row.n[0])
+    return found
+
+
+def fit(labelled: DataFrame, text_col: str = "text", label_col: str = "lang", per_language: int = SAMPLE_PER_LANGUAGE) -> TextModel | None:
+    """A model of every label from a bounded sample of each one's rows; None when no labelled row has letters.
+
+    The label ``und`` names no language and makes no class.
+    """
     rows = labelled.select(
         column(labelled, text_col).cast("string").alias("text"), F.lower(F.trim(column(labelled, label_col).cast("string"))).alias("label")
-    ).where("length(text) > 0 and length(label) > 0")
+    ).where(f"length(text) > 0 and length(label) > 0 and label <> '{UNKNOWN}'")
     rows = rows.withColumn("hash", F.xxhash64("text"))
-    sizes = rows.groupBy("label").agg(F.count("*").alias("count"), F.approx_count_distinct("hash").alias("texts")).where(F.col("count") >= min_labelled)
-    found = sizes.orderBy(F.desc("count"), "label").limit(MAX_LANGUAGES).collect()
-    languages = sorted(r.label for r in found)
-    if not languages:
-        return None
+    sizes = rows.groupBy("label").agg(F.approx_count_distinct("hash").alias("texts")).collect()
     # a share of the hash range that holds somewhat more than enough different texts, as all copies of a text lie in it or none
-    shares = {r.label: min(1.0, (1.3 * per_language + 50) / max(1, r.texts)) for r in found}
-    counts, taken = _sample_counts(rows, languages, shares, per_language)
-    short = {k: 1.0 for k in languages if shares[k] < 1 and taken[languages.index(k)] < per_language}
+    enough = 1.3 * per_language + 50
+    shares = {r.label: enough / r.texts for r in sizes if r.texts > enough}
+    counts = _sample_counts(rows, shares, per_language)
+    short = [label for label in shares if label not in counts or counts[label][2] < per_language]
     if short:  # the estimate of their texts was far too high
-        more, _ = _sample_counts(rows, languages, short, per_language)
-        again = [languages.index(k) for k in short]
-        counts[again] = more[again]
-    shares = counts / np.maximum(1, counts.sum(axis=1, keepdims=True))
-    logs = np.log((1 - UNIFORM_SHARE) * shares + UNIFORM_SHARE / BUCKETS)
-    return TextModel(languages, np.vstack([logs, np.full(BUCKETS, -math.log(BUCKETS))]).astype(np.float32))
+        counts |= _sample_counts(rows.where(F.col("label").isin(short)), {}, per_language)
+    languages = sorted(label for label, (buckets, _, _) in counts.items() if len(buckets))
+    if not languages:
+        return None
+    logs = [np.log((1 - UNIFORM_SHARE) * counts[k][1] / counts[k][1].sum() + UNIFORM_SHARE / BUCKETS) for k in languages]
+    begin = np.cumsum([0, *[len(x) for x in logs]])
+    return TextModel(languages, begin, np.concatenate([counts[k][0] for k in languages]), np.concatenate(logs).astype(np.float32))
 
 
 def _scored(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        logs = model.value
+        classes = len(model.value.languages) + 1
         for batch in batches:
             data, offsets = text_bytes(batch.column("text"))
-            counts, scores = [], []
-            for first, last in pieces(offsets):
-                buckets, begin = trigrams(data, offsets[first : last + 1])
-                n = np.diff(begin)
-                sums = np.zeros((last - first, len(logs)))
-                filled = np.flatnonzero(n)
-                if len(filled):
-                    for k, row in enumerate(logs):
-                        sums[filled, k] = np.add.reduceat(row[buckets].astype(np.float64), begin[filled])
-                counts.append(n)
-                scores.append(sums * (WEIGHT / (n + WEIGHT))[:, None])
-            n = np.concatenate(counts) if counts else np.zeros(0, dtype=np.int64)
-            all_scores = np.vstack(scores) if scores else np.zeros((0, len(logs)))
-            best = all_scores.argmax(axis=1)
-            unsure = (n < VOTE_TRIGRAMS) | (best == len(logs) - 1)
-            rows = pa.FixedSizeListArray.from_arrays(pa.array(all_scores.ravel()), len(logs)).cast(pa.list_(pa.float64()))
-            yield pa.RecordBatch.from_arrays(
-                [*[batch.column(k) for k in KEYS], pa.array(n, pa.int64()), rows, pa.array(best, pa.int32(), mask=unsure)],
-                names=[*KEYS, "n", "scores", "vote"],
-            )
+            for start, end in pieces(offsets):
+                step = max(1, SCORES // classes)
+                for first in range(start, end, step):
+                    last = min(end, first + step)
+                    yield scored(batch.slice(first, last - first), data, offsets[first : last + 1], classes)
+
+    def scored(batch: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray, classes: int) -> pa.RecordBatch:
+        buckets, begin = trigrams(data, offsets)
+        n = np.diff(begin)
+        sums = np.zeros((len(n), classes))
+        filled = np.flatnonzero(n)
+        if len(filled):
+            for k in range(classes - 1):
+                sums[filled, k] = np.add.reduceat(model.value.row(k)[buckets].astype(np.float64), begin[filled])
+            sums[:, -1] = n * -math.log(BUCKETS)
+        scores = sums * (WEIGHT / (n + WEIGHT))[:, None]
+        best = scores.argmax(axis=1)
+        unsure = (n < VOTE_TRIGRAMS) | (best == classes - 1)
+        rows = pa.FixedSizeListArray.from_arrays(pa.array(scores.ravel()), classes).cast(pa.list_(pa.float64()))
+        return pa.RecordBatch.from_arrays(
+            [*[batch.column(k) for k in KEYS], pa.array(n, pa.int64()), rows, pa.array(best, pa.int32(), mask=unsure)],
+            names=[*KEYS, "n", "scores", "vote"],
+        )
 
     return run
 
 
 def _votes(scored: DataFrame, feature: str, languages: int) -> DataFrame:
     """Votes per language for each value of a feature: one row per value, combined before the shuffle."""
-    each = [F.sum(F.when(F.col("vote") == k, 1).otherwise(0)) for k in range(languages)]
-    return scored.where(F.col(feature).isNotNull() & F.col("vote").isNotNull()).groupBy(feature).agg(F.array(*each).alias(f"{feature}_votes"))
+    cast = scored.where(F.col(feature).isNotNull() & F.col("vote").isNotNull()).groupBy(feature, "vote").count()
+    found = cast.groupBy(feature).agg(F.map_from_entries(F.collect_list(F.struct("vote", "count"))).alias("by_vote"))  # an entry a language
+    each = F.expr(f"transform(sequence(0, {languages - 1}), k -> coalesce(by_vote[k], 0L))")
+    return found.select(feature, each.alias(f"{feature}_votes"))
 
 
 def _without_own(votes: str) -> str:
@@ -195,8 +212,8 @@ def identify(spark: SparkSession, rows: DataFrame, model: TextModel | None, labe
         return rows.select("row_key", "id", nothing.cast("string").alias("language"), nothing.cast("double").alias("posterior"),
                            nothing.cast("string").alias("text_language"), F.lit(0).cast("long").alias("n_trigrams"), F.lit(True).alias("kept"))
     size = len(model.languages)
-    logs = spark.sparkContext.broadcast(model.logs)  # (languages + 1) × BUCKETS numbers, 200 languages at most
-    scored = stored(spark, rows.select(*KEYS, "text").mapInArrow(_scored(logs), _SCORED), label)
+    texts = spark.sparkContext.broadcast(model)  # only the buckets that a language has
+    scored = stored(spark, rows.select(*KEYS, "text").mapInArrow(_scored(texts), _SCORED), label)
     totals = scored.where("vote is not null").groupBy("vote").count().collect()
     count = [0.0] * size
     for row in totals:
@@ -227,12 +244,18 @@ def identify(spark: SparkSession, rows: DataFrame, model: TextModel | None, labe
     wide = wide.withColumn("top", F.array_max("logs")).withColumn("best", F.expr("array_position(logs, top) - 1").cast("int"))
     names = F.array(*[F.lit(x) for x in [*model.languages, UNKNOWN]])
     posterior = F.expr("1 / aggregate(logs, 0D, (s, x) -> s + exp(x - top))")
+    primary = [re.split("[-_]", x)[0] for x in [*model.languages, UNKNOWN]]
+    families = ",".join(str(primary.index(x)) for x in primary)
+    alike = F.expr(f"aggregate(zip_with(logs, array({families}), (x, f) -> if(f = array({families})[best], exp(x - top), 0D)), 0D, (s, x) -> s + x)")
+    known = sorted({*model.languages, *primary})
     named = wide.select(
         "row_key", "id", F.get(names, F.col("best")).alias("language"), posterior.alias("posterior"),
         F.get(names, F.col("vote")).alias("text_language"), F.col("n").alias("n_trigrams"),
+        (alike * posterior if len(set(primary)) < len(primary) else posterior).alias("likely"),
+        F.coalesce(~F.lower(F.trim("declared")).isin(known) & (F.length(F.trim("declared")) > 0), F.lit(False)).alias("undecided"),
     )
-    kept = (F.col("n_trigrams") > 0) & (F.col("language") != UNKNOWN) & (F.col("posterior") >= MIN_POSTERIOR)
-    return named.withColumn("kept", kept)
+    sure = (F.col("language") != UNKNOWN) & (F.col("likely") >= MIN_POSTERIOR)
+    return named.withColumn("kept", (F.col("n_trigrams") > 0) & (sure | F.col("undecided"))).drop("likely", "undecided")
 
 
 def _smoothed(votes: str, towards: str, m: float) -> str:

@@ -1,6 +1,7 @@
 """Language identification: held-out accuracy, evidence, and what is rejected."""
 
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -94,3 +95,27 @@ def test_a_language_of_copies_keeps_its_texts(spark):
     data = [(1, "lorem ipsum dolor sit amet", "la", None, None, "h"), (2, "runa simi kawsay wasi", "qu", None, None, "h")]
     found = language_id.identify(spark, rows(spark, data), model).collect()
     assert {r.id: (r.text_language or r.language, r.kept) for r in found} == {1: ("la", True), 2: ("qu", True)}
+
+
+def test_every_label_is_a_class(spark):
+    pick = random.Random(4)
+    made = []
+    for k in range(230):
+        words = ["".join(pick.choices("abcdefghijklmnopqrstuvwxyz", k=5)) for _ in range(20)]
+        made += [(1000 * k + i, " ".join(pick.choices(words, k=40)), f"q{k:03}", "src") for i in range(1 + k % 3)]
+    docs = spark.createDataFrame(made, "doc_id long, text string, lang string, source string")
+    found = language_id.identify(spark, language_id.document_rows(docs), language_id.fit(docs)).join(docs, F.col("id") == F.col("doc_id"))
+    assert found.where("kept and language = lang").count() == found.count() == len(made)
+
+
+def test_regions_of_a_language_share_its_posterior(spark):
+    made = [(f"the same words of one language in every region {'abcdefgh'[k % 8]}", f"en-{('us', 'gb', 'au', 'nz')[k % 4]}") for k in range(8)]
+    model = language_id.fit(spark.createDataFrame(made, "text string, lang string"))
+    found = language_id.identify(spark, rows(spark, [(1, "the words of every language", "en", None, None, None)]), model).first()
+    assert found.kept and found.posterior < 0.5
+
+
+def test_declared_language_without_a_model_is_not_rejected(spark, model):
+    russian = "Все люди рождаются свободными и равными в своём достоинстве и правах"
+    data = [(1, russian, "ru", None, None, None), (2, russian, "en", None, None, None), (3, "123", "ru", None, None, None), (4, russian, "und", None, None, None)]
+    assert sorted((r.id, r.kept) for r in language_id.identify(spark, rows(spark, data), model).collect()) == [(1, True), (2, False), (3, False), (4, False)]
