@@ -8,13 +8,16 @@ node of the tree a segment becomes the wildcard ``*`` when the node has many chi
 Sibling branches are compared by their share of bad labels (two-proportion tests): those like their siblings merge
 into ``*``, and those above or below them that are like each other into ``*+`` or ``*-``. Branches thus stay apart
 only where they are frequent and differ. A template is rejected when its bad share, smoothed towards its
-host's and that towards the whole table's, reaches ``REJECT``.
+host's and that towards the share of all hosts with (or without) a name part from ``BAD_NAMES``, reaches ``REJECT``.
 
-Labels are 1 (bad), 0 (good) or null. Without a label column, ``weak_labels`` marks urls whose host has a name part
-from ``BAD_NAMES`` as bad and the others as good, except those a blocking rule decides.
+Labels are 1 (bad), 0 (good) or null. Without a label column, ``weak_labels`` marks each url by itself: bad when its
+host or path has a name part from ``BAD_NAMES`` or its page's text has ``PAGE_WORDS`` of them, else good, and null where
+a blocking rule decides. The labels thus differ inside of a host, and its tree tells the branches apart. What uses none
+of these words is not found.
 
 Skew: urls are first counted per host and path, every count is combined before its shuffle, and a node joins one row
-of totals, so a hot host or node can be split. Paths deeper than ``MAX_DEPTH`` keep their rest as one wildcard.
+of totals, so a hot host or node can be split. Paths grow to their last name; those that are alone below a node take all
+their names at once, so there are as many rounds as names that different paths begin with in common.
 
 Defined results: null urls and urls without ``://`` have an empty host and path, no rule, and the verdict of the empty
 template; repeated urls get equal verdicts; an empty table gives no rows.
@@ -22,18 +25,19 @@ template; repeated urls get equal verdicts; an empty table gives no rows.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from medalith.llm.frames import column, stored
 
-MAX_DEPTH = 6
 MANY_CHILDREN = 16
 RARE_SHARE = 0.05
 DIFFERENT_Z = 1.96
 PRIOR_URLS = 5.0
 REJECT = 0.5
-REST = "{rest}"
+PAGE_WORDS = 3
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 #: Fixed rules: verdict by host and path.
@@ -43,8 +47,11 @@ RULES = (
     ("example.com/de/", "block"),
     ("org/fr/", "allow"),
 )
-#: Fixed name parts of hosts that count as labelled bad.
-BAD_NAMES = ("ads", "adult", "bets", "casino", "pills", "spam")
+#: Fixed words that count as labelled bad in names of hosts and paths, and several times in a page.
+BAD_NAMES = (
+    "ads", "adult", "bets", "betting", "casino", "gambling", "phishing", "pills", "poker", "porn", "slots", "spam", "viagra",
+    "warez", "xxx",
+)
 
 
 def with_parts(pages: DataFrame, url_col: str = "url") -> list[Column]:
@@ -67,20 +74,29 @@ def rule_of(rules: tuple[tuple[str, str], ...] = RULES) -> tuple[Column, Column]
     return rule, verdict
 
 
+def _listed(names: Column) -> Column:
+    return F.arrays_overlap(names, F.array(*[F.lit(name) for name in BAD_NAMES]))
+
+
+def _page_words(html: Column) -> Column:
+    """How many words of a page's text are listed."""
+    text = F.regexp_replace(html, r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>", " ")
+    return F.coalesce(F.regexp_count(text, F.lit(rf"(?i)\b(?:{'|'.join(BAD_NAMES)})\b")), F.lit(0))
+
+
 def weak_labels(rules: tuple[tuple[str, str], ...] = RULES) -> Column:
-    bad = F.lit(False)
-    for name in BAD_NAMES:
-        bad = bad | F.array_contains(F.split("host", "[.-]"), name)
+    """Label of the columns ``host``, ``path`` and ``page_words``."""
+    path_names = F.split(F.translate("path", UPPER, LOWER), "[^a-z]+")
+    bad = _listed(F.split("host", "[.-]")) | _listed(path_names) | (F.col("page_words") >= PAGE_WORDS)
     return F.when(bad, 1).when(rule_of(rules)[1] == "block", None).otherwise(0)
 
 
 def _segments() -> Column:
-    """The path's names with digits and identifiers generalised, its part below ``MAX_DEPTH`` as one name."""
+    """The path's names with digits and identifiers generalised."""
     names = F.filter(F.split("path", "/"), lambda s: s != "")
-    general = F.transform(
+    return F.transform(
         names, lambda s: F.when(s.rlike("^[0-9a-fA-F-]{16,}$"), "{id}").otherwise(F.regexp_replace(s, "[0-9]+", "{n}"))
     )
-    return F.when(F.size(general) <= MAX_DEPTH, general).otherwise(F.concat(F.slice(general, 1, MAX_DEPTH), F.array(F.lit(REST))))
 
 
 def _side(total: str) -> Column:
@@ -103,29 +119,41 @@ def path_templates(spark: SparkSession, urls: DataFrame) -> DataFrame:
         F.count("*").alias("n"), F.count("label").alias("labelled"), F.coalesce(F.sum("label"), F.lit(0)).cast("long").alias("bad")
     )
     tree = stored(spark, counted.select("*", _segments().alias("names"), F.lit("").alias("template")), "url-tree-0")
-    for depth in range(MAX_DEPTH + 1):
-        here = tree.where(F.size("names") > depth).withColumn("child", F.get("names", F.lit(depth)))
-        children = here.groupBy("host", "template", "child").agg(*[F.sum(c).alias(c) for c in ("n", "labelled", "bad")])
+    done, depth = [], 0
+    while True:
+        done.append(tree.where(F.size("names") == 0).drop("names"))
+        tree = tree.where(F.size("names") > 0)
+        if not tree.limit(1).count():
+            break
+        depth += 1
+        here = tree.withColumn("child", F.get("names", F.lit(0))).withColumn("rest", F.array_join("names", "/"))
+        children = here.groupBy("host", "template", "child").agg(
+            *[F.sum(c).alias(c) for c in ("n", "labelled", "bad")], F.min("rest").alias("low"), F.max("rest").alias("high")
+        )
         sided = children.join(_totals(children, ["host", "template"], "node"), ["host", "template"]).withColumn("side", _side("node"))
         rare = (F.col("children_node") > MANY_CHILDREN) & (F.col("n") < RARE_SHARE * F.col("n_node"))
         # branches on the same side of their siblings may still be alike among themselves
         grouped = sided.join(_totals(sided, ["host", "template", "side"], "side"), ["host", "template", "side"])
         alike = (F.col("children_side") > 1) & (_side("side") == 0)
         merged = F.when(F.col("side") > 0, "*+").when(F.col("side") < 0, "*-").otherwise("*")
-        name = F.when(alike, merged).when(rare | (F.col("child") == REST), "*").otherwise(F.col("child"))
-        named = grouped.select("host", "template", "child", F.concat("template", F.lit("/"), name).alias("grown"))
-        joined = tree.withColumn("child", F.get("names", F.lit(depth))).join(named, ["host", "template", "child"], "left")
-        grown = joined.select("host", "path", "n", "labelled", "bad", "names", F.coalesce("grown", "template").alias("template"))
-        tree = stored(spark, grown, f"url-tree-{depth + 1}")
-        if not tree.where(F.size("names") > depth + 1).limit(1).count():
-            break
-    return tree.drop("names")
+        name = F.when(alike, merged).when(rare, "*").otherwise(F.col("child"))
+        alone = (F.col("children_node") == 1) & (F.col("low") == F.col("high"))
+        grown = F.concat("template", F.lit("/"), F.when(alone, F.col("low")).otherwise(name))
+        named = grouped.select("host", "template", "child", alone.alias("alone"), grown.alias("grown"))
+        joined = here.join(named, ["host", "template", "child"])
+        left = F.when(F.col("alone"), F.slice("names", 1, 0)).otherwise(F.slice("names", F.lit(2), F.size("names")))
+        tree = stored(spark, joined.select("host", "path", "n", "labelled", "bad", left.alias("names"), F.col("grown").alias("template")), f"url-tree-{depth}")
+    return functools.reduce(DataFrame.unionByName, done)
 
 
 def template_purity(templates: DataFrame) -> DataFrame:
     """``host, template, bad_share``: the smoothed share of bad labels of each template."""
-    total = templates.agg(F.coalesce(F.sum("labelled"), F.lit(0)).alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad")).first()
-    overall = (total.bad + 0.5) / (total.n + 1.0)
+    listed = _listed(F.split("host", "[.-]"))
+    zero = F.lit(0)
+    sums = [F.coalesce(F.sum(F.when(listed == kind, F.col(c))), zero).alias(f"{c}_{kind}") for kind in (True, False) for c in ("labelled", "bad")]
+    total = templates.agg(*sums).first()
+    of_listed, of_others = ((total[f"bad_{kind}"] + 0.5) / (total[f"labelled_{kind}"] + 1.0) for kind in (True, False))
+    overall = F.first(F.when(listed, of_listed).otherwise(of_others))  # of a host, the same in all its rows
     hosts = templates.groupBy("host").agg(
         ((F.sum("bad") + PRIOR_URLS * overall) / (F.sum("labelled") + PRIOR_URLS)).alias("host_share")
     )
@@ -136,17 +164,18 @@ def template_purity(templates: DataFrame) -> DataFrame:
 
 def judge(
     spark: SparkSession, pages: DataFrame, id_col: str = "page_id", url_col: str = "url", label_col: str | None = None,
-    rules: tuple[tuple[str, str], ...] = RULES,
+    rules: tuple[tuple[str, str], ...] = RULES, html_col: str = "html",
 ) -> DataFrame:
     """``<id>, host, path, rule, verdict, template, bad_share`` for every row."""
     label = column(pages, label_col).cast("int").alias("label") if label_col else F.lit(None).cast("int").alias("label")
-    urls = pages.select(column(pages, id_col).alias("id"), *with_parts(pages, url_col), label)
+    page_words = _page_words(column(pages, html_col).cast("string")) if html_col in pages.columns and label_col is None else F.lit(0)
+    urls = pages.select(column(pages, id_col).alias("id"), *with_parts(pages, url_col), label, page_words.alias("page_words"))
     if label_col is None:
         urls = urls.withColumn("label", weak_labels(rules))
     templates = path_templates(spark, urls.select("host", "path", "label"))
     shares = templates.select("host", "path", "template").join(template_purity(templates), ["host", "template"])
     rule, verdict = rule_of(rules)
-    judged = urls.drop("label").join(shares, ["host", "path"], "left")
+    judged = urls.drop("label", "page_words").join(shares, ["host", "path"], "left")
     by_template = F.when(F.col("bad_share") >= REJECT, "block").otherwise("allow")
     return judged.select(
         F.col("id").alias(id_col), "host", "path", rule.alias("rule"), F.coalesce(verdict, by_template).alias("verdict"), "template", "bad_share"

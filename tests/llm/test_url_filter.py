@@ -77,3 +77,21 @@ def test_empty_table_and_other_columns(spark):
     pages = spark.createDataFrame([(1, "http://a.com/x", "h", "p", 1, "c", "t", "n", "i")], schema)
     row = url_filter.judge(spark, pages).first()
     assert (row.page_id, row.host, row.path, row.verdict) == (1, "a.com", "/x", "allow")
+
+
+def test_weak_labels_tell_branches_of_a_host_apart(spark):
+    good, bad = "<p>News of the town, nothing else.</p>", "<p>Casino, casino! The best <b>poker</b>.</p>"
+    rows = [(k, f"http://mixed.com/news/{k}.html", good) for k in range(40)] + [(100 + k, f"http://mixed.com/x/{k}.html", bad) for k in range(40)]
+    rows += [(200 + k, f"http://paths.com/{'casino' if k % 2 else 'town'}/{k}", good) for k in range(60)]
+    rows += [(300, "http://cheap-pills.com/1", good), (301, "http://other.com/1", "<p class='ads spam casino'>One word of spam.</p>")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    blocked = {r.page_id for r in url_filter.judge(spark, pages).where("verdict = 'block'").collect()}
+    assert blocked == {*range(100, 140), *(200 + k for k in range(60) if k % 2), 300}
+
+
+def test_paths_grow_to_their_last_name(spark):
+    start = "http://deep.com/a/b/c/d/e/f/g/h"
+    rows = [(k, f"{start}/{'good' if k % 2 else 'bad'}/{k}", 1 - k % 2) for k in range(40)] + [(100, "http://deep.com/q" + "/r" * 300, 0)]
+    found = {r.page_id: r for r in run(spark, rows, label_col="label")}
+    assert (found[0].verdict, found[1].verdict) == ("block", "allow")
+    assert found[0].template.endswith("/bad/{n}") and found[100].template.count("/") == 301
