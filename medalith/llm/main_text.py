@@ -11,7 +11,8 @@ where the markup is explicit; each such block is used a second time without its
 features also carry pages without telling markup. Pages never leave their partition.
 
 Defined results: null or empty html, and pages without a main block, give an empty text. Unclosed and stray tags are
-repaired as browsers do in simple cases. Scripts, styles and the head are no blocks. Repeated pages get equal texts.
+repaired as browsers do in simple cases; a head without end tag ends at the first element or text that is not its own.
+Words of class, id and role count as a whole; parts of longer names are counted evidence of the classifier only. Scripts, styles and the head are no blocks. Repeated pages get equal texts.
 """
 
 from __future__ import annotations
@@ -53,32 +54,63 @@ AROUND_WORDS = frozenset((
     "promoted", "related", "replies", "reply", "respond", "search", "share", "sharing", "sidebar", "signup", "social",
     "sponsor", "sponsored", "subscribe", "toolbar", "widget",
 ))
+#: Those of them whose elements have articles that are not the page's own.
+OTHER_ARTICLES = frozenset((
+    "ad", "ads", "advert", "advertisement", "adverts", "comment", "comments", "promo", "promoted", "related", "replies",
+    "reply", "respond", "sidebar", "sponsor", "sponsored", "widget",
+))
 MAIN_WORDS = frozenset(("article", "content", "entry", "main", "post", "story"))
+#: Elements that leave the head open; any other one ends it, as its end tag may be left out.
+HEAD = frozenset(("base", "basefont", "bgsound", "head", "html", "link", "meta", "noframes", "noscript", "script", "style", "template", "title"))
 _SENTENCE_END = re.compile(r"[.!?…:;。！？]['\")\]»”]*$")
 _NAMES = re.compile(r"[a-z]+")
 
 
 class Block:
-    __slots__ = ("text", "path", "side", "linked", "heading", "listed")
+    __slots__ = ("text", "path", "side", "linked", "heading", "listed", "hints")
 
-    def __init__(self, text: str, path: tuple[int, ...], side: int, linked: float, heading: bool, listed: bool):
-        self.text, self.path, self.side = text, path, side
+    def __init__(self, text: str, path: tuple[int, ...], side: int, linked: float, heading: bool, listed: bool, hints: tuple[int, int]):
+        self.text, self.path, self.side, self.hints = text, path, side, hints
         self.linked, self.heading, self.listed = linked, heading, listed
 
 
+def _words(attrs: list[tuple[str, str | None]]) -> tuple[set[str], int, int]:
+    """Words of the class, id and role values all of whose parts agree, and how many parts of the others point around or to
+    the main text (``no-sidebar`` and ``post-header`` are hints, ``sidebar`` and ``cookie-notice`` are words)."""
+    words, around, main = set(), 0, 0
+    for name, value in attrs:
+        if name in ("class", "id", "role") and value:
+            for token in value.lower().split():
+                parts = set(_NAMES.findall(token))
+                if parts and (parts <= AROUND_WORDS or parts <= MAIN_WORDS):
+                    words |= parts
+                else:
+                    around += len(parts & AROUND_WORDS)
+                    main += len(parts & MAIN_WORDS)
+    return words, around, main
+
+
 class _Blocks(HTMLParser):
     """Collects the text blocks of a page with the numbers of the elements above them."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.blocks: list[Block] = []
-        self.open: list[tuple[str, int, int]] = []  # name, number, side: -1 around, 1 main, 0 unknown
+        # name, number, side (-2 around with its articles, -1 around, 1 main, 0 unknown), hints so far: around, main
+        self.open: list[tuple[str, int, int, tuple[int, int]]] = []
         self.elements = 0
         self.parts: list[str] = []
         self.link_chars = self.chars = 0
         self.links = self.unseen = 0
 
+    def _end_head(self, tag: str = "") -> None:
+        names = [name for name, *_ in self.open]
+        if "head" in names and (tag == "body" or (names[-1] == "head" and tag not in HEAD)):
+            self._cut(names.index("head"))
+
     def handle_starttag(self, tag, attrs):
+        if self.unseen:
+            self._end_head(tag)
         if tag in VOID:
             if tag == "hr":
                 self._flush()
@@ -90,18 +122,22 @@ class _Blocks(HTMLParser):
             self._close_open("p")
         for other in CLOSES.get(tag, ()):
             self._close_open(other, ("ul", "ol", "dl", "table"))
-        side = self.open[-1][2] if self.open else 0
-        if side >= 0 and tag not in ("html", "body"):
-            words = set()
-            for name, value in attrs:
-                if name in ("class", "id", "role") and value:
-                    words.update(_NAMES.findall(value.lower()))
-            if tag in AROUND or words & AROUND_WORDS:
+        side, hints = self.open[-1][2:] if self.open else (0, (0, 0))
+        if tag not in ("html", "body"):
+            words, around, main = _words(attrs)
+            hints = (hints[0] + around, hints[1] + main)
+            if tag == "main":
+                side = 1
+            elif side == -2 or words & OTHER_ARTICLES or tag in AROUND:
+                side = -2
+            elif tag in MAIN:
+                side = 1
+            elif side == -1 or words & AROUND_WORDS:
                 side = -1
-            elif tag in MAIN or words & MAIN_WORDS:
+            elif words & MAIN_WORDS:
                 side = 1
         self.elements += 1
-        self.open.append((tag, self.elements, side))
+        self.open.append((tag, self.elements, side, hints))
         self.links += tag == "a"
         self.unseen += tag in UNSEEN
 
@@ -114,6 +150,8 @@ class _Blocks(HTMLParser):
                 return
 
     def handle_data(self, data):
+        if self.unseen and not data.isspace():
+            self._end_head()
         if not self.unseen:
             self.parts.append(data)
             size = len(data.strip())
@@ -132,7 +170,7 @@ class _Blocks(HTMLParser):
                 return
 
     def _cut(self, k: int) -> None:
-        for name, _, _ in self.open[k:]:
+        for name, *_ in self.open[k:]:
             self.links -= name == "a"
             self.unseen -= name in UNSEEN
         del self.open[k:]
@@ -140,11 +178,11 @@ class _Blocks(HTMLParser):
     def _flush(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
-            names = [name for name, _, _ in self.open]
-            above = tuple(number for name, number, _ in self.open if name in BLOCKS)
-            side = self.open[-1][2] if self.open else 0
+            names = [name for name, *_ in self.open]
+            above = tuple(number for name, number, *_ in self.open if name in BLOCKS)
+            side, hints = self.open[-1][2:] if self.open else (0, (0, 0))
             heading = any(len(n) == 2 and n[0] == "h" and n[1].isdigit() for n in names)
-            self.blocks.append(Block(text, above, side, self.link_chars / max(1, self.chars), heading, "li" in names))
+            self.blocks.append(Block(text, above, max(side, -1), self.link_chars / max(1, self.chars), heading, "li" in names, hints))
         self.parts, self.link_chars, self.chars = [], 0, 0
 
     def finish(self) -> list[Block]:
@@ -164,7 +202,8 @@ def page_blocks(page: str) -> list[Block]:
         return parser.finish()
 
 
-FEATURES = 8
+FEATURES = 10
+PATH_FEATURES = 4
 
 
 def features(block: Block) -> list[float]:
@@ -178,6 +217,8 @@ def features(block: Block) -> list[float]:
         1.0 if block.listed else 0.0,
         1.0 if block.side > 0 else 0.0,
         1.0 if block.side < 0 else 0.0,
+        math.log1p(block.hints[0]),
+        math.log1p(block.hints[1]),
     ]
 
 
@@ -188,7 +229,7 @@ def _training_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             for block in page_blocks(page or ""):
                 if block.side:
                     own = features(block)
-                    rows += [own, [*own[:-2], 0.0, 0.0]]
+                    rows += [own, [*own[:-PATH_FEATURES], *[0.0] * PATH_FEATURES]]
                     labels += [block.side > 0] * 2
         yield pa.RecordBatch.from_arrays(
             [pa.array([np.array(rows, dtype="<f8").tobytes()], pa.binary()), pa.array([np.array(labels, dtype="<f8").tobytes()], pa.binary()),
@@ -214,7 +255,7 @@ def fit(pages: DataFrame, html_col: str = "html", sample: int = SAMPLE_PAGES) ->
     x = np.frombuffer(b"".join(r.rows for r in packed), dtype="<f8").reshape(-1, FEATURES)
     y = np.frombuffer(b"".join(r.labels for r in packed), dtype="<f8")
     # a mild prior holds the weights where the sample has no or one-sided evidence
-    prior = np.array([-1.0, 0.4, -3.0, 0.8, 0.5, -0.5, 5.0, -8.0])
+    prior = np.array([-1.0, 0.4, -3.0, 0.8, 0.5, -0.5, 5.0, -8.0, -0.7, 0.7])
     weights = prior.copy()
     for _ in range(25):
         p = 1 / (1 + np.exp(-np.clip(x @ weights, -30, 30)))

@@ -74,3 +74,22 @@ def test_copies_of_a_page_do_not_empty_the_sample(spark):
     pages = spark.createDataFrame(made, "page_id long, html string")
     one = m.fit(pages.dropDuplicates(["html"]), sample=4)
     assert m.fit(pages, sample=4).tolist() == pytest.approx(one.tolist())
+
+
+@pytest.mark.parametrize("page", [
+    f"<div class='content no-sidebar'>{ARTICLE}</div>",
+    ARTICLE.replace("<article>", "<article class='post comments-open'>"),
+    f"<div id='page' class='header-fixed'>{ARTICLE}</div>",
+    f"<div class='header'>{ARTICLE}</div>",
+    f"<div class='sidebar'><main>{ARTICLE}</main></div>",
+    f"<html><head><meta charset='utf-8'><title>T</title><body>{ARTICLE}",
+    f"<html><head><meta charset='utf-8'><title>T</title>{ARTICLE}",
+])
+def test_ordinary_markup_keeps_the_article(page):
+    prior = [-1.0, 0.4, -3.0, 0.8, 0.5, -0.5, 5.0, -8.0, -0.7, 0.7]
+    assert m.main_text(page, prior[: m.FEATURES]) == TEXT
+
+
+def test_text_ends_an_open_head():
+    assert [b.text for b in m.page_blocks("<html><head><title>T</title>Some text.<p>More.")] == ["Some text.", "More."]
+    assert [b.text for b in m.page_blocks("<html><head><noscript><img src=x></noscript><style>p{}</style></head><p>More.")] == ["More."]
