@@ -8,13 +8,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medalith.llm import byte_bpe, decontamination, hamming_index, language_id, line_dedup, main_text, ngram_join, secrets, token_store, url_filter
+from medalith.llm import alignment, byte_bpe, decontamination, hamming_index, language_id, line_dedup, main_text, ngram_join, secrets, token_store, url_filter
 from medalith.llm.frames import table
 from medalith.session import work_dir
 
 #: The vocabulary files; another folder is a parameter of the operators, never copied here.
 BYTE_BPE = "byte_bpe_50k.json"
 WORD_BPE = "word_bpe_49k.json"
+PIECE_BPE = "piece_bpe_32k.model"
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
@@ -107,3 +108,11 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similar_components(spark, table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = public_tokenizers.path(BYTE_BPE), public_tokenizers.path(PIECE_BPE)
+    found = alignment.align(spark, table(spark, sf_dir, "documents"), *paths)
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2(F.encode("groups", "UTF-8"), 256))
+    return found.withColumn("groups_sha256", digest).drop("groups")
