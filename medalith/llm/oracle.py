@@ -44,4 +44,34 @@ WITH RECURSIVE words AS (
 SELECT documents.doc_id, coalesce(sizes.n, 0) AS n_shingles, min(reach.b) AS component_id
 FROM documents JOIN reach ON reach.a = documents.doc_id LEFT JOIN sizes ON sizes.doc_id = documents.doc_id
 GROUP BY documents.doc_id, sizes.n""",
+    "op12_phrase_collocations": r"""
+WITH pieces AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents)
+), totals AS (
+  SELECT lang, sum(len(w))::BIGINT AS n FROM pieces GROUP BY lang
+), counts AS (
+  SELECT lang, k, w[i:i + k - 1] AS p, count(*) AS f
+  FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM pieces, (VALUES (1), (2), (3)) AS lengths(k) WHERE len(w) >= k)
+  GROUP BY ALL
+), candidates AS (
+  SELECT lang, k, p, f AS a FROM counts WHERE k > 1 AND f >= 10
+), cuts AS (
+  SELECT c.lang, c.k, c.p, c.a, cut, x.f AS l, y.f AS r, (1000000::HUGEINT * a * a) // (x.f::HUGEINT * y.f) AS score
+  FROM (SELECT *, unnest(range(1, k)) AS cut FROM candidates) c
+  JOIN counts x ON x.lang = c.lang AND x.p = c.p[1:cut] JOIN counts y ON y.lang = c.lang AND y.p = c.p[cut + 1:c.k]
+), lowest AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, cut) = 1
+), covered AS (
+  SELECT DISTINCT s.lang, s.p FROM candidates s JOIN (
+    SELECT lang, unnest([p[1:2], p[2:3]]) AS p, a FROM candidates WHERE k = 3
+  ) longer ON longer.lang = s.lang AND longer.p = s.p WHERE 100 * longer.a >= 50 * s.a
+), ranked AS (
+  SELECT lang, array_to_string(p, ' ') AS phrase, a, l, r, score,
+    row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(array_to_string(p, ' '))) AS rank
+  FROM lowest ANTI JOIN covered USING (lang, p)
+)
+SELECT ranked.lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000""",
 }

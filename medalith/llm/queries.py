@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medalith.llm import alignment, byte_bpe, decontamination, hamming_index, language_id, line_dedup, main_text, ngram_join, secrets, token_store, url_filter
+from medalith.llm import alignment, byte_bpe, collocations, decontamination, hamming_index, language_id, line_dedup, main_text, ngram_join, secrets, token_store, url_filter
 from medalith.llm.frames import table
 from medalith.session import work_dir
 
@@ -116,3 +116,8 @@ def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = alignment.align(spark, table(spark, sf_dir, "documents"), *paths)
     digest = F.when(F.col("groups") == "", "").otherwise(F.sha2(F.encode("groups", "UTF-8"), 256))
     return found.withColumn("groups_sha256", digest).drop("groups")
+
+
+@query
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(spark, table(spark, sf_dir, "documents"))
