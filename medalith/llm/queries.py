@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medalith.llm import alignment, byte_bpe, collocations, decontamination, hamming_index, language_id, line_dedup, main_text, ngram_join, secrets, token_store, url_filter
+from medalith.llm import alignment, byte_bpe, collocations, decontamination, hamming_index, language_id, line_dedup, main_text, ngram_join, secrets, token_store, toxicity, url_filter
 from medalith.llm.frames import table
 from medalith.session import work_dir
 
@@ -121,3 +121,10 @@ def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(spark, table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    model, share = toxicity.fit(documents, table(spark, sf_dir, "labels"))
+    return toxicity.score(spark, documents, model, share)
