@@ -8,10 +8,10 @@ Neither side has a token that goes over a blank between two characters that are
 them, and B's pieces are checked for it when they are loaded. So such blanks are common ends. A text is encoded and aligned between them: each
 different segment once a block.
 
-Counts over the corpus: a block of about ``BLOCK`` bytes of text is one stored row with its different segments, its
-different pairs and their links, and the segments of each document. Pairs are summed per block before any shuffle, meet
-the counts of the whole corpus in a join on the pair, and come back to their block as one list, which is at most as long
-as the block has links. Documents themselves are never exploded. A very frequent pair is one row a block.
+Counts over the corpus: a block of about ``BLOCK`` characters of text is one stored row: its different pairs with their
+links and, packed, its different segments and the segments of each document. Pairs are summed per block before any
+shuffle, meet the counts of the whole corpus in a join on the pair, and come back to their block as one list, which is at
+most as long as the block has links. Documents themselves are never exploded. A very frequent pair is one row a block.
 
 Defined results: a null or empty text, or one whose tokens do not give its bytes back on both sides (``▁`` in the text),
 has no tokens: zeros, and '' as its groups. Documents with a null or repeated id are documents of their own; other
@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from medalith.llm.byte_bpe import WORDS, byte_letters
 from medalith.llm.frames import id_and_text, stored
 
-BLOCK = 8 << 20
+BLOCK = 4 << 20
 #: Segments that are aligned at a time.
 STEP = 1 << 15
 #: Longer segments are encoded by the library that needs n log n steps for one long word.
@@ -184,14 +184,15 @@ class Aligned:
     def _byte_ids(texts: list[str], a: ByteVocabulary) -> np.ndarray:
         """Ids of A, of many segments at once where a blank between them parts them anyway."""
         parts, run = [], []
-        for text in texts:
-            if len(text) > LONG_CHARS or text != text.strip() or not text:
-                parts += [a.encode(" " + " ".join(run))] if run else []
-                parts.append(a.encode_long(" " + text))
+        for text in [*texts, None]:
+            alone = text is None or len(text) > LONG_CHARS or text != text.strip() or not text
+            if alone and run:
+                parts.append(a.encode(" " + " ".join(run)))
                 run = []
-            else:
+            if not alone:
                 run.append(text)
-        parts += [a.encode(" " + " ".join(run))] if run else []
+            elif text is not None:
+                parts.append(a.encode_long(" " + text) if len(text) > LONG_CHARS else a.encode(" " + text))
         return np.concatenate([np.asarray(p, dtype=np.int64) for p in parts]) if parts else np.zeros(0, dtype=np.int64)
 
 
@@ -242,15 +243,20 @@ class _Numbers(dict):
         return numbers
 
 
-_BLOCK_TYPES = {
-    "block": pa.int64(), "doc_ids": pa.list_(pa.int64()), "doc_ends": pa.list_(pa.int64()), "numbers": pa.list_(pa.int32()),
-    "counts": pa.list_(pa.int32()), "groups": pa.list_(pa.binary()), "link_ends": pa.list_(pa.int64()), "links": pa.list_(pa.int32()),
-    "pairs": pa.list_(pa.int64()), "pair_links": pa.list_(pa.int64()),
+_CONTENT_TYPES = {
+    "doc_ids": pa.list_(pa.int64()), "doc_ends": pa.list_(pa.int64()), "numbers": pa.list_(pa.int32()), "counts": pa.list_(pa.int32()),
+    "groups": pa.list_(pa.binary()), "link_ends": pa.list_(pa.int64()), "links": pa.list_(pa.int32()),
 }
-_BLOCK_SCHEMA = (
-    "block long, doc_ids array<long>, doc_ends array<long>, numbers array<int>, counts array<int>, groups array<binary>, "
-    "link_ends array<long>, links array<int>, pairs array<long>, pair_links array<long>"
-)
+_BLOCK_SCHEMA = "block long, pairs array<long>, pair_links array<long>, content binary"
+
+
+def _packed(values: dict) -> bytes:
+    """One row of lists as a compressed Arrow stream."""
+    row = pa.RecordBatch.from_arrays([pa.array([values[k]], t) for k, t in _CONTENT_TYPES.items()], names=list(_CONTENT_TYPES))
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, row.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_batch(row)
+    return sink.getvalue().to_pybytes()
 
 
 class _Block:
@@ -266,7 +272,8 @@ class _Block:
         self.lengths.append(sum(map(len, words)))
         self.size += len(text)
 
-    def row(self, number: int, vocabularies: Aligner) -> pa.RecordBatch:
+    def content(self, vocabularies: Aligner) -> tuple[np.ndarray, np.ndarray, dict]:
+        """The pairs, how many links hold each, and the columns of ``_CONTENT_TYPES``."""
         found = vocabularies.segments(list(self.numbers))
         numbers = np.concatenate(self.words) if self.words else np.zeros(0, dtype=np.int32)
         ends = _ends(self.lengths)
@@ -282,11 +289,18 @@ class _Block:
         met = per_pair > 0  # not the pairs of documents without tokens
         kept = np.where(met, np.cumsum(met) - 1, 0)
         counts = np.concatenate([np.stack([f.n_a, f.n_b, f.n_groups], axis=1) for f in found])
-        values = [
-            number, self.doc_ids, ends, numbers, counts.ravel().astype(np.int32), list(chain.from_iterable(f.groups for f in found)),
-            np.cumsum(n_links), kept[places].astype(np.int32), pairs[met], per_pair[met],
-        ]
-        return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, _BLOCK_TYPES.values(), strict=True)], names=list(_BLOCK_TYPES))
+        content = {
+            "doc_ids": self.doc_ids, "doc_ends": ends, "numbers": numbers, "counts": counts.ravel().astype(np.int32),
+            "groups": list(chain.from_iterable(f.groups for f in found)), "link_ends": np.cumsum(n_links), "links": kept[places].astype(np.int32),
+        }
+        return pairs[met], per_pair[met], content
+
+    def row(self, number: int, vocabularies: Aligner) -> pa.RecordBatch:
+        pairs, links, content = self.content(vocabularies)
+        return pa.RecordBatch.from_arrays(
+            [pa.array([number], pa.int64()), *[pa.array([v], pa.list_(pa.int64())) for v in (pairs, links)], pa.array([_packed(content)], pa.binary())],
+            names=["block", "pairs", "pair_links", "content"],
+        )
 
 
 def _blocks(a_path: str, b_path: str, size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -312,10 +326,12 @@ def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The documents of each block, with the corpus counts of the block's pairs."""
     for batch in batches:
         for k in range(batch.num_rows):
-            row = {name: batch.column(name)[k] for name in batch.schema.names}
-            flat = {name: np.asarray(v.values) for name, v in row.items() if name not in ("block", "doc_ids", "groups", "scored") and v.is_valid}
-            scored = row["scored"].values
-            pairs, at = flat["pairs"], np.zeros(0, dtype=np.int64)
+            with pa.ipc.open_stream(batch.column("content")[k].as_buffer()) as stream:
+                content = stream.read_next_batch()
+            row = {name: content.column(name)[0].values for name in content.schema.names}
+            flat = {name: np.asarray(v) for name, v in row.items() if name not in ("doc_ids", "groups")}
+            scored = batch.column("scored")[k].values
+            pairs, at = np.asarray(batch.column("pairs")[k].values), np.zeros(0, dtype=np.int64)
             if scored is not None and len(scored):
                 at = np.searchsorted(pairs, np.asarray(scored.field("pair")))
             count, best = np.zeros(len(pairs) + 1, dtype=np.int64), np.zeros(len(pairs) + 1, dtype=np.int64)
@@ -324,7 +340,7 @@ def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             links, link_ends, numbers, ends = flat["links"], flat["link_ends"], flat["numbers"], flat["doc_ends"]
             per_segment = [*flat["counts"].reshape(-1, 3).T, np.diff(link_ends, prepend=0), _sums(best[links], link_ends), _sums(count[links], link_ends)]
             columns = [_sums(values[numbers], ends) for values in per_segment]
-            shown, doc_ids = row["groups"].values.to_pylist(), row["doc_ids"].values
+            shown, doc_ids = row["groups"].to_pylist(), row["doc_ids"]
             texts, size, first = [], 0, 0
             for place, end in enumerate(ends.tolist()):
                 begin = int(ends[place - 1]) if place else 0

@@ -101,10 +101,10 @@ def test_small_steps_and_chunks(monkeypatch, libraries):
     block = alignment._Block()
     for k, text in enumerate(texts):
         block.add(k, text)
-    row = block.row(0, alignment.aligner(A_PATH, B_PATH)).to_pylist()[0]
+    row = block.content(alignment.aligner(A_PATH, B_PATH))[-1]
     begin = 0
-    for text, end, expected in zip(texts, row["doc_ends"], plain(texts, libraries), strict=True):
-        assert b";".join(row["groups"][k] for k in row["numbers"][begin:end]).decode() == expected[-1], text
+    for text, end, expected in zip(texts, row["doc_ends"].tolist(), plain(texts, libraries), strict=True):
+        assert b";".join(row["groups"][k] for k in row["numbers"][begin:end].tolist()).decode() == expected[-1], text
         begin = end
 
 
