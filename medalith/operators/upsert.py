@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from medalith.functions.names import col
 
 
-def _incomplete(keys: list[str]) -> Column:
+def incomplete(keys: list[str]) -> Column:
+    """Whether a key column is null."""
     return reduce(lambda a, b: a | b, [col(k).isNull() for k in keys])
 
 
@@ -22,7 +23,7 @@ def _null_spread(df: DataFrame, keys: list[str]) -> Column:
     partition instead. Rows with a complete key all share the value 0."""
     spread = 16 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     row_hash = F.xxhash64(*[col(c) for c in df.columns])
-    return F.when(_incomplete(keys), F.pmod(row_hash, F.lit(spread)).cast("int")).otherwise(F.lit(0))
+    return F.when(incomplete(keys), F.pmod(row_hash, F.lit(spread)).cast("int")).otherwise(F.lit(0))
 
 
 def single_rows(source: DataFrame, keys: list[str], null_keys_match: bool = False) -> DataFrame:
@@ -31,7 +32,7 @@ def single_rows(source: DataFrame, keys: list[str], null_keys_match: bool = Fals
     counted = source.withColumn("__spread", spread)
     same_key = Window.partitionBy(*[col(k) for k in keys], "__spread")
     counted = counted.withColumn("__rows", F.count(F.lit(1)).over(same_key))
-    matching = F.lit(True) if null_keys_match else ~_incomplete(keys)
+    matching = F.lit(True) if null_keys_match else ~incomplete(keys)
     failure = F.raise_error(F.lit("two source rows for one key"))
     checked = F.when(matching & (F.col("__rows") > 1), failure.cast("boolean")).otherwise(F.lit(True))
     return counted.filter(checked).drop("__rows", "__spread")
@@ -52,8 +53,9 @@ def _same_key(keys: list[str], null_keys_match: bool = False) -> list[Column]:
     return [*equal, F.col("__t_spread") == F.col("__s_spread")]
 
 
-def _keys_of(df: DataFrame, keys: list[str], name: str) -> DataFrame:
-    return _side(df, keys, name).drop(name)
+def _keys_of(df: DataFrame, keys: list[str], name: str, *more: str) -> DataFrame:
+    kept = [F.col(name).getField(m).alias(m) for m in more]
+    return _side(df, keys, name).select(*kept, *[f"__{name}_{i}" for i in range(len(keys))], f"__{name}_spread")
 
 
 def unmatched(target: DataFrame, source: DataFrame, keys: list[str], null_keys_match: bool = False) -> DataFrame:
@@ -111,12 +113,20 @@ def replace_matching(target: DataFrame, source: DataFrame, keys: list[str]) -> D
     return kept.unionByName(source, allowMissingColumns=True)
 
 
-def upsert_stats(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
+def not_older(source: DataFrame, target: DataFrame, keys: list[str], newest: list[str], null_keys_match: bool = False) -> DataFrame:
+    """Source rows whose key has no newer row in the target, by the columns ``newest``."""
+    order = F.struct(*[col(n) for n in newest])
+    stored = _keys_of(target.withColumn("__order", order), keys, "t", "__order")
+    newer = F.col("__order") > F.col("__new_order")
+    rows = _side(source, keys, "s").withColumn("__new_order", F.struct(*[F.col("s").getField(n) for n in newest]))
+    return rows.join(stored, [*_same_key(keys, null_keys_match), newer], "left_anti").select("s.*")
+
+
+def upsert_stats(target: DataFrame, source: DataFrame, keys: list[str], null_keys_match: bool = False) -> DataFrame:
     """One row: how many pairs update, how many source rows are inserted, and 0 deleted."""
-    source = source.select(*[col(k) for k in keys])
-    pairs = _keys_of(target, keys, "t").join(_keys_of(source, keys, "s"), _same_key(keys))
+    pairs = _keys_of(target, keys, "t").join(_keys_of(source, keys, "s"), _same_key(keys, null_keys_match))
     counts = pairs.agg(F.count(F.lit(1)).alias("updated"), F.lit(0).cast("long").alias("inserted")).unionByName(
-        unmatched(target, source, keys).agg(F.lit(0).cast("long").alias("updated"), F.count(F.lit(1)).alias("inserted"))
+        unmatched(target, source, keys, null_keys_match).agg(F.lit(0).cast("long").alias("updated"), F.count(F.lit(1)).alias("inserted"))
     )
     return counts.agg(
         F.sum("updated").alias("updated"), F.sum("inserted").alias("inserted"), F.lit(0).cast("long").alias("deleted")

@@ -20,7 +20,7 @@ from medalith.operators.evolve import type_conflicts
 from medalith.operators.nested import arrays_to_json, explode_children, flatten_structs
 from medalith.sources import storage
 from medalith.sources.delimited import SOURCE_FILE, read_delimited
-from medalith.sources.files import list_source_files, literal_path, text_fingerprints
+from medalith.sources.files import is_reader_error, list_source_files, literal_path, text_fingerprints, usable_files
 from medalith.sources.json_pages import page_records, read_json_pages, read_pages
 from medalith.sources.tables import read_table, table_exists, table_path, write_table
 
@@ -162,8 +162,10 @@ def ingest_files(
     bad: list[str] = []
     try:
         write(paths)
-    except Exception:
-        good, bad = _readable(rows_of, paths)
+    except Exception as failure:
+        if not is_reader_error(failure):
+            raise  # a full disk or a lost executor says nothing about the files
+        good, bad = usable_files(rows_of, paths)
         if good:
             write(good)
     if force and len(bad) < len(paths):
@@ -212,19 +214,6 @@ def _status(entries: DataFrame, pipeline: str) -> DataFrame:
     )
 
 
-def _readable(rows_of: Callable[[list[str]], DataFrame], paths: list[str]) -> tuple[list[str], list[str]]:
-    """Split files into usable and unusable ones by halving the batch until each part is pure."""
-    try:
-        rows_of(paths).write.format("noop").mode("overwrite").save()
-        return paths, []
-    except Exception:
-        if len(paths) == 1:
-            return [], paths
-    half = len(paths) // 2
-    left, right = _readable(rows_of, paths[:half]), _readable(rows_of, paths[half:])
-    return left[0] + right[0], left[1] + right[1]
-
-
 def refresh_api_table(
     spark: SparkSession,
     root: str,

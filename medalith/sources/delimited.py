@@ -56,32 +56,47 @@ def _first_ids(lines: DataFrame) -> dict[str, int]:
     return {r.file_path: r["first"] for r in heads.collect()}
 
 
-def files_by_layout(
-    spark: SparkSession, paths: list[str], encoding: str, skip_rows: int = 0
-) -> dict[tuple[str, str], list[str]]:
-    """Files by (header line, encoding), from one aggregate over the lines that is combined per task.
+def layouts(spark: SparkSession, paths: list[str], encoding: str = "auto", skip_rows: int = 0) -> tuple[dict[tuple[str, str], list[str]], int]:
+    """Files by (header line, encoding), from one aggregate over the lines that is combined per task, and how many lack a header.
 
-    The header is the first line that is not blank, or the one after ``skip_rows`` lines. With ``encoding='auto'`` a
-    file is UTF-8 if all its lines are, else Latin-1. A single layout keeps the paths as they were given, so that Spark
-    lists the folders itself.
+    The header is the first line that is not blank, or the one after ``skip_rows`` lines of the same file. With
+    ``encoding='auto'`` a file is UTF-8 if all its lines are, else Latin-1. Files without any line are in neither result.
     """
     lines = text_lines(spark, paths)
     raw = F.col("value").cast("binary")
     valid = F.bool_and(F.is_valid_utf8("value")) if encoding == "auto" else F.lit(True)
+    in_head = F.col("block_start") == 0
     if skip_rows:
-        # line ids are consecutive within a split, so the header's id is known from the file's first one
-        wanted = [first + skip_rows for first in _first_ids(lines).values()]
-        is_header = F.col("line_id").isin(wanted) & (F.col("block_start") == 0)
+        # Line ids are consecutive within a split, so the header's id is known from the file's first one. For a file with fewer
+        # lines this id belongs to the next file; each file's own one is told apart below.
+        own = {path: first + skip_rows for path, first in _first_ids(lines).items()}
+        is_header = F.col("line_id").isin([*own.values()]) & in_head
+        header = F.collect_list(F.when(is_header, F.struct("line_id", raw.alias("line"))))
     else:
-        is_header = (F.col("block_start") == 0) & (F.length(F.trim("value")) > 0)
-    header = F.min_by(F.when(is_header, raw), F.when(is_header, F.col("line_id")))
-    found = lines.groupBy("file_path").agg(header.alias("header"), valid.alias("is_utf8"))
+        own = {}
+        is_header = in_head & (F.length(F.trim("value")) > 0)
+        first = F.min_by(F.when(is_header, F.struct("line_id", raw.alias("line"))), F.when(is_header, F.col("line_id")))
+        header = F.when(first.isNotNull(), F.array(first)).otherwise(F.array())
+    found = lines.groupBy("file_path").agg(header.alias("headers"), valid.alias("is_utf8"))
     groups: dict[tuple[str, str], list[str]] = {}
-    for row in found.filter("header is not null").orderBy("file_path").collect():
+    without = 0
+    for row in found.orderBy("file_path").collect():
+        headers = [h.line for h in row.headers if own.get(row.file_path, h.line_id) == h.line_id]
+        if not headers:
+            without += 1
+            continue
         charset = encoding if encoding != "auto" else "UTF-8" if row.is_utf8 else "ISO-8859-1"
-        kind = (_decoded(row.header, charset), charset)
-        groups.setdefault(kind, []).append(literal_path(unquote(row.file_path)))
-    return {kind: paths for kind in groups} if len(groups) == 1 else groups
+        groups.setdefault((_decoded(headers[0], charset), charset), []).append(literal_path(unquote(row.file_path)))
+    return groups, without
+
+
+def files_by_layout(
+    spark: SparkSession, paths: list[str], encoding: str, skip_rows: int = 0
+) -> dict[tuple[str, str], list[str]]:
+    """``layouts``, where a single layout keeps the paths as they were given, so that Spark lists the folders itself."""
+    groups, without = layouts(spark, paths, encoding, skip_rows)
+    whole = len(groups) == 1 and not (skip_rows and without)
+    return {kind: paths for kind in groups} if whole else groups
 
 
 def read_delimited(
@@ -93,18 +108,20 @@ def read_delimited(
     all_string: bool = True,
     multi_line: bool = False,
     keep_source: bool = False,
+    groups: dict[tuple[str, str], list[str]] | None = None,
 ) -> DataFrame:
     """Header CSV files as one frame.
 
     Files may differ in separator, encoding (UTF-8, else Latin-1) and columns; a column that a file
     lacks is null. Rows with more fields than the header are dropped, shorter rows are padded with
     nulls. ``skip_rows`` lines before the header are ignored. With ``all_string=False`` the types are
-    inferred by one more pass. ``keep_source`` adds the file path as ``__source_file``.
+    inferred by one more pass. ``keep_source`` adds the file path as ``__source_file``. ``groups`` are the ``layouts`` of the
+    files where the caller has them already.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     if skip_rows:
         return _read_after_preamble(spark, paths, sep, encoding, skip_rows, keep_source)
-    groups = files_by_layout(spark, paths, encoding)
+    groups = files_by_layout(spark, paths, encoding) if groups is None else groups
     if not groups:
         raise ValueError(f"no header line in {paths}")
     frames = [

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,3 +58,30 @@ def text_fingerprints(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 def latest_file(files: DataFrame) -> DataFrame:
     """The file whose path sorts last, which is the newest one when names carry a timestamp."""
     return files.agg(F.max("file_path").alias("file_path")).filter(F.col("file_path").isNotNull())
+
+
+#: Error classes of Spark that speak of a file's content.
+READER_ERRORS = ("FAILED_READ_FILE", "MALFORMED_CSV_RECORD", "MALFORMED_RECORD_IN_PARSING")
+
+
+def is_reader_error(failure: Exception) -> bool:
+    """Whether a failure comes from the files or their columns, and not from the cluster."""
+    return isinstance(failure, (TypeError, ValueError, OSError, AnalysisException)) or any(name in str(failure) for name in READER_ERRORS)
+
+
+def usable_files(rows_of: Callable[[list[str]], DataFrame], paths: list[str]) -> tuple[list[str], list[str]]:
+    """Split files into usable and unusable ones by halving the batch until each part is pure.
+
+    Only a failure that comes from the files is taken as a verdict; any other one is raised.
+    """
+    try:
+        rows_of(paths).write.format("noop").mode("overwrite").save()
+        return paths, []
+    except Exception as failure:
+        if not is_reader_error(failure):
+            raise
+        if len(paths) == 1:
+            return [], paths
+    half = len(paths) // 2
+    left, right = usable_files(rows_of, paths[:half]), usable_files(rows_of, paths[half:])
+    return left[0] + right[0], left[1] + right[1]

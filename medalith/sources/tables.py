@@ -18,7 +18,7 @@ from medalith.operators.evolve import combined_schema, type_conflicts
 from medalith.operators.preview import preview, table_schema
 from medalith.operators.upsert import upsert, upsert_stats
 from medalith.session import work_dir
-from medalith.sources import storage
+from medalith.sources import buckets, storage
 
 LAYERS = ("bronze", "silver", "gold")
 # Partition columns with this prefix say where rows came from; they are no part of the table.
@@ -113,9 +113,13 @@ def merge_table(
 ) -> dict[str, int]:
     """Upsert ``source`` into a table and return the counts of updated and inserted rows.
 
-    The source is stored first: the counts and the new table use it several times over.
+    The source is stored first: the counts and the new table use it several times over. A table in buckets of these keys
+    is merged bucket by bucket; any other one is written anew.
     """
     spark, schema = source.sparkSession, source.schema
+    if buckets.is_bucketed(spark, table_path(root, layer, table)):
+        stats = buckets.merge(source, table_path(root, layer, table), **columns)
+        return {k: stats[k] for k in ("updated", "inserted", "deleted")}
     staged = work_dir(spark, f"merge-{table}")
     source.write.parquet(staged)
     source = spark.read.schema(schema).parquet(staged)
@@ -123,7 +127,7 @@ def merge_table(
         write_table(source, root, layer, table, "overwrite")
         return {"updated": 0, "inserted": read_table(spark, root, layer, table).count(), "deleted": 0}
     target = read_table(spark, root, layer, table)
-    stats = upsert_stats(target, source, keys).first().asDict()
+    stats = upsert_stats(target, source, keys, columns.get("null_keys_match", False)).first().asDict()
     write_table(upsert(target, source, keys, **columns), root, layer, table, "overwrite")
     return stats
 

@@ -6,6 +6,8 @@ makes every file count exactly once, also when a run dies half way.
 
 from __future__ import annotations
 
+import json
+import re
 import uuid
 from collections.abc import Callable
 from urllib.parse import unquote
@@ -17,15 +19,15 @@ from pyspark.sql import types as T
 from medalith.functions.keys import with_ingestion_ts
 from medalith.functions.names import col, normalize_names
 from medalith.operators.dedupe import latest_per_key
-from medalith.operators.upsert import upsert
-from medalith.sources import storage
-from medalith.sources.delimited import SOURCE_FILE, read_delimited
-from medalith.sources.files import literal_path
-from medalith.sources.tables import write_table
+from medalith.sources import buckets, storage
+from medalith.sources.delimited import SOURCE_FILE, layouts, read_delimited
+from medalith.sources.files import is_reader_error, literal_path, text_lines, usable_files
+from medalith.sources.tables import read_path, write_table
 
 RESCUED = "_rescued_data"
 # Partition of a streamed table that holds the rows of one batch.
 BATCH = "__batch"
+_MARK = "_batch.json"
 _FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 
 
@@ -82,6 +84,12 @@ def ingest_stream(
     append_stream(stamped(stream, from_filename, normalize), target, checkpoint)
 
 
+def _without(paths: list[str], others: list[str]) -> list[str]:
+    """Paths that are not among the others, whatever scheme they are written with."""
+    known = {re.sub("^file:/*", "/", f) for f in others}
+    return [f for f in paths if re.sub("^file:/*", "/", f) not in known]
+
+
 def ingest_stream_by_header(
     spark: SparkSession,
     path: str,
@@ -98,19 +106,49 @@ def ingest_stream_by_header(
     Columns may come in any order, be missing or be new; new ones are added to the table. The stream
     itself carries only file names; a batch reads its files with ``read_delimited`` and fills a
     partition of its own, so a batch that runs again after a failure takes its own place.
+
+    A file without a header line, or one that cannot be read, does not stop the stream: it is entered with a reason in the
+    table ``<table>_rejected`` and its batch goes on without it.
     """
     names = spark.readStream.format("binaryFile").schema(_FILE_SCHEMA).option("recursiveFileLookup", True).load(path)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
+        session = batch.sparkSession
         files = [literal_path(unquote(r.file_path)) for r in batch.select("file_path").distinct().collect()]
         if not files:
             return
-        rows = read_delimited(batch.sparkSession, files, keep_source=True, **options)
-        name = F.regexp_extract(F.col(SOURCE_FILE), "[^/]*$", 0)
-        rows = with_ingestion_ts(rows, name if from_filename else None).drop(SOURCE_FILE)
-        rows = normalize_names(rows) if normalize else rows
-        rows = rows.withColumn(BATCH, F.lit(f"b{batch_id}"))
-        write_table(rows, root, layer, table, partition_by=[BATCH], replace_partitions=True)
+        mark = F.lit(f"b{batch_id}")
+        encoding = options.get("encoding", "auto")
+
+        def rows_of(paths: list[str], groups: dict | None = None) -> DataFrame:
+            return read_delimited(session, paths, keep_source=True, groups=groups, **options)
+
+        def take(paths: list[str]) -> list[str]:
+            """Append the rows of the files; returns those without a header."""
+            groups, _ = layouts(session, paths, encoding, options.get("skip_rows", 0))
+            headed = [f for group in groups.values() for f in group]
+            if headed:
+                rows = rows_of(headed, groups)
+                name = F.regexp_extract(F.col(SOURCE_FILE), "[^/]*$", 0)
+                rows = with_ingestion_ts(rows, name if from_filename else None).drop(SOURCE_FILE)
+                rows = normalize_names(rows) if normalize else rows
+                write_table(rows.withColumn(BATCH, mark), root, layer, table, partition_by=[BATCH], replace_partitions=True)
+            return _without(paths, headed)
+
+        broken: list[str] = []
+        try:
+            empty = take(files)
+        except Exception as failure:
+            if not is_reader_error(failure):
+                raise
+            good, broken = usable_files(lambda paths: text_lines(session, paths), files)
+            if good and not broken:  # every line can be read, so the columns do not fit
+                raise
+            empty = take(good) if good else []
+        rejected = [(f, "no header line") for f in empty] + [(f, "cannot be read") for f in broken]
+        if rejected:
+            entries = session.createDataFrame([(re.sub(r"\\(.)", r"\1", f), why) for f, why in rejected], "file_path string, reason string")
+            write_table(entries.withColumn(BATCH, mark), root, layer, f"{table}_rejected", partition_by=[BATCH], replace_partitions=True)
 
     query = (
         names.select(F.col("_metadata.file_path").alias("file_path"))
@@ -125,13 +163,14 @@ def ingest_stream_by_header(
 
 def current_snapshot(spark: SparkSession, target: str) -> DataFrame | None:
     """The table an upsert stream maintains, as of its last finished batch."""
-    done = _finished(spark, target)
-    return spark.read.parquet(f"{target}/snapshot={done[-1]}") if done else None
+    return read_path(spark, target) if buckets.is_bucketed(spark, target) else None
 
 
-def _finished(spark: SparkSession, target: str) -> list[int]:
-    numbers = sorted(int(f.split("=")[1]) for f in storage.child_folders(spark, target) if f.startswith("snapshot="))
-    return [n for n in numbers if storage.exists(spark, f"{target}/snapshot={n}/_SUCCESS")]
+def _finished_batch(spark: SparkSession, target: str, query: str) -> int:
+    """The last batch of a query that the table holds, or -1."""
+    path = f"{target}/{_MARK}"
+    mark = json.loads(storage.read_text(spark, path)) if storage.exists(spark, path) else {}
+    return mark["batch"] if mark.get("query") == query else -1
 
 
 def upsert_stream(
@@ -141,30 +180,26 @@ def upsert_stream(
     keys: list[str],
     newest: list[str],
     prepare: Callable[[DataFrame], DataFrame] | None = None,
+    n_buckets: int = buckets.BUCKETS,
 ) -> None:
-    """Keep the latest row per key of everything the stream has brought so far.
+    """Keep the latest row per key of everything the stream has brought so far, in a table of key buckets.
 
-    Each batch writes the next snapshot from the one before it, so a batch that is run again after a
-    failure overwrites its own snapshot and nothing else. ``newest`` is compared with the stored row
-    too: a late file does not undo a newer one. A null key is one key, within a batch and in the
-    snapshot. Two snapshots are kept.
+    A batch rewrites the buckets that its keys fall into, and leaves a mark. A batch that runs again after a failure is
+    skipped by its mark or merged again, which changes nothing. ``newest`` is compared with the stored row
+    too: a late file does not undo a newer one. A null key is one key, within a batch and in the table.
     """
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
+        query = session.sparkContext.getLocalProperty("sql.streaming.queryId") or checkpoint
+        if _finished_batch(session, target, query) >= batch_id:
+            return
         rows = latest_per_key(prepare(batch) if prepare else batch, keys, newest)
-        earlier = [n for n in _finished(session, target) if n < batch_id]
-        snapshot, staged = f"{target}/snapshot={batch_id}", f"{target}/_batch={batch_id}"
-        if earlier:
-            # The batch is stored before it is compared and merged, so its files are read once.
-            stored = session.read.parquet(f"{target}/snapshot={earlier[-1]}")
-            rows.write.mode("overwrite").parquet(staged)
-            rows = _not_older(session.read.schema(rows.schema).parquet(staged), stored, keys, newest)
-            rows = upsert(stored, rows, keys, null_keys_match=True)
-        rows.write.mode("overwrite").parquet(snapshot)
-        storage.remove_folder(session, staged)
-        for old in earlier[:-1]:
-            storage.remove_folder(session, f"{target}/snapshot={old}")
+        if buckets.is_bucketed(session, target):
+            buckets.merge(rows, target, newest)
+        else:
+            buckets.create(rows, target, keys, n_buckets, null_keys_match=True)
+        storage.write_text(session, f"{target}/{_MARK}", json.dumps({"query": query, "batch": batch_id}))
 
     query = (
         stream.writeStream.foreachBatch(write_batch)
@@ -174,14 +209,3 @@ def upsert_stream(
         .start()
     )
     query.awaitTermination()
-
-
-def _not_older(rows: DataFrame, stored: DataFrame, keys: list[str], newest: list[str]) -> DataFrame:
-    """Rows without a stored row of the same keys that is newer."""
-    side = stored.select(
-        *[col(k).alias(f"__key_{i}") for i, k in enumerate(keys)],
-        F.struct(*[col(n) for n in newest]).alias("__stored"),
-    )
-    same = [col(k).eqNullSafe(F.col(f"__key_{i}")) for i, k in enumerate(keys)]
-    newer = F.col("__stored") > F.struct(*[col(n) for n in newest])
-    return rows.join(side, same + [newer], "left_anti")

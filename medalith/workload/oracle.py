@@ -393,9 +393,9 @@ FROM bronze_siae_structures s LEFT JOIN (
     code_insee NULLS LAST, nom_standard NULLS LAST) = 1) g
 ON upper(trim(replace(s.ville, '-', ' '))) = g.city_name""",
     "lookup_anti": "SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN "
-    "(SELECT o_custkey FROM orders WHERE o_orderkey % 7 = 0)",
+    "(SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT')",
     "lookup_semi": "SELECT c_custkey, c_name FROM customer WHERE c_custkey IN "
-    "(SELECT o_custkey FROM orders WHERE o_orderkey % 7 = 0)",
+    "(SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT')",
     "join_on_cast_keys": """
 SELECT source_row, s_name FROM bronze_lignes JOIN supplier ON CAST(code_ligne AS BIGINT) = s_suppkey""",
     "surrogate_keys": """
@@ -484,6 +484,19 @@ SELECT coalesce(t.o_custkey, s.o_custkey) AS o_custkey, coalesce(t.o_orderpriori
   coalesce(s.o_totalprice, t.o_totalprice) AS o_totalprice, t.o_orderdate, t.o_orderkey
 FROM old_orders t FULL JOIN new_orders s ON t.o_custkey = s.o_custkey AND t.o_orderpriority = s.o_orderpriority""",
     "upsert_stored_table": f"SELECT * FROM ({_MERGED_ORDERS}) m CROSS JOIN ({_ORDER_STATS}) s",
+    "upsert_stats_null_keys": """
+WITH rows AS (SELECT CASE WHEN c_acctbal < 8000 THEN c_mktsegment END AS segment, c_nationkey, c_acctbal FROM customer),
+  t AS (SELECT DISTINCT segment, c_nationkey FROM rows WHERE c_nationkey < 15),
+  s AS (SELECT DISTINCT segment, c_nationkey FROM rows WHERE c_acctbal < 0 OR c_acctbal > 9000),
+  u AS (SELECT count(*) AS n FROM (SELECT * FROM t INTERSECT SELECT * FROM s))
+SELECT u.n AS updated, (SELECT count(*) FROM s) - u.n AS inserted, CAST(0 AS BIGINT) AS deleted,
+  (SELECT count(*) FROM (SELECT * FROM t UNION SELECT * FROM s)) AS n_rows FROM u""",
+    "merge_key_buckets": """
+WITH s AS (SELECT * REPLACE (o_totalprice * 2 AS o_totalprice, CASE WHEN o_orderstatus = 'F' THEN -o_orderkey ELSE o_orderkey END AS o_orderkey)
+  FROM orders WHERE o_orderdate = (SELECT max(o_orderdate) FROM orders))
+SELECT m.*, (SELECT count(*) FROM s WHERE o_orderkey > 0) AS updated, (SELECT count(*) FROM s WHERE o_orderkey < 0) AS inserted,
+  true AS few_buckets
+FROM (SELECT * FROM orders WHERE o_orderkey NOT IN (SELECT o_orderkey FROM s) UNION ALL SELECT * FROM s) m""",
     "schema_merge_union": """
 SELECT c_custkey, c_name, CAST(NULL AS INTEGER) AS nation FROM customer
 UNION ALL SELECT s_suppkey, NULL, s_nationkey FROM supplier""",
@@ -755,6 +768,14 @@ FROM orders WHERE o_custkey % 7 <> 0""",
 SELECT nullif("CODGEO", '') AS "CODGEO", "AAV2020", "LIBAAV2020", CAST(source_row AS VARCHAR) AS source_row
 FROM bronze_zones_attraction""",
     "source_odd_file_names": "SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name FROM customer",
+    "source_preamble_short_file": "SELECT CAST(s_suppkey AS VARCHAR) AS s_suppkey, s_name FROM supplier",
+    "ingest_skip_filled": """
+SELECT n_nationkey + CASE run WHEN 2 THEN 200 ELSE 0 END AS key, n_name AS name, run,
+  CASE run WHEN 1 THEN 'skipped' ELSE 'success' END AS status
+FROM nation, (VALUES (0), (1), (2)) AS runs(run)""",
+    "stream_bad_file": """
+SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_orderstatus FROM orders
+UNION ALL SELECT * FROM (VALUES ('blank.csv', 'no header line'), ('broken.csv.gz', 'cannot be read'))""",
     "source_preamble_latin1": """
 SELECT nullif(coalesce(code_ligne, ''), '') AS code_ligne, lib_ligne, catlig FROM bronze_lignes""",
     "bronze_zones_file": """

@@ -17,7 +17,7 @@ from medalith.operators import dedupe, evolve, ledger, lookup, nested, preview,
 from medalith.plans import bronze as ingest
 from medalith.plans import gold, legacy, pipeline, silver
 from medalith.session import work_dir
-from medalith.sources import delimited, files, json_pages, storage, tables
+from medalith.sources import buckets, delimited, files, json_pages, storage, tables
 from medalith.streaming import ingest as streams
 from medalith.workload import derived
 
@@ -328,12 +328,16 @@ def lookup_normalized_name(t):
 
 @query
 def lookup_anti(t):
-    return lookup.missing(t.customer, t.orders.filter("o_orderkey % 7 = 0"), {"c_custkey": "o_custkey"}).select("c_custkey", "c_name")
+    """Customers without an urgent order."""
+    urgent = t.orders.filter("o_orderpriority = '1-URGENT'")
+    return lookup.missing(t.customer, urgent, {"c_custkey": "o_custkey"}).select("c_custkey", "c_name")
 
 
 @query
 def lookup_semi(t):
-    return lookup.matching(t.customer, t.orders.filter("o_orderkey % 7 = 0"), {"c_custkey": "o_custkey"}).select("c_custkey", "c_name")
+    """Customers with an urgent order."""
+    urgent = t.orders.filter("o_orderpriority = '1-URGENT'")
+    return lookup.matching(t.customer, urgent, {"c_custkey": "o_custkey"}).select("c_custkey", "c_name")
 
 
 @query
@@ -592,6 +596,50 @@ def upsert_stored_table(t):
     return merged.withColumns({k: F.lit(v).cast("long") for k, v in stats.items()})
 
 
+def _segments(t: Inputs) -> tuple[DataFrame, DataFrame]:
+    """Customers by segment and nation, the segment sometimes null: those of some nations, and those with a debt."""
+    segment = F.when(F.col("c_acctbal") < 8000, F.col("c_mktsegment"))
+
+    def newest(df: DataFrame) -> DataFrame:
+        return dedupe.latest_per_key(df.select(segment.alias("segment"), "c_nationkey", "c_custkey", "c_name"), ["segment", "c_nationkey"], ["c_custkey"])
+
+    return newest(t.customer.filter("c_nationkey < 15")), newest(t.customer.filter("c_acctbal < 0 or c_acctbal > 9000"))
+
+
+@query
+def upsert_stats_null_keys(t):
+    """Counts of a stored merge whose null keys match, and the rows it left."""
+    target, source = _segments(t)
+    root = work_dir(t.spark, "merge")
+    tables.merge_table(target, root, "silver", "segments", ["segment", "c_nationkey"])
+    stats = tables.merge_table(source, root, "silver", "segments", ["segment", "c_nationkey"], null_keys_match=True)
+    n_rows = tables.read_table(t.spark, root, "silver", "segments").agg(F.count(F.lit(1)).alias("n_rows"))
+    return n_rows.withColumns({k: F.lit(v).cast("long") for k, v in stats.items()})
+
+
+@query
+def merge_key_buckets(t):
+    """The orders of the last day, changed, merged into a table in buckets: only the buckets of their keys are rewritten."""
+    path = f"{work_dir(t.spark, 'merge')}/silver/orders"
+    last = t.orders.agg(F.max("o_orderdate").alias("last"))
+    source = t.orders.join(last, F.col("o_orderdate") == F.col("last")).drop("last")
+    source = source.withColumns({"o_totalprice": F.col("o_totalprice") * 2, "o_orderkey": F.col("o_orderkey") * F.when(F.col("o_orderstatus") == "F", -1).otherwise(1)})
+    buckets.create(t.orders, path, ["o_orderkey"], 256)
+    files_before = _bucket_files(t.spark, path)
+    stats = buckets.merge(source, path)
+    rewritten = _bucket_files(t.spark, path).join(files_before, ["bucket", "file"], "left_anti").select("bucket").distinct().count()
+    merged = buckets.read(t.spark, path).drop(buckets.BUCKET)
+    return merged.withColumns(
+        {"updated": F.lit(stats["updated"]), "inserted": F.lit(stats["inserted"]), "few_buckets": F.lit(rewritten == stats["buckets"] <= source.count())}
+    )
+
+
+def _bucket_files(spark: SparkSession, path: str) -> DataFrame:
+    """The files of each bucket as they are now."""
+    found = buckets.read(spark, path).select(F.col(buckets.BUCKET).alias("bucket"), F.col("_metadata.file_path").alias("file")).distinct()
+    return spark.createDataFrame([tuple(r) for r in found.collect()], "bucket int, file string")
+
+
 @query
 def schema_merge_union(t):
     left = t.customer.select("c_custkey", "c_name")
@@ -881,6 +929,20 @@ def source_odd_file_names(t):
     return delimited.read_delimited(t.spark, files.literal_path(folder))
 
 
+@query
+def source_preamble_short_file(t):
+    """Files shorter than the preamble, beside good ones: they hold no header and lend none to the next file."""
+    folder = work_dir(t.spark, "preamble")
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    head = "Titre\n\nNiveau\nMillesime\n----\ns_suppkey,s_name\n"
+    line = F.concat_ws(",", "s_suppkey", "s_name")
+    rows = t.supplier.repartition(8, "s_suppkey").select(F.when(place == 0, F.concat(F.lit(head), line)).otherwise(line))
+    rows.write.text(folder)
+    for number in range(8):
+        storage.write_text(t.spark, f"{folder}/{'part' if number % 2 else 'a'}-0000{number}-short.txt", "Titre\nNiveau\n")
+    return delimited.read_delimited(t.spark, folder, skip_rows=5)
+
+
 @query
 def source_preamble_latin1(t):
     """Latin-1 files with title lines before the header, beside UTF-8 ones."""
@@ -1146,6 +1208,27 @@ def ingest_bad_file(t):
     )
 
 
+@query
+def ingest_skip_filled(t):
+    """A table that holds rows is left alone by a second run, and replaced by a forced one."""
+    root = work_dir(t.spark, "lake")
+    found = None
+    for run, force in enumerate((False, False, True)):
+        landed = f"{root}/landed/{run}"
+        rows = t.nation.select((F.col("n_nationkey") + 100 * run).alias("key"), F.col("n_name").alias("name"))
+        _pages(rows, "key", "results").write.json(landed)
+        status = ingest.refresh_api_table(t.spark, root, "nations", landed, _results, force)
+        table = tables.read_table(t.spark, root, "bronze", "nations").select("key", "name", F.lit(run).alias("run"), F.lit(status).alias("status"))
+        table.write.parquet(f"{root}/seen/{run}")
+        seen = t.spark.read.parquet(f"{root}/seen/{run}")
+        found = seen if found is None else found.unionByName(seen)
+    return found
+
+
+def _results(spark: SparkSession, path: str) -> DataFrame:
+    return json_pages.read_json_pages(spark, path, "results", "results array<struct<key: long, name: string>>", multi_line=False)
+
+
 @query
 def json_flatten(t):
     """The JSON text of an event as nested records, flattened into columns."""
@@ -1363,6 +1446,20 @@ def stream_schema_evolution(t):
     return tables.read_table(t.spark, folder, "bronze", "orders").drop("ingestion_timestamp")
 
 
+@query
+def stream_bad_file(t):
+    """A blank and a broken file arrive with good ones: they are entered as rejected, and a later run takes what is new."""
+    folder = work_dir(t.spark, "stream")
+    orders = t.orders.select("o_orderkey", "o_orderstatus")
+    for half, name in ((0, "blank.csv"), (1, "broken.csv.gz")):
+        orders.filter(F.col("o_orderkey") % 2 == half).write.mode("append").options(header=True, sep=";").csv(f"{folder}/in")
+        storage.write_text(t.spark, f"{folder}/in/{name}", "\n \n" if half == 0 else "no archive at all\n")
+        streams.ingest_stream_by_header(t.spark, f"{folder}/in", folder, "bronze", "orders", f"{folder}/check")
+    rejected = tables.read_table(t.spark, folder, "bronze", "orders_rejected")
+    rejected = rejected.select(F.regexp_extract("file_path", "[^/]*$", 0).alias("o_orderkey"), F.col("reason").alias("o_orderstatus"))
+    return tables.read_table(t.spark, folder, "bronze", "orders").drop("ingestion_timestamp").unionByName(rejected)
+
+
 @query
 def stream_filename_stamp(t):
     """Files that carry a stamp in their name: each row gets the stamp of its file."""
