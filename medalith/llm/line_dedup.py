@@ -1,12 +1,12 @@
 """Removal of lines that already stand in an earlier document (DataFrame operations only).
 
-Lines become hashes of their keys. The hashes are range-partitioned and sorted by document and position inside each
+Lines become hashes of their keys, stored once. The hashes are range-partitioned and sorted by document and position inside each
 partition; one pass per partition sees the first document of a key and marks the lines of all later ones. What comes
 out is a bitmap of the dropped lines per document, in which words without a dropped line are left out: small, and
 without any text.
 
-Skew: the ``HOT_KEYS`` most frequent keys get their first document from an aggregate that is combined before the
-shuffle, and their lines are spread over the range partitions; every other key has at most 1/``HOT_KEYS`` of all rows.
+Skew: keys with at least a share of 1/``HOT_SHARE`` of all lines get their first document from an aggregate that is combined
+before the shuffle, and their lines are spread over the range partitions. There are at most ``HOT_SHARE`` of them.
 
 Defined results: null or empty text is one empty line. A null id counts as the largest id, so it never holds a first
 occurrence against a document with an id. Rows that repeat an id belong to one document: a line of the smallest id
@@ -18,10 +18,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from medalith.llm.frames import column, id_and_text
+from medalith.llm.frames import column, id_and_text, stored
 
 MIN_CHARS = 10
-HOT_KEYS = 512
+HOT_SHARE = 4096
 SPREAD = 1024
 NO_ID = 2**63 - 1
 #: Fixed values of the line key: the stripped characters, and the letters to lower.
@@ -52,10 +52,12 @@ def hashed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS) -> DataFrame:
     """``doc, body, pos`` of every line whose key stands in a document with a smaller id."""
-    lines = hashed_lines(docs, id_col, text_col, min_chars)
+    # counting, the bounds of the ranges and the shuffle read the hashes; the texts are split once for them
+    lines = stored(docs.sparkSession, hashed_lines(docs, id_col, text_col, min_chars), "lines")
+    least = max(2, -(-lines.count() // HOT_SHARE))
     counted = lines.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min("doc").alias("hot_first"))
-    hot = counted.orderBy(F.desc("n"), "h1", "h2").limit(HOT_KEYS).drop("n")
-    # HOT_KEYS rows at most, so this is always small enough to be sent to every executor
+    hot = counted.where(F.col("n") >= least).drop("n")
+    # HOT_SHARE rows at most, so this is always small enough to be sent to every executor
     known = lines.join(F.broadcast(hot), ["h1", "h2"], "left")
     part = F.when(F.col("hot_first").isNotNull(), F.pmod(F.xxhash64("doc", "pos"), F.lit(SPREAD))).otherwise(F.lit(0))
     placed = known.withColumn("part", part.cast("int")).repartitionByRange("h1", "part")
