@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 from medalith.functions.keys import with_ingestion_ts
 from medalith.functions.names import col, normalize_names
 from medalith.operators.dedupe import latest_per_key
+from medalith.operators.evolve import fit_schema
 from medalith.sources import buckets, storage
 from medalith.sources.delimited import SOURCE_FILE, layouts, read_delimited
 from medalith.sources.files import is_reader_error, literal_path, text_lines, usable_files
@@ -84,6 +85,13 @@ def ingest_stream(
     append_stream(stamped(stream, from_filename, normalize), target, checkpoint)
 
 
+def _fitted(rows: DataFrame, schema: T.StructType | str) -> DataFrame:
+    """``fit_schema``, where the name of the file stays a column of its own."""
+    declared = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    fields = [*declared.fields, T.StructField(SOURCE_FILE, T.StringType())]
+    return fit_schema(rows, T.StructType(fields), RESCUED)
+
+
 def _without(paths: list[str], others: list[str]) -> list[str]:
     """Paths that are not among the others, whatever scheme they are written with."""
     known = {re.sub("^file:/*", "/", f) for f in others}
@@ -99,6 +107,7 @@ def ingest_stream_by_header(
     checkpoint: str,
     normalize: bool = False,
     from_filename: bool = True,
+    schema: T.StructType | str | None = None,
     **options,
 ) -> None:
     """Append the CSV files that arrived in ``path`` to a table, by the header of each file.
@@ -107,6 +116,9 @@ def ingest_stream_by_header(
     itself carries only file names; a batch reads its files with ``read_delimited`` and fills a
     partition of its own, so a batch that runs again after a failure takes its own place.
 
+    With ``schema`` the table has these columns and ``_rescued_data``: a JSON object of the columns that the schema does
+    not name and of the values that do not fit its types.
+
     A file without a header line, or one that cannot be read, does not stop the stream: it is entered with a reason in the
     table ``<table>_rejected`` and its batch goes on without it.
     """
@@ -130,6 +142,8 @@ def ingest_stream_by_header(
             if headed:
                 rows = rows_of(headed, groups)
                 name = F.regexp_extract(F.col(SOURCE_FILE), "[^/]*$", 0)
+                if schema is not None:
+                    rows = _fitted(rows, schema)
                 rows = with_ingestion_ts(rows, name if from_filename else None).drop(SOURCE_FILE)
                 rows = normalize_names(rows) if normalize else rows
                 write_table(rows.withColumn(BATCH, mark), root, layer, table, partition_by=[BATCH], replace_partitions=True)

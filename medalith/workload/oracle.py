@@ -776,6 +776,12 @@ FROM nation, (VALUES (0), (1), (2)) AS runs(run)""",
     "stream_bad_file": """
 SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_orderstatus FROM orders
 UNION ALL SELECT * FROM (VALUES ('blank.csv', 'no header line'), ('broken.csv.gz', 'cannot be read'))""",
+    "stream_rescued_columns": """
+SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 AND o_orderstatus <> 'P' THEN o_custkey END AS o_custkey,
+  CASE WHEN o_orderkey % 2 = 1 THEN o_orderstatus END AS o_orderstatus,
+  CASE WHEN o_orderkey % 2 = 1 THEN '{"note":"x"}'
+    ELSE concat('{', CASE WHEN o_orderstatus = 'P' THEN '"o_custkey":"pending",' END, '"o_orderpriority":"', o_orderpriority, '"}') END AS rescued
+FROM orders""",
     "source_preamble_latin1": """
 SELECT nullif(coalesce(code_ligne, ''), '') AS code_ligne, lib_ligne, catlig FROM bronze_lignes""",
     "bronze_zones_file": """

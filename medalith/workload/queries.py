@@ -1460,6 +1460,22 @@ def stream_bad_file(t):
     return tables.read_table(t.spark, folder, "bronze", "orders").drop("ingestion_timestamp").unionByName(rejected)
 
 
+@query
+def stream_rescued_columns(t):
+    """Files with a column more than declared, one less, and values that do not fit: the rest is kept as JSON."""
+    folder = work_dir(t.spark, "stream")
+    late = F.when(F.col("o_orderstatus") == "P", F.lit("pending")).otherwise(F.col("o_custkey").cast("string")).alias("o_custkey")
+    deliveries = (
+        t.orders.filter("o_orderkey % 2 = 0").select("o_orderkey", late, "o_orderpriority"),
+        t.orders.filter("o_orderkey % 2 = 1").select("o_orderstatus", "o_orderkey", F.lit("x").alias("note")),
+    )
+    for rows in deliveries:
+        rows.write.mode("append").options(header=True, sep=";").csv(f"{folder}/in")
+        schema = "o_orderkey long, o_custkey long, o_orderstatus string"
+        streams.ingest_stream_by_header(t.spark, f"{folder}/in", folder, "bronze", "orders", f"{folder}/check", schema=schema)
+    return tables.read_table(t.spark, folder, "bronze", "orders").drop("ingestion_timestamp").withColumnRenamed("_rescued_data", "rescued")
+
+
 @query
 def stream_filename_stamp(t):
     """Files that carry a stamp in their name: each row gets the stamp of its file."""

@@ -5,9 +5,9 @@ import random
 
 import pytest
 
-from medalith.operators import upsert
+from medalith.operators import evolve, upsert
 from medalith.session import work_dir
-from medalith.sources import buckets, tables
+from medalith.sources import buckets, files, tables
 from medalith.streaming import ingest
 
 
@@ -102,3 +102,21 @@ def test_counts_with_null_keys(spark):
     target, source = (spark.createDataFrame(rows, "k long") for rows in ([(None,), (1,)], [(None,), (2,)]))
     assert upsert.upsert_stats(target, source, ["k"], True).first().asDict() == {"updated": 1, "inserted": 1, "deleted": 0}
     assert upsert.upsert_stats(target, source, ["k"]).first().asDict() == {"updated": 0, "inserted": 2, "deleted": 0}
+
+
+def test_rows_that_do_not_fit_are_rescued(spark):
+    rows = spark.createDataFrame([("1", "2.5", "x", None), ("y", None, None, "z"), (None, "oops", None, None)], "a string, b string, c string, `d.e` string")
+    found = evolve.fit_schema(rows, "a int, b double, f date")
+    assert found.columns == ["a", "b", "f", "_rescued_data"]
+    assert [tuple(r) for r in found.collect()] == [
+        (1, 2.5, None, '{"c":"x"}'), (None, None, None, '{"a":"y","d.e":"z"}'), (None, None, None, '{"b":"oops"}')
+    ]
+    assert evolve.fit_schema(rows.select("a").limit(0), "a int").collect() == []
+
+
+def test_failures_of_the_cluster_are_no_verdict_on_files(spark):
+    def lost(paths):
+        raise RuntimeError("executor lost")
+
+    with pytest.raises(RuntimeError):
+        files.usable_files(lost, ["a", "b"])
