@@ -6,9 +6,8 @@ from collections import Counter
 
 import numpy as np
 import pytest
-from compare import compare, connect
 
-from medalith.llm import collocations, oracle, queries
+from medalith.llm import collocations
 
 COLUMNS = ("lang", "rank", "phrase", "a", "l", "r", "n", "score")
 
@@ -88,9 +87,3 @@ def test_exact_scores_of_large_counts(spark):
     a, l, r = 9_000_000_000_007, 9_000_000_000_011, 9_999_999_999_999
     counts = spark.createDataFrame([("en", 2, "x y", a), ("en", 1, "x", l), ("en", 1, "y", r)], "lang string, words int, phrase string, n long")
     assert collocations.scored(counts).first().score == 10**6 * a * a // (l * r)
-
-
-def test_sql(spark):
-    sf_dir = "/root/testdata/sf0.001"
-    name = "op12_phrase_collocations"
-    assert compare(spark, connect(sf_dir), name, queries.QUERIES[name], oracle.STATEMENTS[name], sf_dir) is None

@@ -27,7 +27,7 @@ def documents(spark):
 def test_registered():
     names = set(entry.queries())
     assert {*QUERIES, "pipeline"} <= names
-    assert sorted(int(n[2:].split("_")[0]) for n in names if n.startswith("op") and n[2].isdigit()) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names if n.startswith("op") and n[2].isdigit()) == list(range(1, 14))
     assert set(oracle.STATEMENTS) <= set(QUERIES)
 
 
@@ -111,3 +111,11 @@ def test_run(spark):
     result = corpus_pipeline.run(spark, SF_DIR)
     assert result.count() > 0
     assert result.where("not round_trip").count() == 0
+
+
+def test_columns_named_like_the_counts_of_a_stage(spark):
+    rows = [(1, "a line of some length\nown", "en", "s", 3, 7, None), (2, "a line of some length\nother", "en", "s", 3, 8, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, n_lines int, n_dropped string")
+    found = dict(corpus_pipeline.STAGES)["line_dedup"](spark, docs, SF_DIR)
+    assert found.columns == docs.columns
+    assert sorted((r.doc_id, r.text, r.n_lines, r.n_dropped) for r in found.collect()) == [(1, rows[0][1], 7, None), (2, "other", 8, "x")]
