@@ -32,7 +32,9 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps every document; its text loses the lines that an earlier document has."""
-    kept = line_dedup.dedup(docs).drop("n_lines", "n_dropped")
+    own = {c: f"__own_{c}" for c in ("n_lines", "n_dropped") if c in docs.columns}  # not the counts of this stage
+    kept = line_dedup.dedup(docs.withColumnsRenamed(own)).drop("n_lines", "n_dropped")
+    kept = kept.withColumnsRenamed({hidden: c for c, hidden in own.items()})
     return kept.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
