@@ -36,6 +36,8 @@ SAMPLE = 4096
 SAMPLE_QUERIES = 512
 TARGET = 0.98
 MAX_BITS = 64
+#: Longer components, in units of the median of the largest ones, are shortened for the codes (never for distances).
+LONGEST = 1e3
 PIECE_BITS = 8
 QUERY_BLOCK = 4096
 ROUNDS = 40
@@ -43,11 +45,12 @@ ROUNDS = 40
 
 @dataclass(frozen=True)
 class Codes:
-    """What a fit yields: a code is ``(vector - mean) @ axes > 0``."""
+    """What a fit yields: a code is ``(vector - mean) @ axes > 0``, vectors in units of a usual component."""
 
     mean: np.ndarray
     axes: np.ndarray
     radius: int
+    unit: float = 1.0
 
     @property
     def bits(self) -> int:
@@ -55,10 +58,34 @@ class Codes:
 
     def encode(self, vectors: np.ndarray) -> np.ndarray:
         """Codes as unsigned 64-bit integers."""
-        signs = (vectors - self.mean) @ self.axes > 0
+        signs = (shortened(vectors, self.unit) - self.mean) @ self.axes > 0
         return (signs.astype(np.uint64) << np.arange(self.bits, dtype=np.uint64)).sum(axis=1, dtype=np.uint64)
 
 
+def shortened(vectors: np.ndarray, unit: float) -> np.ndarray:
+    """Vectors in units of a usual component; those over ``LONGEST`` of them are shortened, so that no square overflows."""
+    scaled = vectors / max(unit, 1e-300)
+    longest = np.abs(scaled).max(axis=1, keepdims=True)
+    infinite = np.isinf(longest)
+    with np.errstate(invalid="ignore"):
+        short = scaled / np.maximum(longest / LONGEST, 1)
+        # divided in two steps where one overflows
+        return np.where(infinite, LONGEST * (vectors / np.abs(vectors).max(axis=1, keepdims=True)), short)
+
+
+def distances(apart: np.ndarray) -> np.ndarray:
+    """Lengths of the rows; squares that leave the range of doubles are taken in units of the largest component."""
+    with np.errstate(over="ignore", under="ignore"):
+        plain = np.sqrt((apart**2).sum(axis=1))
+    odd = np.flatnonzero(~(plain < 1e150) | (plain < 1e-150))
+    if len(odd):
+        top = np.abs(apart[odd]).max(axis=1)
+        units = np.where((top > 0) & np.isfinite(top), top, 1.0)
+        with np.errstate(over="ignore", invalid="ignore"):
+            plain[odd] = np.where(np.isinf(top), np.inf, units * np.sqrt(((apart[odd] / units[:, None]) ** 2).sum(axis=1)))
+    return plain
+
+
 def valid_vectors(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """``vec_id, vector`` of the rows that take part, whatever their length."""
     named = rows.select(column(rows, id_col).cast("long").alias("vec_id"), column(rows, vector_col).cast("array<double>").alias("vector"))
@@ -74,6 +101,8 @@ def fit(rows: DataFrame, sample: int = SAMPLE, k: int = 10) -> Codes | None:
         return None
     lengths = sorted({len(v) for v in taken}, key=lambda n: (-sum(len(v) == n for v in taken), n))
     vectors = np.unique(np.array([v for v in taken if len(v) == lengths[0]], dtype=np.float64), axis=0)
+    unit = float(np.median(np.abs(vectors).max(axis=1)))
+    vectors = shortened(vectors, unit)
     mean = vectors.mean(axis=0)
     bits = min(MAX_BITS, vectors.shape[1])
     _, axes = np.linalg.eigh((vectors - mean).T @ (vectors - mean))
@@ -84,7 +113,7 @@ def fit(rows: DataFrame, sample: int = SAMPLE, k: int = 10) -> Codes | None:
         left, _, right = np.linalg.svd(np.where(projected @ rotation > 0, 1.0, -1.0).T @ projected)
         rotation = (left @ right).T
     codes = Codes(mean, axes @ rotation, bits)
-    return Codes(mean, axes @ rotation, _radius(codes, vectors, k))
+    return Codes(mean, axes @ rotation, _radius(codes, vectors, k), unit)
 
 
 def _radius(codes: Codes, vectors: np.ndarray, k: int) -> int:
@@ -177,11 +206,12 @@ def _searched(block, codes: Codes, k: int):
             tables, distinct = BlockTables(own[first], codes.bits), rows[first]
             for q in range(len(query)):
                 near = tables.at_least(wanted[q], codes.radius, k + 1)
-                distance = ((distinct[near] - vectors[q]) ** 2).sum(axis=1)
+                with np.errstate(over="ignore"):
+                    distance = distances(distinct[near] - vectors[q])
                 if len(near) > k + 1:
                     limit = np.partition(distance, k)[k]
                     near, distance = near[distance <= limit], distance[distance <= limit]
-                for at, d in zip(near.tolist(), np.sqrt(distance).tolist(), strict=True):
+                for at, d in zip(near.tolist(), distance.tolist(), strict=True):
                     best[q] += [(d, int(i)) for i in ids[members[begin[at] : begin[at + 1]][: k + 1]]]
                 best[q] = sorted(set(best[q]))[: k + 1]
         rows_out = [(query[q], i, d) for q in range(len(query)) for d, i in best[q]]

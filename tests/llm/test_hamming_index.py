@@ -85,3 +85,31 @@ def test_several_query_blocks(spark, monkeypatch):
     rows = [(i * 50, pick.normal(size=4).tolist()) for i in range(14)]
     found, expected = run(spark, rows), plain(rows)
     assert {q: [(r, i) for r, i, _ in n] for q, n in found.items()} == {q: [(r, i) for r, i, _ in n] for q, n in expected.items()}
+
+
+def test_very_large_and_very_small_vectors(spark):
+    pick = np.random.default_rng(7)
+    rows = [(i, pick.normal(size=8).tolist()) for i in range(300)] + [(1000, [1e200] * 8), (1100, [1.7e308, -1.7e308] * 4), (1200, [1e-200] * 8), (1201, [3e-200] * 8)]
+    for chosen in (rows, rows[300:], [(i, [1e200 * x for x in v]) for i, v in rows[:300]]):
+        vectors = h.valid_vectors(spark.createDataFrame(chosen, "vec_id long, embedding array<double>"))
+        codes = h.fit(vectors)
+        index = h.build_index(spark, vectors, codes)
+        asked = index.where("vec_id % 100 = 0").select("vec_id", "vector")
+        found = h.search(spark, index, asked, codes).collect()
+        ids = {i for i, _ in chosen}
+        assert {r.query_id for r in found} == {i for i in ids if i % 100 == 0}
+        values = dict(chosen)
+        for r in found:
+            apart = np.array(values[r.query_id]) / 4 - np.array(values[r.vec_id]) / 4
+            top = np.abs(apart).max()
+            exact = top * np.sqrt(((apart / top) ** 2).sum()) if top else 0.0
+            with np.errstate(over="ignore"):
+                assert r.score == pytest.approx(exact * 4, rel=1e-9) or (np.isinf(r.score) and exact > 1e307)
+        if len(chosen) == 4:
+            assert next(r.vec_id for r in found if r.query_id == 1200 and r["rank"] == 1) == 1201
+
+
+def test_ordinary_distances_are_the_plain_ones():
+    apart = np.random.default_rng(2).normal(size=(50, 16))
+    assert (h.distances(apart) == np.sqrt((apart**2).sum(axis=1))).all()
+    assert h.distances(np.array([[3e200, 4e200], [3e-200, 4e-200], [0.0, 0.0]])) == pytest.approx([5e200, 5e-200, 0.0], rel=1e-12)
