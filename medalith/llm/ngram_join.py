@@ -7,9 +7,10 @@ are shuffled. Documents that meet there are compared by a DivideSkip search in b
 merged with a heap, long ones are probed by binary search, and a document stays when it reaches T.
 
 Groups of copies: equal sets are one node. Members of a list are compared with one of them, not with each other; what
-the links found so far already connect is never compared, and lists that still hold several components are worked off
-in further rounds, the last of which takes all pairs across components. So no link between different components is
-lost, while a group of n near copies costs about n comparisons per list instead of n².
+the links found so far already connect is never compared, and lists that still hold several components go through
+further rounds. In the last one, the members of such lists are indexed in blocks of documents of like size that share a
+list, and each member outside a list's largest component searches the blocks met there. A search finds all partners of
+a block at once, so no link between different components is lost and no pairs of members are ever written out.
 
 Before any text is moved, pairs are checked by signatures: how many shingles of a set fall into each of ``SIGNATURE``
 classes bounds what two sets share from above, so a pair that cannot reach T goes without a comparison.
@@ -44,6 +45,8 @@ SPLIT_ROWS = 2048
 STAR_ROUNDS = 2
 SMALL_LIST = 16
 BLOCK_DOCUMENTS = 16
+OPEN_BLOCK_DOCUMENTS = 1024
+OPEN_BLOCK_SHINGLES = 1 << 19
 SIGNATURE = 256
 SIGNATURE_SIZES = 60_000
 ENTRY_BUCKETS = 1024
@@ -366,22 +369,26 @@ def _search(percent: int):
 
 
 def _links(spark: SparkSession, texts: DataFrame, pairs: DataFrame, percent: int, label: str) -> DataFrame:
-    """The linked ones of the pairs ``(a, b)``, found by searching ``b`` in the block that holds ``a``.
-
-    A block holds about ``BLOCK_DOCUMENTS`` documents; a block with many searches is repeated for every ``SPLIT_ROWS``
-    of them, so no task holds more than one block and that many searches.
-    """
+    """The linked ones of the pairs ``(a, b)``, found by searching ``b`` in the block that holds ``a``."""
     blocks = pairs.select("a").distinct().count() // BLOCK_DOCUMENTS + 1
     blocked = pairs.withColumn("block", F.pmod(F.xxhash64("a"), F.lit(blocks)))
-    searches = blocked.select("block", "b").distinct()
+    return _block_links(spark, texts, blocked.select("block", "a").distinct(), blocked.select("block", "b").distinct(), percent, label)
+
+
+def _block_links(spark: SparkSession, texts: DataFrame, indexed: DataFrame, searches: DataFrame, percent: int, label: str) -> DataFrame:
+    """Links ``(a, b)`` between the documents ``(block, a)`` of each block and those ``(block, b)`` that search it.
+
+    A block with many searches is repeated for every ``SPLIT_ROWS`` of them, so no task holds more than one block and
+    that many searches.
+    """
     parts = searches.groupBy("block").agg(F.expr(f"cast(count(*) div {SPLIT_ROWS} + 1 as int)").alias("parts"))
     searched = searches.join(parts, "block").select(
         "block", F.expr("cast(pmod(xxhash64(b, 1), parts) as int)").alias("part"), F.lit(1).alias("role"), F.col("b").alias("doc_id")
     )
-    indexed = blocked.select("block", "a").distinct().join(parts, "block").select(
+    repeated = indexed.join(parts, "block").select(
         "block", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("role"), F.col("a").alias("doc_id")
     )
-    rows = indexed.unionByName(searched).join(texts, "doc_id").select("block", "part", "role", "doc_id", "text")
+    rows = repeated.unionByName(searched).join(texts, "doc_id").select("block", "part", "role", "doc_id", "text")
     placed = rows.repartition("block", "part").sortWithinPartitions("block", "part", "role", "doc_id")
     return stored(spark, placed.mapInArrow(_search(percent), "a long, b long"), label)
 
@@ -408,7 +415,7 @@ def _open_lists(labelled: DataFrame) -> DataFrame:
     """Members ``h, node, n, place, component`` of the lists that hold several components."""
     several = labelled.groupBy("h").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
     here = labelled.join(several.select("h"), "h", "left_semi")
-    return here.groupBy("h", "node", "component").agg(F.min("n").alias("n"), F.min("place").alias("place"))
+    return here.select("h", "node", "component", "n", "place").distinct()
 
 
 def _main_components(here: DataFrame) -> DataFrame:
@@ -437,28 +444,68 @@ def _comparable(pairs: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
     return pairs.join(one, "a").join(two, "b").where(fit).mapInArrow(run, "a long, b long").distinct()
 
 
-def _open_pairs(here: DataFrame, turn: int, last: bool, percent: int) -> DataFrame:
-    """Pairs across components within the open lists: all of a short list, and of a long one its main component's pick
-    with every member outside that component, or in the last turn every pair that holds such a member."""
-    if turn:
-        here = here.where(F.col("k") > SMALL_LIST)
-    outside = here.where("component <> main").select("h", F.struct("node", "n", "place", "component").alias("x"))
-    whole = here if last else here.where(F.col("k") <= SMALL_LIST)
-    inside = whole.select("h", "main", F.struct("node", "n", "place", "component").alias("y"))
-    once = F.expr("x.component <> y.component and (y.component = main or x.node < y.node) and " + _may_link("x.", "y.", percent))
-    pairs = outside.join(inside, "h").where(once).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
-    if not last:
-        picks = here.where((F.col("k") > SMALL_LIST) & (F.col("component") == F.col("main"))).groupBy("h").agg(
-            F.min_by(F.struct("node", "n", "place"), F.xxhash64("node", F.lit(turn))).alias("y")
-        )
-        stars = outside.join(picks, "h").where(_may_link("x.", "y.", percent))
-        pairs = pairs.unionByName(stars.select(F.col("y.node").alias("a"), F.col("x.node").alias("b")))
+def _open_pairs(here: DataFrame, turn: int, percent: int) -> DataFrame:
+    """Pairs across components within the open lists: in the first turn all of a short list, and of a long one its main
+    component's pick of this turn with every member outside that component."""
+    outside = here.where("component <> main").select("h", "k", F.struct("node", "n", "place", "component").alias("x"))
+    picks = here.where((F.col("k") > SMALL_LIST) & (F.col("component") == F.col("main"))).groupBy("h").agg(
+        F.min_by(F.struct("node", "n", "place"), F.xxhash64("node", F.lit(turn))).alias("y")
+    )
+    pairs = outside.join(picks, "h").where(_may_link("x.", "y.", percent)).select(F.col("y.node").alias("a"), F.col("x.node").alias("b"))
+    if turn == 0:
+        inside = here.where(F.col("k") <= SMALL_LIST).select("h", "main", F.struct("node", "n", "place", "component").alias("y"))
+        once = F.expr("x.component <> y.component and (y.component = main or x.node < y.node) and " + _may_link("x.", "y.", percent))
+        short = outside.where(F.col("k") <= SMALL_LIST).join(inside, "h").where(once)
+        pairs = pairs.unionByName(short.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")))
     return pairs.distinct()
 
 
-def _with_texts(spark: SparkSession, plain: DataFrame, texts: DataFrame | None, pairs: DataFrame, label: str) -> DataFrame:
-    """``texts`` and the texts of those documents of the pairs that it lacks."""
-    needed = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
+def _open_blocks(spark: SparkSession, here: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """``(block, a)`` and ``(block, b)``: the members of open lists in blocks, and which member searches which block.
+
+    A set lies in a block of its longest open list, with others of like size; long lists fill several blocks. A member
+    outside the main component of a list searches those blocks of the list's members that hold another component there
+    and whose sizes and places let T be reached. So every two members of different components of a list meet.
+    """
+    band = F.expr(f"cast(floor(ln(n) / ln(100.0D / {percent})) as int)")
+    homes = here.groupBy("node", "n").agg(F.max_by("h", F.struct("k", "h")).alias("home")).withColumn("band", band)
+    filled = homes.groupBy("home", "band").agg(
+        F.expr(f"1 + greatest(count(*) div {OPEN_BLOCK_DOCUMENTS}, sum(n) div {OPEN_BLOCK_SHINGLES})").alias("blocks")
+    )
+    block = F.xxhash64("home", "band", F.expr("pmod(xxhash64(node, 2), blocks)")).alias("block")
+    placed = stored(spark, homes.join(filled, ["home", "band"]).select("node", "n", block), "join-homes")
+    met = here.join(placed, ["node", "n"]).groupBy("h", "block").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"), F.min("n").alias("least_n"), F.max("n").alias("most_n"),
+        F.max(F.expr("n - place")).alias("left"),
+    )
+    reachable = F.expr(
+        f"(low <> component or high <> component) and 100 * most_n >= {percent} * n and 100 * n >= {percent} * least_n "
+        f"and {100 + percent} * least(n - place, left) >= {percent} * (n + least_n)"
+    )
+    searches = here.where("component <> main").join(met, "h").where(reachable).select("block", F.col("node").alias("b")).distinct()
+    searches = stored(spark, searches, "join-searches")
+    searched = searches.select("block").distinct()
+    return placed.join(searched, "block", "left_semi").select("block", F.col("node").alias("a")).distinct(), searches
+
+
+def _merged(spark: SparkSession, components: DataFrame, found: DataFrame, label: str) -> DataFrame:
+    """The components after new links, which are contracted to links between the components known so far."""
+    one = components.select(F.col("node").alias("a"), F.col("component").alias("x"))
+    two = components.select(F.col("node").alias("b"), F.col("component").alias("y"))
+    ends = found.join(one, "a", "left").join(two, "b", "left").select(F.coalesce("x", "a").alias("a"), F.coalesce("y", "b").alias("b"))
+    joined = connected_components(spark, ends.where("a <> b").distinct(), label)
+    above = joined.select(F.col("node").alias("component"), F.col("component").alias("above"))
+    moved = components.join(above, "component", "left").select("node", F.coalesce("above", "component").alias("component"))
+    fresh = joined.join(components.select("node"), "node", "left_anti")
+    return stored(spark, moved.unionByName(fresh.select("node", "component")), f"{label}-merged")
+
+
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
+
+
+def _with_texts(spark: SparkSession, plain: DataFrame, texts: DataFrame | None, needed: DataFrame, label: str) -> DataFrame:
+    """``texts`` and the texts of those documents that it lacks."""
     if texts is not None:
         needed = stored(spark, needed.join(texts.select("doc_id"), "doc_id", "left_anti"), f"{label}-missing")
         if needed.isEmpty():
@@ -480,29 +527,35 @@ def similar_components(
     entries = _entries(plain.mapInArrow(_packed_entries(ranks, percent), _PACKED))
     members = stored(spark, _list_members(entries, percent), "join-members")
     ranks.destroy()
+    components = connected_components(spark, links, "join-components")
+    of_doc = nodes.join(components, "node", "left").select("doc_id", "node", F.coalesce("component", "node").alias("component"))
+    labelled = members.select("h", "doc_id", "n", "place").join(of_doc, "doc_id").drop("doc_id")
     pairs = _node_pairs(_first_pairs(members, percent), nodes)
 
     texts, turn = None, 0
     while True:
         pairs = stored(spark, _comparable(pairs, sizes, percent), f"join-pairs-{turn}")
-        more = not pairs.isEmpty()
-        if more:
-            texts = _with_texts(spark, plain, texts, pairs, f"join-texts-{turn}")
+        if not pairs.isEmpty():
+            texts = _with_texts(spark, plain, texts, _ends(pairs), f"join-texts-{turn}")
             found = _links(spark, texts, pairs, percent, f"join-links-{turn}")
-            links, more = links.unionByName(found), not found.isEmpty()
-        if more or turn == 0:
-            components = connected_components(spark, links, f"join-components-{turn}")
-        if turn > STAR_ROUNDS:
+            if not found.isEmpty():
+                components = _merged(spark, components, found, f"join-components-{turn}")
+        labelled = labelled.drop("component").join(components, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        labelled = stored(spark, _open_lists(labelled), f"join-lists-{turn}")
+        if labelled.isEmpty():
             break
-        if turn == 0:
-            of_doc = nodes.join(components, "node", "left").select("doc_id", "node", F.coalesce("component", "node").alias("component"))
-            labelled = members.select("h", "doc_id", "n", "place").join(of_doc, "doc_id").drop("doc_id")
-        else:
-            labelled = lists.drop("component").join(components, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        lists = stored(spark, _open_lists(labelled), f"join-lists-{turn}")
-        if lists.isEmpty():
+        here = _main_components(labelled)
+        if turn == STAR_ROUNDS:
+            # all pairs of the short lists have been compared in the first turn
+            indexed, searches = _open_blocks(spark, here.where(F.col("k") > SMALL_LIST) if turn else here, percent)
+            if not searches.isEmpty():
+                needed = indexed.select("a").union(searches.select("b")).distinct().withColumnRenamed("a", "doc_id")
+                texts = _with_texts(spark, plain, texts, needed, f"join-texts-{turn}-open")
+                found = _block_links(spark, texts, indexed, searches, percent, f"join-links-{turn}-open")
+                if not found.isEmpty():
+                    components = _merged(spark, components, found, f"join-components-{turn}-open")
             break
-        pairs = _open_pairs(_main_components(lists), turn, turn == STAR_ROUNDS, percent)
+        pairs = _open_pairs(here, turn, percent)
         turn += 1
     named = nodes.join(components, "node", "left").select("doc_id", F.coalesce("component", "node").alias("component_id"))
     return sizes.join(named, "doc_id", "left").select(

@@ -108,6 +108,21 @@ def test_large_group_of_near_copies(spark):
     assert run(spark, rows) == plain(rows)
 
 
+def test_large_group_with_repeated_ids(spark):
+    rows = near_copies(4, 1, 2000, 24, 4)
+    rows += [(doc, other) for (doc, _), (_, other) in zip(rows[:200], near_copies(6, 20, 10, 30, 3), strict=True)]
+    assert run(spark, rows) == plain(rows)
+
+
+@pytest.mark.parametrize("documents, shingles", [(1024, 1 << 19), (7, 1 << 19), (1024, 200)])
+def test_blocks_alone_find_every_component(spark, monkeypatch, documents, shingles):
+    monkeypatch.setattr(ngram_join, "STAR_ROUNDS", 0)
+    monkeypatch.setattr(ngram_join, "OPEN_BLOCK_DOCUMENTS", documents)
+    monkeypatch.setattr(ngram_join, "OPEN_BLOCK_SHINGLES", shingles)
+    rows = near_copies(7, 4, 60, 30, 6) + [(1000 + d, t) for d, t in near_copies(8, 1, 150, 24, 4)] + EDGES
+    assert run(spark, rows) == plain(rows)
+
+
 def test_passages_that_many_documents_share(spark):
     pick = random.Random(3)
     shared = [" ".join(f"s{k}w{i}" for i in range(12)) for k in range(6)]
