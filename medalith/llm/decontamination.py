@@ -10,8 +10,9 @@ every document meets every block. Documents are never shuffled, so neither long
 up anywhere.
 
 Words are runs of letters, digits and non-ASCII characters after lower-casing. Defined results: null or empty texts
-have no hits; items with fewer than ``MIN_TILE`` words have no seed and are never found; an item id that repeats is
-reported for each of its rows that leaks, in the order of ids; without items there are no hits.
+have no hits; an item with fewer than ``MIN_TILE`` words is one seed and leaks where all its words stand together; items
+without words are never found; an item id that repeats is reported for each of its rows that leaks, in the order of
+ids; without items there are no hits.
 """
 
 from __future__ import annotations
@@ -123,7 +124,7 @@ class Items:
         seeds, owners = [], []
         for row, item in enumerate(ids):
             words = hashes[at[row] : at[row + 1]]
-            if len(words) >= MIN_TILE:
+            if len(words):
                 own = np.unique(shingles(words, MIN_TILE))
                 seeds.append(own)
                 owners.append(np.full(len(own), len(self.ids)))
@@ -133,20 +134,23 @@ class Items:
         self.owners = np.concatenate(owners) if owners else np.zeros(0, dtype=np.int64)
         order = np.argsort(self.seeds, kind="stable")
         self.seeds, self.owners = self.seeds[order], self.owners[order]
-
-    def hits(self, words: np.ndarray, coverage: float) -> list[dict] | None:
-        if len(words) < MIN_TILE or not len(self.seeds):
-            return []
-        own = shingles(words, MIN_TILE)
-        at = np.searchsorted(self.seeds, own)
-        shared = np.unique(own[self.seeds[np.minimum(at, len(self.seeds) - 1)] == own])
+        # shingles of different widths have different hashes, so one index holds them all
+        self.widths = sorted({min(MIN_TILE, len(words)) for words in self.words})
+
+    def hits(self, words: np.ndarray, coverage: float) -> list[dict]:
+        shared = np.zeros(0, dtype=np.uint64)
+        for width in self.widths:
+            if width <= len(words):
+                own = shingles(words, width)
+                at = np.searchsorted(self.seeds, own)
+                shared = np.union1d(shared, own[self.seeds[np.minimum(at, len(self.seeds) - 1)] == own])
         if not len(shared):
             return []
         low, high = np.searchsorted(self.seeds, shared, "left"), np.searchsorted(self.seeds, shared, "right")
         found = []
         for owner in np.unique(np.concatenate([self.owners[a:b] for a, b in zip(low, high, strict=True)])):
             item = self.words[owner]
-            tiles = greedy_tiles(item, words)
+            tiles = greedy_tiles(item, words, min(MIN_TILE, len(item)))
             covered = sum(n for _, _, n in tiles) / len(item)
             if covered >= coverage:
                 found.append({"item_id": self.ids[owner], "coverage": covered, "tiles": len(tiles)})

@@ -78,10 +78,28 @@ def test_leaks(spark):
     ]
     both = [1, 6]
     assert leaks(spark, rows) == [
-        (1, both), (2, both), (3, both), (4, []), (5, []), (6, []), (7, []), (None, [5]), (8, []), (9, [None]), (10, both), (1, [])
+        (1, both), (2, both), (3, both), (4, []), (5, []), (6, []), (7, []), (None, [5]), (8, [2]), (9, [None]), (10, both), (1, [])
     ]
 
 
+def test_items_of_few_words(spark):
+    items = [(1, "four short words here"), (2, "Solo"), (3, "..."), (4, "今日は、良い天気です"), (2, "two words")]
+    rows = [
+        (1, "before; Four short, words here"),
+        (2, "four short words are not here"),
+        (3, "solo " * 5000),
+        (4, "two words"),
+        (5, "words two"),
+        (6, "solos"),
+        (7, "見て。今日は、良い天気です。"),
+        (8, "今日は寒い"),
+        (9, "words"),
+        (10, "solo and two words: four short words here"),
+    ]
+    expected = [(1, [1]), (2, []), (3, [2]), (4, [2]), (5, []), (6, []), (7, []), (8, []), (9, []), (10, [1, 2, 2])]
+    assert leaks(spark, rows, items) == expected
+
+
 def test_coverage_is_a_threshold(spark):
     rows = [(1, " ".join(ITEM.split()[:24]))]
     assert leaks(spark, rows, coverage=0.6) == [(1, [1, 6])]
