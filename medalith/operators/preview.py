@@ -5,18 +5,22 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from medalith.functions.names import col
 from medalith.functions.text import plain_double_text
+from medalith.session import work_dir
 
 Filter = tuple[str, str, object]  # column, operator, value
 
 _RANGES = {">": Column.__gt__, "<": Column.__lt__, ">=": Column.__ge__, "<=": Column.__le__}
 
 
+#: Up to this many rows a page is cut from a top-k, which keeps that many rows in each task.
+DEEP_PAGE = 10_000
+
 _TIMES = (T.DateType, T.TimestampType, T.TimestampNTZType)
 
 
@@ -98,6 +102,30 @@ def preview(
     return (result.orderBy(*order) if order else result).limit(limit)
 
 
+def page(df: DataFrame, order: list[Column], limit: int, offset: int = 0, deep: int = DEEP_PAGE) -> DataFrame:
+    """``limit`` rows after the first ``offset`` ones in the given order.
+
+    A page that ends within ``deep`` rows is one top-k. Beyond that the rows are range-partitioned and sorted once and
+    written with their partition and place in it; the counts of the partitions before give each row its rank, and a
+    page is a filter on ranks. No task holds more than its range. Both ways return the same rows if the order is total.
+    A page past the end is empty.
+    """
+    if offset + limit <= deep:
+        return df.orderBy(*order).offset(offset).limit(limit)
+    path = work_dir(df.sparkSession, "page")
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    placed = df.orderBy(*order).select(F.struct("*").alias("row"), F.spark_partition_id().alias("part"), place.alias("place"))
+    placed.write.parquet(path)
+    sorted_rows = df.sparkSession.read.schema(placed.schema).parquet(path)
+    # one row per sorted partition, so the running sum over all of them is small
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    counts = sorted_rows.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+    starts = counts.select("part", (F.sum("n").over(before) - F.col("n")).alias("start"), "n")
+    starts = starts.where((F.col("start") < offset + limit) & (F.col("start") + F.col("n") > offset))
+    ranked = sorted_rows.join(starts, "part").withColumn("rank", F.col("start") + F.col("place"))
+    return ranked.where(F.col("rank").between(offset, offset + limit - 1)).orderBy("rank").select("row.*")
+
+
 def preview_counts(df: DataFrame, filters: Iterable[Filter] = (), limit: int = 100) -> DataFrame:
     """One row: rows of the table, rows that pass the filters, rows that the preview shows."""
     passes = F.lit(True)
@@ -135,7 +163,10 @@ def nan_to_null(df: DataFrame) -> DataFrame:
 
 
 def run_sql(spark: SparkSession, sql: str, limit: int = 1000) -> tuple[DataFrame, int]:
-    """First ``limit`` rows of a query over the registered tables, and its full row count."""
+    """First ``limit`` rows of a query over the registered tables, and its full row count.
+
+    The query runs once: its rows are counted as they pass into a top-k by position, so only the page leaves the tasks.
+    """
     try:
         result = spark.sql(sql)
     except AnalysisException as error:
@@ -143,4 +174,9 @@ def run_sql(spark: SparkSession, sql: str, limit: int = 1000) -> tuple[DataFrame
             known = ", ".join(sorted(t.name for t in spark.catalog.listTables())) or "none"
             raise LookupError(f"Table not found. Available tables: {known}") from error
         raise
-    return nan_to_null(result).limit(limit), result.count()
+    counted, position = Observation(), "_".join(["position", *result.columns])
+    watched = nan_to_null(result).observe(counted, F.count(F.lit(1)).alias("rows"))
+    first = watched.withColumn(position, F.monotonically_increasing_id()).orderBy(position).limit(max(limit, 1)).drop(position)
+    rows = first.collect()
+    # a plan that is known to be empty passes no metrics on
+    return spark.createDataFrame(rows[:limit], first.schema), counted.get["rows"] if rows else 0

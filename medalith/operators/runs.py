@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from medalith.functions.names import col
 from medalith.operators.lookup import missing
+from medalith.operators.preview import page
 from medalith.session import work_dir
 
 # Task results that make the job fail; a partly ingested pipeline counts as failed.
@@ -74,7 +75,7 @@ def log_page(
     rows = logs.filter(F.col("job_id") == job_id)
     if task_id is not None:
         rows = rows.filter(F.col("task_id") == task_id)
-    return rows.orderBy(F.col("timestamp").asc_nulls_last(), *[col(t) for t in ties]).offset(offset).limit(limit)
+    return page(rows, [F.col("timestamp").asc_nulls_last(), *[col(t) for t in ties]], limit, offset)
 
 
 def latest_log_lines(

@@ -851,6 +851,11 @@ SELECT vec_id, concat('[[', array_to_string(list_transform(embedding, lambda x:
 SELECT job_id, task_id, started_at, CAST(CAST(hundredths AS DECIMAL(18,6)) / 100 AS DECIMAL(18,6)) AS duration_seconds FROM tasks""",
     "runs_history_topn": """
 SELECT job_id, started_at, total_tasks, status FROM jobs ORDER BY started_at DESC NULLS LAST, job_id LIMIT 50""",
+    "paged_sort_deep": """
+SELECT l_shipdate, l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem
+ORDER BY l_shipdate DESC NULLS LAST, l_orderkey, l_linenumber, l_partkey, l_suppkey LIMIT 500 OFFSET 3000""",
+    "log_page_deep": """
+SELECT task_id, "timestamp", message FROM tasks ORDER BY "timestamp", task_id LIMIT 200 OFFSET 9900""",
     "runs_log_page": """
 SELECT job_id, task_id, "timestamp", message FROM tasks WHERE job_id = 8 ORDER BY "timestamp", task_id LIMIT 20 OFFSET 10""",
     "runs_last_n": """

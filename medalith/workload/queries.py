@@ -533,6 +533,20 @@ def paged_sort(t):
     return t.orders.orderBy(F.col("o_orderdate").desc(), "o_orderkey").offset(30).limit(20).select("o_orderkey", "o_orderdate")
 
 
+@query
+def paged_sort_deep(t):
+    """A page far into the lines by ship date: ranks from the counts of sorted ranges."""
+    keys = ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+    return preview.page(t.lineitem.select(*keys), [F.col("l_shipdate").desc_nulls_last(), *keys[1:]], 500, 3_000, deep=1_000)
+
+
+@query
+def log_page_deep(t):
+    """A late page of the log of a job that owns every task."""
+    logs = t.tasks.withColumn("job_id", F.lit(1))
+    return runs.log_page(logs, 1, limit=200, offset=9_900, ties=["task_id"]).select("task_id", "timestamp", "message")
+
+
 # --- sinks -----------------------------------------------------------------------------------------
 
 

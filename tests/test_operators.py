@@ -144,6 +144,43 @@ def test_preview_filters(spark):
     assert preview.preview(df, 2, (), "nowhere").count() == 2
 
 
+@pytest.mark.parametrize("offset, limit", [(0, 7), (40, 25), (990, 30), (1000, 5), (5000, 5), (10, 0)])
+def test_deep_pages_are_those_of_a_sort(spark, offset, limit):
+    values = [(None if i % 50 == 0 else i * 7919 % 200, i, f"r{i}") for i in range(1000)]
+    df = spark.createDataFrame(values, "a int, rank int, part string").repartition(9)
+    order = [F.col("a").desc_nulls_last(), F.col("rank")]
+    expected = sorted(values, key=lambda v: (v[0] is None, -(v[0] or 0), v[1]))[offset : offset + limit]
+    for deep in (0, 10_000):
+        found = preview.page(df, order, limit, offset, deep)
+        assert found.columns == df.columns
+        assert [tuple(r) for r in found.collect()] == expected
+
+
+def test_deep_page_of_an_empty_table(spark):
+    assert preview.page(spark.createDataFrame([], "a int"), [F.col("a")], 5, 20_000).collect() == []
+
+
+def test_run_sql_runs_the_query_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("long")
+    def counted(x):
+        seen.add(1)
+        return x
+
+    spark.udf.register("counted", counted)
+    spark.range(0, 500, 1, 6).createOrReplaceTempView("bronze_ids")
+    sql = "SELECT counted(id) AS id, CAST(NULL AS INT) AS nothing, 1 AS position FROM bronze_ids"
+    found, total = preview.run_sql(spark, sql, limit=3)
+    assert [tuple(r) for r in found.collect()] == [(0, None, 1), (1, None, 1), (2, None, 1)]
+    assert (total, seen.value) == (500, 500)
+    assert preview.run_sql(spark, "SELECT * FROM bronze_ids WHERE id < 0")[1] == 0
+    assert preview.run_sql(spark, "SELECT * FROM bronze_ids WHERE 1 = 0")[1] == 0
+    found, total = preview.run_sql(spark, "SELECT id % 5 AS k, count(*) AS n FROM bronze_ids GROUP BY ALL ORDER BY k DESC", limit=2)
+    assert ([tuple(r) for r in found.collect()], total) == ([(4, 100), (3, 100)], 5)
+    assert preview.run_sql(spark, "SELECT * FROM bronze_ids", limit=0)[0].collect() == []
+
+
 def test_run_sql(spark):
     spark.range(5).selectExpr("id", "double('NaN') AS x").createOrReplaceTempView("bronze_numbers")
     result, total = preview.run_sql(spark, "SELECT * FROM bronze_numbers ORDER BY id", limit=2)
