@@ -12,7 +12,10 @@ features also carry pages without telling markup. Pages never leave their partit
 
 Defined results: null or empty html, and pages without a main block, give an empty text. Unclosed and stray tags are
 repaired as browsers do in simple cases; a head without end tag ends at the first element or text that is not its own.
-Words of class, id and role count as a whole; parts of longer names are counted evidence of the classifier only. Scripts, styles and the head are no blocks. Repeated pages get equal texts.
+In a compound class, id or role the last part that is not a mere container decides (``site-header``, ``cookie-bar``), where
+no negation precedes it (``no-sidebar``); other parts are counted evidence of the classifier. A form around an article or
+another main part does not count, and a header inside of an article belongs to it. Scripts, styles and the head are no
+blocks. Repeated pages get equal texts.
 """
 
 from __future__ import annotations
@@ -49,44 +52,110 @@ CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "t
 #: Fixed words in class, id and role that mark surroundings, or the main text.
 AROUND_WORDS = frozenset((
     "ad", "ads", "advert", "advertisement", "adverts", "alert", "banner", "breadcrumb", "breadcrumbs", "comment",
-    "comments", "complementary", "consent", "contentinfo", "cookie", "cookies", "disclaimer", "footer", "gdpr", "header",
+    "comments", "complementary", "consent", "contentinfo", "cookie", "cookies", "disclaimer", "disqus", "footer", "gdpr", "header",
     "login", "masthead", "menu", "nav", "navbar", "navigation", "newsletter", "notice", "notices", "popup", "promo",
     "promoted", "related", "replies", "reply", "respond", "search", "share", "sharing", "sidebar", "signup", "social",
     "sponsor", "sponsored", "subscribe", "toolbar", "widget",
 ))
 #: Those of them whose elements have articles that are not the page's own.
 OTHER_ARTICLES = frozenset((
-    "ad", "ads", "advert", "advertisement", "adverts", "comment", "comments", "promo", "promoted", "related", "replies",
+    "ad", "ads", "advert", "advertisement", "adverts", "comment", "comments", "disqus", "promo", "promoted", "related", "replies",
     "reply", "respond", "sidebar", "sponsor", "sponsored", "widget",
 ))
 MAIN_WORDS = frozenset(("article", "content", "entry", "main", "post", "story"))
+#: Fixed last parts of compound names that name a container or a place, so that the part before them decides.
+CONTAINERS = frozenset((
+    "area", "articles", "bar", "block", "body", "bottom", "box", "button", "buttons", "column", "container", "content", "dialog",
+    "form", "group", "inner", "item", "items", "left", "link", "links", "list", "main", "modal", "outer", "overlay", "panel",
+    "post", "posts", "region", "right", "row", "section", "slot", "text", "thread", "top", "unit", "wrap", "wrapper", "zone",
+))
+#: Fixed parts that turn the meaning of those behind them.
+NEGATIONS = frozenset(("has", "hide", "no", "non", "not", "with", "without"))
 #: Elements that leave the head open; any other one ends it, as its end tag may be left out.
 HEAD = frozenset(("base", "basefont", "bgsound", "head", "html", "link", "meta", "noframes", "noscript", "script", "style", "template", "title"))
 _SENTENCE_END = re.compile(r"[.!?…:;。！？]['\")\]»”]*$")
-_NAMES = re.compile(r"[a-z]+")
+_NAMES = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
+
+
+class _Element:
+    """An element of a page: what its tag and names say, and what lies in it (2 a main part, 1 a title, 0 neither)."""
+
+    __slots__ = ("tag", "number", "above", "words", "hints", "holds", "side", "in_article")
+
+    def __init__(self, tag: str, number: int, above: _Element | None, words: set[str], hints: tuple[int, int]):
+        self.tag, self.number, self.above, self.words, self.hints = tag, number, above, words, hints
+        self.holds = self.side = 0
+        self.in_article = False
+
+    def settle(self) -> None:
+        """Side, once the whole page is read and the elements above are settled: -2 around with its articles, -1 around, 1 main, 0 unknown."""
+        side, in_article = (self.above.side, self.above.in_article) if self.above else (0, False)
+        own_header = in_article or (side == 1 and self.holds > 0)
+        words = self.words - {"header"} if own_header else self.words
+        if self.tag == "main":
+            side = 1
+        elif side == -2 or words & OTHER_ARTICLES:
+            side = -2
+        elif self.tag in AROUND and not (self.tag == "form" and self.holds == 2) and not (self.tag == "header" and own_header):
+            side = -2
+        elif self.tag == "article":
+            side, in_article = 1, True
+        elif side == -1 or words & AROUND_WORDS:
+            side = -1
+        elif words & MAIN_WORDS:
+            side = 1
+        self.side, self.in_article = side, in_article
 
 
 class Block:
-    __slots__ = ("text", "path", "side", "linked", "heading", "listed", "hints")
+    __slots__ = ("text", "path", "element", "linked", "heading", "listed")
 
-    def __init__(self, text: str, path: tuple[int, ...], side: int, linked: float, heading: bool, listed: bool, hints: tuple[int, int]):
-        self.text, self.path, self.side, self.hints = text, path, side, hints
+    def __init__(self, text: str, path: tuple[int, ...], element: _Element | None, linked: float, heading: bool, listed: bool):
+        self.text, self.path, self.element = text, path, element
         self.linked, self.heading, self.listed = linked, heading, listed
 
+    @property
+    def side(self) -> int:
+        return max(self.element.side, -1) if self.element else 0
+
+    @property
+    def hints(self) -> tuple[int, int]:
+        return self.element.hints if self.element else (0, 0)
+
+
+def _deciding(parts: list[str]) -> str | None:
+    """The part of a compound name that says what it marks, if one does."""
+    last = len(parts) - 1
+    while last > 0 and parts[last] in CONTAINERS:
+        last -= 1
+    before = set(parts[:last])
+    if parts[last] not in AROUND_WORDS and not (parts[last] in MAIN_WORDS and not before & AROUND_WORDS):
+        return None
+    if before & NEGATIONS:
+        return None
+    # headers of an article or a page hold its title, and "content-sidebar" names a layout of both
+    if parts[last] in ("header", "sidebar") and before & (MAIN_WORDS | {"page"}):
+        return None
+    return parts[last]
+
 
 def _words(attrs: list[tuple[str, str | None]]) -> tuple[set[str], int, int]:
-    """Words of the class, id and role values all of whose parts agree, and how many parts of the others point around or to
-    the main text (``no-sidebar`` and ``post-header`` are hints, ``sidebar`` and ``cookie-notice`` are words)."""
+    """Words of the class, id and role values that decide, and how many parts of the other values point around or to the
+    main text (``no-sidebar`` and ``post-header`` are hints, ``sidebar`` and ``cookie-bar`` are words)."""
     words, around, main = set(), 0, 0
     for name, value in attrs:
         if name in ("class", "id", "role") and value:
-            for token in value.lower().split():
-                parts = set(_NAMES.findall(token))
-                if parts and (parts <= AROUND_WORDS or parts <= MAIN_WORDS):
-                    words |= parts
+            for token in value.split():
+                parts = [p.lower() for p in _NAMES.findall(token)]
+                if not parts:
+                    continue
+                if AROUND_WORDS.issuperset(parts) or MAIN_WORDS.issuperset(parts):
+                    words.update(parts)
+                elif decides := _deciding(parts):
+                    words.add(decides)
                 else:
-                    around += len(parts & AROUND_WORDS)
-                    main += len(parts & MAIN_WORDS)
+                    around += sum(p in AROUND_WORDS for p in set(parts))
+                    main += sum(p in MAIN_WORDS for p in set(parts))
     return words, around, main
 
 
@@ -96,15 +165,14 @@ class _Blocks(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.blocks: list[Block] = []
-        # name, number, side (-2 around with its articles, -1 around, 1 main, 0 unknown), hints so far: around, main
-        self.open: list[tuple[str, int, int, tuple[int, int]]] = []
-        self.elements = 0
+        self.open: list[_Element] = []
+        self.elements: list[_Element] = []
         self.parts: list[str] = []
         self.link_chars = self.chars = 0
         self.links = self.unseen = 0
 
     def _end_head(self, tag: str = "") -> None:
-        names = [name for name, *_ in self.open]
+        names = [e.tag for e in self.open]
         if "head" in names and (tag == "body" or (names[-1] == "head" and tag not in HEAD)):
             self._cut(names.index("head"))
 
@@ -122,22 +190,19 @@ class _Blocks(HTMLParser):
             self._close_open("p")
         for other in CLOSES.get(tag, ()):
             self._close_open(other, ("ul", "ol", "dl", "table"))
-        side, hints = self.open[-1][2:] if self.open else (0, (0, 0))
+        above = self.open[-1] if self.open else None
+        hints = above.hints if above else (0, 0)
+        words: set[str] = set()
         if tag not in ("html", "body"):
             words, around, main = _words(attrs)
             hints = (hints[0] + around, hints[1] + main)
-            if tag == "main":
-                side = 1
-            elif side == -2 or words & OTHER_ARTICLES or tag in AROUND:
-                side = -2
-            elif tag in MAIN:
-                side = 1
-            elif side == -1 or words & AROUND_WORDS:
-                side = -1
-            elif words & MAIN_WORDS:
-                side = 1
-        self.elements += 1
-        self.open.append((tag, self.elements, side, hints))
+        element = _Element(tag, len(self.elements) + 1, above, words, hints)
+        self.elements.append(element)
+        self.open.append(element)
+        if tag in MAIN or (tag in BLOCKS and words & MAIN_WORDS):
+            self._holds(above, 2)
+        elif tag in ("h1", "h2"):
+            self._holds(above, 1)
         self.links += tag == "a"
         self.unseen += tag in UNSEEN
 
@@ -145,10 +210,16 @@ class _Blocks(HTMLParser):
         if tag in BLOCKS:
             self._flush()
         for k in range(len(self.open) - 1, -1, -1):
-            if self.open[k][0] == tag:
+            if self.open[k].tag == tag:
                 self._cut(k)
                 return
 
+    @staticmethod
+    def _holds(element: _Element | None, what: int) -> None:
+        while element and element.holds < what:  # what lies in an element lies in all above it
+            element.holds = what
+            element = element.above
+
     def handle_data(self, data):
         if self.unseen and not data.isspace():
             self._end_head()
@@ -161,7 +232,7 @@ class _Blocks(HTMLParser):
 
     def _close_open(self, tag: str, until: tuple[str, ...] = ()) -> None:
         for k in range(len(self.open) - 1, -1, -1):
-            name = self.open[k][0]
+            name = self.open[k].tag
             if name == tag:
                 self._flush()
                 self._cut(k)
@@ -170,24 +241,25 @@ class _Blocks(HTMLParser):
                 return
 
     def _cut(self, k: int) -> None:
-        for name, *_ in self.open[k:]:
-            self.links -= name == "a"
-            self.unseen -= name in UNSEEN
+        for element in self.open[k:]:
+            self.links -= element.tag == "a"
+            self.unseen -= element.tag in UNSEEN
         del self.open[k:]
 
     def _flush(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
-            names = [name for name, *_ in self.open]
-            above = tuple(number for name, number, *_ in self.open if name in BLOCKS)
-            side, hints = self.open[-1][2:] if self.open else (0, (0, 0))
+            names = [e.tag for e in self.open]
+            above = tuple(e.number for e in self.open if e.tag in BLOCKS)
             heading = any(len(n) == 2 and n[0] == "h" and n[1].isdigit() for n in names)
-            self.blocks.append(Block(text, above, max(side, -1), self.link_chars / max(1, self.chars), heading, "li" in names, hints))
+            self.blocks.append(Block(text, above, self.open[-1] if self.open else None, self.link_chars / max(1, self.chars), heading, "li" in names))
         self.parts, self.link_chars, self.chars = [], 0, 0
 
     def finish(self) -> list[Block]:
         self.close()
         self._flush()
+        for element in self.elements:  # those above come first
+            element.settle()
         return self.blocks
 
 

@@ -84,6 +84,18 @@ def test_copies_of_a_page_do_not_empty_the_sample(spark):
     f"<div class='sidebar'><main>{ARTICLE}</main></div>",
     f"<html><head><meta charset='utf-8'><title>T</title><body>{ARTICLE}",
     f"<html><head><meta charset='utf-8'><title>T</title>{ARTICLE}",
+    f"<body><form id='aspnetForm' action='x'><div class='top'>{ARTICLE}</div></form>",
+    "<form id='aspnetForm'><nav>Home</nav>" + ARTICLE.replace("article", "div").replace("<div>", "<div id='main-content'>") + "<footer>Me</footer></form>",
+    ARTICLE.replace("<h1>A title</h1>", "<header class='entry-header'><h1>A title</h1></header>"),
+    ARTICLE.replace("<h1>A title</h1>", "<div class='page-header'><h1>A title</h1></div>"),
+    f"<div class='site-header'><p>A long line about this site, as a sentence.</p></div>{ARTICLE}",
+    f"{ARTICLE}<div class='site-footer'><p>A long line about this site, as a sentence.</p></div>",
+    f"<div class='cookie-bar'><p>We keep cookies of yours, if you let us do so.</p></div>{ARTICLE}",
+    f"{ARTICLE}<div id='disqus_thread'><article><p>A reader wrote this long comment, it seems.</p></article></div>",
+    f"{ARTICLE}<div class='related-content'><article><p>Another story that you may like, it seems.</p></article></div>",
+    f"<div id='siteHeader'><p>A long line about this site, as a sentence.</p></div>{ARTICLE}<form class='search-form'><p>Look for it here, please.</p></form>",
+    f"<div class='content-sidebar-wrap'>{ARTICLE}<div class='sidebar-right'><p>Popular things of today, all of them.</p></div></div>",
+    f"<main><header><h1>A title</h1></header>{ARTICLE.replace('<h1>A title</h1>', '')}</main>",
 ])
 def test_ordinary_markup_keeps_the_article(page):
     prior = [-1.0, 0.4, -3.0, 0.8, 0.5, -0.5, 5.0, -8.0, -0.7, 0.7]
