@@ -28,6 +28,7 @@ store without shards.
 
 from __future__ import annotations
 
+import itertools
 import json
 import os
 import re
@@ -49,7 +50,8 @@ SHARD_DOCUMENTS = 1 << 16
 HEADER = 512
 MAGIC = "token-shard-1"
 KEYS_PER_BUCKET = 4
-KNOWN_PIECES = 300_000
+KNOWN_PIECES = 600_000
+ROWS_AT_ONCE = 256
 KNOWN_CHARS = 200
 NO_KEY = -(2**63)
 CLAUSE_ENDS = ".,;:!?"
@@ -75,7 +77,8 @@ class _Known(dict):
             if len(piece) > KNOWN_CHARS:
                 return ids
         if len(self) >= KNOWN_PIECES:
-            self.old = dict(self)
+            self.old.clear()  # its room is used again
+            self.old.update(self)
             self.clear()
         self[piece] = ids
         return ids
@@ -127,7 +130,11 @@ def _is_word(piece: str) -> bool:
 
 
 def _lowered(text: str) -> str:
-    if "<|" in text or not (text.isascii() or not _COMPOSING.search(text)):
+    if "<|" in text:
+        return text
+    if text.isascii():
+        return text.lower()
+    if _COMPOSING.search(text):
         return text
     return text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")
 
@@ -257,14 +264,16 @@ def _packed(path: str, end_id: int):
         part, shard, keys, ids, size = TaskContext.get().partitionId(), 0, [], [], 0
         end = np.uint32(end_id).tobytes()
         for batch in batches:
-            encoded = encoder(path).encode([t or "" for t in batch.column("text").to_pylist()])
-            for key, own in zip(batch.column("doc_id").to_pylist(), encoded, strict=True):
-                if keys and (size + len(own) // 4 + 1 > SHARD_TOKENS or len(keys) == SHARD_DOCUMENTS):
-                    yield pa.RecordBatch.from_arrays([pa.array([pack_shard(part, shard, keys, ids)], pa.binary())], names=["content"])
-                    shard, keys, ids, size = shard + 1, [], [], 0
-                keys.append(key)
-                ids.append(own + end)
-                size += len(own) // 4 + 1
+            for first in range(0, batch.num_rows, ROWS_AT_ONCE):  # texts and ids of a few documents beside the batch
+                some = batch.slice(first, ROWS_AT_ONCE)
+                encoded = encoder(path).encode([t or "" for t in some.column("text").to_pylist()])
+                for key, own in zip(some.column("doc_id").to_pylist(), encoded, strict=True):
+                    if keys and (size + len(own) // 4 + 1 > SHARD_TOKENS or len(keys) == SHARD_DOCUMENTS):
+                        yield pa.RecordBatch.from_arrays([pa.array([pack_shard(part, shard, keys, ids)], pa.binary())], names=["content"])
+                        shard, keys, ids, size = shard + 1, [], [], 0
+                    keys.append(key)
+                    ids.append(own + end)
+                    size += len(own) // 4 + 1
         if keys:
             yield pa.RecordBatch.from_arrays([pa.array([pack_shard(part, shard, keys, ids)], pa.binary())], names=["content"])
 
@@ -313,7 +322,9 @@ def _scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if (found[~repeated] != places[nulls:][~repeated]).any():
                 raise ValueError("the index of a shard does not lead to its documents")
             n = len(places)
-            checks = [zlib.crc32(shard.ids(p).tobytes()) for p in places]
+            wide = shard.payload.astype("<u4").view(np.uint8)
+            ends = (shard.offsets * 4).tolist()
+            checks = [zlib.crc32(wide[begin:end]) for begin, end in itertools.pairwise(ends)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.full(n, shard.header["part"], dtype=np.int32)), pa.array(np.full(n, shard.header["shard"], dtype=np.int32)),
                  pa.array(shard.keys, pa.int64(), mask=places < nulls), pa.array(shard.offsets[:-1]), pa.array(np.diff(shard.offsets)),
