@@ -16,8 +16,9 @@ a blocking rule decides. The labels thus differ inside of a host, and its tree t
 of these words is not found.
 
 Skew: urls are first counted per host and path, every count is combined before its shuffle, and a node joins one row
-of totals, so a hot host or node can be split. Paths grow to their last name; those that are alone below a node take all
-their names at once, so there are as many rounds as names that different paths begin with in common.
+of totals, so a hot host or node can be split. Paths grow to their last name. Names that all paths below a node begin
+with are taken at once, and where paths only end on the way of a longer one that way is taken to its first branch in the
+round after; so the number of rounds follows the branches on a path, not its length.
 
 Defined results: null urls and urls without ``://`` have an empty host and path, no rule, and the verdict of the empty
 template; repeated urls get equal verdicts; an empty table gives no rows.
@@ -114,21 +115,28 @@ def _totals(children: DataFrame, keys: list[str], total: str) -> DataFrame:
 
 
 def path_templates(spark: SparkSession, urls: DataFrame) -> DataFrame:
-    """``host, path, template, n, labelled, bad`` for the distinct urls of ``urls(host, path, label)``."""
+    """``host, path, template, n, labelled, bad`` for the distinct urls of ``urls(host, path, label)``.
+
+    ``reach`` is how many names a path goes along with the longest one of its node before it leaves it; null if it does
+    not, zero where that is not known.
+    """
     counted = urls.groupBy("host", "path").agg(
         F.count("*").alias("n"), F.count("label").alias("labelled"), F.coalesce(F.sum("label"), F.lit(0)).cast("long").alias("bad")
     )
-    tree = stored(spark, counted.select("*", _segments().alias("names"), F.lit("").alias("template")), "url-tree-0")
+    start = counted.select("*", _segments().alias("names"), F.lit("").alias("template"), F.lit(0).alias("reach"))
+    tree = stored(spark, start, "url-tree-0")
     done, depth = [], 0
     while True:
-        done.append(tree.where(F.size("names") == 0).drop("names"))
+        done.append(tree.where(F.size("names") == 0).drop("names", "reach"))
         tree = tree.where(F.size("names") > 0)
         if not tree.limit(1).count():
             break
         depth += 1
-        here = tree.withColumn("child", F.get("names", F.lit(0))).withColumn("rest", F.array_join("names", "/"))
+        # a name ends with a slash, so all names between two ordered ones share what these share
+        here = tree.withColumn("child", F.get("names", F.lit(0))).withColumn("rest", F.concat(F.array_join("names", "/"), F.lit("/")))
         children = here.groupBy("host", "template", "child").agg(
-            *[F.sum(c).alias(c) for c in ("n", "labelled", "bad")], F.min("rest").alias("low"), F.max("rest").alias("high")
+            *[F.sum(c).alias(c) for c in ("n", "labelled", "bad")], F.min("rest").alias("low"), F.max("rest").alias("high"),
+            F.max_by("rest", F.size("names")).alias("longest"), F.min("reach").alias("known"),
         )
         sided = children.join(_totals(children, ["host", "template"], "node"), ["host", "template"]).withColumn("side", _side("node"))
         rare = (F.col("children_node") > MANY_CHILDREN) & (F.col("n") < RARE_SHARE * F.col("n_node"))
@@ -137,15 +145,34 @@ def path_templates(spark: SparkSession, urls: DataFrame) -> DataFrame:
         alike = (F.col("children_side") > 1) & (_side("side") == 0)
         merged = F.when(F.col("side") > 0, "*+").when(F.col("side") < 0, "*-").otherwise("*")
         name = F.when(alike, merged).when(rare, "*").otherwise(F.col("child"))
-        alone = (F.col("children_node") == 1) & (F.col("low") == F.col("high"))
-        grown = F.concat("template", F.lit("/"), F.when(alone, F.col("low")).otherwise(name))
-        named = grouped.select("host", "template", "child", alone.alias("alone"), grown.alias("grown"))
-        joined = here.join(named, ["host", "template", "child"])
-        left = F.when(F.col("alone"), F.slice("names", 1, 0)).otherwise(F.slice("names", F.lit(2), F.size("names")))
-        tree = stored(spark, joined.select("host", "path", "n", "labelled", "bad", left.alias("names"), F.col("grown").alias("template")), f"url-tree-{depth}")
+        shared = _common(_names("low"), _names("high"))
+        known = F.coalesce("known", F.size(_names("longest")))
+        alone = F.col("children_node") == 1
+        named = grouped.select(
+            "host", "template", "child", "longest", name.alias("name"), F.when(alone, F.greatest(shared, known)).otherwise(1).alias("skip")
+        )
+        joined = here.join(named, ["host", "template", "child"]).withColumn("taken", F.least(F.size("names"), "skip"))
+        own = F.array_join(F.slice("names", F.lit(1), F.col("taken")), "/")
+        grown = F.concat("template", F.lit("/"), F.when(F.col("name") == F.col("child"), own).otherwise(F.col("name")))
+        along = _common(F.col("names"), _names("longest"))
+        reach = F.when(F.col("name") != F.col("child"), 0).when(along < F.size("names"), along - F.col("taken"))
+        left = F.slice("names", F.col("taken") + 1, F.size("names"))
+        kept = joined.select("host", "path", "n", "labelled", "bad", left.alias("names"), grown.alias("template"), reach.alias("reach"))
+        tree = stored(spark, kept, f"url-tree-{depth}")
     return functools.reduce(DataFrame.unionByName, done)
 
 
+def _names(joined: str) -> Column:
+    """The names of a text in which each one ends with a slash."""
+    return F.split(F.expr(f"substring({joined}, 1, length({joined}) - 1)"), "/")
+
+
+def _common(one: Column, two: Column) -> Column:
+    """How many names two paths begin with in common."""
+    differ = F.array_position(F.zip_with(one, two, lambda a, b: a.eqNullSafe(b)), F.lit(False))
+    return F.when(differ == 0, F.size(one)).otherwise(differ - 1).cast("int")
+
+
 def template_purity(templates: DataFrame) -> DataFrame:
     """``host, template, bad_share``: the smoothed share of bad labels of each template."""
     listed = _listed(F.split("host", "[.-]"))

@@ -1,6 +1,11 @@
 """URL rules against a plain version, and judged templates."""
 
+import collections
+import math
 import random
+import time
+
+import pytest
 
 from medalith.llm import url_filter
 
@@ -95,3 +100,73 @@ def test_paths_grow_to_their_last_name(spark):
     found = {r.page_id: r for r in run(spark, rows, label_col="label")}
     assert (found[0].verdict, found[1].verdict) == ("block", "allow")
     assert found[0].template.endswith("/bad/{n}") and found[100].template.count("/") == 301
+
+
+def test_long_paths_in_common_take_few_rounds(spark):
+    """Paths of hundreds of names, which end on the way of a longer one or leave it, grow as one level at a time would do it."""
+    trap = [("trap.org", "/a/b" * k) for k in range(1, 151)]
+    long = "/".join(f"x{chr(97 + k % 26)}" for k in range(300))
+    twins = [("twin.org", f"/{long}/{end}") for end in ("one", "two", "two/three")]
+    forks = [("fork.org", p) for p in ("/p", "/p/q", "/p/q/r/s", "/p/q/r/s/t", "/p/q/z", "/p/q-x/y")]
+    made = [(h, p, k % 2) for k, (h, p) in enumerate(trap + twins + forks)]
+    urls = spark.createDataFrame(made, "host string, path string, label int")
+    begin = time.monotonic()
+    found = {(r.host, r.path): r.template for r in url_filter.path_templates(spark, urls).collect()}
+    assert time.monotonic() - begin < 120
+    for host, path in trap:
+        assert found[host, path] == path
+    merged = _level_by_level(made)
+    assert found == merged
+
+
+def _level_by_level(made):
+    """Templates of the tree in plain Python, one name a round."""
+    rows = [(h, p, [s for s in p.split("/") if s], "", y) for h, p, y in made]
+    done = {}
+    while rows:
+        nodes = collections.defaultdict(lambda: collections.defaultdict(list))
+        for h, p, names, template, y in rows:
+            if names:
+                nodes[h, template][names[0]].append((h, p, names, template, y))
+            else:
+                done[h, p] = template
+        rows = []
+        for children in nodes.values():
+            sides = _sides(children)
+            size = sum(map(len, children.values()))
+            for child, own in children.items():
+                group = {c: r for c, r in children.items() if sides[c] == sides[child]}
+                if len(group) > 1 and _sides(group)[child] == 0:
+                    name = {1: "*+", -1: "*-", 0: "*"}[sides[child]]
+                elif len(children) > url_filter.MANY_CHILDREN and len(own) < url_filter.RARE_SHARE * size:
+                    name = "*"
+                else:
+                    name = child
+                rows += [(h, p, names[1:], f"{template}/{name}", y) for h, p, names, template, y in own]
+    return done
+
+
+def _sides(children):
+    n, bad = sum(map(len, children.values())), sum(r[4] for rows in children.values() for r in rows)
+    sides = {}
+    for child, rows in children.items():
+        own, own_bad = len(rows), sum(r[4] for r in rows)
+        sides[child] = 0
+        if n > own:
+            spread = math.sqrt(bad / n * (1 - bad / n) * (1 / own + 1 / (n - own)))
+            apart = own_bad / own - (bad - own_bad) / (n - own)
+            if spread > 0 and abs(apart) > url_filter.DIFFERENT_Z * spread:
+                sides[child] = 1 if apart > 0 else -1
+    return sides
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_templates_against_a_plain_tree(spark, seed):
+    pick = random.Random(seed)
+    made = {}
+    for _ in range(400):
+        path = "".join(f"/{pick.choice('abcdefghijklmnopqrstuvw' if pick.random() < 0.2 else 'ab')}" for _ in range(pick.randint(0, 7)))
+        made[f"{pick.choice('xyz')}.org", path] = int(pick.random() < (0.8 if "/b/a" in path else 0.2))
+    rows = [(h, p, y) for (h, p), y in made.items()]
+    urls = spark.createDataFrame(rows, "host string, path string, label int")
+    assert {(r.host, r.path): r.template for r in url_filter.path_templates(spark, urls).collect()} == _level_by_level(rows)
