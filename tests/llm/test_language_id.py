@@ -1,5 +1,7 @@
 """Language identification: held-out accuracy, evidence, and what is rejected."""
 
+import collections
+import math
 import os
 import random
 
@@ -119,3 +121,66 @@ def test_declared_language_without_a_model_is_not_rejected(spark, model):
     russian = "Все люди рождаются свободными и равными в своём достоинстве и правах"
     data = [(1, russian, "ru", None, None, None), (2, russian, "en", None, None, None), (3, "123", "ru", None, None, None), (4, russian, "und", None, None, None)]
     assert sorted((r.id, r.kept) for r in language_id.identify(spark, rows(spark, data), model).collect()) == [(1, True), (2, False), (3, False), (4, False)]
+
+
+def _plain_buckets(text):
+    letters = [32, *[b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in (text or "").encode()], 32]
+    codes = [(letters[i - 1] << 16) | (letters[i] << 8) | letters[i + 1] for i in range(1, len(letters) - 1) if letters[i] != 32]
+    return [((code * 2654435761) % (1 << 32)) >> 16 for code in codes]
+
+
+def _plain_fusion(data, model):
+    """Language, posterior and the text's language of each row, by loops over rows and languages."""
+    m, size, weight = language_id.PRIOR_ROWS, len(model.languages), language_id.WEIGHT
+    tables = [model.row(k).astype(float).tolist() for k in range(size)]
+    scores, votes = [], []
+    for _, text, *_ in data:
+        buckets = _plain_buckets(text)
+        sums = [*[math.fsum(table[b] for b in buckets) for table in tables], -len(buckets) * math.log(language_id.BUCKETS)]
+        scores.append([x * weight / (len(buckets) + weight) for x in sums])
+        best = scores[-1].index(max(scores[-1]))
+        votes.append(best if best < size and len(buckets) >= language_id.VOTE_TRIGRAMS else None)
+    count = [votes.count(k) for k in range(size)]
+    share = [(c + 1) / (sum(count) + size) for c in count]
+    cast = [collections.defaultdict(lambda: [0] * size) for _ in range(4)]
+    for row, vote in zip(data, votes, strict=True):
+        for feature, value in enumerate(row[2:]):
+            if value is not None and vote is not None:
+                cast[feature][value][vote] += 1
+    found = []
+    for row, own, vote in zip(data, scores, votes, strict=True):
+        declared, suffix, domain, host = (
+            [c - (k == vote) for k, c in enumerate(cast[f][v])] if v in cast[f] else None for f, v in enumerate(row[2:])
+        )
+        by_domain = share if domain is None else [(c + m * p) / (sum(domain) + m) for c, p in zip(domain, share, strict=True)]
+        by_host = by_domain if host is None else [(c + m * p) / (sum(host) + m) for c, p in zip(host, by_domain, strict=True)]
+        prior = [*[math.log(p * (1 - language_id.UNKNOWN_PRIOR)) for p in by_host], math.log(language_id.UNKNOWN_PRIOR)]
+        logs = [a + b for a, b in zip(own, prior, strict=True)]
+        for others in (declared, suffix):
+            if others is not None:
+                rate = (sum(others) + 1) / (sum(count) + size)
+                for k in range(size):
+                    logs[k] += math.log((others[k] + m * rate) / (count[k] + m))
+                logs[size] += math.log(rate)
+        top = max(logs)
+        names = [*model.languages, language_id.UNKNOWN]
+        found.append((names[logs.index(top)], 1 / math.fsum(math.exp(x - top) for x in logs), None if vote is None else names[vote]))
+    return found
+
+
+def test_fusion_against_plain_sums(spark, documents, model):
+    pick = random.Random(7)
+    texts = [r.text for r in documents.where("doc_id % 40 = 1").select("text").collect()]
+    data = []
+    for i in range(300):
+        text = pick.choice([None, "", "zq", "12 34"]) if i % 10 == 0 else pick.choice(texts)[: pick.choice([12, 60, 400])]
+        domain = pick.choice([None, "a.org", "b.org", "c.org"])
+        host = domain and f"{pick.choice(['www', 'm', 'x'])}.{domain}"
+        data.append((i, text, pick.choice([None, "en", "fr", "de", "xx"]), pick.choice([None, "fr", "de", "org"]), domain, host))
+    data += [(300, data[1][1], "only", "once", "d.org", "www.d.org")]
+    found = {r.id: r for r in language_id.identify(spark, rows(spark, data), model).collect()}
+    for row, (language, posterior, text_language) in zip(data, _plain_fusion(data, model), strict=True):
+        r = found[row[0]]
+        assert (r.language, r.text_language) == (language, text_language)
+        assert r.posterior == pytest.approx(posterior, rel=1e-6)
+        assert r.n_trigrams == len(_plain_buckets(row[1]))
