@@ -22,7 +22,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections import deque
+from collections import Counter, deque
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -48,6 +48,7 @@ VOID = frozenset(("area", "base", "br", "col", "embed", "hr", "img", "input", "l
 UNSEEN = frozenset(("head", "iframe", "noscript", "object", "script", "style", "svg", "template", "title"))
 AROUND = frozenset(("aside", "button", "dialog", "footer", "form", "header", "menu", "nav", "select", "textarea"))
 MAIN = frozenset(("article", "main"))
+HEADINGS = ("h1", "h2", "h3", "h4", "h5", "h6")
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 #: Fixed words in class, id and role that mark surroundings, or the main text.
 AROUND_WORDS = frozenset((
@@ -80,10 +81,13 @@ _NAMES = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
 class _Element:
     """An element of a page: what its tag and names say, and what lies in it (2 a main part, 1 a title, 0 neither)."""
 
-    __slots__ = ("tag", "number", "above", "words", "hints", "holds", "side", "in_article")
+    __slots__ = ("tag", "above", "parent", "depth", "words", "hints", "holds", "side", "in_article")
 
-    def __init__(self, tag: str, number: int, above: _Element | None, words: set[str], hints: tuple[int, int]):
-        self.tag, self.number, self.above, self.words, self.hints = tag, number, above, words, hints
+    def __init__(self, tag: str, above: _Element | None, words: set[str], hints: tuple[int, int]):
+        self.tag, self.above, self.words, self.hints = tag, above, words, hints
+        # the next block element above, and how many there are
+        self.parent = above if above is None or above.tag in BLOCKS else above.parent
+        self.depth = self.parent.depth + 1 if self.parent else 0
         self.holds = self.side = 0
         self.in_article = False
 
@@ -108,12 +112,17 @@ class _Element:
 
 
 class Block:
-    __slots__ = ("text", "path", "element", "linked", "heading", "listed")
+    __slots__ = ("text", "element", "linked", "heading", "listed")
 
-    def __init__(self, text: str, path: tuple[int, ...], element: _Element | None, linked: float, heading: bool, listed: bool):
-        self.text, self.path, self.element = text, path, element
+    def __init__(self, text: str, element: _Element | None, linked: float, heading: bool, listed: bool):
+        self.text, self.element = text, element
         self.linked, self.heading, self.listed = linked, heading, listed
 
+    @property
+    def place(self) -> _Element | None:
+        """The block element that the text stands in."""
+        return self.element if self.element is None or self.element.tag in BLOCKS else self.element.parent
+
     @property
     def side(self) -> int:
         return max(self.element.side, -1) if self.element else 0
@@ -160,21 +169,21 @@ def _words(attrs: list[tuple[str, str | None]]) -> tuple[set[str], int, int]:
 
 
 class _Blocks(HTMLParser):
-    """Collects the text blocks of a page with the numbers of the elements above them."""
+    """Collects the text blocks of a page with the elements that they stand in."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.blocks: list[Block] = []
         self.open: list[_Element] = []
         self.elements: list[_Element] = []
+        self.tags: Counter[str] = Counter()  # open elements by tag
         self.parts: list[str] = []
         self.link_chars = self.chars = 0
-        self.links = self.unseen = 0
+        self.unseen = 0
 
     def _end_head(self, tag: str = "") -> None:
-        names = [e.tag for e in self.open]
-        if "head" in names and (tag == "body" or (names[-1] == "head" and tag not in HEAD)):
-            self._cut(names.index("head"))
+        if self.tags["head"] and (tag == "body" or (self.open[-1].tag == "head" and tag not in HEAD)):
+            self._cut(next(k for k, e in enumerate(self.open) if e.tag == "head"))
 
     def handle_starttag(self, tag, attrs):
         if self.unseen:
@@ -196,19 +205,21 @@ class _Blocks(HTMLParser):
         if tag not in ("html", "body"):
             words, around, main = _words(attrs)
             hints = (hints[0] + around, hints[1] + main)
-        element = _Element(tag, len(self.elements) + 1, above, words, hints)
+        element = _Element(tag, above, words, hints)
         self.elements.append(element)
         self.open.append(element)
         if tag in MAIN or (tag in BLOCKS and words & MAIN_WORDS):
             self._holds(above, 2)
         elif tag in ("h1", "h2"):
             self._holds(above, 1)
-        self.links += tag == "a"
+        self.tags[tag] += 1
         self.unseen += tag in UNSEEN
 
     def handle_endtag(self, tag):
         if tag in BLOCKS:
             self._flush()
+        if not self.tags[tag]:
+            return
         for k in range(len(self.open) - 1, -1, -1):
             if self.open[k].tag == tag:
                 self._cut(k)
@@ -227,7 +238,7 @@ class _Blocks(HTMLParser):
             self.parts.append(data)
             size = len(data.strip())
             self.chars += size
-            if self.links:
+            if self.tags["a"]:
                 self.link_chars += size
 
     def _close_open(self, tag: str, until: tuple[str, ...] = ()) -> None:
@@ -242,17 +253,15 @@ class _Blocks(HTMLParser):
 
     def _cut(self, k: int) -> None:
         for element in self.open[k:]:
-            self.links -= element.tag == "a"
+            self.tags[element.tag] -= 1
             self.unseen -= element.tag in UNSEEN
         del self.open[k:]
 
     def _flush(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
-            names = [e.tag for e in self.open]
-            above = tuple(e.number for e in self.open if e.tag in BLOCKS)
-            heading = any(len(n) == 2 and n[0] == "h" and n[1].isdigit() for n in names)
-            self.blocks.append(Block(text, above, self.open[-1] if self.open else None, self.link_chars / max(1, self.chars), heading, "li" in names))
+            heading, linked = any(self.tags[h] for h in HEADINGS), self.link_chars / max(1, self.chars)
+            self.blocks.append(Block(text, self.open[-1] if self.open else None, linked, heading, self.tags["li"] > 0))
         self.parts, self.link_chars, self.chars = [], 0, 0
 
     def finish(self) -> list[Block]:
@@ -340,13 +349,17 @@ def fit(pages: DataFrame, html_col: str = "html", sample: int = SAMPLE_PAGES) ->
     return weights
 
 
-def _distance(one: tuple[int, ...], two: tuple[int, ...]) -> int:
-    common = 0
-    for a, b in zip(one, two, strict=False):
-        if a != b:
-            break
-        common += 1
-    return len(one) + len(two) - 2 * common
+def _distance(one: _Element | None, two: _Element | None) -> int:
+    """Steps from one block element to the other in the tree of them."""
+    steps = 0
+    while one is not two:
+        deeper = two is None or (one is not None and one.depth >= two.depth)
+        if deeper:
+            one = one.parent
+        else:
+            two = two.parent
+        steps += 1
+    return steps
 
 
 def smooth_edges(blocks: list[Block]) -> list[tuple[int, int, float]]:
@@ -354,11 +367,11 @@ def smooth_edges(blocks: list[Block]) -> list[tuple[int, int, float]]:
     edges, last = [], {}
     for k, block in enumerate(blocks):
         before = {k - 1} if k else set()
-        parent = block.path[:-1]
+        parent = block.place and block.place.parent
         if parent in last:
             before.add(last[parent])
         last[parent] = k
-        edges += [(b, k, SMOOTHNESS / (1 + _distance(blocks[b].path, block.path) / 2)) for b in before]
+        edges += [(b, k, SMOOTHNESS / (1 + _distance(blocks[b].place, block.place) / 2)) for b in before]
     return edges
 
 

@@ -2,6 +2,7 @@
 
 import itertools
 import random
+import time
 
 import pytest
 
@@ -105,3 +106,11 @@ def test_ordinary_markup_keeps_the_article(page):
 def test_text_ends_an_open_head():
     assert [b.text for b in m.page_blocks("<html><head><title>T</title>Some text.<p>More.")] == ["Some text.", "More."]
     assert [b.text for b in m.page_blocks("<html><head><noscript><img src=x></noscript><style>p{}</style></head><p>More.")] == ["More."]
+
+
+def test_deep_nesting_takes_no_room_by_depth():
+    page = "<article>" + "".join(f"<div>A sentence of level {k}, it is." for k in range(20_000)) + "</span>" * 20_000
+    begin = time.monotonic()
+    blocks = m.page_blocks(page)
+    assert len(blocks) == 20_000 and all(b.side == 1 for b in blocks) and len(m.smooth_edges(blocks)) >= 19_999
+    assert time.monotonic() - begin < 20
