@@ -3,6 +3,7 @@
 No join here carries a broadcast hint. Spark broadcasts a dimension when its measured size is below
 ``spark.sql.autoBroadcastJoinThreshold`` (statically, or at run time from the finished shuffle) and
 otherwise sort-merges, splitting hot keys of the larger side with the adaptive skew join.
+``prefix_matches`` always sort-merges: neither side of its joins is a dimension of a known size.
 """
 
 from __future__ import annotations
@@ -73,9 +74,12 @@ def prefix_matches(
     Written as one equality join per case instead of an OR condition, which only a nested loop could
     run. The left texts are first reduced to distinct (text, block) pairs and each is expanded to its
     own prefixes, so the work grows with the length of a name and never with the size of a block.
+
+    The joins are merge joins by hint: Spark does not count the rows that the prefixes add, so it would send
+    them through the driver as a broadcast where the files of the base table are small.
     """
     wanted = left.select(col(text).alias("__text"), col(block).alias("__block")).distinct()
-    names = right.withColumns({"__prefix": col(prefix), "__right_block": col(right_block)})
+    names = right.withColumns({"__prefix": col(prefix), "__right_block": col(right_block)}).hint("merge")
     equal = wanted.join(names, F.col("__text") == F.col("__prefix"))
     prefixes = wanted.filter(F.col("__block").isNotNull() & (F.length("__text") > 0)).select(
         "__text",
@@ -94,7 +98,7 @@ def prefix_matches(
     pairs = equal.unionByName(longer).drop("__prefix", "__right_block")
     pairs = pairs.withColumnsRenamed({"__text": "__pair_text", "__block": "__pair_block"})
     return left.join(
-        pairs,
+        pairs.hint("merge"),
         (col(text) == F.col("__pair_text")) & col(block).eqNullSafe(F.col("__pair_block")),
         "left",
     ).drop("__pair_text", "__pair_block")

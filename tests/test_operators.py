@@ -44,6 +44,18 @@ def test_prefix_matches_equal_the_theta_join(spark):
     assert "NestedLoop" not in found._jdf.queryExecution().executedPlan().toString()
 
 
+def test_prefixes_never_pass_the_driver(spark, tmp_path):
+    """Files that are small on disk expand to many prefixes, which must not become a broadcast."""
+    spark.range(2000).select(
+        F.format_string("NAME %05d", "id").alias("t"), (F.col("id") % 9).cast("string").alias("b")
+    ).write.parquet(f"{tmp_path}/names")
+    names = spark.read.parquet(f"{tmp_path}/names")
+    right = names.select(F.substring("t", 1, 9).alias("p"), F.col("b").alias("rb")).distinct()
+    found = lookup.prefix_matches(names, right, "t", "b", "p", "rb")
+    joins = found._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in joins and found.count() == 2000
+
+
 def test_upsert_matches_on_all_keys(spark):
     target = spark.createDataFrame([(1, "x", 10, "t"), (1, "y", 20, "t"), (None, "z", 30, "t")], "a int, b string, v int, w string")
     source = spark.createDataFrame([(1, "x", 11, 5), (2, "x", 12, 6), (None, "z", 13, 7)], "a int, b string, v int, n int")
