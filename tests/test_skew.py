@@ -92,3 +92,20 @@ def test_counts_over_two_hot_sides_need_no_pairs(no_broadcast):
     assert (row.nb_structures, row.total_postes) == (20_000, 2 * 20_000 * 20_000)
     stations = spark.range(20_000).select(F.col("id").cast("string").alias("gare_sk"), F.lit("c").alias("commune_sk"))
     assert gold.stations_by_commune(communes, stations).first().nb_gares == 20_000
+
+
+def test_pairs_of_one_commune_are_dealt_out(spark):
+    """400 structures and 300 stations of one commune: several tasks make the pairs, and rows may be equal or lack a key."""
+    communes = spark.createDataFrame([("c", "Paris"), ("d", "Lyon")], "commune_sk string, commune_label string")
+    key = F.when(F.col("id") % 50 != 0, (F.col("id") - F.col("id") % 2).cast("string"))
+    commune = F.when(F.col("id") == 7, "d").otherwise("c").alias("commune_sk")
+    structures = spark.range(400).select(key.alias("siae_structure_sk"), commune, F.lit("r").alias("raison_sociale"), F.lit("v").alias("ville"))
+    stations = spark.range(300).select(
+        key.alias("gare_sk"), commune, (F.col("id") % 3 != 0).alias("voyageurs"), F.col("id").cast("string").alias("libelle"), F.lit("1").alias("code_ligne")
+    )
+    found = gold.transport_access(structures, communes, stations)
+    assert found.columns == ["raison_sociale", "ville", "gare_proche", "code_ligne"]
+    counts = {r.gare_proche: r["count"] for r in found.groupBy("gare_proche").count().collect()}
+    assert counts == {str(k): 1 if k == 7 else 399 for k in range(300) if k % 3}
+    by_task = [r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(by_task) > 2 and max(by_task) < sum(by_task) / 2
