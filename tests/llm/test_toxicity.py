@@ -139,3 +139,15 @@ def test_repeated_id_does_not_fill_the_sample(spark):
     docs, labels = tables(spark, documents, [(3, 1, None)] + [(k, k % 2, None) for k in range(100, 160)])
     model, share = toxicity.fit(docs, labels, sample=30)
     assert model is not None and 0 < share < 1
+
+
+def test_every_labelled_text_counts(spark):
+    """Long texts and texts beyond one shard are learned: the marked words stand in them only."""
+    learned = [k for k in range(400) if zlib.crc32(str(k).encode()) % 3 != 1]
+    documents = [(k, "calm day " * 2500 + ("vile " if k % 2 else "kind ") * 3, "en", None, None) for k in learned[:40]]
+    documents += [(k, "nasty talk" if k % 2 else "plain talk", "en", None, None) for k in learned[40:]]
+    docs, labels = tables(spark, documents, [(k, k % 2, None) for k in learned])
+    model, share = toxicity.fit(docs, labels, sample=60)
+    probes = spark.createDataFrame([(1, "calm day vile vile vile", "en"), (2, "calm day kind kind kind", "en"), (3, "nasty talk", "en"), (4, "plain talk", "en")], "doc_id long, text string, lang string")
+    scores = {r.doc_id: r.score for r in toxicity.score(spark, probes, model, share).collect()}
+    assert scores[1] > 0.5 > scores[2] and scores[3] > 0.5 > scores[4]
