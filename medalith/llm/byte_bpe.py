@@ -20,13 +20,15 @@ import json
 import re
 import sys
 from array import array
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 KNOWN_WORDS = 600_000
 KNOWN_CHARS = 200
@@ -162,6 +164,11 @@ class ByteBpe:
         parts = self.special_pattern.split(text)
         return b"".join(self.special[p] if i % 2 else self._ordinary(p) for i, p in enumerate(parts) if p)
 
+    def forget(self) -> None:
+        for known in (self.words, self.plain, self.spaced):
+            known.clear()
+            known.old = {}
+
     def decode(self, ids: bytes) -> str:
         numbers = np.frombuffer(ids, dtype="<u4")
         if len(numbers) and int(numbers.max()) >= len(self.pieces):
@@ -197,6 +204,28 @@ def decode(ids: Column, path: str, known_words: int = KNOWN_WORDS) -> Column:
     return decoded(ids)
 
 
+def with_round_trip(docs: DataFrame, path: str, known_words: int = KNOWN_WORDS) -> DataFrame:
+    """``docs`` with the binary ``ids`` of its ``text`` and ``round_trip``, whether they decode to it, in place of the text.
+
+    Python workers outlive a stage, so each task leaves its worker without known pieces. The text must not be null.
+    """
+    others = [c for c in docs.columns if c != "text"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bpe = vocabulary(path, known_words)
+        try:
+            for batch in batches:
+                texts = batch.column("text").to_pylist()
+                ids = [bpe.encode(t) if t else b"" for t in texts]
+                same = [bpe.decode(i) == t for i, t in zip(ids, texts, strict=True)]
+                columns = [*map(batch.column, others), pa.array(ids, pa.binary()), pa.array(same, pa.bool_())]
+                yield pa.RecordBatch.from_arrays(columns, names=[*others, "ids", "round_trip"])
+        finally:
+            bpe.forget()
+
+    return docs.mapInArrow(run, StructType([docs.schema[c] for c in others]).add("ids", "binary").add("round_trip", "boolean"))
+
+
 def packed(ids: list[int]) -> bytes:
     numbers = array("I", ids)
     if sys.byteorder == "big":

@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -83,3 +84,19 @@ def test_columns(spark):
     found = docs.withColumn("back", byte_bpe.decode(F.col("ids"), PATH)).collect()
     assert [(r.doc_id, r.back) for r in found] == [(d, t or "") for d, t in rows]
     assert byte_bpe.id_list(bytes(found[4]["ids"]))[-1] == 50256
+
+
+def test_round_trip_of_a_table_leaves_no_known_words(spark):
+    texts = [*EDGES, "some words some words", "more words here"]
+    docs = spark.createDataFrame([(k, t, None) for k, t in enumerate(texts)], "doc_id long, text string, lang string").coalesce(1)
+    found = {r.doc_id: r for r in byte_bpe.with_round_trip(docs, PATH, 50).collect()}
+    plain = byte_bpe.ByteBpe(PATH)
+    assert all(bytes(found[k].ids) == plain.encode(t) and found[k].round_trip and found[k].lang is None for k, t in enumerate(texts))
+
+    def left(batches):
+        for batch in batches:
+            known = byte_bpe.vocabulary(PATH, 50)
+            n = sum(len(k) + len(k.old) for k in (known.words, known.plain, known.spaced))
+            yield pa.RecordBatch.from_arrays([pa.array([n] * len(batch), pa.int64())], names=["n"])
+
+    assert {r.n for r in docs.select("doc_id").mapInArrow(left, "n long").collect()} == {0}
