@@ -1,5 +1,7 @@
 """One key holds a third of all rows."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -109,3 +111,16 @@ def test_pairs_of_one_commune_are_dealt_out(spark):
     assert counts == {str(k): 1 if k == 7 else 399 for k in range(300) if k % 3}
     by_task = [r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()]
     assert len(by_task) > 2 and max(by_task) < sum(by_task) / 2
+
+
+def test_pairs_are_never_met_by_a_broadcast_of_the_repeated_rows(spark, capsys):
+    """Spark judges stations by the file they come from, while the grid repeats each of them."""
+    communes = spark.range(2).select(F.col("id").cast("string").alias("commune_sk"))
+    structures = spark.range(4).select(F.col("id").cast("string").alias("siae_structure_sk"), (F.col("id") % 1 + 1).cast("string").alias("commune_sk"), F.lit("r").alias("raison_sociale"), F.lit("v").alias("ville"))
+    stations = spark.range(3).select(
+        F.col("id").cast("string").alias("gare_sk"), (F.col("id") % 1 + 1).cast("string").alias("commune_sk"), F.lit(True).alias("voyageurs"), F.lit("l").alias("libelle"), F.lit("1").alias("code_ligne")
+    )
+    found = gold.transport_access(structures, communes, stations)
+    found.explain()
+    assert re.search(r"SortMergeJoin \[[^\]]*__row", capsys.readouterr().out)
+    assert found.count() == 12
