@@ -271,3 +271,17 @@ def test_notebook_merge_keeps_unlisted_target_columns(spark):
     merged = {r.code_ligne: r for r in legacy.merge_lignes(target, bronze_lines).collect()}
     assert (merged["1"].lib_ligne, merged["1"].note, merged["1"].isTGV, merged["1"].rg_troncon) == ("L1", "note", "1", 2)
     assert merged["9"].lib_ligne == "kept"
+
+
+def test_packed_deliveries_give_the_same_rows_as_plain_ones(spark, tmp_path):
+    """Files of both kinds lie beside each other, and the bronze table that they fill is packed too."""
+    plain = spark.range(50).select(F.col("id").cast("string").alias("a"), F.lit("é").alias("b"))
+    options = {"header": True, "sep": ";", "encoding": "ISO-8859-1"}
+    for name, packing in (("plain", "none"), ("packed", "gzip")):
+        plain.write.options(**options, compression=packing).csv(str(tmp_path / "raw" / name))
+    done = bronze.ingest_files(spark, str(tmp_path / "lake"), "accueillants", str(tmp_path / "raw")).first()
+    assert (done.status, done.rows_processed) == ("success", 100)
+    table = tables.read_table(spark, str(tmp_path / "lake"), "bronze", "accueillants")
+    assert {(r.a, r.b): r["count"] for r in table.groupBy("a", "b").count().collect()} == {(str(k), "é"): 2 for k in range(50)}
+    files = [p.name for p in (tmp_path / "lake" / "bronze" / "accueillants").rglob("*.parquet")]
+    assert files and all(".zstd." in name for name in files)
