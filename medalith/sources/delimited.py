@@ -77,7 +77,9 @@ def layouts(spark: SparkSession, paths: list[str], encoding: str = "auto", skip_
         is_header = in_head & (F.length(F.trim("value")) > 0)
         first = F.min_by(F.when(is_header, F.struct("line_id", raw.alias("line"))), F.when(is_header, F.col("line_id")))
         header = F.when(first.isNotNull(), F.array(first)).otherwise(F.array())
-    found = lines.groupBy("file_path").agg(header.alias("headers"), valid.alias("is_utf8"))
+    # the list stays empty; with one among its results Spark aggregates by hash, where a line as result alone makes it sort all lines
+    no_list = F.collect_list(F.lit(None).cast("string")).alias("no_list")
+    found = lines.groupBy("file_path").agg(header.alias("headers"), valid.alias("is_utf8"), no_list)
     groups: dict[tuple[str, str], list[str]] = {}
     without = 0
     for row in found.orderBy("file_path").collect():

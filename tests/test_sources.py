@@ -285,3 +285,26 @@ def test_packed_deliveries_give_the_same_rows_as_plain_ones(spark, tmp_path):
     assert {(r.a, r.b): r["count"] for r in table.groupBy("a", "b").count().collect()} == {(str(k), "é"): 2 for k in range(50)}
     files = [p.name for p in (tmp_path / "lake" / "bronze" / "accueillants").rglob("*.parquet")]
     assert files and all(".zstd." in name for name in files)
+
+
+def test_file_names_are_cut_without_a_pattern(spark, tmp_path, capsys):
+    """The time comes from the name of the file, not of its folder, and no search along the path runs once a row."""
+    folder = tmp_path / "old_20200101_000000"
+    folder.mkdir()
+    (folder / "rents_20240102_030405.csv").write_text("a;b\n1;2\n")
+    rents = bronze.logement(spark, [str(folder)])
+    assert [str(r.ingestion_timestamp) for r in rents.collect()] == ["2024-01-02 03:04:05"]
+    rents.explain()
+    assert "[^/]*$" not in capsys.readouterr().out
+
+
+def test_layouts_do_not_sort_all_lines(spark, tmp_path, monkeypatch, capsys):
+    """Headers come from an aggregate by hash."""
+    (tmp_path / "a.csv").write_text("\na;b\n1;2\n")
+    frame = type(spark.range(1))
+    collect = frame.collect
+    monkeypatch.setattr(frame, "collect", lambda df: (df.explain(), collect(df))[1])
+    groups, without = delimited.layouts(spark, [str(tmp_path)])
+    plan = capsys.readouterr().out
+    assert "ObjectHashAggregate" in plan and "SortAggregate" not in plan
+    assert ([*groups], without) == ([("a;b", "UTF-8")], 0)
