@@ -25,7 +25,6 @@ ignored. Without words the result is empty. Ties go by frequency, then by the ph
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from contextlib import contextmanager
 from functools import reduce
 
 import numpy as np
@@ -35,7 +34,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from medalith.llm.frames import column, stored
+from medalith.llm.frames import column, shuffles_go, stored
 from medalith.llm.words import LOWER, mix, pieces, powers, text_bytes
 from medalith.session import work_dir
 
@@ -101,6 +100,14 @@ def words_of(part: np.ndarray, borders: np.ndarray) -> tuple[np.ndarray, np.ndar
     return starts, lengths, np.searchsorted(borders, starts, side="right") - 1, hashes
 
 
+def different(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The different keys, a place of each and how often it occurs; ``np.unique`` gives the first places, for which its sort is stable and slow."""
+    order = np.argsort(keys)
+    ordered = keys[order]
+    first = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1])) if len(keys) else order
+    return ordered[first], order[first], np.diff(np.append(first, len(keys)))
+
+
 def phrase_texts(part: np.ndarray, starts: np.ndarray, lengths: np.ndarray, first: np.ndarray, words: int) -> pa.Array:
     """The phrases of ``words`` words from the words ``first`` on, joined by one blank."""
     index = (first[:, None] + np.arange(words)).ravel()
@@ -206,7 +213,7 @@ def _scan(step: int, shards: int, max_words: int, sent):
         for words, key, mark, _, active in part.phrases(max_words, taken):
             now = (active <= step) & (step < active + shards)
             if now.any():
-                met, place, n = np.unique(key[now], return_index=True, return_counts=True)
+                met, place, n = different(key[now])
                 yield rows(met, _marks(mark[now][place], words, active[now][place]), n)
 
     return _each_part(sent, counted)
@@ -225,7 +232,7 @@ def _named(max_words: int, sent):
         for words, key, mark, at, active in part.phrases(max_words, taken):
             table = wanted[words]
             often = table[key & np.uint64(len(table) - 1)] < NEVER
-            met, place = np.unique(key[often], return_index=True)
+            met, place, _ = different(key[often])
             if len(met):
                 first = at[often][place]
                 yield rows(part.lang[first], words, part.texts(first, words), met, _marks(mark[often][place], words, active[often][place]))
@@ -245,18 +252,6 @@ def _take_slots(frequent: DataFrame, taken: dict[int, np.ndarray], step: int) ->
         slots[met & (slots == NEVER)] = step
 
 
-@contextmanager
-def _shuffles_go(spark: SparkSession) -> Iterator[None]:
-    """Shuffle files go when the query that made them ends; each step is stored, so nothing reads them again."""
-    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(name, None)
-    spark.conf.set(name, "true")
-    try:
-        yield
-    finally:
-        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
-
-
 def phrase_counts(
     spark: SparkSession, docs: DataFrame, text_col: str = "text", lang_col: str = "lang", max_words: int = MAX_WORDS, min_count: int = MIN_COUNT, shards: int = SHARDS, slots: int = SLOTS,
 ) -> DataFrame:
@@ -271,7 +266,7 @@ def phrase_counts(
 
     taken = {words: np.full(slots, NEVER, dtype=np.uint8) for words in range(1, max_words + 1)}
     step, last, pending, solid = 0, shards, None, []
-    with _shuffles_go(spark):
+    with shuffles_go(spark):
         while step < last:
             table = _sent(spark, {words: taken[words] for words in range(1, max_words)})
             met = dealt.where(F.col("slice") % shards == step % shards).select("lang", "text").mapInArrow(_scan(step, shards, max_words, table), "key long, mark long, n long")

@@ -87,3 +87,11 @@ def test_exact_scores_of_large_counts(spark):
     a, l, r = 9_000_000_000_007, 9_000_000_000_011, 9_999_999_999_999
     counts = spark.createDataFrame([("en", 2, "x y", a), ("en", 1, "x", l), ("en", 1, "y", r)], "lang string, words int, phrase string, n long")
     assert collocations.scored(counts).first().score == 10**6 * a * a // (l * r)
+
+
+def test_different_keys_as_numpy_finds_them():
+    keys = np.random.default_rng(0).integers(0, 50, 400).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    for some in (keys, keys[:1], keys[:0]):
+        met, place, n = collocations.different(some)
+        expected = np.unique(some, return_counts=True)
+        assert (met == expected[0]).all() and (n == expected[1]).all() and (some[place] == met).all()
