@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medalith.llm.frames import column, stored
+from medalith.llm.frames import column, shuffles_go, stored
 from medalith.llm.words import ALPHANUMERIC, LOWER, mix, pieces, powers, text_bytes
 
 #: Texts of a shard, while there are at most ``SHARDS`` of them.
@@ -57,6 +57,8 @@ PRIOR_TEXTS = 20.0
 #: Outputs kept out are counted in steps of ``1 / STEP`` up to ``FARTHEST``.
 STEP = 256
 FARTHEST = 64.0
+#: Slots of the ids that have labels, one bit each.
+SLOTS = 1 << 26
 #: Numbers of a model that travel in one row.
 BLOCK = 1 << 16
 _PAD = 2 * BUCKETS
@@ -83,6 +85,15 @@ def word_numbers(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
     return np.stack([word, stem + np.uint64(BUCKETS)], axis=1).astype(np.int32), np.searchsorted(starts, offsets - low)
 
 
+def to_bytes(numbers: np.ndarray) -> bytes:
+    """Word numbers as they are stored: all rows of the table but the empty one have a number of 16 bits."""
+    return numbers.astype("<u2").tobytes()
+
+
+def from_bytes(words: bytes) -> np.ndarray:
+    return np.frombuffer(words, dtype="<u2").reshape(-1, 2).astype(np.int32)
+
+
 def padded(numbers: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The words of several texts with empty ones behind each text, and the places of the words."""
     gap = max(WIDTHS) - 1
@@ -223,7 +234,7 @@ def _trained(given, seed: int):
                     yield shard, texts, labels
                     texts, labels = [], []
                 shard = own
-                texts.append(np.frombuffer(words, dtype="<i4").reshape(-1, 2))
+                texts.append(from_bytes(words))
                 labels.append(label)
         if texts:
             yield shard, texts, labels
@@ -326,15 +337,38 @@ def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         data, offsets = text_bytes(batch.column("text"))
         for first, last in pieces(offsets):
             numbers, begin = word_numbers(data, offsets[first : last + 1])
-            rows = [numbers[a:b].astype("<i4").tobytes() for a, b in zip(begin[:-1], begin[1:], strict=True)]
+            rows = [to_bytes(numbers[a:b]) for a, b in zip(begin[:-1], begin[1:], strict=True)]
             part = batch.slice(first, last - first)
             yield pa.RecordBatch.from_arrays([part.column("mark"), part.column("label"), part.column("lang"), pa.array(rows, pa.binary())], names=["mark", "label", "lang", "words"])
 
 
+def _slots(known: DataFrame) -> np.ndarray:
+    """Bits of the slots that ids fall into, packed; bitmaps of 4 KiB travel."""
+    slot = _slot(F.col("doc_id"))
+    bits = known.groupBy(F.shiftright(slot, 15).alias("bucket")).agg(F.bitmap_construct_agg(slot.bitwiseAND(F.lit(32767))).alias("bits"))
+    taken = np.zeros((SLOTS >> 15, 4096), dtype=np.uint8)
+    for row in bits.collect():
+        taken[row.bucket] = np.frombuffer(bytes(row.bits), dtype=np.uint8)
+    return taken.ravel()
+
+
+def _slot(doc_id: Column) -> Column:
+    return F.xxhash64(doc_id).bitwiseAND(F.lit(SLOTS - 1))
+
+
+def _in_slots(taken):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            slot = np.asarray(batch.column("slot"))
+            yield batch.filter(pa.array((taken.value[slot >> 3] >> (slot & 7) & 1).astype(bool))).drop_columns(["slot"])
+
+    return run
+
+
 def _counted(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [np.frombuffer(w, dtype="<i4").reshape(-1, 2) for w in batch.column("words").to_pylist()]
+            texts = [from_bytes(w) for w in batch.column("words").to_pylist()]
             found = np.array([model.value.outputs(t, np.array([0, len(t)]))[0] for t in texts])
             steps = np.rint(np.clip(found, -FARTHEST, FARTHEST) * STEP).astype(np.int32)
             yield pa.RecordBatch.from_arrays([batch.column("label"), batch.column("lang"), pa.array(steps, pa.int32())], names=["label", "lang", "step"])
@@ -342,11 +376,7 @@ def _counted(model):
     return run
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = SHARD, seed: int = 0) -> tuple[Model | None, float]:
-    """A model, or None where a class has no text to learn from, and the share of the label 1 among the labels that may be learned.
-
-    ``sample`` is the number of texts of a shard; every labelled text is used.
-    """
+def _fit(docs: DataFrame, labels: DataFrame, sample: int, seed: int) -> tuple[Model | None, float]:
     known = labels.select(column(labels, "doc_id").cast("long").alias("doc_id"), column(labels, "toxic").cast("int").alias("label"))
     known = known.where(F.col("label").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg(F.min("label").alias("label"), F.max("label").alias("most")).where("label = most").drop("most")
@@ -355,7 +385,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SHARD, seed: int = 0)
     if len(sizes) < 2:
         return None, share
     texts = docs.select(column(docs, "doc_id").cast("long").alias("doc_id"), column(docs, "text").cast("string").alias("text"), column(docs, "lang").cast("string").alias("lang"))
-    met = texts.where("length(text) > 0").join(known, "doc_id")
+    # only texts whose id falls into a slot of a known one reach the shuffle; the join is exact
+    slots = docs.sparkSession.sparkContext.broadcast(_slots(known))
+    likely = texts.where("length(text) > 0").withColumn("slot", _slot(F.col("doc_id"))).mapInArrow(_in_slots(slots), "doc_id long, text string, lang string")
+    met = likely.join(known, "doc_id")
     met = met.groupBy("doc_id", "label").agg(F.min(F.struct("text", "lang")).alias("least")).select(F.xxhash64("doc_id", F.lit(seed)).alias("mark"), "label", "least.*")
     spark = docs.sparkSession
     rows = stored(spark, met.mapInArrow(_numbered, "mark long, label int, lang string, words binary"), "toxicity-words")
@@ -379,6 +412,15 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SHARD, seed: int = 0)
     return model, share
 
 
+def fit(docs: DataFrame, labels: DataFrame, sample: int = SHARD, seed: int = 0) -> tuple[Model | None, float]:
+    """A model, or None where a class has no text to learn from, and the share of the label 1 among the labels that may be learned.
+
+    ``sample`` is the number of texts of a shard; every labelled text is used.
+    """
+    with shuffles_go(docs.sparkSession):  # a round leaves nothing but its model
+        return _fit(docs, labels, sample, seed)
+
+
 def _scores(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

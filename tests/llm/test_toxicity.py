@@ -151,3 +151,33 @@ def test_every_labelled_text_counts(spark):
     probes = spark.createDataFrame([(1, "calm day vile vile vile", "en"), (2, "calm day kind kind kind", "en"), (3, "nasty talk", "en"), (4, "plain talk", "en")], "doc_id long, text string, lang string")
     scores = {r.doc_id: r.score for r in toxicity.score(spark, probes, model, share).collect()}
     assert scores[1] > 0.5 > scores[2] and scores[3] > 0.5 > scores[4]
+
+
+def test_stored_words_are_two_numbers_of_16_bits():
+    numbers = np.array([[0, toxicity.BUCKETS], [toxicity.BUCKETS - 1, 2 * toxicity.BUCKETS - 1]], dtype=np.int32)
+    words = toxicity.to_bytes(numbers)
+    assert len(words) == 8 and (toxicity.from_bytes(words) == numbers).all()
+    assert toxicity.from_bytes(b"").shape == (0, 2)
+
+
+def test_no_shuffle_file_outlives_the_query_that_made_it(spark, monkeypatch):
+    """The rounds of the training shuffle the same texts again and again."""
+    name, seen = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", []
+    before = spark.conf.get(name, None)
+    inner = toxicity.train
+    monkeypatch.setattr(toxicity, "train", lambda *given: (seen.append(spark.conf.get(name, None)), inner(*given))[1])
+    docs = spark.range(40).select(F.col("id").alias("doc_id"), F.concat(F.lit("word "), F.col("id") % 2).alias("text"), F.lit("en").alias("lang"))
+    labels = spark.range(40).select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("int").alias("toxic"))
+    model, _ = toxicity.fit(docs, labels)
+    assert model is not None and seen == ["true"]
+    assert spark.conf.get(name, None) == before
+
+
+def test_slots_hold_all_known_ids_and_few_others(spark):
+    """Texts without a label stay out of the shuffle."""
+    ids = spark.range(1000).select((F.col("id") * 7919 - 3_000_000).alias("doc_id"))
+    sent = spark.sparkContext.broadcast(toxicity._slots(ids))
+    others = spark.range(1000).select((F.col("id") + 10**12).alias("doc_id"))
+    rows = ids.union(others).select("doc_id", F.lit("a").alias("text"), F.lit("en").alias("lang"), toxicity._slot(F.col("doc_id")).alias("slot"))
+    found = {r.doc_id for r in rows.mapInArrow(toxicity._in_slots(sent), "doc_id long, text string, lang string").collect()}
+    assert {r.doc_id for r in ids.collect()} <= found and len(found) < 1010
