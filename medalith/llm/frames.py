@@ -8,7 +8,7 @@ from contextlib import contextmanager
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medalith.session import work_dir
+from medalith.session import shared_root, work_dir
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -44,6 +44,14 @@ def stored(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def dealt(df: DataFrame, parts: int, part: str) -> DataFrame:
+    """A frame whose column ``part`` names one of ``parts`` partitions, shuffled once and kept so in the shared work folder."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_root(df.sparkSession))
+    return df.repartitionById(parts, df[part]).checkpoint()
+
+
 @contextmanager
 def shuffles_go(spark: SparkSession) -> Iterator[None]:
     """Shuffle files go when the query that made them ends; each step is stored, so nothing reads them again."""

@@ -181,3 +181,57 @@ def test_slots_hold_all_known_ids_and_few_others(spark):
     rows = ids.union(others).select("doc_id", F.lit("a").alias("text"), F.lit("en").alias("lang"), toxicity._slot(F.col("doc_id")).alias("slot"))
     found = {r.doc_id for r in rows.mapInArrow(toxicity._in_slots(sent), "doc_id long, text string, lang string").collect()}
     assert {r.doc_id for r in ids.collect()} <= found and len(found) < 1010
+
+
+def dealt_texts(spark, count):
+    """Texts as the training takes them; those with odd ids hold a marked word."""
+    rows = [(f"plain w{k} talk " * (1 + k % 4) + "vile" * (k % 2), k) for k in range(count)]
+    numbers, begin = numbers_of([t for t, _ in rows])
+    words = [bytearray(toxicity.to_bytes(numbers[a:b])) for a, b in zip(begin[:-1], begin[1:], strict=True)]
+    frame = spark.createDataFrame([(k, w, k % 2) for (_, k), w in zip(rows, words, strict=True)], "k long, words binary, label int")
+    return frame.select(F.xxhash64("k", F.lit(0)).alias("mark"), "label", "words")
+
+
+def test_words_are_shuffled_once_for_all_rounds(spark, monkeypatch):
+    """The frames that the rounds train on read their shards as they were dealt, each whole in a partition of its own."""
+    frame, plans, partitions = type(spark.range(0)), [], []
+    inner = frame.mapInArrow
+
+    def seen(self, *given, **named):
+        plans.append(self._jdf.queryExecution().executedPlan().toString())
+        partitions.append([r.shards for r in self.groupBy(F.spark_partition_id()).agg(F.count_distinct("shard").alias("shards")).collect()])
+        return inner(self, *given, **named)
+
+    monkeypatch.setattr(frame, "mapInArrow", seen)
+    monkeypatch.setattr(toxicity, "STEPS", 3)
+    toxicity.train(dealt_texts(spark, 100), 100, shard=10)
+    assert len(plans) == toxicity.ROUNDS and not any("Exchange" in p for p in plans)
+    assert partitions == [[1] * 10] * toxicity.ROUNDS
+
+
+@pytest.mark.parametrize("count, shard", [(100, 30), (50, 50)])
+def test_training_equals_plain_loops_over_shards(spark, monkeypatch, count, shard):
+    """Every shard takes each of its texts once a pass, in the order of the round, and the changes are averaged."""
+    monkeypatch.setattr(toxicity, "STEPS", 15)
+    texts = dealt_texts(spark, count)
+    shards = -(-count // shard)
+    rounds = toxicity.ROUNDS if shards > 1 else 1
+    passes = max(toxicity.ROUNDS // rounds, -(-15 * toxicity.BATCH // (rounds * count)))
+    order = F.array([F.xxhash64("mark", F.lit(p), F.lit(k)) for k in range(rounds) for p in range(1, passes + 1)])
+    rows = [(r.mark, r.label, toxicity.from_bytes(bytes(r.words)), r.order) for r in texts.withColumn("order", order).collect()]
+    numbers = toxicity._flat(toxicity.Model.start(0), toxicity._Adagrad())
+    for k in range(rounds):
+        total, changed = 0.0, 0
+        for own in range(shards):
+            queue = sorted((r[3][k * passes + p], r[0], r[1], n) for n, r in enumerate(rows) if (r[0] >> 20) % shards == own for p in range(passes))
+            model, steps = toxicity._from_flat(numbers)
+            random = np.random.default_rng((k, own))
+            for at in range(0, len(queue), toxicity.BATCH):
+                part = queue[at : at + toxicity.BATCH]
+                toxicity._batch(model, steps, [rows[n][2] for *_, n in part], np.array([label for _, _, label, _ in part], dtype=np.float32), random)
+            change = (toxicity._flat(model, steps) - numbers).astype(np.float64)
+            total, changed = total + change, changed + (change != 0)
+        numbers = numbers + (total / np.maximum(changed, 1)).astype("<f4")
+    expected, found = toxicity._from_flat(numbers)[0], toxicity.train(texts, count, shard)
+    assert np.allclose(found.rows, expected.rows, atol=1e-5) and np.allclose(found.out, expected.out, atol=1e-5) and np.isclose(found.bias, expected.bias, atol=1e-5)
+    assert all(np.allclose(a, b, atol=1e-5) for a, b in zip(found.filters, expected.filters, strict=True))
