@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from medalith.llm.components import connected_components
 from medalith.llm.frames import id_and_text, stored
-from medalith.llm.words import SHINGLE_WORDS, mix, shingle_sets
+from medalith.llm.words import SHINGLE_WORDS, mix, shingle_pieces, shingle_sets
 
 PERCENT = 75
 SKETCH = 1 << 22
@@ -64,50 +64,39 @@ _SIZES = "doc_id long, n long, sig1 long, sig2 long, parts binary, chunk int, co
 _SIZE_NAMES = ["doc_id", "n", "sig1", "sig2", "parts", "chunk", "counts"]
 
 
-def _signature(values: np.ndarray) -> tuple[int, int]:
-    if not len(values):
-        return 0, 0
-    second = mix(values ^ np.uint64(0x5851F42D4C957F2D))
-    return int(values.sum(dtype=np.uint64).view(np.int64)), int(second.sum(dtype=np.uint64).view(np.int64))
+def _signatures(values: np.ndarray, begin: np.ndarray) -> np.ndarray:
+    """The sum of each row's values."""
+    total = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(values, dtype=np.uint64)])
+    return (total[begin[1:]] - total[begin[:-1]]).view(np.int64)
 
 
 def _buckets(values: np.ndarray) -> np.ndarray:
     return (values & np.uint64(SKETCH - 1)).astype(np.int64)
 
 
-def _bucket_counts(sets: list[np.ndarray]) -> np.ndarray:
-    return np.bincount(_buckets(np.concatenate(sets)), minlength=SKETCH).astype(np.uint32)
-
-
-def _parts(values: np.ndarray) -> bytes | None:
-    """How many shingles of a set fall into each of ``SIGNATURE`` classes; none for enormous sets.
+def _parts(values: np.ndarray, n: np.ndarray) -> list[bytes | None]:
+    """How many shingles of each row's set fall into each of ``SIGNATURE`` classes; none for enormous sets.
 
     Two sets share at most the sum of the smaller counts, so pairs that cannot reach T are told without their texts.
     """
-    if len(values) > SIGNATURE_SIZES:
-        return None
-    return np.bincount((values >> np.uint64(40)).astype(np.int64) % SIGNATURE, minlength=SIGNATURE).astype("<u2").tobytes()
+    classes = (values >> np.uint64(40)).astype(np.int64) % SIGNATURE
+    counts = np.bincount(np.repeat(np.arange(len(n)) * SIGNATURE, n) + classes, minlength=len(n) * SIGNATURE)
+    packed, width = counts.astype("<u2").tobytes(), 2 * SIGNATURE
+    return [packed[k * width : (k + 1) * width] if size <= SIGNATURE_SIZES else None for k, size in enumerate(n.tolist())]
 
 
 def _sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts = np.zeros(SKETCH, dtype=np.uint32)
     for batch in batches:
         n, one, two, parts = [], [], [], []
-        waiting, size = [], 0
-        for values in shingle_sets(batch.column("text")):
-            n.append(len(values))
-            a, b = _signature(values)
-            one.append(a)
-            two.append(b)
-            parts.append(_parts(values))
-            waiting.append(values)
-            size += len(values)
-            if size >= 1 << 20:
-                counts += _bucket_counts(waiting)
-                waiting, size = [], 0
-        if waiting:
-            counts += _bucket_counts(waiting)
+        for _, values, begin in shingle_pieces(batch.column("text")):
+            n.append(np.diff(begin))
+            one.append(_signatures(values, begin))
+            two.append(_signatures(mix(values ^ np.uint64(0x5851F42D4C957F2D)), begin))
+            parts += _parts(values, n[-1])
+            np.add.at(counts, _buckets(values), np.uint32(1))
         rows = batch.num_rows
+        n, one, two = (np.concatenate([np.zeros(0, dtype=np.int64), *c]) for c in (n, one, two))
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()),
              pa.array(parts, pa.binary()), pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.binary())],
@@ -164,25 +153,30 @@ def _packed_entries(ranks, percent: int):
         for batch in batches:
             columns: list[list[np.ndarray]] = [[], [], [], []]
             size = 0
-            ids = batch.column("doc_id").to_pylist()
-            for doc, values in zip(ids, shingle_sets(batch.column("text")), strict=True):
-                n = len(values)
-                if doc is None or not n:
-                    continue
-                keep = n - -(-percent * n // 100) + 1
-                at = _buckets(values)
+            docs = batch.column("doc_id")
+            known, spread = np.asarray(docs.is_valid()), np.asarray(docs.fill_null(0))
+            spread = (mix(spread.view(np.uint64)) >> np.uint64(1)).astype(np.int64)
+            docs = np.asarray(docs.fill_null(0))
+            for first, values, begin in shingle_pieces(batch.column("text")):
+                n = np.diff(begin)
+                here = slice(first, first + len(n))
+                keep = np.where(known[here] & (n > 0), n - -(-percent * n // 100) + 1, 0)
+                at = rank[_buckets(values)]
                 # the values are sorted, so a stable sort by rank and leading bits is a sort by rank and value
-                key = (rank[at].astype(np.uint64) << np.uint64(48)) | (values >> np.uint64(16))
-                order = np.argsort(key, kind="stable")[:keep]
-                length = np.exp2(rank[at[order]] / RANK_STEPS)
-                parts = 1 + (np.maximum(0, length - usual) // SPLIT_ROWS).astype(np.int64)
-                spread = int(mix(np.array([doc], dtype=np.int64).view(np.uint64))[0] >> np.uint64(1))
+                key = (at.astype(np.uint64) << np.uint64(48)) | (values >> np.uint64(16))
+                begins = begin[:-1].tolist()
+                order = [a + np.argsort(key[a : a + k], kind="stable")[:m] for a, k, m in zip(begins, n.tolist(), keep.tolist(), strict=True) if m]
+                if not order:
+                    continue
+                order = np.concatenate(order)
+                parts = 1 + (np.maximum(0, np.exp2(at[order] / RANK_STEPS) - usual) // SPLIT_ROWS).astype(np.int64)
+                place = np.arange(len(order)) - np.repeat(np.cumsum(keep) - keep, keep)
                 for into, made in zip(columns, (
-                    values[order].view(np.int64), (parts << 32) | (spread % parts),
-                    np.full(keep, doc), (n << 32) | np.arange(keep, dtype=np.int64),
+                    values[order].view(np.int64), (parts << 32) | (np.repeat(spread[here], keep) % parts),
+                    np.repeat(docs[here], keep), (np.repeat(n, keep) << 32) | place,
                 ), strict=True):
                     into.append(made)
-                size += keep
+                size += len(order)
                 if size >= PACKED_ENTRIES:
                     yield _packed(columns)
                     columns, size = [[], [], [], []], 0
@@ -194,12 +188,12 @@ def _packed_entries(ranks, percent: int):
 
 def _packed(columns: list[list[np.ndarray]]) -> pa.RecordBatch:
     flat = [np.concatenate(c) for c in columns]
-    bucket = (mix(flat[0].view(np.uint64) + flat[1].view(np.uint64)) % np.uint64(ENTRY_BUCKETS)).astype(np.int32)
+    bucket = (mix(flat[0].view(np.uint64) + flat[1].view(np.uint64)) % np.uint64(ENTRY_BUCKETS)).astype(np.uint16)
     order = np.argsort(bucket, kind="stable")
     names, first = np.unique(bucket[order], return_index=True)
     offsets = pa.array(np.append(first, len(bucket)), pa.int32())
     lists = [pa.ListArray.from_arrays(offsets, pa.array(c[order], pa.int64())) for c in flat]
-    return pa.RecordBatch.from_arrays([pa.array(names, pa.int32()), *lists], names=["bucket", "hs", "splits", "doc_ids", "sizes"])
+    return pa.RecordBatch.from_arrays([pa.array(names.astype(np.int32)), *lists], names=["bucket", "hs", "splits", "doc_ids", "sizes"])
 
 
 def _entries(packed: DataFrame) -> DataFrame:
@@ -228,7 +222,8 @@ def _list_members(entries: DataFrame, percent: int) -> DataFrame:
     member is compared with first: the first of its split, or the one before it where the sizes differ too much.
     ``head`` marks the first member of each split of a hot list.
     """
-    split = Window.partitionBy("bucket", "h", "split").orderBy("n", "doc_id")
+    # the bucket follows from the others; standing last it leaves the hash as what rows are sorted by first
+    split = Window.partitionBy("h", "split", "bucket").orderBy("n", "doc_id")
     me = F.struct("doc_id", "n", "place")
     placed = entries.select(
         "*",

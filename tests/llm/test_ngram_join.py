@@ -175,3 +175,27 @@ def test_connected_components(spark):
     expected = {1: 1, 2: 2, 3: 2, 6: 6, 7: 6, 8: 6, 9: 6, **{100 + i: 100 for i in range(61)}}
     assert {r.node: r.component for r in found.collect()} == expected
     assert connected_components(spark, spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_shingles_of_many_rows_are_hashed_together(monkeypatch):
+    rows = [f"a{k} b c d e f" if k % 3 else f"short {k}" for k in range(2000)]
+    expected = [np.unique(words.shingles(words.hashed_words(*words.text_bytes(pa.array([t])))[0])) for t in rows]
+    calls, mix = [], words.mix
+    monkeypatch.setattr(words, "mix", lambda x: calls.append(len(x)) or mix(x))
+    assert all(np.array_equal(a, b) for a, b in zip(words.shingle_sets(pa.array(rows)), expected, strict=True))
+    assert len(calls) < 100  # not some for each row
+
+
+def test_row_longer_than_a_piece_between_short_ones(monkeypatch):
+    rows = ["a b", "q" * 300 + " y z é", "w x y z v " * 50, "", None, "c d e f g h"]
+    whole = [x.tolist() for x in words.shingle_sets(pa.array(rows))]
+    monkeypatch.setattr(words, "SHINGLE_PIECE", 16)
+    monkeypatch.setattr(words, "PIECE", 64)
+    assert [x.tolist() for x in words.shingle_sets(pa.array(rows))] == whole
+    assert [len(x) for x in whole] == [len(shingle_set(t)) for t in rows]
+
+
+def test_list_members_are_sorted_by_hash_first(spark):
+    entries = spark.createDataFrame([], "bucket int, h long, split long, doc_id long, n int, place int").repartition("bucket")
+    plan = ngram_join._list_members(entries, 75)._jdf.queryExecution().toString()
+    assert re.search(r"\bSort \[h#", plan)
