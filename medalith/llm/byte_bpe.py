@@ -30,6 +30,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from medalith.llm.frames import released, slices
+
 KNOWN_WORDS = 600_000
 KNOWN_CHARS = 200
 CLAUSE_ENDS = ".,;:!?"
@@ -210,11 +212,15 @@ def with_round_trip(docs: DataFrame, path: str, known_words: int = KNOWN_WORDS)
     Python workers outlive a stage, so each task leaves its worker without known pieces. The text must not be null.
     """
     others = [c for c in docs.columns if c != "text"]
+    schema = StructType([docs.schema[c] for c in others]).add("ids", "binary").add("round_trip", "boolean")
+    return docs.mapInArrow(released(_round_trip(path, known_words, others)), schema)
+
 
+def _round_trip(path: str, known_words: int, others: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = vocabulary(path, known_words)
         try:
-            for batch in batches:
+            for batch in slices(batches):
                 texts = batch.column("text").to_pylist()
                 ids = [bpe.encode(t) if t else b"" for t in texts]
                 same = [bpe.decode(i) == t for i, t in zip(ids, texts, strict=True)]
@@ -223,7 +229,7 @@ def with_round_trip(docs: DataFrame, path: str, known_words: int = KNOWN_WORDS)
         finally:
             bpe.forget()
 
-    return docs.mapInArrow(run, StructType([docs.schema[c] for c in others]).add("ids", "binary").add("round_trip", "boolean"))
+    return run
 
 
 def packed(ids: list[int]) -> bytes:

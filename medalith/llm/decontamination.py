@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medalith.llm.frames import column
+from medalith.llm.frames import ROWS_AT_ONCE, column
 from medalith.llm.words import ALPHANUMERIC, hashed_words, pieces, shingles, text_bytes
 
 MIN_TILE = 5
@@ -160,7 +160,10 @@ class Items:
 def _hits_column(block, coverage: float):
     @F.arrow_udf(HITS)
     def hits(text: pa.Array) -> pa.Array:
-        return pa.array(list(_row_hits(block.value, text, coverage)), _ARROW_HITS)
+        parts = (text.slice(start, ROWS_AT_ONCE) for start in range(0, len(text), ROWS_AT_ONCE))
+        found = pa.array([hits for part in parts for hits in _row_hits(block.value, part, coverage)], _ARROW_HITS)
+        pa.default_memory_pool().release_unused()  # workers outlive a stage
+        return found
 
     return hits
 

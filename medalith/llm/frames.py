@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from medalith.session import shared_root, work_dir
 
+ROWS_AT_ONCE = 1000
+Batches = Iterator[pa.RecordBatch]
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -37,6 +41,25 @@ def hash_share(hash_value: Column, rows: int, wanted: int) -> Column:
     return F.pmod(hash_value, F.lit(1 << 24)) < int(share * (1 << 24)) + 1
 
 
+def slices(batches: Batches) -> Batches:
+    """The batches in parts of at most ``ROWS_AT_ONCE`` rows, so Python holds that many texts and results at a time."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, ROWS_AT_ONCE):
+            yield batch.slice(start, ROWS_AT_ONCE)
+
+
+def released(run: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
+    """``run`` for ``mapInArrow``; at a task's end its worker gives back what Arrow keeps for later, as workers outlive a stage."""
+
+    def task(batches: Batches) -> Batches:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+
+    return task
+
+
 def stored(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
     """Write a frame to the shared work folder and read it back: short lineage that survives lost executors."""
     path = work_dir(spark, label)

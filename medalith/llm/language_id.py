@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from medalith.llm.frames import column, stored
+from medalith.llm.frames import column, released, stored
 from medalith.llm.words import pieces, text_bytes
 
 SAMPLE_PER_LANGUAGE = 2000
@@ -127,7 +127,7 @@ def _sample_counts(rows: DataFrame, shares: dict[str, float], per_language: int)
     distinct = rows.groupBy("label", "hash").agg(F.min("text").alias("text"))  # copies of a text are one before the shuffle
     order = Window.partitionBy("label").orderBy("hash")
     sample = distinct.withColumn("place", F.row_number().over(order)).where(F.col("place") <= per_language)
-    counted = sample.select("label", "text").mapInArrow(_counted, "label string, bucket int, n long")
+    counted = sample.select("label", "text").mapInArrow(released(_counted), "label string, bucket int, n long")
     summed = counted.groupBy("label", "bucket").agg(F.sum("n").alias("n"))
     gathered = summed.groupBy("label").agg(F.array_sort(F.collect_list(F.struct("bucket", "n"))).alias("all"))  # BUCKETS + 1 at most
     found = {}
@@ -213,7 +213,7 @@ def identify(spark: SparkSession, rows: DataFrame, model: TextModel | None, labe
                            nothing.cast("string").alias("text_language"), F.lit(0).cast("long").alias("n_trigrams"), F.lit(True).alias("kept"))
     size = len(model.languages)
     texts = spark.sparkContext.broadcast(model)  # only the buckets that a language has
-    scored = stored(spark, rows.select(*KEYS, "text").mapInArrow(_scored(texts), _SCORED), label)
+    scored = stored(spark, rows.select(*KEYS, "text").mapInArrow(released(_scored(texts)), _SCORED), label)
     totals = scored.where("vote is not null").groupBy("vote").count().collect()
     count = [0.0] * size
     for row in totals:

@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from medalith.llm.components import connected_components
-from medalith.llm.frames import id_and_text, stored
+from medalith.llm.frames import id_and_text, released, stored
 from medalith.llm.words import SHINGLE_WORDS, mix, shingle_pieces, shingle_sets
 
 PERCENT = 75
@@ -127,7 +127,7 @@ def _list_ranks(sizes: DataFrame) -> np.ndarray:
     """The counters, added up on the executors, as ``RANK_STEPS`` steps per doubling: always ``SKETCH`` small numbers."""
     chunks = sizes.where("chunk is not null").select("chunk", "counts").repartition("chunk")
     ranks = np.zeros(SKETCH, dtype=np.uint16)
-    for row in chunks.mapInArrow(_added, "chunk int, ranks binary").toLocalIterator():
+    for row in chunks.mapInArrow(released(_added), "chunk int, ranks binary").toLocalIterator():
         ranks[row.chunk * CHUNK : (row.chunk + 1) * CHUNK] = np.frombuffer(row.ranks, dtype="<u2")
     return ranks
 
@@ -385,7 +385,7 @@ def _block_links(spark: SparkSession, texts: DataFrame, indexed: DataFrame, sear
     )
     rows = repeated.unionByName(searched).join(texts, "doc_id").select("block", "part", "role", "doc_id", "text")
     placed = rows.repartition("block", "part").sortWithinPartitions("block", "part", "role", "doc_id")
-    return stored(spark, placed.mapInArrow(_search(percent), "a long, b long"), label)
+    return stored(spark, placed.mapInArrow(released(_search(percent)), "a long, b long"), label)
 
 
 def _nodes(spark: SparkSession, sizes: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -436,7 +436,7 @@ def _comparable(pairs: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
                 keep.append(shared is None or int(shared) >= least)
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return pairs.join(one, "a").join(two, "b").where(fit).mapInArrow(run, "a long, b long").distinct()
+    return pairs.join(one, "a").join(two, "b").where(fit).mapInArrow(released(run), "a long, b long").distinct()
 
 
 def _open_pairs(here: DataFrame, turn: int, percent: int) -> DataFrame:
@@ -514,12 +514,12 @@ def similar_components(
 ) -> DataFrame:
     """``doc_id, n_shingles, component_id`` for every row; the component is the smallest id reachable by links."""
     plain = id_and_text(docs, id_col, text_col)
-    passed = stored(spark, plain.mapInArrow(_sizes, _SIZES), "join-sizes")
+    passed = stored(spark, plain.mapInArrow(released(_sizes), _SIZES), "join-sizes")
     ranks = spark.sparkContext.broadcast(_list_ranks(passed))  # SKETCH numbers of two bytes
     sizes = passed.where("chunk is null").select("doc_id", "n", "sig1", "sig2", "parts")
     nodes, links = _nodes(spark, sizes)
 
-    entries = _entries(plain.mapInArrow(_packed_entries(ranks, percent), _PACKED))
+    entries = _entries(plain.mapInArrow(released(_packed_entries(ranks, percent)), _PACKED))
     members = stored(spark, _list_members(entries, percent), "join-members")
     ranks.destroy()
     components = connected_components(spark, links, "join-components")

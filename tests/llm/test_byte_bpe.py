@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from medalith.llm import byte_bpe
+from medalith.llm import byte_bpe, frames
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -100,3 +100,21 @@ def test_round_trip_of_a_table_leaves_no_known_words(spark):
             yield pa.RecordBatch.from_arrays([pa.array([n] * len(batch), pa.int64())], names=["n"])
 
     assert {r.n for r in docs.select("doc_id").mapInArrow(left, "n long").collect()} == {0}
+
+
+def test_workers_give_memory_back(monkeypatch):
+    rows = 2 * frames.ROWS_AT_ONCE + 1
+    calls = []
+
+    class Pool:
+        def release_unused(self):
+            calls.append({len(known) for known in (bpe.words, bpe.plain, bpe.spaced)})
+
+    bpe = byte_bpe.vocabulary(PATH, 1234)
+    batch = pa.RecordBatch.from_pydict({"doc_id": range(rows), "text": [f"some text {k}" for k in range(rows)]})
+    monkeypatch.setattr(pa, "default_memory_pool", Pool)
+    found = list(frames.released(byte_bpe._round_trip(PATH, 1234, ["doc_id"]))(iter([batch])))
+    assert [b.num_rows for b in found] == [frames.ROWS_AT_ONCE, frames.ROWS_AT_ONCE, 1]
+    assert [k for b in found for k in b.column("doc_id").to_pylist()] == list(range(rows))
+    assert all(all(b.column("round_trip").to_pylist()) for b in found)
+    assert calls == [{0}]  # once, after the known pieces are forgotten
