@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medalith.session import shared_root, work_dir
+from medalith.session import shared_root, shuffles_go, stored
+
+__all__ = ["column", "dealt", "hash_share", "id_and_text", "released", "shuffles_go", "slices", "stored", "table"]
 
 ROWS_AT_ONCE = 1000
 Batches = Iterator[pa.RecordBatch]
@@ -60,28 +61,9 @@ def released(run: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
     return task
 
 
-def stored(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
-    """Write a frame to the shared work folder and read it back: short lineage that survives lost executors."""
-    path = work_dir(spark, label)
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def dealt(df: DataFrame, parts: int, part: str) -> DataFrame:
     """A frame whose column ``part`` names one of ``parts`` partitions, shuffled once and kept so in the shared work folder."""
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_root(df.sparkSession))
     return df.repartitionById(parts, df[part]).checkpoint()
-
-
-@contextmanager
-def shuffles_go(spark: SparkSession) -> Iterator[None]:
-    """Shuffle files go when the query that made them ends; each step is stored, so nothing reads them again."""
-    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(name, None)
-    spark.conf.set(name, "true")
-    try:
-        yield
-    finally:
-        spark.conf.unset(name) if before is None else spark.conf.set(name, before)

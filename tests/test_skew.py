@@ -124,3 +124,18 @@ def test_pairs_are_never_met_by_a_broadcast_of_the_repeated_rows(spark, capsys):
     found.explain()
     assert re.search(r"SortMergeJoin \[[^\]]*__row", capsys.readouterr().out)
     assert found.count() == 12
+
+
+def test_pairs_of_large_communes_come_in_runs_of_stations(spark):
+    """Every stretch of 2,048 pairs of a task names few of the 6,000 stations, so a file of the pairs stays small."""
+    communes = spark.range(1).select(F.lit("c").alias("commune_sk"))
+    structures = spark.range(96).select(
+        F.col("id").cast("string").alias("siae_structure_sk"), F.lit("c").alias("commune_sk"), F.concat(F.lit("r"), "id").alias("raison_sociale"), F.lit("v").alias("ville")
+    )
+    stations = spark.range(6000).select(
+        F.col("id").cast("string").alias("gare_sk"), F.lit("c").alias("commune_sk"), F.lit(True).alias("voyageurs"), F.concat(F.lit("g"), "id").alias("libelle"), F.lit("1").alias("code_ligne")
+    )
+    found = gold.transport_access(structures, communes, stations).withColumn("at", F.monotonically_increasing_id())
+    assert found.agg(F.count("*"), F.count_distinct("raison_sociale", "gare_proche")).first()[:] == (96 * 6000, 96 * 6000)
+    stretches = found.groupBy(F.floor(F.col("at") / 2048)).agg(F.count_distinct("gare_proche").alias("named"))
+    assert stretches.agg(F.max("named")).first()[0] <= 640
