@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from medalith.operators import dedupe, lookup, upsert
-from medalith.plans import gold, silver
+from medalith.plans import gold, pipeline, silver
 
 SETTINGS = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
@@ -139,3 +139,12 @@ def test_pairs_of_large_communes_come_in_runs_of_stations(spark):
     assert found.agg(F.count("*"), F.count_distinct("raison_sociale", "gare_proche")).first()[:] == (96 * 6000, 96 * 6000)
     stretches = found.groupBy(F.floor(F.col("at") / 2048)).agg(F.count_distinct("gare_proche").alias("named"))
     assert stretches.agg(F.max("named")).first()[0] <= 640
+
+
+def test_shuffle_files_of_a_table_go_when_it_is_written(spark, tmp_path, monkeypatch):
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, seen = spark.conf.get(name, None), []
+    monkeypatch.setattr(pipeline, "write_table", lambda *_: seen.append(spark.conf.get(name, None)))
+    monkeypatch.setitem(pipeline.STAGES, "one", ("silver", {"numbers": pipeline.Table(lambda: spark.range(3), ())}))
+    assert pipeline.build_layer(spark, str(tmp_path), "one") == [("numbers", "success", "")]
+    assert seen == ["true"] and spark.conf.get(name, None) == before
