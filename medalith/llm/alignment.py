@@ -37,11 +37,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from medalith.llm.byte_bpe import WORDS, byte_letters
-from medalith.llm.frames import id_and_text, stored
+from medalith.llm.frames import id_and_text, released, stored
 
 BLOCK = 4 << 20
-#: Segments that are aligned at a time.
-STEP = 1 << 15
+#: Segments that are aligned at a time; the dictionaries of their ends are what a worker needs most memory for.
+STEP = 1 << 13
 #: Longer segments are encoded by the library that needs n log n steps for one long word.
 LONG_CHARS = 1000
 #: Characters of a long text that are cut into segments at a time.
@@ -247,6 +247,8 @@ _CONTENT_TYPES = {
     "doc_ids": pa.list_(pa.int64()), "doc_ends": pa.list_(pa.int64()), "numbers": pa.list_(pa.int32()), "counts": pa.list_(pa.int32()),
     "groups": pa.list_(pa.binary()), "link_ends": pa.list_(pa.int64()), "links": pa.list_(pa.int32()),
 }
+#: For rows of megabytes. Without them a writer holds 100 rows before it looks at their size, and a reader a whole row group of 128 MB.
+_LARGE_ROWS = {"parquet.page.size.row.check.min": 1, "parquet.block.size.row.check.min": 1, "parquet.block.size": 16 << 20}
 _BLOCK_SCHEMA = "block long, pairs array<long>, pair_links array<long>, content binary"
 
 
@@ -354,7 +356,7 @@ def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def blocks(spark: SparkSession, docs: DataFrame, a_path: str, b_path: str, size: int = BLOCK) -> DataFrame:
     """The stored blocks of aligned documents."""
-    return stored(spark, id_and_text(docs).mapInArrow(_blocks(a_path, b_path, size), _BLOCK_SCHEMA), "alignment")
+    return stored(spark, id_and_text(docs).mapInArrow(released(_blocks(a_path, b_path, size)), _BLOCK_SCHEMA), "alignment", **_LARGE_ROWS)
 
 
 def pair_counts(aligned: DataFrame) -> DataFrame:
@@ -367,11 +369,14 @@ def pair_counts(aligned: DataFrame) -> DataFrame:
 
 
 def documents(aligned: DataFrame, counts: DataFrame) -> DataFrame:
-    """Documents of the blocks: tokens, groups (``a1,a2|b1;a3|b2,b3``), links, and what the corpus says about the links."""
+    """Documents of the blocks: tokens, groups (``a1,a2|b1;a3|b2,b3``), links, and what the corpus says about the links.
+
+    Blocks reach the workers as groups of one row: a batch of many would hold 64 MB of them in the JVM and in Python.
+    """
     met = aligned.select("block", F.explode("pairs").alias("pair"))
     keyed = counts.select((F.shiftleft(F.col("a").cast("long"), 32) + F.col("b")).alias("pair"), "n", F.col("best").cast("long").alias("best"))
     scored = met.join(keyed, "pair").groupBy("block").agg(F.collect_list(F.struct("pair", "n", "best")).alias("scored"))
-    return aligned.join(scored, "block", "left").mapInArrow(_documents, _RESULT)
+    return aligned.join(scored, "block", "left").groupBy("block").applyInArrow(_documents, _RESULT)
 
 
 def align(spark: SparkSession, docs: DataFrame, a_path: str, b_path: str, size: int = BLOCK) -> DataFrame:

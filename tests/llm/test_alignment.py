@@ -2,8 +2,10 @@
 
 import random
 from collections import Counter
+from collections.abc import Iterator
 
 import public_tokenizers
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 import sentencepiece
@@ -117,3 +119,28 @@ def test_pair_counts(spark):
     docs = spark.createDataFrame([(1, "the cat the"), (2, "the")], "doc_id long, text string")
     counts = alignment.pair_counts(alignment.blocks(spark, docs, A_PATH, B_PATH)).collect()
     assert sorted(r.n for r in counts) == [1, 3] and all(r.best for r in counts)
+
+
+def test_memory_does_not_grow_with_the_blocks_of_a_task(spark, monkeypatch):
+    """Sixteen blocks of more than 2 MB in one task: small row groups, and a worker gets one block at a time."""
+    groups = []
+    rows = spark.range(0, 16, 1, 1).selectExpr("id AS block", "array(id) AS pairs", "array(1L) AS pair_links", "randstr(2500000, CAST(1 AS INT)) AS content")
+    rows = rows.withColumn("content", rows.content.cast("binary"))
+    monkeypatch.setattr(alignment, "id_and_text", lambda _: rows)
+    monkeypatch.setattr(alignment, "_blocks", lambda *_: lambda batches: batches)
+    monkeypatch.setattr(alignment, "_BLOCK_SCHEMA", rows.schema)
+    aligned = alignment.blocks(spark, None, A_PATH, B_PATH)
+    for file in aligned.inputFiles():
+        meta = pq.ParquetFile(file.removeprefix("file:")).metadata
+        groups += [meta.row_group(k).num_rows for k in range(meta.num_row_groups)]
+    assert sum(groups) == 16 and max(groups) <= 12
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column("block")
+            zeros = pa.array([batch.num_rows] * len(ids), pa.int64())
+            yield pa.RecordBatch.from_arrays([ids, *[zeros] * 6, pa.array([""] * len(ids))], names=["doc_id", *COLUMNS])
+
+    monkeypatch.setattr(alignment, "_documents", counted)
+    found = alignment.documents(aligned, alignment.pair_counts(aligned)).select("doc_id", "n_a").collect()
+    assert sorted(found) == [(k, 1) for k in range(16)]
